@@ -44,7 +44,11 @@ def compose(body: str, shared: dict[str, str]) -> str:
 
     need(body, ())
     ctes = ",\n".join(f"{name} AS (\n{shared[name]}\n)" for name in ordered)
-    return f"WITH {ctes}\n{body}" if ordered else body
+    if not ordered:
+        return body
+    if body.upper().startswith("WITH"):
+        body = f"SELECT * FROM (\n{body}\n)"
+    return f"WITH {ctes}\n{body}"
 
 
 def _typed(body: str) -> str:
@@ -55,7 +59,9 @@ def _typed(body: str) -> str:
         for column in columns.split(",")
     ]
     body = _HINT.sub("", body).strip()
-    return f"SELECT * REPLACE ({', '.join(casts)}) FROM (\n{body}\n)" if casts else body
+    if not casts:
+        return body
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM (\n{body}\n)"
 
 
 def statements() -> dict[str, str]:

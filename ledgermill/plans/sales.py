@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import fixed_values as fv
@@ -41,7 +41,7 @@ def customers_with_group(t) -> DataFrame:
     )
 
 
-def location_label() -> F.Column:
+def location_label() -> Column:
     return F.concat("location_id", F.lit(" - "), "location_name")
 
 
@@ -56,8 +56,7 @@ def build_sales_history(t, products: DataFrame, since: dt.date = dt.date(2014, 1
     product = products.select(
         F.col("item_id_child_sku").alias("item_id"), "item_description_child_sku", "item_cost_category",
         "item_vertical", "item_vertical_code", "item_id_parent_sku",
-        F.coalesce("item_description_parent_sku", F.lit(fv.MISSING_PARENT_DESCRIPTION)).alias("parent_description"),
-        "item_color", "item_size", "item_brand", "item_advertised_flag", "item_prop_65", "item_status_child",
+        "item_description_parent_sku", "item_color", "item_size", "item_brand", "item_advertised_flag", "item_prop_65", "item_status_child",
         "item_status_parent",
     )
     places = t.location.select(F.col("id_loc").alias("location_id"), F.col("descr").alias("location_name"))
@@ -80,8 +79,13 @@ def build_sales_history(t, products: DataFrame, since: dt.date = dt.date(2014, 1
         .join(product, "item_id", "left")
         .join(level, ["item_id", "location_id"], "left")
         .join(planner, ["item_id", "location_id"], "left")
-        .withColumn("location_label", location_label())
-        .drop("location_name")
+        .withColumns(
+            {
+                "location_label": location_label(),
+                "parent_description": F.coalesce("item_description_parent_sku", F.lit(fv.MISSING_PARENT_DESCRIPTION)),
+            }
+        )
+        .drop("location_name", "item_description_parent_sku")
     )
 
 
