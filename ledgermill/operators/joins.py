@@ -66,13 +66,17 @@ def full_reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: b
 
 
 def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``child`` without a partner."""
-    return child.join(parent.select(*keys), list(keys), "left_anti")
+    """Rows of ``child`` without a partner.
+
+    The partner keys are made distinct first: that combines inside each task,
+    so a key of very many rows is sent once per task.
+    """
+    return child.join(parent.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def semi(df: DataFrame, keyset: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keyset``."""
-    return df.join(keyset.select(*keys), list(keys), "left_semi")
+    """Rows of ``df`` whose key occurs in ``keyset`` (made distinct inside each task first)."""
+    return df.join(keyset.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def exists_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

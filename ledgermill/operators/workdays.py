@@ -3,12 +3,15 @@
 Counting days by a range join costs a nested loop over the calendar for every
 row.  Here the calendar carries a running count of working days, so a
 difference is two equality look-ups and a subtraction, and "n working days
-later" is one look-up by number.  All look-ups are against the calendar, which
-is broadcast.
+later" is one look-up and a step in the list of working days.  The calendar is
+small by construction: look-ups broadcast it, and the list is a scalar that is
+computed once.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,34 +24,42 @@ from ledgermill.functions.fixed_values import (
 from ledgermill.functions.text import ColumnOrName, _c, first_rule, flag_if
 from ledgermill.sources.calendar import working_index
 
+Date = ColumnOrName | dt.date
+
+
+def _day(date: Date) -> Column:
+    return F.lit(date) if isinstance(date, dt.date) else _c(date).cast("date")
 
-def _with_index(df: DataFrame, date: ColumnOrName, index: DataFrame, name: str) -> DataFrame:
+
+def _with_index(df: DataFrame, date: Date, index: DataFrame, name: str) -> DataFrame:
+    """Number of working days up to and on the date, as a new column."""
+    if isinstance(date, dt.date):
+        return df.withColumn(name, index.where(F.col("day") == F.lit(date)).select("work_index").scalar())
     lookup = F.broadcast(index.select(F.col("day").alias("__day"), F.col("work_index").alias(name)))
-    return df.withColumn("__day", _c(date).cast("date")).join(lookup, "__day", "left").drop("__day")
+    return df.withColumn("__day", _day(date)).join(lookup, "__day", "left").drop("__day")
 
 
 def workdays_between(
     df: DataFrame,
-    pairs: dict[str, tuple[ColumnOrName, ColumnOrName]],
+    pairs: dict[str, tuple[Date, Date]],
     cal: DataFrame,
     unknown_holiday_works: bool = False,
 ) -> DataFrame:
     """Working days after the first date up to and on the second, one column per pair.
 
-    Null where a date is missing or the second lies before the first.
+    A date may be a column or a constant.  Null where a date is missing or the
+    second lies before the first.
     """
     index = working_index(cal, unknown_holiday_works)
     indexed: dict[str, str] = {}
     for a, b in pairs.values():
         for date in (a, b):
-            key = str(date)
-            if key not in indexed:
-                indexed[key] = f"__wi{len(indexed)}"
-                df = _with_index(df, date, index, indexed[key])
+            if str(date) not in indexed:
+                indexed[str(date)] = f"__wi{len(indexed)}"
+                df = _with_index(df, date, index, indexed[str(date)])
     for name, (a, b) in pairs.items():
         counted = F.col(indexed[str(b)]) - F.col(indexed[str(a)])
-        ordered = _c(b).cast("date") >= _c(a).cast("date")
-        df = df.withColumn(name, F.when(ordered, counted))
+        df = df.withColumn(name, F.when(_day(b) >= _day(a), counted))
     return df.drop(*indexed.values())
 
 
@@ -66,15 +77,16 @@ def add_workdays(
     the calendar ends before.
     """
     index = working_index(cal, unknown_holiday_works)
-    by_number = index.where("works").select(F.col("work_index").alias("__n"), F.col("day").alias("__hit"))
+    working_days = index.where("works").agg(F.array_sort(F.collect_list("day"))).scalar()
+    rolled = F.when(F.col("works"), 0).otherwise(1) if roll else F.lit(0)
+    start = index.withColumn("work_index", (F.col("work_index") + rolled).cast("int"))
+    indexed: dict[str, str] = {}
     for name, (date, n) in steps.items():
-        start = index.select(
-            F.col("day").alias("__day"),
-            (F.col("work_index") + n + (F.when(F.col("works"), 0).otherwise(1) if roll else F.lit(0))).alias("__n"),
-        )
-        landing = F.broadcast(start.join(F.broadcast(by_number), "__n").select("__day", F.col("__hit").alias(name)))
-        df = df.withColumn("__day", _c(date).cast("date")).join(landing, "__day", "left").drop("__day")
-    return df
+        if str(date) not in indexed:
+            indexed[str(date)] = f"__wi{len(indexed)}"
+            df = _with_index(df, date, start, indexed[str(date)])
+        df = df.withColumn(name, F.try_element_at(working_days, F.col(indexed[str(date)]) + n))
+    return df.drop(*indexed.values())
 
 
 def sla_flags(workdays: ColumnOrName) -> dict[str, Column]:

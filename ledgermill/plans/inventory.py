@@ -236,9 +236,8 @@ def build_inventory_with_history(t, asof: dt.date) -> DataFrame:
     )
 
 
-def inventory_checks(t, asof: dt.date) -> DataFrame:
-    """Quality summary of the pipeline with history."""
-    out = build_inventory_with_history(t, asof)
+def inventory_checks(t, out: DataFrame, asof: dt.date) -> DataFrame:
+    """Quality summary of the pipeline with history; ``out`` is its stored result."""
     key = ["item_id_child_sku", "inventory_location_id"]
     goods = finished_goods(locations(t), items(t), list(fv.LOCATION_NAMES)).select("id_item", "id_loc")
     return q.run_checks(

@@ -200,8 +200,7 @@ def build_parent_status(t) -> DataFrame:
     )
 
 
-def warning_flag_checks(t, asof: dt.date) -> DataFrame:
-    flags = build_warning_flags(t, asof)
+def warning_flag_checks(flags: DataFrame) -> DataFrame:
     return q.run_checks(
         [
             q.check_rows_exist(flags, "P65-01", notes="rows exist"),

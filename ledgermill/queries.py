@@ -51,7 +51,7 @@ from ledgermill.session import configure, shared_folder
 from ledgermill.sources.calendar import calendar, us_holidays
 from ledgermill.sources.erp import Captures
 from ledgermill.sources.tables import (
-    conform, inline_lookup, load, read_mapping, sample, tagged_union, union_all, write_table,
+    cache_report, conform, inline_lookup, read_mapping, sample, tagged_union, union_all, write_table,
 )
 from ledgermill.streaming.latest import maintain_latest, read_snapshot
 from ledgermill.streaming.tiers import DAILY, FREQUENT, Source, ingest_tier
@@ -659,7 +659,7 @@ SHOP_KEY = ["id_loc", "id_so", "sufx_so"]
 @query
 def shop_order_checks(spark, t):
     h, o, m = t.shop_header, t.shop_operation, t.shop_material
-    target = shop_orders.build_shop_orders(t)
+    target = Masters(spark, t).shop_orders
     return q.run_checks(
         [
             q.check_null_keys(h, SHOP_KEY, "T1A", notes="header keys filled"),
@@ -887,12 +887,66 @@ def stream_tiers(spark, t):
 
 # --- models ---------------------------------------------------------------------------------
 
-def _inventory(t):
-    return inventory.build_inventory(t)
+class Masters:
+    """The silver masters, each built once, stored in the shared folder and read back.
+
+    Later layers read stored tables: lineage is cut there, a lost executor costs
+    no rebuild, and a layer scans only the columns it needs.
+    """
+
+    def __init__(self, spark: SparkSession, t: Captures):
+        self._t = t
+        self._base = shared_folder(spark, "masters")
+        self._stored: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = cache_report(build(), f"{self._base}/{name}")
+        return self._stored[name]
+
+    @property
+    def orders(self):
+        return self._get("orders", lambda: orders.build_orders(self._t))
+
+    @property
+    def shipments(self):
+        return self._get("shipments", lambda: shipments.build_shipments(self._t))
+
+    @property
+    def inventory(self):
+        return self._get("inventory", lambda: inventory.build_inventory(self._t))
+
+    @property
+    def inventory_fields(self):
+        return self._get("inventory_fields", lambda: inventory.build_inventory_fields(self._t))
 
+    @property
+    def inventory_with_history(self):
+        return self._get("inventory_with_history", lambda: inventory.build_inventory_with_history(self._t, ASOF))
 
-def _products(t):
-    return products.build_products(t, _inventory(t), ASOF)
+    @property
+    def products(self):
+        return self._get("products", lambda: products.build_products(self._t, self.inventory, ASOF))
+
+    @property
+    def vendors(self):
+        return self._get("vendors", lambda: vendors.build_item_vendors(self._t))
+
+    @property
+    def customers(self):
+        return self._get("customers", lambda: customers.build_customers(self._t))
+
+    @property
+    def shop_orders(self):
+        return self._get("shop_orders", lambda: shop_orders.build_shop_orders(self._t))
+
+    @property
+    def shop_work(self):
+        return self._get("shop_work", lambda: shop_orders.build_shop_work(self._t, SINCE))
+
+    @property
+    def warning_flags(self):
+        return self._get("warning_flags", lambda: products.build_warning_flags(self._t, ASOF))
 
 
 @query
@@ -922,7 +976,7 @@ def customer_master(spark, t):
 
 @query
 def inventory_master(spark, t):
-    return _inventory(t)
+    return inventory.build_inventory(t)
 
 
 @query
@@ -937,7 +991,7 @@ def inventory_with_history(spark, t):
 
 @query
 def inventory_checks(spark, t):
-    return inventory.inventory_checks(t, ASOF)
+    return inventory.inventory_checks(t, Masters(spark, t).inventory_with_history, ASOF)
 
 
 @query
@@ -947,12 +1001,12 @@ def item_locations(spark, t):
 
 @query
 def product_master(spark, t):
-    return _products(t)
+    return products.build_products(t, Masters(spark, t).inventory, ASOF)
 
 
 @query
 def product_checks(spark, t):
-    return products.product_checks(t, _products(t))
+    return products.product_checks(t, Masters(spark, t).products)
 
 
 @query
@@ -977,7 +1031,7 @@ def warning_flags(spark, t):
 
 @query
 def warning_flag_checks(spark, t):
-    return products.warning_flag_checks(t, ASOF)
+    return products.warning_flag_checks(Masters(spark, t).warning_flags)
 
 
 @query
@@ -1032,53 +1086,52 @@ def display_status_reduced(spark, t):
 
 @query
 def gold_item_location(spark, t):
+    m = Masters(spark, t)
     return gold_items.build_gold_item_location(
-        _inventory(t), _products(t), vendors.build_item_vendors(t), orders.build_orders(t), shipments.build_shipments(t),
-        shop_orders.build_shop_work(t, SINCE), ASOF,
+        m.inventory, m.products, m.vendors, m.orders, m.shipments, m.shop_work, ASOF
     )
 
 
-def _open_orders(t):
-    return open_orders.build_open_orders(
-        orders.build_orders(t), _products(t), _inventory(t), customers.build_customers(t), shipments.build_shipments(t),
-        shop_orders.build_shop_orders(t),
-    )
+def _open_orders(spark, t):
+    m = Masters(spark, t)
+    return open_orders.build_open_orders(m.orders, m.products, m.inventory, m.customers, m.shipments, m.shop_orders)
 
 
 @query
 def open_orders_by_line(spark, t):
-    return _open_orders(t)
+    return _open_orders(spark, t)
 
 
 @query
 def open_orders_view(spark, t):
-    return open_orders.open_orders_view(_open_orders(t))
+    return open_orders.open_orders_view(_open_orders(spark, t))
 
 
 @query
 def open_orders_with_prices(spark, t):
+    m = Masters(spark, t)
     return open_orders.build_open_orders_with_prices(
-        orders.build_orders(t), _inventory(t), _products(t), shipments.build_shipments(t),
-        shop_orders.build_shop_work(t, SINCE), work_calendar(spark), ASOF,
+        m.orders, m.inventory, m.products, m.shipments, m.shop_work, work_calendar(spark), ASOF
     )
 
 
 @query
 def open_orders_by_order(spark, t):
+    m = Masters(spark, t)
     return open_orders.build_open_orders_by_order(
-        orders.build_orders(t), _products(t), inventory.build_inventory_fields(t), shipments.build_shipments(t),
-        t.invoice_line, shop_orders.build_shop_orders(t), customers.build_customers(t),
+        m.orders, m.products, m.inventory_fields, m.shipments, t.invoice_line, m.shop_orders, m.customers
     )
 
 
 @query
 def sales_history(spark, t):
-    return sales.build_sales_history(t, _products(t), SINCE)
+    return sales.build_sales_history(t, Masters(spark, t).products, SINCE)
 
 
 @query
 def sales_service(spark, t):
-    history = sales.build_sales_history(t, _products(t), SINCE)
+    m = Masters(spark, t)
+    history = sales.build_sales_history(t, m.products, SINCE)
     return sales.build_sales_service(t, history, work_calendar(spark), ASOF)
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ledgermill.sources.tables import load
 
@@ -531,23 +532,25 @@ def references(statement: str) -> list[str]:
 
 
 class Captures:
-    """Lazy access to the captures of one directory: ``captures.order_line``."""
+    """Lazy access to the captures of one directory: ``captures.order_line``.
+
+    Every access builds a fresh reader with the schema found at the first one.
+    Fresh readers have column ids of their own, so plans that use a table many
+    times are spared the renaming of conflicting columns; equal scans and
+    exchanges are still run once.
+    """
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
-        self._frames: dict[str, DataFrame] = {}
+        self._schemas: dict[str, StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        if name not in self._frames:
-            if name in STAR:
-                self._frames[name] = load(self.spark, self.directory, name)
-            elif name in TABLES:
-                statement = TABLES[name]
-                sources = {ref: getattr(self, ref) for ref in references(statement)}
-                self._frames[name] = self.spark.sql(statement, **sources)
-            else:
-                raise AttributeError(name)
-        return self._frames[name]
+        if name in STAR:
+            frame = load(self.spark, self.directory, name, self._schemas.get(name))
+            self._schemas[name] = frame.schema
+            return frame
+        if name in TABLES:
+            statement = TABLES[name]
+            return self.spark.sql(statement, **{ref: getattr(self, ref) for ref in references(statement)})
+        raise AttributeError(name)

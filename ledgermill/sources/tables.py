@@ -12,9 +12,13 @@ from pyspark.sql import types as T
 MAPPING_SCHEMA = "field string, friendly_name string"
 
 
-def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """Scan one stored table; filters and column pruning reach the parquet reader."""
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+def load(spark: SparkSession, directory: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """Scan one stored table; filters and column pruning reach the parquet reader.
+
+    A given schema saves the look into the files.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{directory}/{name}.parquet")
 
 
 def tagged_union(frames: Mapping[str, DataFrame], tag: str = "source_table") -> DataFrame:
