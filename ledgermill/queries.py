@@ -51,7 +51,7 @@ from ledgermill.session import configure, shared_folder
 from ledgermill.sources.calendar import calendar, us_holidays
 from ledgermill.sources.erp import Captures
 from ledgermill.sources.tables import (
-    cache_report, conform, inline_lookup, read_mapping, sample, tagged_union, union_all, write_table,
+    conform, inline_lookup, load_path, read_mapping, sample, tagged_union, union_all, write_table,
 )
 from ledgermill.streaming.latest import maintain_latest, read_snapshot
 from ledgermill.streaming.tiers import DAILY, FREQUENT, Source, ingest_tier
@@ -888,21 +888,25 @@ def stream_tiers(spark, t):
 # --- models ---------------------------------------------------------------------------------
 
 class Masters:
-    """The silver masters, each built once, stored in the shared folder and read back.
+    """The silver masters, each built once per application and directory, stored and read back.
 
-    Later layers read stored tables: lineage is cut there, a lost executor costs
-    no rebuild, and a layer scans only the columns it needs.
+    Gold tables read stored silver tables: lineage is cut there, a lost executor
+    costs no rebuild, and each table is scanned only for the columns needed.
     """
 
+    _stored: dict[tuple[str, str, str], str] = {}
+
     def __init__(self, spark: SparkSession, t: Captures):
+        self._spark = spark
         self._t = t
-        self._base = shared_folder(spark, "masters")
-        self._stored: dict[str, DataFrame] = {}
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._stored:
-            self._stored[name] = cache_report(build(), f"{self._base}/{name}")
-        return self._stored[name]
+        key = (self._spark.sparkContext.applicationId, self._t.directory, name)
+        if key not in self._stored:
+            path = shared_folder(self._spark, f"masters/{name}")
+            write_table(build(), path)
+            self._stored[key] = path
+        return load_path(self._spark, self._stored[key])
 
     @property
     def orders(self):

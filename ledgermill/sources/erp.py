@@ -17,7 +17,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ledgermill.sources.tables import load
+from ledgermill.session import shared_folder
+from ledgermill.sources.tables import load, load_path, write_table
 
 STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -532,14 +533,14 @@ def references(statement: str) -> list[str]:
 
 
 class Captures:
-    """Lazy access to the captures of one directory: ``captures.order_line``.
+    """The capture tables of one directory: ``captures.order_line``.
 
-    Every access builds a fresh reader with the schema found at the first one.
-    Fresh readers have column ids of their own, so plans that use a table many
-    times are spared the renaming of conflicting columns; equal scans and
-    exchanges are still run once.
+    Each derived capture is written once per application and directory to the
+    shared folder and read from there by every model, as bronze tables are.
     """
 
+    _stored: dict[tuple[str, str, str], str] = {}
+
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
@@ -550,7 +551,24 @@ class Captures:
             frame = load(self.spark, self.directory, name, self._schemas.get(name))
             self._schemas[name] = frame.schema
             return frame
-        if name in TABLES:
-            statement = TABLES[name]
-            return self.spark.sql(statement, **{ref: getattr(self, ref) for ref in references(statement)})
-        raise AttributeError(name)
+        if name not in TABLES:
+            raise AttributeError(name)
+        key = (self.spark.sparkContext.applicationId, self.directory, name)
+        if key not in self._stored:
+            path = shared_folder(self.spark, f"captures/{name}")
+            write_table(self._spread(self.derive(name)), path)
+            self._stored[key] = path
+        path = self._stored[key]
+        frame = load_path(self.spark, path, self._schemas.get(name))
+        self._schemas[name] = frame.schema
+        return frame
+
+    def derive(self, name: str) -> DataFrame:
+        """The capture as a lazy derivation of the given tables."""
+        statement = TABLES[name]
+        return self.spark.sql(statement, **{ref: getattr(self, ref) for ref in references(statement)})
+
+    def _spread(self, frame: DataFrame) -> DataFrame:
+        """Give a capture from fewer files than cores one part per core; larger ones are written as they come."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return frame.repartition(cores) if len(frame.inputFiles()) < cores else frame

@@ -17,8 +17,12 @@ def load(spark: SparkSession, directory: str, name: str, schema: T.StructType |
 
     A given schema saves the look into the files.
     """
+    return load_path(spark, f"{directory}/{name}.parquet", schema)
+
+
+def load_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{directory}/{name}.parquet")
+    return reader.parquet(path)
 
 
 def tagged_union(frames: Mapping[str, DataFrame], tag: str = "source_table") -> DataFrame:
