@@ -21,6 +21,9 @@ ADAPTIVE = {
 AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Switch on the run-time re-planning that hot keys need; sizes stay the cluster's."""
     for key, value in ADAPTIVE.items():
@@ -37,5 +40,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="ledgermill-")
+        application = spark.sparkContext.applicationId
+        base = _SCRATCH.setdefault(application, "") or tempfile.mkdtemp(prefix="ledgermill-")
+        _SCRATCH[application] = base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

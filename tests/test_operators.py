@@ -192,3 +192,26 @@ def test_conform_rejects_missing_columns(spark):
     assert conform(df, "b decimal(5,1), a bigint").dtypes == [("b", "decimal(5,1)"), ("a", "bigint")]
     with pytest.raises(ValueError):
         conform(df, "c int")
+
+
+def test_hot_join_partition_is_split_even_before_a_window(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        lines = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("id_ord"), F.col("id").alias("line"),
+            F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        )
+        heads = spark.range(0, 60000, 1, 8).select(F.col("id").alias("id_ord"), F.lit("h").alias("h"))
+        picked = dedup_by_priority(lines.join(heads, "id_ord"), ["id_ord", "line"], ["text"])
+        assert len(picked.collect()) == 60000
+        assert "skew=true" in picked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
