@@ -100,7 +100,7 @@ SKU_ATTRIBUTES = {
     "UPC_CODE": "item_upc_code", "PFAS": "item_pfas", "CLASS": "item_class", "PPC": "item_ppc",
     "PRICE_LIST": "item_price_list", "PRICE_LIST_DESC": "item_price_list_description",
     "PRICE_LIST_ID": "item_price_list_id", "PRICE_LIST_PT": "item_price_list_pt",
-    "PRIOR COMMODITY": "item_commodity_code_prior", "RBN_WC": "item_work_center_rubin",
+    "PRIOR COMMODITY": "item_commodity_code_prior", "RBN_WC": "item_routing_work_center",
     "REASON": "item_status_obsolete_reason", "REPLACEMENT": "item_replaced_by",
     "REQUESTOR": "item_status_obsolete_requestor", "SF_XREF": "item_sf_xref",
 }

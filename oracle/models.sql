@@ -89,12 +89,10 @@ QUALIFY row_number() OVER (PARTITION BY trim(id_item) ORDER BY rowid DESC) = 1
 SELECT * FROM reorder QUALIFY row_number() OVER (PARTITION BY id_item, id_loc_home ORDER BY date_add DESC, rowid DESC) = 1
 
 -- name: m_shopqty
-SELECT replace(id_item_par, '#', '') AS id_item, id_loc,
-       sum(CASE WHEN stat_rec_so = 'R' AND id_item_par NOT LIKE '%#' THEN qty_onord ELSE 0 END) AS q_rel,
-       sum(CASE WHEN stat_rec_so = 'S' AND id_item_par NOT LIKE '%#' THEN qty_onord ELSE 0 END) AS q_start,
-       sum(CASE WHEN stat_rec_so = 'R' AND id_item_par LIKE '%#' THEN qty_onord ELSE 0 END) AS q_rel_pnd,
-       sum(CASE WHEN stat_rec_so = 'S' AND id_item_par LIKE '%#' THEN qty_onord ELSE 0 END) AS q_start_pnd
-FROM shop_header WHERE stat_rec_so IN ('R', 'S') GROUP BY 1, 2
+WITH h AS (SELECT rtrim(id_item_par, '#') AS id_item, id_loc, stat_rec_so AS st, right(id_item_par, 1) = '#' AS pend, qty_onord AS q FROM shop_header)
+SELECT id_item, id_loc, coalesce(sum(q) FILTER (st = 'R' AND NOT pend), 0) AS q_rel, coalesce(sum(q) FILTER (st = 'S' AND NOT pend), 0) AS q_start,
+       coalesce(sum(q) FILTER (st = 'R' AND pend), 0) AS q_rel_pnd, coalesce(sum(q) FILTER (st = 'S' AND pend), 0) AS q_start_pnd
+FROM h WHERE st IN ('R', 'S') GROUP BY ALL
 
 -- name: x_places
 SELECT * FROM (VALUES ('10', 'CLE'), ('20', 'CHI'), ('50', 'ARK'), ('90', 'SAT'), ('130', 'DR')) AS t(id_loc, loc_name)
@@ -103,17 +101,13 @@ SELECT * FROM (VALUES ('10', 'CLE'), ('20', 'CHI'), ('50', 'ARK'), ('90', 'SAT')
 WITH fg AS (
     SELECT il.* FROM item_location il JOIN m_items b ON il.id_item = b.id_item AND b.code_cat_cost = '05' AND b.code_comm <> 'PAR'
     WHERE il.flag_source IN ('P', 'M') AND il.id_loc IN ('10', '20', '50', '90', '130')
-), rv AS (
-    SELECT iv.id_item, trim(iv.id_vnd_payto) AS vid, vp.name_vnd,
-           row_number() OVER (PARTITION BY iv.id_item ORDER BY CASE WHEN iv.flag_vnd_prim = 'P' THEN 0 ELSE 1 END, trim(iv.id_vnd_payto)) AS rn
-    FROM item_vendor iv LEFT JOIN vendor_payto vp ON trim(iv.id_vnd_payto) = trim(vp.id_vnd)
+), ranked_offers AS (
+    SELECT id_item, list(trim(id_vnd_payto) ORDER BY flag_vnd_prim <> 'P', trim(id_vnd_payto)) AS ids FROM item_vendor GROUP BY 1
 ), vs AS (
-    SELECT id_item, max(CASE WHEN rn = 1 THEN name_vnd END) AS n1, max(CASE WHEN rn = 1 THEN vid END) AS v1,
-           max(CASE WHEN rn = 2 THEN name_vnd END) AS n2, max(CASE WHEN rn = 2 THEN vid END) AS v2
-    FROM rv GROUP BY 1
+    SELECT o.id_item, o.ids[1] AS v1, a.name_vnd AS n1, o.ids[2] AS v2, b.name_vnd AS n2 FROM ranked_offers o
+    LEFT JOIN vendor_payto a ON a.id_vnd = o.ids[1] LEFT JOIN vendor_payto b ON b.id_vnd = o.ids[2]
 ), ml AS (
-    SELECT id_item, id_loc FROM item_location WHERE flag_source = 'M'
-    QUALIFY row_number() OVER (PARTITION BY id_item ORDER BY CASE WHEN id_loc = '10' THEN 0 ELSE 1 END, id_loc) = 1
+    SELECT id_item, coalesce(min(id_loc) FILTER (id_loc = '10'), min(id_loc)) AS id_loc FROM item_location WHERE flag_source = 'M' GROUP BY 1
 ), s AS (
     SELECT fg.*, vs.n1, vs.v1, vs.n2, vs.v2, ml.id_loc AS mfg, so.q_rel, so.q_start, so.q_rel_pnd, so.q_start_pnd,
            rp.id_loc_home, rp.level_rop, rp.qty_min_rop, rp.qty_mult_ord_rop, rp.qty_ord_econ, rp.lt_rop,
@@ -144,21 +138,18 @@ FROM g LEFT JOIN (SELECT id_item, string_agg(id_loc, ', ' ORDER BY id_loc) AS ls
 ON g.id_item = sl.id_item
 
 -- name: m_fields
-WITH b AS (SELECT * FROM item_location WHERE id_loc <> 'INTR'),
-hq AS (SELECT DISTINCT id_item FROM b WHERE flag_source = 'M' AND id_loc = '10'),
-tr AS (SELECT id_item, sum(qty_onhd) AS q FROM item_location WHERE id_loc = 'INTR' GROUP BY 1)
-SELECT b.id_item, b.id_loc, b.flag_source, b.flag_stk, CAST(coalesce(tr.q, 0) AS BIGINT) AS quantity_in_transit,
-       CASE WHEN b.flag_source = 'P' THEN 'N' WHEN b.flag_source = 'M' AND b.id_loc = '10' THEN 'Y'
-            WHEN b.flag_source = 'M' AND hq.id_item IS NOT NULL THEN 'N' WHEN b.flag_source = 'M' THEN 'Y' ELSE 'N' END AS primary_location_flag,
-       CASE WHEN b.flag_source = 'P' THEN 'Y' WHEN coalesce(q_rel_pnd, 0) > 0 OR coalesce(q_start_pnd, 0) > 0 THEN 'Y' ELSE 'N' END AS procured_flag,
-       CAST(coalesce(q_rel, 0) AS BIGINT) AS released_quantity, CAST(coalesce(q_start, 0) AS BIGINT) AS start_quantity,
-       CAST(coalesce(q_rel_pnd, 0) AS BIGINT) AS pending_release_quantity,
-       CAST(coalesce(q_start_pnd, 0) AS BIGINT) AS pending_start_quantity,
-       CAST(CASE WHEN b.flag_stk IN ('S', 'M') OR b.flag_source = 'P' OR coalesce(q_rel_pnd, 0) > 0 OR coalesce(q_start_pnd, 0) > 0
-            THEN coalesce(q_start, 0) + coalesce(q_start_pnd, 0) ELSE 0 END AS BIGINT) AS cut_quantity,
-       b.qty_onhd, b.qty_alloc, b.qty_onord
-FROM b LEFT JOIN hq ON b.id_item = hq.id_item LEFT JOIN tr ON b.id_item = tr.id_item
-LEFT JOIN m_shopqty s ON b.id_item = s.id_item AND b.id_loc = s.id_loc
+WITH tr AS (SELECT id_item, sum(qty_onhd) AS q FROM item_location WHERE id_loc = 'INTR' GROUP BY 1),
+b AS (
+    SELECT il.*, il.flag_source = 'M' AS made, coalesce(bool_or(il.flag_source = 'M' AND il.id_loc = '10') OVER (PARTITION BY il.id_item), false) AS hq,
+           coalesce(q_rel, 0) AS r, coalesce(q_start, 0) AS st, coalesce(q_rel_pnd, 0) AS rp, coalesce(q_start_pnd, 0) AS sp
+    FROM item_location il LEFT JOIN m_shopqty s ON il.id_item = s.id_item AND il.id_loc = s.id_loc WHERE il.id_loc <> 'INTR'
+), c AS (SELECT *, flag_source = 'P' OR rp + sp > 0 AS procured FROM b)
+SELECT c.id_item, c.id_loc, c.flag_source, c.flag_stk, CAST(coalesce(tr.q, 0) AS BIGINT) AS quantity_in_transit,
+       if(made AND (c.id_loc = '10' OR NOT hq), 'Y', 'N') AS primary_location_flag, if(procured, 'Y', 'N') AS procured_flag,
+       CAST(r AS BIGINT) AS released_quantity, CAST(st AS BIGINT) AS start_quantity, CAST(rp AS BIGINT) AS pending_release_quantity,
+       CAST(sp AS BIGINT) AS pending_start_quantity, CAST(if(procured OR flag_stk IN ('S', 'M'), st + sp, 0) AS BIGINT) AS cut_quantity,
+       qty_onhd, qty_alloc, qty_onord
+FROM c LEFT JOIN tr ON c.id_item = tr.id_item
 
 -- name: m_history
 WITH d AS (
@@ -196,20 +187,20 @@ QUALIFY row_number() OVER (PARTITION BY code_comm, trim(id_item), trim(id_attr)
 
 -- name: m_sku
 SELECT b.id_item,
-       max(CASE WHEN id_attr = 'ID_PARENT' THEN val ELSE '' END) AS item_id_parent_sku,
-       max(CASE WHEN id_attr = 'CERT_NUM' THEN val ELSE '' END) AS item_certificate_number,
-       max(CASE WHEN id_attr = 'COLOR' THEN val ELSE '' END) AS item_color,
-       max(CASE WHEN id_attr = 'SIZE' THEN val ELSE '' END) AS item_size,
-       max(CASE WHEN id_attr = 'CLASS' THEN val ELSE '' END) AS item_class,
-       max(CASE WHEN id_attr = 'RBN_WC' THEN val ELSE '' END) AS item_work_center_rubin
+       coalesce(max(val) FILTER (id_attr = 'ID_PARENT'), '') AS item_id_parent_sku,
+       coalesce(max(val) FILTER (id_attr = 'CERT_NUM'), '') AS item_certificate_number,
+       coalesce(max(val) FILTER (id_attr = 'COLOR'), '') AS item_color,
+       coalesce(max(val) FILTER (id_attr = 'SIZE'), '') AS item_size,
+       coalesce(max(val) FILTER (id_attr = 'CLASS'), '') AS item_class,
+       coalesce(max(val) FILTER (id_attr = 'RBN_WC'), '') AS item_routing_work_center
 FROM m_items b LEFT JOIN m_attrs a ON b.id_item = a.id_item AND b.code_comm = a.code_comm
 WHERE b.code_comm <> 'PAR' GROUP BY 1
 
 -- name: m_parattr
-SELECT id_item, max(CASE WHEN id_attr = 'BERRY' THEN val ELSE '' END) AS item_berry,
-       max(CASE WHEN id_attr = 'PRODUCT LINE' THEN val ELSE '' END) AS item_product_line,
-       max(CASE WHEN id_attr = 'Z_BRAND' THEN val ELSE '' END) AS item_brand,
-       max(CASE WHEN id_attr = 'Z_CATEGORY' THEN val ELSE '' END) AS item_product_category
+SELECT id_item, coalesce(max(val) FILTER (id_attr = 'BERRY'), '') AS item_berry,
+       coalesce(max(val) FILTER (id_attr = 'PRODUCT LINE'), '') AS item_product_line,
+       coalesce(max(val) FILTER (id_attr = 'Z_BRAND'), '') AS item_brand,
+       coalesce(max(val) FILTER (id_attr = 'Z_CATEGORY'), '') AS item_product_category
 FROM m_attrs WHERE code_comm = 'PAR' GROUP BY 1
 
 -- name: m_descr
@@ -223,16 +214,15 @@ WHERE b.code_comm = 'PAR' GROUP BY 1, 2
 
 -- name: m_warn
 WITH e AS (
-    SELECT trim(p.id_item_par) AS par, trim(p.id_item_comp) AS comp, p.date_eff_end, p.rowid
-    FROM product_structure p JOIN m_items b ON trim(p.id_item_comp) = b.id_item
-    WHERE b.flag_stat_item = 'A' AND p.date_eff_end > DATE '2001-08-01'
-), n AS (
-    SELECT par, comp FROM e QUALIFY row_number() OVER (PARTITION BY comp ORDER BY date_eff_end DESC, rowid DESC) = 1
+    SELECT trim(p.id_item_par) AS par, b.id_item AS comp, p.date_eff_end, p.rowid
+    FROM product_structure p JOIN m_items b ON trim(p.id_item_comp) = b.id_item AND b.flag_stat_item = 'A'
+    WHERE p.date_eff_end > DATE '2001-08-01'
+), newest AS (
+    SELECT comp, arg_max(par, (date_eff_end, rowid)) AS par FROM e GROUP BY 1
+), warned AS (
+    SELECT DISTINCT newest.par FROM newest SEMI JOIN (SELECT id_item AS comp FROM m_descr WHERE contains(descr_addl, 'PROP 65')) d USING (comp)
 )
-SELECT par AS id_item_par, CASE WHEN EXISTS (
-           SELECT 1 FROM n JOIN m_descr d ON n.comp = d.id_item WHERE n.par = q.par AND d.descr_addl LIKE '%PROP 65%'
-       ) THEN 'Y' ELSE 'N' END AS prop_65
-FROM (SELECT DISTINCT par FROM e) q
+SELECT k.par AS id_item_par, if(warned.par IS NULL, 'N', 'Y') AS prop_65 FROM (SELECT DISTINCT par FROM e) k LEFT JOIN warned ON k.par = warned.par
 
 -- name: m_products
 WITH pv AS (
@@ -259,7 +249,7 @@ SELECT b.id_item AS item_id_child_sku,
        upper(s.item_certificate_number) AS item_certificate_number, upper(s.item_color) AS item_color, s.item_size,
        '' AS item_length, '' AS item_tariff_code, '' AS item_upc_code, '' AS item_pfas, upper(s.item_class) AS item_class,
        '' AS item_ppc, '' AS item_price_list, '' AS item_price_list_description, '' AS item_price_list_id,
-       '' AS item_price_list_pt, '' AS item_commodity_code_prior, s.item_work_center_rubin,
+       '' AS item_price_list_pt, '' AS item_commodity_code_prior, s.item_routing_work_center,
        '' AS item_status_obsolete_reason, '' AS item_replaced_by, '' AS item_status_obsolete_requestor, '' AS item_sf_xref,
        upper(pa.item_berry) AS item_berry, CASE WHEN pa.id_item IS NOT NULL THEN '' END AS item_care,
        CASE WHEN pa.id_item IS NOT NULL THEN '' END AS item_heat_transfer, CASE WHEN pa.id_item IS NOT NULL THEN '' END AS item_other,
@@ -289,26 +279,23 @@ WHERE b.code_comm <> 'PAR'
 
 -- name: m_vendors
 WITH base AS (
-    SELECT b.id_item, iv.flag_vnd_prim AS f, iv.id_vnd_ordfm AS o, trim(v.id_vnd) AS v, v.name_vnd AS n
+    SELECT b.id_item, iv.flag_vnd_prim AS f, iv.id_vnd_ordfm AS o, trim(v.id_vnd) AS v, v.name_vnd AS n,
+           if(iv.id_vnd_ordfm IS NOT NULL AND v.id_vnd IS NULL, 'Vendor not setup',
+              if(v.id_vnd IS NOT NULL AND trim(coalesce(v.name_vnd, '')) = '', 'Vendor Name Needs Updated', v.name_vnd)) AS label
     FROM m_items b LEFT JOIN item_vendor iv ON b.id_item = iv.id_item
     LEFT JOIN vendor_orderfrom v ON iv.id_vnd_ordfm = v.id_vnd_ordfm
     WHERE b.flag_stat_item = 'A' AND b.code_cat_cost = '05'
 ), r AS (
-    SELECT id_item, max(CASE WHEN f IS NOT NULL THEN 1 ELSE 0 END) AS listed, max(CASE WHEN f = 'P' THEN 1 ELSE 0 END) AS hp,
-           max(CASE WHEN f = 'S' THEN 1 ELSE 0 END) AS hs,
-           max(CASE WHEN f = 'P' AND o IS NOT NULL AND v IS NULL THEN 1 ELSE 0 END) AS miss,
-           max(CASE WHEN f = 'P' AND v IS NOT NULL AND (n IS NULL OR trim(n) = '') THEN 1 ELSE 0 END) AS noname,
-           max(CASE WHEN f = 'P' THEN v END) AS pid, max(CASE WHEN f = 'P' THEN n END) AS pname,
-           string_agg(CASE WHEN f = 'S' THEN v END, ', ' ORDER BY v) AS sids,
-           string_agg(CASE WHEN f = 'S' AND o IS NOT NULL AND v IS NULL THEN 'Vendor not setup'
-                           WHEN f = 'S' AND v IS NOT NULL AND (n IS NULL OR trim(n) = '') THEN 'Vendor Name Needs Updated'
-                           WHEN f = 'S' THEN n END, ', ' ORDER BY o) AS snames
+    SELECT id_item, count(f) AS offers, count(*) FILTER (f = 'P') AS prim, count(*) FILTER (f = 'S') AS sec,
+           count(*) FILTER (f = 'P' AND label = 'Vendor not setup') AS lost, count(*) FILTER (f = 'P' AND label = 'Vendor Name Needs Updated') AS unnamed,
+           max(v) FILTER (f = 'P') AS pid, max(n) FILTER (f = 'P') AS pname,
+           string_agg(v, ', ' ORDER BY v) FILTER (f = 'S') AS sids, string_agg(label, ', ' ORDER BY o) FILTER (f = 'S') AS snames
     FROM base GROUP BY 1
 )
 SELECT id_item, pid AS primary_vendor_id,
-       CASE WHEN listed = 0 THEN 'Item Vendor not setup' WHEN hp = 0 THEN 'No Primary Vendor' WHEN miss = 1 THEN 'Vendor not setup'
-            WHEN noname = 1 THEN 'Vendor Name Needs Updated' ELSE pname END AS primary_vendor_name,
-       sids AS secondary_vendor_ids, CASE WHEN hs = 0 THEN 'No Secondary Vendor' ELSE snames END AS secondary_vendor_names
+       if(offers = 0, 'Item Vendor not setup', if(prim = 0, 'No Primary Vendor', if(lost > 0, 'Vendor not setup',
+          if(unnamed > 0, 'Vendor Name Needs Updated', pname)))) AS primary_vendor_name,
+       sids AS secondary_vendor_ids, if(sec = 0, 'No Secondary Vendor', snames) AS secondary_vendor_names
 FROM r
 
 -- name: m_opertot
@@ -373,22 +360,19 @@ LEFT JOIN m_items b ON p.id_item_par = b.id_item LEFT JOIN stock_list sl ON p.id
 LEFT JOIN m_reorder r ON p.id_item_par = r.id_item AND p.id_loc = r.id_loc_home
 
 -- name: m_display
-WITH j AS (
-    SELECT h.*, o3.stat_rec_oper AS s3, o9.stat_rec_oper AS s9, il.id_planner AS pl
-    FROM shop_header h
-    LEFT JOIN shop_operation o3 ON trim(h.id_so) = trim(o3.id_so) AND h.sufx_so = o3.sufx_so AND o3.id_oper = 3999
-    LEFT JOIN shop_operation o9 ON trim(h.id_so) = trim(o9.id_so) AND h.sufx_so = o9.sufx_so AND o9.id_oper = 9999
+WITH o AS (
+    SELECT trim(id_so) AS so, sufx_so, max(stat_rec_oper) FILTER (id_oper = 3999) AS s3, max(stat_rec_oper) FILTER (id_oper = 9999) AS s9
+    FROM shop_operation GROUP BY 1, 2
+), j AS (
+    SELECT h.*, o.s3, o.s9, il.id_planner AS pl, coalesce(o.s9 = 'R', false) AS ready, h.stat_rec_so = 'S' AS cut
+    FROM shop_header h LEFT JOIN o ON trim(h.id_so) = o.so AND h.sufx_so = o.sufx_so
     LEFT JOIN item_location il ON h.id_item_par = il.id_item AND h.id_loc = il.id_loc
+), k AS (
+    SELECT *, cut AND date_start_oper_1st IS NULL AS not_begun, NOT ready AND (coalesce(s3 = 'C', false) OR (s3 IS NULL AND cut)) AS sewn FROM j
 )
-SELECT *, CASE WHEN stat_rec_so = 'S' AND date_start_oper_1st IS NULL THEN 'R'
-               WHEN s3 = 'C' AND coalesce(s9, '') <> 'R' THEN 'W'
-               WHEN s3 IS NULL AND stat_rec_so = 'S' AND coalesce(s9, '') <> 'R' THEN 'W'
-               WHEN s9 = 'R' AND pl NOT LIKE 'KT' THEN 'D' ELSE stat_rec_so END AS full_status,
-          CASE WHEN stat_rec_so = 'S' AND date_start_oper_1st IS NULL THEN 'R'
-               WHEN s3 = 'C' AND coalesce(s9, '') <> 'R' THEN 'W'
-               WHEN s3 IS NULL AND stat_rec_so = 'S' AND coalesce(s9, '') <> 'R' THEN 'W'
-               WHEN s9 = 'R' THEN 'D' ELSE stat_rec_so END AS reduced_status
-FROM j
+SELECT *, if(not_begun, 'R', if(sewn, 'W', if(ready AND pl <> 'KT', 'D', stat_rec_so))) AS full_status,
+       if(not_begun, 'R', if(sewn, 'W', if(ready, 'D', stat_rec_so))) AS reduced_status
+FROM k
 
 -- name: m_custgroup
 SELECT trim(st.id_cust) AS cid, st.name_cust AS customer_name, st.code_cust AS customer_type,

@@ -10,13 +10,7 @@ WITH l AS (
     SELECT a, b, count(x_work.d) AS wd FROM (SELECT DISTINCT a, b FROM j WHERE b >= a) q
     LEFT JOIN x_work ON x_work.d > a AND x_work.d <= b GROUP BY 1, 2
 )
-SELECT CASE WHEN wd IS NULL THEN NULL WHEN wd - 1 <= 0 THEN 'shipped_same_day' WHEN wd - 1 = 1 THEN 'shipped_next_day'
-            WHEN wd - 1 = 2 THEN 'shipped_2_days' WHEN wd - 1 BETWEEN 3 AND 5 THEN 'shipped_1_week'
-            WHEN wd - 1 BETWEEN 6 AND 7 THEN 'shipped_7_days' WHEN wd - 1 BETWEEN 8 AND 10 THEN 'shipped_10_days'
-            WHEN wd - 1 BETWEEN 11 AND 15 THEN 'shipped_15_days' WHEN wd - 1 BETWEEN 16 AND 20 THEN 'shipped_20_days'
-            WHEN wd - 1 BETWEEN 21 AND 25 THEN 'shipped_25_days' WHEN wd - 1 BETWEEN 26 AND 30 THEN 'shipped_30_days'
-            WHEN wd - 1 BETWEEN 31 AND 35 THEN 'shipped_35_days' WHEN wd - 1 BETWEEN 36 AND 40 THEN 'shipped_40_days'
-            ELSE 'shipped_greater_than_40' END AS lead_time_range,
+SELECT if((wd - 1) IS NULL, NULL, (['shipped_same_day', 'shipped_next_day', 'shipped_2_days', 'shipped_1_week', 'shipped_7_days', 'shipped_10_days', 'shipped_15_days', 'shipped_20_days', 'shipped_25_days', 'shipped_30_days', 'shipped_35_days', 'shipped_40_days', 'shipped_greater_than_40'])[1 + len(list_filter([0, 1, 2, 5, 7, 10, 15, 20, 25, 30, 35, 40], lambda t: (wd - 1) > t))]) AS lead_time_range,
        count(*) AS lines, sum(CAST(l_quantity AS BIGINT)) AS quantity,
        sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS value, max(wd) AS longest
 FROM j LEFT JOIN p ON j.a = p.a AND j.b = p.b GROUP BY 1
@@ -251,11 +245,11 @@ SELECT l_orderkey, sum(q) AS quantity_total, sum(CASE WHEN o THEN q ELSE 0 END)
 FROM l GROUP BY 1
 
 -- name: eav_pivot
-SELECT trim(id_item) AS id_item, max(CASE WHEN id_attr = 'COLOR' THEN val_string_attr ELSE '' END) AS color,
-       max(CASE WHEN id_attr = 'SIZE' THEN val_string_attr ELSE '' END) AS size,
-       max(CASE WHEN id_attr = 'CLASS' THEN val_string_attr ELSE '' END) AS class,
-       max(CASE WHEN id_attr = 'ID_PARENT' THEN val_string_attr ELSE '' END) AS parent,
-       max(CASE WHEN id_attr = 'Z_BRAND' THEN val_string_attr ELSE '' END) AS brand FROM item_attribute GROUP BY 1
+SELECT trim(id_item) AS id_item, coalesce(max(val_string_attr) FILTER (id_attr = 'COLOR'), '') AS color,
+       coalesce(max(val_string_attr) FILTER (id_attr = 'SIZE'), '') AS size,
+       coalesce(max(val_string_attr) FILTER (id_attr = 'CLASS'), '') AS class,
+       coalesce(max(val_string_attr) FILTER (id_attr = 'ID_PARENT'), '') AS parent,
+       coalesce(max(val_string_attr) FILTER (id_attr = 'Z_BRAND'), '') AS brand FROM item_attribute GROUP BY 1
 
 -- name: secondary_location_lists
 SELECT id_item, string_agg(DISTINCT id_loc, ', ' ORDER BY id_loc) AS locations FROM item_location GROUP BY 1
@@ -343,11 +337,7 @@ WITH w AS (
     SELECT CASE WHEN invoice_date >= ordered_date THEN b.n - a.n END - 1 AS x FROM sales_transaction s
     LEFT JOIN x_index a ON s.ordered_date = a.d LEFT JOIN x_index b ON s.invoice_date = b.d
 )
-SELECT CASE WHEN x IS NULL THEN NULL WHEN x <= 0 THEN 'shipped_same_day' WHEN x = 1 THEN 'shipped_next_day' WHEN x = 2 THEN 'shipped_2_days'
-            WHEN x <= 5 THEN 'shipped_1_week' WHEN x <= 7 THEN 'shipped_7_days' WHEN x <= 10 THEN 'shipped_10_days'
-            WHEN x <= 15 THEN 'shipped_15_days' WHEN x <= 20 THEN 'shipped_20_days' WHEN x <= 25 THEN 'shipped_25_days'
-            WHEN x <= 30 THEN 'shipped_30_days' WHEN x <= 35 THEN 'shipped_35_days' WHEN x <= 40 THEN 'shipped_40_days'
-            ELSE 'shipped_greater_than_40' END AS lead_time, count(*) AS sales,
+SELECT if(x IS NULL, NULL, (['shipped_same_day', 'shipped_next_day', 'shipped_2_days', 'shipped_1_week', 'shipped_7_days', 'shipped_10_days', 'shipped_15_days', 'shipped_20_days', 'shipped_25_days', 'shipped_30_days', 'shipped_35_days', 'shipped_40_days', 'shipped_greater_than_40'])[1 + len(list_filter([0, 1, 2, 5, 7, 10, 15, 20, 25, 30, 35, 40], lambda t: x > t))]) AS lead_time, count(*) AS sales,
        count(*) FILTER (x <= 0) AS shipped_same_day, count(*) FILTER (x <= 1) AS shipped_next_day, count(*) FILTER (x <= 2) AS shipped_2_days,
        count(*) FILTER (x <= 5) AS shipped_1_week, count(*) FILTER (x <= 7) AS shipped_7_days, count(*) FILTER (x <= 10) AS shipped_10_days,
        count(*) FILTER (x <= 15) AS shipped_15_days, count(*) FILTER (x <= 20) AS shipped_20_days, count(*) FILTER (x <= 25) AS shipped_25_days,
@@ -798,7 +788,7 @@ WITH o AS (
 ), j AS (
     SELECT o.*, wl.stat_rec_so, wl.id_buyer AS so_buyer, wl.id_so AS open_so, i.planned_classification, i.quantity_on_hand, i.quantity_allocated, i.quantity_on_order,
            i.reorder_point, i.stock_flag AS isf, i.primary_bin, p.item_commodity_code AS cc, p.item_vertical, p.item_code_user_1, p.item_status_child,
-           p.unit_of_measure_price, p.item_work_center_rubin, sl.id_ship, sl.id_carrier, sl.q AS shipped, so.ns, so.ni, coalesce(sb.sbnb, 0) AS sbnb,
+           p.unit_of_measure_price, p.item_routing_work_center, sl.id_ship, sl.id_carrier, sl.q AS shipped, so.ns, so.ni, coalesce(sb.sbnb, 0) AS sbnb,
            sq.rel, sq.st, coalesce(CASE WHEN pc.q IS NULL THEN sq.st ELSE pc.q END, 0) AS presew, pn.rel AS prel, pn.st AS pst,
            w3.d AS d3, w1.d AS d1, w10.d AS d10,
            CASE WHEN DATE '2001-08-01' >= o.date_order_last_picked THEN (SELECT n FROM x_index WHERE d = DATE '2001-08-01') - ip.n END AS picked
@@ -821,18 +811,14 @@ SELECT order_id, order_line_sequence, item_id_child_sku, order_assigned_location
        CASE WHEN order_pick_flag = 2 THEN 'P' ELSE '' END AS order_pick_flag,
        CASE WHEN order_acknowledgement_flag = 2 THEN 'A' ELSE '' END AS order_acknowledgement_flag, order_total_amount, id_carrier AS carrier_id,
        date_order_requested, date_order_promised, date_ordered,
-       CASE WHEN date_order_requested = date_order_promised THEN date_order_requested WHEN customer_id_sold_to = '102340' THEN date_order_promised
-            WHEN (order_line_stock_flag = 'S' OR planned_classification IN ('AS', '1A', 'KT', 'A ')) AND d3 >= date_order_promised THEN d1
-            ELSE date_order_promised END AS date_calc_start,
-       CASE WHEN date_order_requested = date_order_promised THEN date_order_requested WHEN customer_id_sold_to = '102340' THEN d10
-            WHEN (order_line_stock_flag = 'S' OR planned_classification IN ('AS', '1A', 'KT', 'A ')) AND d3 >= date_order_promised THEN date_order_promised
-            ELSE d10 END AS date_calc_end, planned_classification,
+       if(date_order_requested = date_order_promised, date_order_requested, if(customer_id_sold_to <> '102340' AND (order_line_stock_flag = 'S' OR planned_classification IN ('AS', '1A', 'KT', 'A ')) AND d3 >= date_order_promised, d1, date_order_promised)) AS date_calc_start,
+       if(date_order_requested = date_order_promised, date_order_requested, if(customer_id_sold_to <> '102340' AND (order_line_stock_flag = 'S' OR planned_classification IN ('AS', '1A', 'KT', 'A ')) AND d3 >= date_order_promised, date_order_promised, d10)) AS date_calc_end, planned_classification,
        CASE WHEN so_buyer IN ('AS', '1A') AND quantity_on_hand IS NOT NULL AND coalesce(reorder_point, 0) > 1 THEN 'AS'
             WHEN so_buyer = 'KT' AND quantity_on_hand IS NOT NULL AND coalesce(reorder_point, 0) > 1 THEN 'KT' ELSE '' END AS altered_stock_flag,
        CASE WHEN order_comment ILIKE '%#MO%' THEN 'Y' ELSE 'N' END AS flag_mo,
        CASE WHEN cc LIKE 'RM%' OR cc = 'FAB' OR cc LIKE 'DF%' THEN '3-FABRIC'
             WHEN coalesce(isf, order_line_stock_flag) = 'S' AND coalesce(reorder_point, 0) > 1 THEN '1-STOCK' ELSE '2-MTO' END AS stock_status,
-       item_vertical, item_code_user_1, item_status_child, unit_of_measure_price, item_work_center_rubin,
+       item_vertical, item_code_user_1, item_status_child, unit_of_measure_price, item_routing_work_center,
        open_order_quantity - coalesce(shipped, 0) AS qty_open, coalesce(rel, 0) AS qty_rel, coalesce(st, 0) - presew AS qty_start, presew AS qty_presew,
        coalesce(prel, 0) AS qty_rel_pnd, coalesce(pst, 0) AS qty_start_pnd, sbnb, coalesce(quantity_on_hand, 0) - sbnb AS qty_onhd,
        coalesce(quantity_allocated, 0) - sbnb AS qty_alloc, coalesce(quantity_on_order, 0) AS qty_onord, primary_bin, reorder_point,
@@ -890,82 +876,64 @@ SELECT * FROM m_sales
 -- text: ordered_date, invoice_date, promise_date, calendar_date
 -- double: total_price, unit_cost
 WITH ks AS (
-    SELECT id_item_par, min(CASE WHEN s.id_item IS NOT NULL THEN 1 ELSE 0 END) AS alls, count(*) AS n FROM product_structure p
-    LEFT JOIN stock_list s ON trim(p.id_item_comp) = trim(s.id_item) WHERE p.date_eff_end > DATE '2001-08-01' GROUP BY 1
+    SELECT id_item_par, bool_and(s.id_item IS NOT NULL) AS all_stock, count(*) AS n FROM product_structure p
+    LEFT JOIN stock_list s ON trim(p.id_item_comp) = s.id_item WHERE p.date_eff_end > DATE '2001-08-01' GROUP BY 1
 ), b AS (
-    SELECT m.*, CASE WHEN invoice_date >= ordered_date THEN ii.n - io.n END AS workdays_invoice,
-           CASE WHEN promise_date >= ordered_date THEN ip.n - io.n END AS workdays_promise,
-           CASE WHEN invoice_date >= promise_date THEN ii.n - ip.n ELSE 0 END AS late
+    SELECT m.*, if(invoice_date >= ordered_date, ii.n - io.n, NULL) AS workdays_invoice, if(promise_date >= ordered_date, ip.n - io.n, NULL) AS workdays_promise,
+           if(invoice_date >= promise_date, ii.n - ip.n, 0) AS late
     FROM m_sales m LEFT JOIN x_index io ON m.ordered_date = io.d LEFT JOIN x_index ii ON m.invoice_date = ii.d LEFT JOIN x_index ip ON m.promise_date = ip.d
+), t AS (
+    SELECT b.*, stock_flag = 'S' AS stock, planned_classification AS pl, workdays_promise AS wp, workdays_invoice - 1 AS x,
+           workdays_promise <= 6 OR workdays_invoice <= 2 AS quick, workdays_promise > 6 AND workdays_invoice > 2 AS slow,
+           stock_flag = 'S' AND item_advertised_flag = 'Y' AND reorder_point > 1 AS listed FROM b
 ), g AS (
-    SELECT b.*, CASE
-        WHEN stock_flag = 'S' AND item_advertised_flag = 'Y' AND reorder_point > 1 AND (workdays_promise <= 6 OR workdays_invoice <= 2) THEN 'Advertised In-Stock'
-        WHEN ((stock_flag = 'S' AND item_advertised_flag = 'Y' AND reorder_point > 1) OR planned_classification = 'AS') AND (workdays_promise > 6 AND workdays_invoice > 2) THEN 'Advertised Out-of-Stock'
-        WHEN planned_classification = 'AS' AND (workdays_promise <= 6 OR workdays_invoice <= 2) THEN 'In-Stock Altered Stock'
-        WHEN stock_flag = 'S' AND reorder_point = 1 THEN 'Standard'
-        WHEN planned_classification = 'KT' THEN 'Kits'
-        WHEN stock_flag = 'N' AND planned_classification NOT IN ('AS', 'KT') THEN 'Made To Order'
-        WHEN item_vertical_code IN ('06', '26', '60') OR planned_classification = 'RM' THEN 'Fabrics and Raw Materials'
-        WHEN stock_flag = 'S' THEN 'Other Stock' ELSE 'Other' END AS delivery_group FROM b
+    SELECT t.*, if(listed AND quick, 'Advertised In-Stock', if((listed OR pl = 'AS') AND slow, 'Advertised Out-of-Stock',
+                if(pl = 'AS' AND quick, 'In-Stock Altered Stock', if(stock AND reorder_point = 1, 'Standard', if(pl = 'KT', 'Kits',
+                if(stock_flag = 'N' AND pl <> 'AS' AND pl <> 'KT', 'Made To Order', if(item_vertical_code IN ('06', '26', '60') OR pl = 'RM', 'Fabrics and Raw Materials',
+                if(stock, 'Other Stock', 'Other')))))))) AS delivery_group FROM t
+), f AS (
+    -- days a promise may take in each group for the sale to count as fillable; a negative number means never
+    SELECT g.*, CASE delivery_group WHEN 'Advertised In-Stock' THEN NULL WHEN 'In-Stock Altered Stock' THEN NULL WHEN 'Standard' THEN 10 WHEN 'Other Stock' THEN 6
+                WHEN 'Fabrics and Raw Materials' THEN if(stock IS NULL, -1, if(stock, 6, 10)) WHEN 'Kits' THEN if(coalesce(ks.n, 0) = 0, -1, if(ks.all_stock, 6, 10)) ELSE -1 END AS allowed
+    FROM g LEFT JOIN ks ON g.item_id = ks.id_item_par
 )
-SELECT g.* EXCLUDE (late), CASE WHEN workdays_invoice - 1 <= 0 THEN 'Y' ELSE 'N' END AS shipped_same_day,
-       CASE WHEN workdays_invoice - 1 <= 1 THEN 'Y' ELSE 'N' END AS shipped_next_day, CASE WHEN workdays_invoice - 1 <= 2 THEN 'Y' ELSE 'N' END AS shipped_2_days,
-       CASE WHEN workdays_invoice - 1 <= 5 THEN 'Y' ELSE 'N' END AS shipped_1_week, CASE WHEN workdays_invoice - 1 <= 7 THEN 'Y' ELSE 'N' END AS shipped_7_days,
-       CASE WHEN workdays_invoice - 1 <= 10 THEN 'Y' ELSE 'N' END AS shipped_10_days, CASE WHEN workdays_invoice - 1 <= 15 THEN 'Y' ELSE 'N' END AS shipped_15_days,
-       CASE WHEN workdays_invoice - 1 <= 20 THEN 'Y' ELSE 'N' END AS shipped_20_days, CASE WHEN workdays_invoice - 1 <= 25 THEN 'Y' ELSE 'N' END AS shipped_25_days,
-       CASE WHEN workdays_invoice - 1 <= 30 THEN 'Y' ELSE 'N' END AS shipped_30_days, CASE WHEN workdays_invoice - 1 <= 35 THEN 'Y' ELSE 'N' END AS shipped_35_days,
-       CASE WHEN workdays_invoice - 1 <= 40 THEN 'Y' ELSE 'N' END AS shipped_40_days, CASE WHEN workdays_invoice IS NOT NULL THEN 'Y' ELSE 'N' END AS shipped_greater_than_40,
-       CASE WHEN workdays_invoice IS NULL THEN NULL WHEN workdays_invoice - 1 <= 0 THEN 'shipped_same_day' WHEN workdays_invoice - 1 = 1 THEN 'shipped_next_day'
-            WHEN workdays_invoice - 1 = 2 THEN 'shipped_2_days' WHEN workdays_invoice - 1 BETWEEN 3 AND 5 THEN 'shipped_1_week'
-            WHEN workdays_invoice - 1 BETWEEN 6 AND 7 THEN 'shipped_7_days' WHEN workdays_invoice - 1 BETWEEN 8 AND 10 THEN 'shipped_10_days'
-            WHEN workdays_invoice - 1 BETWEEN 11 AND 15 THEN 'shipped_15_days' WHEN workdays_invoice - 1 BETWEEN 16 AND 20 THEN 'shipped_20_days'
-            WHEN workdays_invoice - 1 BETWEEN 21 AND 25 THEN 'shipped_25_days' WHEN workdays_invoice - 1 BETWEEN 26 AND 30 THEN 'shipped_30_days'
-            WHEN workdays_invoice - 1 BETWEEN 31 AND 35 THEN 'shipped_35_days' WHEN workdays_invoice - 1 BETWEEN 36 AND 40 THEN 'shipped_40_days'
-            ELSE 'shipped_greater_than_40' END AS delivery_lead_time_range,
-       CASE WHEN delivery_group IN ('Advertised In-Stock', 'In-Stock Altered Stock') THEN 'Fillable' WHEN delivery_group = 'Advertised Out-of-Stock' THEN 'Unfillable'
-            WHEN delivery_group = 'Standard' THEN CASE WHEN workdays_promise <= 10 THEN 'Fillable' ELSE 'Unfillable' END
-            WHEN delivery_group = 'Other Stock' THEN CASE WHEN workdays_promise <= 6 THEN 'Fillable' ELSE 'Unfillable' END
-            WHEN delivery_group = 'Fabrics and Raw Materials' THEN CASE WHEN stock_flag = 'S' AND workdays_promise <= 6 THEN 'Fillable'
-                 WHEN stock_flag <> 'S' AND workdays_promise <= 10 THEN 'Fillable' ELSE 'Unfillable' END
-            WHEN delivery_group = 'Kits' THEN CASE WHEN coalesce(ks.n, 0) = 0 THEN 'Unfillable' WHEN ks.alls = 1 AND workdays_promise <= 6 THEN 'Fillable'
-                 WHEN ks.alls = 0 AND workdays_promise <= 10 THEN 'Fillable' ELSE 'Unfillable' END ELSE 'Unfillable' END AS fillable,
-       CASE WHEN invoice_date IS NULL OR promise_date IS NULL THEN NULL
-            WHEN delivery_group IN ('Standard', 'Made To Order', 'Fabrics and Raw Materials', 'Other Stock', 'Advertised Out-of-Stock')
-            THEN CASE WHEN late <= 10 THEN 'Y' ELSE 'N' END ELSE CASE WHEN invoice_date <= promise_date THEN 'Y' ELSE 'N' END END AS on_time_flag
-FROM g LEFT JOIN ks ON g.item_id = ks.id_item_par
+SELECT f.* EXCLUDE (late, stock, pl, wp, x, quick, slow, listed, allowed), if(x <= 0, 'Y', 'N') AS shipped_same_day, if(x <= 1, 'Y', 'N') AS shipped_next_day, if(x <= 2, 'Y', 'N') AS shipped_2_days, if(x <= 5, 'Y', 'N') AS shipped_1_week, if(x <= 7, 'Y', 'N') AS shipped_7_days, if(x <= 10, 'Y', 'N') AS shipped_10_days, if(x <= 15, 'Y', 'N') AS shipped_15_days, if(x <= 20, 'Y', 'N') AS shipped_20_days, if(x <= 25, 'Y', 'N') AS shipped_25_days, if(x <= 30, 'Y', 'N') AS shipped_30_days, if(x <= 35, 'Y', 'N') AS shipped_35_days, if(x <= 40, 'Y', 'N') AS shipped_40_days, if(x IS NULL, 'N', 'Y') AS shipped_greater_than_40,
+       if(x IS NULL, NULL, (['shipped_same_day', 'shipped_next_day', 'shipped_2_days', 'shipped_1_week', 'shipped_7_days', 'shipped_10_days', 'shipped_15_days', 'shipped_20_days', 'shipped_25_days', 'shipped_30_days', 'shipped_35_days', 'shipped_40_days', 'shipped_greater_than_40'])[1 + len(list_filter([0, 1, 2, 5, 7, 10, 15, 20, 25, 30, 35, 40], lambda t: x > t))]) AS delivery_lead_time_range, if(allowed IS NULL OR wp <= allowed, 'Fillable', 'Unfillable') AS fillable,
+       if(invoice_date IS NULL OR promise_date IS NULL, NULL, if(
+           if(delivery_group IN ('Standard', 'Made To Order', 'Fabrics and Raw Materials', 'Other Stock', 'Advertised Out-of-Stock'), late <= 10, invoice_date <= promise_date), 'Y', 'N')) AS on_time_flag
+FROM f
 
 -- name: invoice_history
 -- text: ordered_date, invoice_date, promise_date
 -- double: freight_cost, sales_tax, total_price, unit_cost
 WITH ra AS (SELECT trim(id_item) AS id_item, code_comm, id_attr, val_string_attr AS v FROM item_attribute),
 av AS (
-    SELECT b.id_item, max(CASE WHEN id_attr = 'CERT_NUM' THEN v ELSE '' END) AS item_certificate_number, max(CASE WHEN id_attr = 'COLOR' THEN v ELSE '' END) AS item_color,
-           max(CASE WHEN id_attr = 'ID_PARENT' THEN v ELSE '' END) AS item_id_parent_sku, '' AS item_length, max(CASE WHEN id_attr = 'SIZE' THEN v ELSE '' END) AS item_size,
+    SELECT b.id_item, coalesce(max(v) FILTER (id_attr = 'CERT_NUM'), '') AS item_certificate_number, coalesce(max(v) FILTER (id_attr = 'COLOR'), '') AS item_color,
+           coalesce(max(v) FILTER (id_attr = 'ID_PARENT'), '') AS item_id_parent_sku, '' AS item_length, coalesce(max(v) FILTER (id_attr = 'SIZE'), '') AS item_size,
            '' AS item_tariff_code, '' AS item_upc_code, '' AS item_pfas
     FROM m_items b JOIN ra ON b.id_item = ra.id_item AND b.code_comm = ra.code_comm WHERE b.code_comm <> 'PAR' GROUP BY 1
 ), pa AS (
-    SELECT id_item, max(CASE WHEN id_attr = 'BERRY' THEN v ELSE '' END) AS par_berry, '' AS par_product_type, max(CASE WHEN id_attr = 'Z_BRAND' THEN v ELSE '' END) AS par_brand,
-           max(CASE WHEN id_attr = 'Z_CATEGORY' THEN v ELSE '' END) AS par_category, max(CASE WHEN id_attr = 'Z_VERTICAL' THEN v ELSE '' END) AS par_vertical
+    SELECT id_item, coalesce(max(v) FILTER (id_attr = 'BERRY'), '') AS par_berry, '' AS par_product_type, coalesce(max(v) FILTER (id_attr = 'Z_BRAND'), '') AS par_brand,
+           coalesce(max(v) FILTER (id_attr = 'Z_CATEGORY'), '') AS par_category, coalesce(max(v) FILTER (id_attr = 'Z_VERTICAL'), '') AS par_vertical
     FROM ra WHERE code_comm = 'PAR' GROUP BY 1
 ), vc AS (
-    SELECT b.id_item, max(CASE WHEN par_vertical = 'AF' AND par_category = 'CL' THEN 'CLOTHING & KITS' WHEN par_vertical = 'FR' AND par_category = 'HV' THEN 'FR HI-VIS'
-               WHEN par_vertical = 'GV' AND par_category = 'LE' THEN 'LAW ENFORCEMENT' WHEN par_vertical = 'TH' AND par_category = 'HP' THEN 'HAND PROTECTION' ELSE '#NOT CATEGORIZED' END) AS category_label,
+    SELECT b.id_item, coalesce(max(map {'AFCL': 'CLOTHING & KITS', 'FRHV': 'FR HI-VIS', 'GVLE': 'LAW ENFORCEMENT', 'THHP': 'HAND PROTECTION'}[par_vertical || par_category]), '#NOT CATEGORIZED') AS category_label,
            max(par_vertical) AS pv, max(par_category) AS pcat
     FROM m_items b LEFT JOIN ra ON b.id_item = ra.id_item AND b.code_comm = ra.code_comm LEFT JOIN pa ON ra.v = pa.id_item GROUP BY 1
 ), ds AS (SELECT id_item, string_agg(descr_addl, ', ' ORDER BY seq_descr) AS t FROM m_descr WHERE seq_descr BETWEEN 800 AND 810 GROUP BY 1),
-pr AS (
-    SELECT DISTINCT trim(p.id_item_par) AS par, CASE WHEN EXISTS (
-        SELECT 1 FROM product_structure p2 JOIN (SELECT trim(id_item_comp) AS c, max(date_eff_end) AS m FROM product_structure GROUP BY 1) x
-        ON trim(p2.id_item_comp) = x.c AND p2.date_eff_end = x.m JOIN m_descr d ON x.c = d.id_item
-        WHERE trim(p2.id_item_par) = trim(p.id_item_par) AND d.descr_addl LIKE '%PROP 65%') THEN 'Y' ELSE 'N' END AS prop_65 FROM product_structure p
+uses AS (
+    SELECT trim(id_item_par) AS par, trim(id_item_comp) AS comp, date_eff_end = max(date_eff_end) OVER (PARTITION BY trim(id_item_comp)) AS last_use FROM product_structure
+), pr AS (
+    SELECT par, if(bool_or(last_use AND coalesce(w.warned, false)), 'Y', 'N') AS prop_65 FROM uses
+    LEFT JOIN (SELECT id_item, bool_or(contains(descr_addl, 'PROP 65')) AS warned FROM m_descr GROUP BY 1) w ON uses.comp = w.id_item GROUP BY 1
 )
 SELECT l.id_ord AS order_id, l.seq_line_ord AS line_number, l.date_book_last AS ordered_date, l.flag_stk AS stock_flag, l.id_invc AS invoice_id,
        h.amt_frt AS freight_cost, h.tax_sls AS sales_tax, c.customer_name, l.id_cust_soldto AS customer_id, c.customer_type, c.cust_group_code, c.cust_group_name,
        h.city AS ship_to_city, h.seq_shipto, l.id_item AS item_id, trim(coalesce(b.descr_1, '') || ' ' || coalesce(b.descr_2, '')) AS product_description,
        coalesce(b.code_cat_cost || ' - ' || cc.descr, 'INVALID COST CATEGORY') AS cost_category,
        coalesce(b.code_cat_prdt || ' - ' || pc.descr, 'INVALID PRODUCT CATEGORY') AS product_category,
-       CASE WHEN vc.pv = 'AF' THEN 'ARC FLASH PPE' WHEN vc.pv = 'FR' THEN 'FR CLOTHING' WHEN vc.pv = 'GV' THEN 'MILITARY' WHEN vc.pv = 'TH' THEN 'THERMAL'
-            WHEN vc.pv = 'UL' AND vc.pcat = 'AD' THEN 'AD SPECIALTY' WHEN vc.pv = 'UL' AND vc.pcat = 'USPS' THEN 'USPS' ELSE 'INDUSTRIAL PPE' END AS vertical_label,
+       coalesce(map {'AF': 'ARC FLASH PPE', 'FR': 'FR CLOTHING', 'GV': 'MILITARY', 'TH': 'THERMAL'}[vc.pv], map {'ULAD': 'AD SPECIALTY', 'ULUSPS': 'USPS'}[vc.pv || vc.pcat],
+                'INDUSTRIAL PPE') AS vertical_label,
        vc.category_label, av.* EXCLUDE (id_item), pa.* EXCLUDE (id_item), coalesce(ds.t, 'MISSING DESCRIPTION') AS parent_description, pr.prop_65,
        l.date_invc AS invoice_date, r.level_rop AS reorder_level, l.date_prom AS promise_date, l.qty_ship AS quantity_shipped, l.price_net AS total_price,
        try_cast(right(l.cost_unit_vp, 10) AS BIGINT) / 10000 AS unit_cost, sr.name_slsrep AS sales_rep_name, l.id_loc || ' - ' || tl.descr AS location_label,
@@ -1008,10 +976,8 @@ kit AS (
     QUALIFY row_number() OVER (PARTITION BY id_ord ORDER BY coalesce(date_chg, date_add) DESC, rowid DESC) = 1
 )
 SELECT x.id_ord, x.seq_line_ord, x.it AS id_item, x.comp AS id_item_comp, x.id_loc, x.cust AS id_cust_soldto, x.amt_ord_total, x.price_net, x.date_rqst, x.date_prom, x.date_ord,
-       CASE WHEN x.date_rqst = x.date_prom THEN x.date_rqst WHEN x.cust = '102340' THEN x.date_prom
-            WHEN (x.flag_stk = 'S' OR par.id_planner IN ('AS', '1A', 'KT', 'A ')) AND w3.d >= x.date_prom THEN w1.d ELSE x.date_prom END AS date_calc_start,
-       CASE WHEN x.date_rqst = x.date_prom THEN x.date_rqst WHEN x.cust = '102340' THEN w10.d
-            WHEN (x.flag_stk = 'S' OR par.id_planner IN ('AS', '1A', 'KT', 'A ')) AND w3.d >= x.date_prom THEN x.date_prom ELSE w10.d END AS date_calc_end,
+       if(x.date_rqst = x.date_prom, x.date_rqst, if(x.cust <> '102340' AND (x.flag_stk = 'S' OR par.id_planner IN ('AS', '1A', 'KT', 'A ')) AND w3.d >= x.date_prom, w1.d, x.date_prom)) AS date_calc_start,
+       if(x.date_rqst = x.date_prom, x.date_rqst, if(x.cust <> '102340' AND (x.flag_stk = 'S' OR par.id_planner IN ('AS', '1A', 'KT', 'A ')) AND w3.d >= x.date_prom, x.date_prom, w10.d)) AS date_calc_end,
        CASE WHEN x.comp IS NOT NULL AND x.flag_stk = 'N' THEN 'Y' WHEN par.flag_source = 'P' THEN 'Y' WHEN sq.q_rel_pnd > 0 OR sq.q_start_pnd > 0 THEN 'Y' ELSE 'N' END AS flag_show,
        CASE WHEN x.id_buyer IN ('AS', '1A') AND il.qty_onhd IS NOT NULL AND r.level_rop > 1 THEN 'AS' WHEN x.id_buyer = 'KT' AND il.qty_onhd IS NOT NULL AND r.level_rop > 1 THEN 'KT' ELSE '' END AS alt_stk,
        CASE WHEN cm.comment ILIKE '%#MO%' THEN 'Y' ELSE 'N' END AS flag_mo,
