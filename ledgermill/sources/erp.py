@@ -23,6 +23,7 @@ from ledgermill.sources.tables import load, load_path, write_table
 STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 _REF = re.compile(r"\{(\w+)\}")
+_SHUFFLES = re.compile(r"\b(GROUP BY|JOIN|DISTINCT)\b")
 
 
 def _loc(expr: str) -> str:
@@ -535,10 +536,13 @@ def references(statement: str) -> list[str]:
 class Captures:
     """The capture tables of one directory: ``captures.order_line``.
 
-    Each derived capture is written once per application and directory to the
-    shared folder and read from there by every model, as bronze tables are.
+    A capture that is a projection of one table stays a view, so column pruning
+    and filters reach the given files.  One that needs a shuffle is written once
+    per application and directory to the shared folder and read from there, as
+    bronze tables are; ``store_all`` does so with every capture.
     """
 
+    store_all = False
     _stored: dict[tuple[str, str, str], str] = {}
 
     def __init__(self, spark: SparkSession, directory: str):
@@ -553,6 +557,8 @@ class Captures:
             return frame
         if name not in TABLES:
             raise AttributeError(name)
+        if not (self.store_all or _SHUFFLES.search(TABLES[name])):
+            return self.derive(name)
         key = (self.spark.sparkContext.applicationId, self.directory, name)
         if key not in self._stored:
             path = shared_folder(self.spark, f"captures/{name}")
