@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,9 +20,6 @@ ADAPTIVE = {
 AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-_SCRATCH: dict[str, str] = {}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Switch on the run-time re-planning that hot keys need; sizes stay the cluster's."""
     for key, value in ADAPTIVE.items():
@@ -32,15 +28,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the cluster's shared checkpoint folder.
+    """A fresh path below the folder that driver and executors share.
 
-    Only a local session that names no such folder falls back to a scratch one.
+    ``spark.checkpoint.dir`` names it; a session without that setting uses a
+    folder beside its tables, in the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        application = spark.sparkContext.applicationId
-        base = _SCRATCH.setdefault(application, "") or tempfile.mkdtemp(prefix="ledgermill-")
-        _SCRATCH[application] = base
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
