@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe
+from ledgermill.llm import byte_bpe, language_id
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,3 +34,13 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_id.learn(documents.where(~held_out).select("text", "lang"))
+    rows = language_id.predict(documents.select("doc_id", "text"), model)
+    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -160,3 +160,28 @@ def distinct(text: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def signed(values: np.ndarray) -> pa.Array:
     """Unsigned 64-bit hashes as Spark's long."""
     return pa.array(values.view(np.int64))
+
+
+def extend(frame, text: str, fields: str, run):
+    """Add columns computed from a text column; all other columns pass through as they are.
+
+    ``run`` turns a record batch whose last column ``text`` holds the text into
+    the arrays of the new columns ``fields`` (a schema string).  A column of the
+    input that has the name of a new one is replaced.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    new = _parse_datatype_string(fields)
+    names = [name for name in frame.columns if name not in new.names]
+    wide = frame.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text}`").cast("string")).toDF(
+        *[f"c{i}" for i in range(len(names))], "text"
+    )
+    schema = StructType([*wide.schema.fields[:-1], *[StructField(f"n{i}", f.dataType) for i, f in enumerate(new.fields)]])
+
+    def each(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield pa.record_batch([*part.columns[:-1], *run(part)], schema.names)
+
+    return wide.mapInArrow(each, schema).toDF(*names, *new.names)
