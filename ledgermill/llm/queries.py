@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, language_id
+from ledgermill.llm import byte_bpe, decontaminate, language_id
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,3 +44,26 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.learn(documents.where(~held_out).select("text", "lang"))
     rows = language_id.predict(documents.select("doc_id", "text"), model)
     return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold at least four fifths of a benchmark item's shingles."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op7_decontaminate"] = r"""
+WITH words AS (
+    SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+    UNION ALL
+    SELECT 'i', item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark
+), shingles AS (
+    SELECT DISTINCT kind, id, array_to_string(w[k:k + 4], ' ') AS s
+    FROM (SELECT kind, id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS k FROM words WHERE len(w) > 0)
+), items AS (
+    SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'i'
+)
+SELECT d.id AS doc_id, item_id, n_item, count(*) AS n_shared, count(*)::DOUBLE / n_item AS containment
+FROM items JOIN shingles d ON d.kind = 'd' AND d.s = items.s
+GROUP BY d.id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
+"""
