@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id
+from ledgermill.llm import byte_bpe, decontaminate, language_id, personal_data
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,17 @@ SELECT d.id AS doc_id, item_id, n_item, count(*) AS n_shared, count(*)::DOUBLE /
 FROM items JOIN shingles d ON d.kind = 'd' AND d.s = items.s
 GROUP BY d.id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
 """
+
+
+@query
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans."""
+    model = personal_data.train(personal_data.read_labelled())
+    found = personal_data.find(table(spark, folder, "documents"), model)
+
+    def joined(spans: str) -> Column:
+        return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+
+    base = "filter(spans, s -> s.base)"
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
