@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, personal_data
+from ledgermill.llm import byte_bpe, decontaminate, language_id, main_text, personal_data
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,11 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     base = "filter(spans, s -> s.base)"
     counts = [F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in personal_data.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages")
+    found = main_text.extract(pages, main_text.train(), "struct(page_id, url) AS page", "html")
+    return found.select("page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
