@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgermill.llm.storage import stored
 from ledgermill.llm.text import column, extend, mix, signed, slices
 
 ORDER = 3
@@ -106,6 +107,7 @@ def learn(frame: DataFrame, text: str = "text", label: str = "lang") -> Model:
             yield pa.record_batch([signed(found), pa.array([lang] * len(found), pa.string()), pa.array(n)], ["gram", "lang", "n"])
 
     counts = labelled.mapInArrow(count, "gram long, lang string, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     if len(languages) > 64:

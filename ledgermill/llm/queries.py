@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, main_text, personal_data
+from ledgermill.llm import byte_bpe, decontaminate, language_id, main_text, neighbours, personal_data
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,10 @@ def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     found = main_text.extract(pages, main_text.train(), "struct(page_id, url) AS page", "html")
     return found.select("page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    embeddings = table(spark, folder, "embeddings")
+    return neighbours.nearest(embeddings, embeddings.where("vec_id % 50 = 0"), k=5)
