@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, main_text, neighbours, personal_data
+from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, main_text, neighbours, personal_data
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +96,10 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
     embeddings = table(spark, folder, "embeddings")
     return neighbours.nearest(embeddings, embeddings.where("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its number of lines and of lines that match an earlier one, and a digest of the rest."""
+    rows = line_dedup.dedup(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
