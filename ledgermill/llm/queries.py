@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, main_text, neighbours, personal_data
+from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, main_text, neighbours, ngram_join, personal_data
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -103,3 +103,9 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its number of lines and of lines that match an earlier one, and a digest of the rest."""
     rows = line_dedup.dedup(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the size of its shingle set and the smallest document that links reach."""
+    return ngram_join.linked(table(spark, folder, "documents"))
