@@ -1,4 +1,11 @@
-"""Cleaning of a document table for training, stage by stage."""
+"""Cleaning of a document table for training, stage by stage.
+
+Every stage takes ``documents`` (doc_id, text, lang, source, n_chars; more columns may be
+there) as the stage before has written it, and works on all of it.  Null texts go
+with the first stage; rows with a null ``doc_id`` pass the stages that compare
+documents; rows that repeat a ``doc_id`` are treated as one document there.  An empty
+table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +13,57 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe
+from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, ngram_join
 from ledgermill.llm.storage import stored
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is found; without text or letters there is none."""
+    model = language_id.learn(docs)
+    return language_id.predict(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that match earlier ones; a document that loses all its words goes."""
+    rows = line_dedup.dedup(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
+
+
+def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id."""
+    copies = ngram_join.linked(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(stored(copies, "copies"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contaminated(docs, benchmark).select("doc_id").distinct()
+    return docs.join(stored(found, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """Token ids of every document that is left, as little-endian unsigned 32-bit integers."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids"
+    )
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("ngram_join", join_ngrams),
+    ("decontaminate", drop_contaminated),
     ("byte_bpe", encode_bpe),
 ]
 
-#: The stages are no SQL expressions.
+#: Most stages are no SQL expressions; tests/llm holds the pipeline against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
