@@ -22,6 +22,7 @@ lines of equal number are no matches of each other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +138,7 @@ ENTRY = "word long, doc long, meta long, low long, bits0 long, bits1 long"
 PAIR = "doc long, line long, other_doc long, other_line long, id long, other_id long, more boolean"
 
 
-def _meet(limit: int | None, batch: pa.RecordBatch) -> pa.RecordBatch | None:
+def _meet(limit: int | None, steps: int, batch: pa.RecordBatch) -> pa.RecordBatch | None:
     """Of all groups in a batch, pairs of a line and an earlier one that pass the filters."""
     word, doc, meta, low, bits0, bits1, *asked = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
     line, size, place = meta >> 32, (meta & 0xFFFFFFFF) >> 6, meta & 63
@@ -164,7 +165,7 @@ def _meet(limit: int | None, batch: pa.RecordBatch) -> pa.RecordBatch | None:
         return a[own], b[own]
 
     live = np.arange(1, len(keep))
-    for step in range(1, STEPS + 1):
+    for step in range(1, steps + 1):
         live = live[live >= step]
         other = live - step
         near = (word[live] == word[other]) & (100 * size[other] >= SIMILAR * size[live])
@@ -180,7 +181,7 @@ def _meet(limit: int | None, batch: pa.RecordBatch) -> pa.RecordBatch | None:
         begin, end = np.searchsorted(word, [group, group + 1]) if group < np.iinfo(np.int64).max else (np.searchsorted(word, group), len(word))
         here = np.arange(begin, end)
         for k in here[wanted[here] & (True if limit is None else hits[here] < limit)]:
-            far = here[(np.abs(here - k) > STEPS) & (100 * size[here] >= SIMILAR * size[k]) & (100 * size[k] >= SIMILAR * size[here])]
+            far = here[(np.abs(here - k) > steps) & (100 * size[here] >= SIMILAR * size[k]) & (100 * size[k] >= SIMILAR * size[here])]
             a, b = compare(np.full(len(far), k), far)
             b = b[a == k]
             b = b if limit is None else b[: limit - hits[k]]
@@ -236,7 +237,7 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     counts = picked.mapInArrow(_word_counts, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
     table = spark.sparkContext.broadcast(set_tools.rarity_table(counts))
     entries = picked.mapInArrow(lambda batches: _entries(table.value, batches), ENTRY)
-    met = set_tools.grouped(entries, "word", lambda batch: _meet(FIRST, batch), PAIR)
+    met = set_tools.grouped(entries, "word", partial(_meet, FIRST, STEPS), PAIR)
     by = ["doc", "line", "other_doc", "other_line", "id", "other_id"]
     met = stored(met.groupBy(*by).agg(F.max("more").alias("more")), "pairs")
     gone = stored(_verified(picked, met), "matched")
@@ -246,7 +247,7 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         open_lines = rest.withColumn("asked", F.lit(True))
         marked = entries.withColumn("line", F.shiftright("meta", 32)).join(open_lines, ["doc", "line"], "left").drop("line")
         marked = marked.withColumn("asked", F.coalesce("asked", F.lit(False)))
-        met = set_tools.grouped(marked, "word", lambda batch: _meet(None, batch), PAIR)
+        met = set_tools.grouped(marked, "word", partial(_meet, None, STEPS), PAIR)
         gone = gone.union(_verified(picked, stored(met.drop("more").distinct(), "pairs"))).distinct()
     firsts = picked.mapInArrow(_classes, "low long, high long, doc long, line long")
     firsts = firsts.groupBy("low", "high").agg(F.min(F.struct("doc", "line")).alias("at")).select("at.doc", "at.line")

@@ -26,6 +26,7 @@ a null component and link with nothing; rows that repeat a ``doc_id`` are joined
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -175,7 +176,7 @@ class RTree:
         return self.order[nodes[bound >= needed(self.sizes[nodes], size)]]
 
 
-def _across(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+def _across(most: int, batch: pa.RecordBatch) -> pa.RecordBatch | None:
     """Pairs of different components in each group whose bound suffices."""
     group, entry, component, size, indexed, asks, point = batch.columns
     group, entry, component, size = (x.to_numpy() for x in (group, entry, component, size))
@@ -186,8 +187,8 @@ def _across(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     end = np.append(begin[1:], len(group))
     found = []
-    small = np.repeat(end - begin <= SMALL, end - begin)
-    for step in range(1, SMALL):
+    small = np.repeat(end - begin <= most, end - begin)
+    for step in range(1, most):
         a = np.flatnonzero(small[step:]) + step
         b = a - step
         a, b = a[group[a] == group[b]], b[group[a] == group[b]]
@@ -198,7 +199,7 @@ def _across(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         enough = np.minimum(point[a], point[b]).sum(axis=1) >= needed(size[a], size[b])
         found.append((a[enough], b[enough]))
     for first, last in zip(begin, end, strict=True):
-        if last - first > SMALL:
+        if last - first > most:
             rows = np.arange(first, last)
             held = rows[indexed[rows]]
             if not len(held):
@@ -288,7 +289,7 @@ def linked(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         (F.expr("pmod(hash(entry), parts)") == F.col("part")).alias("indexed"), (F.col("component") != F.col("main")).alias("asks"),
     ).where("indexed OR asks")
     rows = rows.join(classes.select("entry", "size", "point"), "entry").select("cell", "entry", "component", "size", "indexed", "asks", "point")
-    pairs = stored(set_tools.grouped(rows, "cell", _across, "a long, b long").distinct(), "pairs")
+    pairs = stored(set_tools.grouped(rows, "cell", partial(_across, SMALL), "a long, b long").distinct(), "pairs")
     links = stored(links.union(_verified(pairs, classes, texts)), "links")
     component = set_tools.components(links)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, main_text, neighbours, ngram_join, personal_data
+from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, main_text, neighbours, ngram_join, personal_data, repeats
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -109,3 +109,16 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the size of its shingle set and the smallest document that links reach."""
     return ngram_join.linked(table(spark, folder, "documents"))
+
+
+@query
+def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes of strings of 400 that repeat: counts, and a digest of what stays."""
+    documents = table(spark, folder, "documents")
+    cleaned = repeats.cleaned_texts(documents).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    whole = F.coalesce("text", F.lit(""))
+    rows = documents.select("doc_id", F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole, 256).alias("whole_sha256"), repeats.text_key("text").alias("text_key"))
+    return rows.join(cleaned, "text_key", "left").select(
+        "doc_id", "n_bytes", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_removed", "n_spans")],
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
+    )
