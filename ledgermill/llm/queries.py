@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, main_text, neighbours, ngram_join, personal_data, repeats
+from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, lm_score, main_text, neighbours, ngram_join, personal_data, repeats
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -122,3 +122,10 @@ def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_removed", "n_spans")],
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
     )
+
+
+@query
+def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Closeness of every document to those of good quality."""
+    good = table(spark, folder, "labels").where("quality = 1")
+    return lm_score.score(table(spark, folder, "documents"), good)
