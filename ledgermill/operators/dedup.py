@@ -46,6 +46,11 @@ def dedup_by_priority(df: DataFrame, keys: Sequence[Column | str], order: Sequen
     return qualify(df, keys, order, 1)
 
 
+def one_per(df: DataFrame, key: str) -> DataFrame:
+    """A code table with one row per trimmed code, the first in order of its columns."""
+    return dedup_by_priority(df.withColumn(key, F.trim(key)), [key], [])
+
+
 def latest(df: DataFrame, keys: Sequence[Column | str], order: Sequence[str]) -> DataFrame:
     """The newest row per key by technical columns, missing values last."""
     return qualify(df, keys, latest_first(*order), 1)

@@ -47,6 +47,15 @@ def join_norm(
     return l_side.join(r_side, names, how).drop(*names)
 
 
+def spread_blank(key: str, *by: str) -> Column:
+    """A normalised key for a left join; rows without a key get one of many that match nothing.
+
+    Null and blank keys would otherwise all meet in one task.
+    """
+    own = norm_key(key)
+    return F.when(own != "", own).otherwise(F.concat(F.lit("\0"), F.pmod(F.xxhash64(*by), F.lit(4096)).cast("string")))
+
+
 def full_reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Full outer join of two tables with one row per key.
 
@@ -108,10 +117,10 @@ def lookup_default(
 ) -> DataFrame:
     """Value for (code, specific), else the value for (code, blank).
 
-    ``dim`` has one row per (code, specific value).
+    The first value of a repeated (code, specific value) counts.
     """
     key = F.trim(F.coalesce(F.col(dim_specific), F.lit(blank)))
-    rows = dim.select(F.col(code), key.alias("__spec"), F.col(value).alias("__value"))
+    rows = dedup_by_priority(dim.select(F.col(code), key.alias("__spec"), F.col(value).alias("__value")), [code, "__spec"], [])
     exact = rows.where(F.col("__spec") != blank).withColumnRenamed("__value", "__exact")
     general = rows.where(F.col("__spec") == blank).drop("__spec").withColumnRenamed("__value", "__general")
     return (

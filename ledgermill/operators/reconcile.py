@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.operators.dedup import dedup_by_priority
 from ledgermill.operators.joins import full_reconcile
 from ledgermill.operators.quality import duplicate_keys
 
@@ -79,27 +78,39 @@ def cell_diff(
     tolerance: float = 0.01,
     strict: bool = False,
 ) -> DataFrame:
-    """One row per differing cell, and one per key that only one side has.
+    """One row per differing cell, and one per row that only one side has.
 
     ``fields`` maps an old column to (new column, kind), kind being ``number``,
     ``text`` or ``timestamp``.  A null equals zero or blank unless ``strict``.
-    Keys are trimmed.  A key that occurs more than once is compared by its first
-    row and listed in full by :func:`duplicates`; comparing all pairs of such a
-    key would square it.  The tables are joined once and the cells unfolded from
-    the joined row, whatever the number of fields.
+    Keys are trimmed.  Every row of a repeated key is compared: equal rows of both
+    sides are counted and cancelled first, those left are paired by their place in
+    the order of their values within the key, and surplus rows are missing on the
+    other side.  Both sides meet in one aggregation and one join, and the cells are
+    unfolded from the joined row, whatever the number of fields.
     """
     keys = list(keys)
+    values = [f"v{i}" for i in range(len(fields))]
 
-    def side(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-        picked = df.select(
+    def side(df: DataFrame, columns: Sequence[str], sign: int) -> DataFrame:
+        return df.select(
             *(F.trim(F.col(k).cast("string")).alias(k) for k in keys),
-            *(F.col(c).alias(f"{prefix}{i}") for i, c in enumerate(columns)),
+            *(F.col(c).cast("string").alias(v) for c, v in zip(columns, values)),
+            F.lit(sign).alias("sign"),
         )
-        return dedup_by_priority(picked, keys, []).withColumn(f"{prefix}here", F.lit(True))
 
-    joined = full_reconcile(
-        side(old, list(fields), "o_"), side(new, [n for n, _ in fields.values()], "n_"), keys
-    )
+    both_sides = side(old, list(fields), 1).unionByName(side(new, [n for n, _ in fields.values()], -1))
+    left = both_sides.groupBy(*keys, *values).agg(F.sum("sign").alias("surplus")).where("surplus <> 0")
+    rows = left.withColumn("copy", F.explode(F.sequence(F.lit(1), F.abs("surplus"))))
+    within = Window.partitionBy(*keys, F.signum("surplus")).orderBy(*values, "copy")
+    rows = rows.withColumn("place", F.row_number().over(within))
+
+    def named(sign: str, prefix: str) -> DataFrame:
+        picked = rows.where(f"surplus {sign} 0")
+        return picked.select(
+            *keys, "place", *(F.col(v).alias(f"{prefix}{i}") for i, v in enumerate(values)), F.lit(True).alias(f"{prefix}here")
+        )
+
+    joined = full_reconcile(named(">", "o_"), named("<", "n_"), [*keys, "place"])
     both = F.col("o_here").isNotNull() & F.col("n_here").isNotNull()
     text = "string"
 
@@ -170,18 +181,30 @@ def filter_funnel(
 ) -> DataFrame:
     """Measures after each of several filters that build on one another, in one scan.
 
-    A row belongs to all stages up to the first filter it fails, so it is
-    repeated once per passed stage instead of scanning the table per stage.
+    A row carries the number of the last stage it passes.  Sums are taken per
+    number and then run from the last stage to the first; a distinct key counts
+    at the greatest number of its rows.  No row is copied.  ``measures`` map a name
+    to the column that is summed.
     """
-    reached: list[Column] = []
     passed = F.lit(True)
-    for name, condition in stages:
+    last = F.lit(-1)
+    for number, (_, condition) in enumerate(stages):
         if condition is not None:
             passed = passed & F.coalesce(condition, F.lit(False))
-        reached.append(F.when(passed, F.lit(name)))
-    staged = df.withColumn("stage", F.explode(F.filter(F.array(*reached), lambda s: s.isNotNull())))
-    return staged.groupBy("stage").agg(
-        *(F.count_distinct(F.col(c)).alias(n) for n, c in distinct.items()),
-        F.count(F.lit(1)).alias("total_line_items"),
-        *(expr.alias(n) for n, expr in measures.items()),
+        last = F.when(passed, number).otherwise(last)
+    staged = df.withColumn("__last", last).where("__last >= 0")
+    sums = staged.groupBy("__last").agg(
+        F.count(F.lit(1)).alias("total_line_items"), *(F.sum(expr).alias(n) for n, expr in measures.items())
+    )
+    names = F.create_map(*(F.lit(x) for number, (name, _) in enumerate(stages) for x in (number, name)))
+    steps = F.explode(F.sequence(F.lit(0), F.col("__last"))).alias("__stage")
+    # from here on one row per stage and number
+    running = sums.select(steps, *sums.columns[1:]).groupBy("__stage").agg(*(F.sum(c).alias(c) for c in sums.columns[1:]))
+    for name, column in distinct.items():
+        best = staged.where(F.col(column).isNotNull()).groupBy(column).agg(F.max("__last").alias("__last"))
+        counted = best.groupBy("__last").agg(F.count(F.lit(1)).alias(name)).select(steps, name)
+        running = running.join(counted.groupBy("__stage").agg(F.sum(name).alias(name)), "__stage", "left")
+    ordered = [*distinct, "total_line_items", *measures]
+    return running.select(
+        names[F.col("__stage")].alias("stage"), *(F.coalesce(c, F.lit(0)).alias(c) if c in distinct else F.col(c) for c in ordered)
     )

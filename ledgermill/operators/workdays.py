@@ -32,11 +32,17 @@ def _day(date: Date) -> Column:
 
 
 def _with_index(df: DataFrame, date: Date, index: DataFrame, name: str) -> DataFrame:
-    """Number of working days up to and on the date, as a new column."""
+    """Number of working days up to and on the date, as a new column.
+
+    A date outside the calendar is an error, not a missing value.
+    """
     if isinstance(date, dt.date):
         return df.withColumn(name, index.where(F.col("day") == F.lit(date)).select("work_index").scalar())
     lookup = F.broadcast(index.select(F.col("day").alias("__day"), F.col("work_index").alias(name)))
-    return df.withColumn("__day", _day(date)).join(lookup, "__day", "left").drop("__day")
+    joined = df.withColumn("__day", _day(date)).join(lookup, "__day", "left")
+    outside = F.raise_error(F.concat(F.lit("date outside the calendar: "), F.col("__day").cast("string")))
+    known = F.when(F.col("__day").isNull() | F.col(name).isNotNull(), F.col(name)).otherwise(outside)
+    return joined.withColumn(name, known).drop("__day")
 
 
 def workdays_between(

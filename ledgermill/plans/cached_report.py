@@ -12,12 +12,12 @@ from ledgermill.functions import fixed_values as fv
 from ledgermill.functions.text import case_map, first_rule, flag_if, material_flag, strip_pending
 from ledgermill.operators.dedup import dedup_by_priority
 from ledgermill.operators.filters import effective, still_open
+from ledgermill.operators.joins import spread_blank
 from ledgermill.operators.keys import trim_keys
 from ledgermill.operators.workdays import add_workdays
 from ledgermill.plans.inventory import items, locations, reorder_points, shop_quantities
 from ledgermill.plans.orders import order_comments
 from ledgermill.plans.shop_orders import display_status, headers, operations
-from ledgermill.sources.tables import cache_report
 
 END_OF_TIME = dt.date(9999, 12, 31)
 
@@ -85,7 +85,9 @@ def build_cached_report(t, cal: DataFrame, asof: dt.date, patterns: Sequence[str
         .where(F.col("date_ord").isNotNull())
         .join(shipped, ["id_ord", "seq_line_ord", "id_loc"], "left")
         .where(still_open("id_ship", "line_shipped", "ship_open"))
-        .join(jobs, "id_so", "left")
+        .withColumn("__so", spread_blank("id_so", "id_ord", "seq_line_ord"))
+        .join(jobs.withColumnRenamed("id_so", "__so"), "__so", "left")
+        .drop("__so")
     )
     rows = component_matches(t, open_lines, asof, patterns).withColumn("stocked", F.coalesce("id_item_comp", "id_item"))
 
@@ -169,11 +171,7 @@ def build_cached_report(t, cal: DataFrame, asof: dt.date, patterns: Sequence[str
     )
 
 
-def read_cached_report(t, cached: DataFrame) -> DataFrame:
+def with_comments(t, cached: DataFrame) -> DataFrame:
     """The stored report with comments as they are now."""
     fresh = order_comments(t).select("id_ord", "comment", "date_est_ship")
     return cached.where(F.col("date_ord").isNotNull()).join(fresh, "id_ord", "left")
-
-
-def refresh_cached_report(t, cal: DataFrame, asof: dt.date, path: str, patterns: Sequence[str] = ()) -> DataFrame:
-    return read_cached_report(t, cache_report(build_cached_report(t, cal, asof, patterns), path))

@@ -12,7 +12,7 @@ from ledgermill.functions.amounts import cost_with_fallback, minutes, total_of_p
 from ledgermill.functions.text import describe, first_rule, flag_if
 from ledgermill.operators import quality as q
 from ledgermill.operators.aggregates import listagg, pivot_attrs
-from ledgermill.operators.dedup import dedup_by_priority, latest, prefer
+from ledgermill.operators.dedup import dedup_by_priority, latest, one_per, prefer
 from ledgermill.operators.filters import unexpired
 from ledgermill.operators.keys import trim_keys
 from ledgermill.plans.inventory import items
@@ -122,12 +122,12 @@ def build_products(t, inventory: DataFrame, asof: dt.date) -> DataFrame:
     categories = dedup_by_priority(
         t.product_category.where(F.trim(F.coalesce("code_type_cust", F.lit(""))) == ""), ["code_cat_prdt"], []
     ).select(F.trim("code_cat_prdt").alias("code_cat_prdt"), F.col("descr").alias("vertical_name"))
-    cost_names = t.cost_category.select("code_cat_cost", F.col("descr").alias("cost_name"))
+    cost_names = one_per(t.cost_category, "code_cat_cost").select("code_cat_cost", F.col("descr").alias("cost_name"))
     stocked = dedup_by_priority(trim_keys(t.stock_list, ["id_item"]), ["id_item"], []).withColumn("listed", F.lit(True))
     joined = (
         base.join(costs(t).drop("rowid"), "id_item", "left")
-        .join(F.broadcast(cost_names), "code_cat_cost", "left")
-        .join(F.broadcast(categories), "code_cat_prdt", "left")
+        .join(cost_names, "code_cat_cost", "left")
+        .join(categories, "code_cat_prdt", "left")
         .join(stocked, "id_item", "left")
         .join(sku_attributes(t), "id_item", "left")
         .join(primary_vendors(t), "id_item", "left")

@@ -12,7 +12,7 @@ from ledgermill.functions import fixed_values as fv
 from ledgermill.functions.amounts import decode_vp_tail
 from ledgermill.functions.text import case_map, describe, first_rule, flag_if
 from ledgermill.operators.aggregates import all_of, listagg, pivot_attrs
-from ledgermill.operators.dedup import dedup_by_priority, latest
+from ledgermill.operators.dedup import dedup_by_priority, latest, one_per
 from ledgermill.operators.filters import sales_scope, unexpired
 from ledgermill.operators.joins import exists_flag
 from ledgermill.operators.keys import trim_keys
@@ -59,8 +59,8 @@ def build_sales_history(t, products: DataFrame, since: dt.date = dt.date(2014, 1
         "item_description_parent_sku", "item_color", "item_size", "item_brand", "item_advertised_flag", "item_prop_65", "item_status_child",
         "item_status_parent",
     )
-    places = t.location.select(F.col("id_loc").alias("location_id"), F.col("descr").alias("location_name"))
-    reps = t.sales_rep.select(F.trim("id_slsrep").alias("sales_rep_id"), F.col("name_slsrep").alias("sales_rep_name"))
+    places = one_per(t.location, "id_loc").select(F.col("id_loc").alias("location_id"), F.col("descr").alias("location_name"))
+    reps = one_per(t.sales_rep, "id_slsrep").select(F.trim("id_slsrep").alias("sales_rep_id"), F.col("name_slsrep").alias("sales_rep_name"))
     level = reorder_points(t).select(
         F.col("id_item").alias("item_id"), F.col("id_loc_home").alias("location_id"),
         F.col("level_rop").alias("reorder_point"),
@@ -73,7 +73,7 @@ def build_sales_history(t, products: DataFrame, since: dt.date = dt.date(2014, 1
         F.col("id_cust").alias("customer_id"), "seq_shipto", F.col("name_cust").alias("ship_to_customer_name")
     )
     return (
-        scoped.join(F.broadcast(places), "location_id", "left")
+        scoped.join(places, "location_id", "left")
         .join(reps, "sales_rep_id", "left")
         .join(shipto, ["customer_id", "seq_shipto"], "left")
         .join(product, "item_id", "left")
@@ -195,12 +195,12 @@ def build_invoice_history(t, since: dt.date = dt.date(2014, 1, 1)) -> DataFrame:
         "id_invc", "seq_shipto", F.col("amt_frt").alias("freight_cost"), F.col("tax_sls").alias("sales_tax"),
         F.trim("id_slsrep_1").alias("sales_rep_id"), F.col("city").alias("ship_to_city"),
     )
-    reps = t.sales_rep.select(F.trim("id_slsrep").alias("sales_rep_id"), F.col("name_slsrep").alias("sales_rep_name"))
+    reps = one_per(t.sales_rep, "id_slsrep").select(F.trim("id_slsrep").alias("sales_rep_id"), F.col("name_slsrep").alias("sales_rep_name"))
     product = items(t).select(
         "id_item", describe("descr_1", "descr_2").alias("product_description"), "code_cat_cost", "code_cat_prdt", "key_alt"
     )
-    costs = t.cost_category.select("code_cat_cost", F.col("descr").alias("cost_name"))
-    categories = t.product_category.where(F.trim("code_type_cust") == "").select(
+    costs = one_per(t.cost_category, "code_cat_cost").select("code_cat_cost", F.col("descr").alias("cost_name"))
+    categories = one_per(t.product_category.where(F.trim("code_type_cust") == ""), "code_cat_prdt").select(
         "code_cat_prdt", F.col("descr").alias("prdt_name")
     )
     raw = trim_keys(t.item_attribute, ["id_item", "id_attr"])
@@ -217,17 +217,17 @@ def build_invoice_history(t, since: dt.date = dt.date(2014, 1, 1)) -> DataFrame:
         ["id_item"], "descr_addl", "parent_description", ", ", ["seq_descr"],
     ).withColumnRenamed("id_item", "item_id_parent_sku")
     level = reorder_points(t).select("id_item", F.col("id_loc_home").alias("id_loc"), F.col("level_rop").alias("reorder_level"))
-    places = t.location.select("id_loc", F.col("descr").alias("location_name"))
+    places = one_per(t.location, "id_loc").select("id_loc", F.col("descr").alias("location_name"))
     customers = customers_with_group(t).withColumnRenamed("customer_id", "id_cust_soldto")
     flags = latest_use_flags(t).withColumnRenamed("id_item_par", "id_item")
     joined = (
         lines.join(customers, "id_cust_soldto", "left")
         .join(header, "id_invc", "left")
         .join(reps, "sales_rep_id", "left")
-        .join(F.broadcast(places), "id_loc", "left")
+        .join(places, "id_loc", "left")
         .join(product, "id_item", "left")
-        .join(F.broadcast(costs), "code_cat_cost", "left")
-        .join(F.broadcast(categories), "code_cat_prdt", "left")
+        .join(costs, "code_cat_cost", "left")
+        .join(categories, "code_cat_prdt", "left")
         .join(attributes, "id_item", "left")
         .join(item_verticals(t), "id_item", "left")
         .join(flags, "id_item", "left")

@@ -118,23 +118,24 @@ def _work(t, since: dt.date) -> DataFrame:
 def build_work_centers(t) -> DataFrame:
     """Minutes per work centre and location with staffing."""
     staff = dedup_by_priority(
-        t.work_center_staff.withColumnRenamed("employee_location", "work_center_location"),
+        trim_keys(t.work_center_staff.withColumnRenamed("employee_location", "work_center_location"), ["work_center", "work_center_location"]),
         ["work_center", "work_center_location"], [],
     )
-    return t.work_center_minutes.join(staff, ["work_center", "work_center_location"], "left")
+    return trim_keys(t.work_center_minutes, ["work_center", "work_center_location"]).join(staff, ["work_center", "work_center_location"], "left")
 
 
 def build_shop_work(t, since: dt.date = dt.date(2020, 1, 1)) -> DataFrame:
     """Shop-order work centres: one row per operation with order totals, approvals and efficiency."""
     efficiency = build_work_centers(t).select(
-        F.trim("work_center").alias("work_center"), F.trim("work_center_location").alias("id_loc"),
+        F.trim("work_center").alias("__wc"), F.trim("work_center_location").alias("__loc"),
         "sum_actual_mins", "sum_earned_mins", "sum_avail_mins", "first_shift_ft", "second_shift_ft",
     )
     rows = _work(t, since).where(~F.trim("work_center").isin(*fv.OVERHEAD_WORK_CENTERS))
     return (
         rows.join(operation_totals(t), ["id_loc", *ORDER_KEY], "left")
         .join(material_totals(t), ["id_loc", *ORDER_KEY], "left")
-        .join(efficiency, ["work_center", "id_loc"], "left")
+        .withColumns({"__wc": F.trim("work_center"), "__loc": F.trim("id_loc")})
+        .join(efficiency, ["__wc", "__loc"], "left")
         .select(
             "id_loc", *ORDER_KEY, "id_item_par", "id_oper", "work_center", "oper_wc", "rto_wc", "id_rte",
             "mach_sr_labor_sf", "stat_rec_oper", "o_qty_cmpl", "o_qty_ord", "stat_rec_so", "qty_ord", "qty_cmpl",
@@ -176,7 +177,7 @@ def build_shop_order_info(t, since: dt.date = dt.date(2020, 1, 1)) -> DataFrame:
 def build_shop_orders_by_work_center(t, since: dt.date = dt.date(2020, 1, 1)) -> DataFrame:
     """The operation view with work-centre efficiency, overhead centres left out."""
     efficiency = build_work_centers(t).select(
-        F.trim("work_center").alias("work_center"), F.trim("work_center_location").alias("id_loc"),
+        F.trim("work_center").alias("__wc"), F.trim("work_center_location").alias("__loc"),
         "sum_actual_mins", "sum_earned_mins", "first_shift_ft",
     )
     info = build_shop_order_info(t, since).withColumn("work_center", F.trim("work_center"))

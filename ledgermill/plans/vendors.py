@@ -11,7 +11,7 @@ from ledgermill.functions import fixed_values as fv
 from ledgermill.functions.amounts import decode_vendor_price
 from ledgermill.functions.text import case_map, first_rule
 from ledgermill.operators.aggregates import any_of, listagg
-from ledgermill.operators.dedup import dedup_by_priority, latest
+from ledgermill.operators.dedup import dedup_by_priority, latest, one_per
 from ledgermill.operators.joins import alternative_detail
 from ledgermill.operators.keys import trim_keys
 from ledgermill.plans.inventory import items
@@ -76,12 +76,12 @@ def build_open_purchase_orders(t, location_names: Mapping[str, str] | None = Non
     lines = alternative_detail(item, process, keys)
     open_lines = lines.where((F.col("flag_stat_line_po") != "C") & (F.col("qty_rcv") < F.col("qty_ord")))
     header = t.purchase_header.where(~F.col("flag_stat_po").isin("C", "X"))
-    places = t.location.select(F.col("id_loc").alias("id_loc_shipto"), F.col("descr").alias("table_name"))
+    places = one_per(t.location, "id_loc").select(F.col("id_loc").alias("id_loc_shipto"), F.col("descr").alias("table_name"))
     named = F.coalesce(case_map("id_loc_shipto", location_names or {}, F.lit(None).cast("string")), F.col("table_name"))
     return (
         open_lines.join(header, keys)
-        .join(F.broadcast(places), "id_loc_shipto", "left")
-        .join(F.broadcast(t.buyer.withColumnRenamed("descr", "name_buyer")), "id_buyer", "left")
+        .join(places, "id_loc_shipto", "left")
+        .join(one_per(t.buyer, "id_buyer").withColumnRenamed("descr", "name_buyer"), "id_buyer", "left")
         .select(
             "id_po", "id_line_po", "id_vnd_payto", "id_loc_shipto",
             named.alias("loc_description"),

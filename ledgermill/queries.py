@@ -49,7 +49,7 @@ from ledgermill.plans import (
 )
 from ledgermill.session import configure, shared_folder
 from ledgermill.sources.calendar import calendar, us_holidays
-from ledgermill.sources.erp import Captures
+from ledgermill.sources.erp import Captures, stored_once
 from ledgermill.sources.tables import (
     conform, inline_lookup, load_path, read_mapping, sample, tagged_union, union_all, write_table,
 )
@@ -59,7 +59,9 @@ from ledgermill.streaming.tiers import DAILY, FREQUENT, Source, ingest_tier
 Query = Callable[[SparkSession, str], DataFrame]
 
 ASOF = dt.date(2001, 8, 1)
-FIRST_DAY, LAST_DAY = dt.date(1994, 1, 1), dt.date(2003, 12, 31)
+#: Days that the calendar goes beyond the first and the last date of the tables: derived dates
+#: (requests, promises, closings) and added working days lie within.
+CALENDAR_MARGIN = 1500
 SINCE = dt.date(1996, 1, 1)
 
 REGISTRY: dict[str, Query] = {}
@@ -89,8 +91,14 @@ def query(build: Callable[[SparkSession, Captures], DataFrame]) -> Callable:
     return run
 
 
-def work_calendar(spark: SparkSession) -> DataFrame:
-    return calendar(spark, FIRST_DAY, LAST_DAY, us_holidays(FIRST_DAY.year, LAST_DAY.year))
+def work_calendar(spark: SparkSession, t: Captures) -> DataFrame:
+    """A calendar over all dates of orders and lines, with a margin for dates derived from them."""
+    ordered = t.orders.select(day("o_orderdate").alias("d"))
+    shipped = t.lineitem.select(day("l_shipdate").alias("d"))
+    low, high = ordered.union(shipped).agg(F.min("d"), F.max("d")).head()
+    margin = dt.timedelta(days=CALENDAR_MARGIN)
+    low, high = (low or ASOF) - margin, (high or ASOF) + margin
+    return calendar(spark, low, high, us_holidays(low.year, high.year))
 
 
 def day(column: str):
@@ -105,7 +113,7 @@ def money(column: str):
 
 @query
 def ship_lead_times(spark, t):
-    return flagship.ship_lead_times(t.orders, t.lineitem, work_calendar(spark))
+    return flagship.ship_lead_times(t.orders, t.lineitem, work_calendar(spark, t))
 
 
 # --- sources and sinks ----------------------------------------------------------------------
@@ -131,11 +139,11 @@ def inline_lookup_status(spark, t):
 @query
 def calendar_orders(spark, t):
     dated = t.orders.withColumn("calendar_date", day("o_orderdate")).join(
-        F.broadcast(work_calendar(spark)), "calendar_date"
+        F.broadcast(work_calendar(spark, t)), "calendar_date", "left"
     )
     return dated.groupBy(
         "year", "month", "month_name", "day_of_week", "day_of_week_name", "season", "season_year",
-        flag_if(F.col("is_weekday")).alias("weekday"), "holiday_name",
+        F.when(F.col("is_weekday").isNotNull(), flag_if(F.col("is_weekday"))).alias("weekday"), "holiday_name",
     ).agg(F.count(F.lit(1)).alias("orders"))
 
 
@@ -589,7 +597,7 @@ def workdays_between_dates(spark, t):
     rows = t.order_line.select("id_ord", "seq_line_ord", "rowid", "id_item", "date_rqst", "date_prom", "date_pick_last")
     return workdays_between(
         rows, {"to_promise": ("date_rqst", "date_prom"), "to_request": ("date_prom", "date_rqst"), "since_pick": ("date_pick_last", "date_prom")},
-        work_calendar(spark),
+        work_calendar(spark, t),
     )
 
 
@@ -598,7 +606,7 @@ def added_workdays(spark, t):
     rows = t.orders.select("o_orderkey", day("o_orderdate").alias("d"))
     steps = {"plus_1": ("d", 1), "plus_3": ("d", 3), "plus_10": ("d", 10)}
     rolled = {"rolled_5": ("d", 5), "rolled_10": ("d", 10)}
-    return add_workdays(add_workdays(rows, steps, work_calendar(spark)), rolled, work_calendar(spark), roll=True)
+    return add_workdays(add_workdays(rows, steps, work_calendar(spark, t)), rolled, work_calendar(spark, t), roll=True)
 
 
 @query
@@ -606,7 +614,7 @@ def acknowledge_dates(spark, t):
     lines = t.order_line.join(t.order_header.select("id_ord", "date_ord"), "id_ord").select(
         "id_ord", "seq_line_ord", "rowid", "id_item", "flag_stk", "date_ord", "date_rqst", "date_prom"
     )
-    dated = add_workdays(lines, {"o5": ("date_ord", 5), "p10": ("date_prom", 10)}, work_calendar(spark), roll=True)
+    dated = add_workdays(lines, {"o5": ("date_ord", 5), "p10": ("date_prom", 10)}, work_calendar(spark, t), roll=True)
     return dated.withColumn(
         "date_acknowledged",
         first_rule(
@@ -622,7 +630,7 @@ def acknowledge_dates(spark, t):
 @query
 def sla_flag_counts(spark, t):
     sold = t.sales_transaction.select("ordered_date", "invoice_date")
-    counted = workdays_between(sold, {"wi": ("ordered_date", "invoice_date")}, work_calendar(spark))
+    counted = workdays_between(sold, {"wi": ("ordered_date", "invoice_date")}, work_calendar(spark, t))
     return counted.groupBy(lead_time_range("wi").alias("lead_time")).agg(
         F.count(F.lit(1)).alias("sales"), *(F.count_if(c == "Y").alias(n) for n, c in sla_flags("wi").items())
     )
@@ -776,6 +784,18 @@ def order_cell_diff(spark, t):
     return cell_diff(t.orders, _changed_orders(t), ["o_orderkey"], DIFF_FIELDS)
 
 
+@query
+def line_cell_diff(spark, t):
+    """Keys with several rows on both sides: some rows changed, some missing."""
+    first = (F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "R")
+    second = (F.col("l_linenumber") == 2) & (F.col("l_returnflag") == "A")
+    changed = t.lineitem.where("l_linenumber < 7").select(
+        "l_orderkey", F.when(first, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")).alias("quantity"),
+        F.when(second, "X").otherwise(F.col("l_linestatus")).alias("status"),
+    )
+    return cell_diff(t.lineitem, changed, ["l_orderkey"], {"l_quantity": ("quantity", "number"), "l_linestatus": ("status", "text")})
+
+
 @query
 def order_diff_summary(spark, t):
     return diff_summary(cell_diff(t.orders, _changed_orders(t), ["o_orderkey"], DIFF_FIELDS))
@@ -831,9 +851,8 @@ def order_filter_funnel(spark, t):
         ("6_PROMISE_CUTOFF", c("date_prom") <= F.lit(dt.date(1999, 12, 31))),
     ]
     return filter_funnel(
-        lines, stages, {"total_open_net_value": F.round(F.sum(extend("qty_open", decode_vp("price_sell_net_vp"))), 2)},
-        {"total_orders": "id_ord"},
-    )
+        lines, stages, {"total_open_net_value": extend("qty_open", decode_vp("price_sell_net_vp"))}, {"total_orders": "id_ord"},
+    ).withColumn("total_open_net_value", F.round("total_open_net_value", 2))
 
 
 @query
@@ -867,8 +886,8 @@ def step_counts(spark, t):
 def stream_latest(spark, t):
     feed = spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events*.parquet").parquet(t.directory)
     base = shared_folder(spark, "latest-events")
-    maintain_latest(feed, f"{base}/table", f"{base}/progress", ["user_id"], ["ts", "event_id"], buckets=8).awaitTermination()
-    return read_snapshot(spark, f"{base}/table").select("user_id", "event_id", "event_type", "value")
+    maintain_latest(feed, f"{base}/table", f"{base}/progress", ["user_id"], ["ts", "event_id"]).awaitTermination()
+    return read_snapshot(spark, f"{base}/table", ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
 
 @query
@@ -879,7 +898,9 @@ def stream_tiers(spark, t):
         Source("events", FREQUENT, t.directory, t.events.schema, "events.parquet"),
         Source("part", DAILY, t.directory, t.part.schema, "part.parquet"),
     ]
-    stored = ingest_tier(spark, FREQUENT, sources, f"{base}/bronze", f"{base}/progress")
+    stored = {}
+    for tier in (FREQUENT, DAILY):
+        stored |= ingest_tier(spark, tier, sources, f"{base}/bronze", f"{base}/progress")
     return union_all(
         [spark.read.parquet(path).agg(F.lit(name).alias("source"), F.count("load_timestamp").alias("rows")) for name, path in stored.items()]
     )
@@ -891,22 +912,16 @@ class Masters:
     """The silver masters, each built once per application and directory, stored and read back.
 
     Gold tables read stored silver tables: lineage is cut there, a lost executor
-    costs no rebuild, and each table is scanned only for the columns needed.
+    costs no rebuild, and each table is scanned only for the columns needed.  A
+    master is built anew when a file of the tables has changed.
     """
 
-    _stored: dict[tuple[str, str, str], str] = {}
-
     def __init__(self, spark: SparkSession, t: Captures):
         self._spark = spark
         self._t = t
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self._spark.sparkContext.applicationId, self._t.directory, name)
-        if key not in self._stored:
-            path = shared_folder(self._spark, f"masters/{name}")
-            write_table(build(), path)
-            self._stored[key] = path
-        return load_path(self._spark, self._stored[key])
+        return load_path(self._spark, stored_once(self._spark, self._t, f"masters/{name}", build))
 
     @property
     def orders(self):
@@ -1115,7 +1130,7 @@ def open_orders_view(spark, t):
 def open_orders_with_prices(spark, t):
     m = Masters(spark, t)
     return open_orders.build_open_orders_with_prices(
-        m.orders, m.inventory, m.products, m.shipments, m.shop_work, work_calendar(spark), ASOF
+        m.orders, m.inventory, m.products, m.shipments, m.shop_work, work_calendar(spark, t), ASOF
     )
 
 
@@ -1136,7 +1151,7 @@ def sales_history(spark, t):
 def sales_service(spark, t):
     m = Masters(spark, t)
     history = sales.build_sales_history(t, m.products, SINCE)
-    return sales.build_sales_service(t, history, work_calendar(spark), ASOF)
+    return sales.build_sales_service(t, history, work_calendar(spark, t), ASOF)
 
 
 @query
@@ -1146,5 +1161,6 @@ def invoice_history(spark, t):
 
 @query
 def cached_open_orders(spark, t):
-    path = shared_folder(spark, "open-orders-cache")
-    return cached_report.refresh_cached_report(t, work_calendar(spark), ASOF, path, ["I1%"])
+    """The stored report is read again until a file of the tables changes."""
+    path = stored_once(spark, t, "open-orders-cache", lambda: cached_report.build_cached_report(t, work_calendar(spark, t), ASOF, ["I1%"]))
+    return cached_report.with_comments(t, load_path(spark, path))

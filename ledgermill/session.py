@@ -37,3 +37,26 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own making in whatever file system holds it."""
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and modification times of a table's files; changes when the table does."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return ()
+    found, listing = [], files.listFiles(place, True)
+    while listing.hasNext():
+        status = listing.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))

@@ -13,17 +13,22 @@ put in on purpose: they are what the models have to cope with.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ledgermill.session import shared_folder
+from ledgermill.session import file_state, remove_folder, shared_folder
 from ledgermill.sources.tables import load, load_path, write_table
 
 STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 _REF = re.compile(r"\{(\w+)\}")
-_SHUFFLES = re.compile(r"\b(GROUP BY|JOIN|DISTINCT)\b")
+#: Captures whose derivation shuffles; they are stored as bronze tables are, the others are views.
+STORED = {
+    "booking_line", "fiscal_period", "invoice_line", "item_attribute", "item_base", "item_description", "item_location",
+    "item_vendor", "sales_transaction", "work_center_minutes", "work_center_staff",
+}
 
 
 def _loc(expr: str) -> str:
@@ -537,18 +542,16 @@ class Captures:
     """The capture tables of one directory: ``captures.order_line``.
 
     A capture that is a projection of one table stays a view, so column pruning
-    and filters reach the given files.  One that needs a shuffle is written once
-    per application and directory to the shared folder and read from there, as
-    bronze tables are; ``store_all`` does so with every capture.
+    and filters reach the given files.  Those of ``STORED`` are written once per
+    application and state of the input files to the shared folder and read from
+    there, as bronze tables are.
     """
 
-    store_all = False
-    _stored: dict[tuple[str, str, str], str] = {}
-
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
         self._schemas: dict[str, StructType] = {}
+        self._state: tuple | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in STAR:
@@ -557,24 +560,40 @@ class Captures:
             return frame
         if name not in TABLES:
             raise AttributeError(name)
-        if not (self.store_all or _SHUFFLES.search(TABLES[name])):
+        if name not in STORED:
             return self.derive(name)
-        key = (self.spark.sparkContext.applicationId, self.directory, name)
-        if key not in self._stored:
-            path = shared_folder(self.spark, f"captures/{name}")
-            write_table(self._spread(self.derive(name)), path)
-            self._stored[key] = path
-        path = self._stored[key]
+        path = stored_once(self.spark, self, f"captures/{name}", lambda: self.derive(name).hint("rebalance"))
         frame = load_path(self.spark, path, self._schemas.get(name))
         self._schemas[name] = frame.schema
         return frame
 
+    def state(self) -> tuple:
+        """Files of the given tables with their modification times, read once per object."""
+        if self._state is None:
+            self._state = tuple(file_state(self.spark, f"{self.directory}/{name}.parquet") for name in STAR)
+        return self._state
+
     def derive(self, name: str) -> DataFrame:
         """The capture as a lazy derivation of the given tables."""
         statement = TABLES[name]
         return self.spark.sql(statement, **{ref: getattr(self, ref) for ref in references(statement)})
 
-    def _spread(self, frame: DataFrame) -> DataFrame:
-        """Give a capture from fewer files than cores one part per core; larger ones are written as they come."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return frame.repartition(cores) if len(frame.inputFiles()) < cores else frame
+
+_PATHS: dict[tuple[str, str, str], tuple[tuple, str]] = {}
+
+
+def stored_once(spark: SparkSession, t: Captures, purpose: str, build: Callable[[], DataFrame]) -> str:
+    """Path of a stored table, written once per application and state of the input files.
+
+    When an input has changed the table is written anew, and the one it replaces is removed.
+    """
+    key = (spark.sparkContext.applicationId, t.directory, purpose)
+    state, path = _PATHS.get(key, (None, None))
+    if state != t.state():
+        new = shared_folder(spark, purpose)
+        write_table(build(), new)
+        _PATHS[key] = (t.state(), new)
+        if path:
+            remove_folder(spark, path)
+        path = new
+    return path

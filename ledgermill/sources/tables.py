@@ -76,9 +76,3 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
-
-
-def cache_report(df: DataFrame, path: str) -> DataFrame:
-    """Store a report once and hand back the stored copy, to which late columns are joined."""
-    write_table(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

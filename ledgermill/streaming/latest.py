@@ -1,10 +1,14 @@
 """Incremental upkeep of a latest-row-per-key table from a change feed.
 
-The snapshot is plain parquet, split into hash buckets of the key.  A batch
-rewrites only the buckets its keys fall into, as a new version directory, and
-then records (bucket, version) pairs.  Readers join data and records, so they
-see whole versions only; a batch that is run again writes the same partitions
-again.  Nothing is held on the driver.
+The table is plain parquet.  Every batch is appended as a version of its own,
+reduced to the newest row per key; readers take the newest row over the last
+base version and the versions after it.  ``compact`` writes what they would read
+as a new base and removes the versions before it, so the number of versions to
+be read stays small.  A batch writes what it brings, whatever the size of the table.
+
+Records name the versions that are complete and the batch each came from.  A
+batch that is run again writes its own version again; a run with a fresh checkpoint
+continues from the newest version.  Nothing but the few records is held on the driver.
 """
 
 from __future__ import annotations
@@ -17,76 +21,73 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.operators.dedup import latest
+from ledgermill.session import remove_folder
 
-BUCKET, VERSION = "__bucket", "__version"
+RECORD = "version long, run string, batch long, kind string"
+START, DELTA, BASE = "start", "delta", "base"
+COMPACT_AFTER = 20
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table under a path; none only where the path does not exist."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def _current_versions(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Newest version per bucket; ``before`` looks past a batch that is run again."""
+def _records(spark: SparkSession, path: str) -> list:
     records = _read(spark, f"{path}/versions")
     if records is None:
-        return None
-    if before is not None:
-        records = records.where(F.col(VERSION) < before)
-    return records.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))
+        if _read(spark, f"{path}/data") is not None:
+            raise ValueError(f"the records of the versions under {path} are missing beside their data")
+        return []
+    return records.select("version", "run", "batch", "kind").collect()
 
 
-def _current(spark: SparkSession, path: str) -> DataFrame | None:
-    versions = _current_versions(spark, path)
-    if versions is None:
-        return None
-    # one row per bucket: as small as the fixed number of buckets
-    return spark.read.parquet(f"{path}/data").join(F.broadcast(versions), [BUCKET, VERSION])
+def _record(spark: SparkSession, path: str, version: int, run: str, batch: int, kind: str) -> None:
+    row = spark.createDataFrame([(version, run, batch, kind)], RECORD)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/versions/part={version}")
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    snapshot = _current(spark, path)
-    if snapshot is None:
+def _paths(path: str, records: list) -> list[str]:
+    """Folders of the last base and of the versions after it."""
+    base = max((r["version"] for r in records if r["kind"] == BASE), default=0)
+    wanted = sorted(r["version"] for r in records if r["kind"] != START and r["version"] >= base)
+    return [f"{path}/data/part={version}" for version in wanted]
+
+
+def read_snapshot(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest row per key."""
+    paths = _paths(path, _records(spark, path))
+    if not paths:
         raise ValueError(f"no snapshot under {path}")
-    return snapshot.drop(BUCKET, VERSION)
+    return latest(spark.read.parquet(*paths), keys, order)
 
 
-def upsert_batch(
-    batch: DataFrame, version: int, path: str, keys: Sequence[str], order: Sequence[str], buckets: int
-) -> None:
-    """Merge one batch of changes into the snapshot under the given version number."""
+def upsert_batch(batch: DataFrame, run: str, number: int, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Append one batch of changes; ``run`` and ``number`` name it when it is run again."""
     spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in keys)), F.lit(buckets)).cast("int")
-    changes = latest(batch, keys, order).withColumn(BUCKET, bucket)
-    versions = _current_versions(spark, path, before=version)
-    if versions is not None:
-        touched = changes.select(BUCKET).distinct()
-        stored = (
-            spark.read.parquet(f"{path}/data")
-            .join(F.broadcast(versions), [BUCKET, VERSION], "left_semi")
-            .join(F.broadcast(touched), BUCKET, "left_semi")
-            .drop(VERSION)
-        )
-        changes = latest(changes.unionByName(stored.select(*changes.columns)), keys, order)
-    stamped = changes.withColumn(VERSION, F.lit(version).cast("long"))
-    (
-        stamped.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(VERSION, BUCKET)
-        .parquet(f"{path}/data")
-    )
-    written = spark.read.parquet(f"{path}/data").where(F.col(VERSION) == version).select(BUCKET).distinct()
-    (
-        written.withColumn(VERSION, F.lit(version).cast("long"))
-        .withColumn("__batch", F.lit(version).cast("long"))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("__batch")
-        .parquet(f"{path}/versions")
-    )
+    records = _records(spark, path)
+    if not records:
+        _record(spark, path, 0, "", -1, START)  # before any data, so that data alone is a damaged table
+    known = [r["version"] for r in records if (r["run"], r["batch"]) == (run, number)]
+    version = known[0] if known else max((r["version"] for r in records), default=0) + 1
+    latest(batch, keys, order).write.mode("overwrite").parquet(f"{path}/data/part={version}")
+    _record(spark, path, version, run, number, DELTA)
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Write the current rows as a new base and remove the data it replaces."""
+    records = _records(spark, path)
+    old = _paths(path, records)
+    version = max(r["version"] for r in records) + 1
+    read_snapshot(spark, path, keys, order).write.mode("overwrite").parquet(f"{path}/data/part={version}")
+    _record(spark, path, version, "", -1, BASE)
+    for folder in old:
+        remove_folder(spark, folder)
 
 
 def maintain_latest(
@@ -95,22 +96,24 @@ def maintain_latest(
     checkpoint: str,
     keys: Sequence[str],
     order: Sequence[str],
-    buckets: int = 64,
     event_time: str | None = None,
     replay_window: str | None = None,
 ) -> StreamingQuery:
     """Start the upkeep of a snapshot from a streaming change feed; runs until the feed is drained.
 
     With ``event_time`` and ``replay_window`` rows delivered again within the
-    window are dropped before the merge.
+    window are dropped before the merge.  A checkpoint may be replaced by a fresh
+    one under another path: its batches continue the table.
     """
     if event_time and replay_window:
         changes = changes.withWatermark(event_time, replay_window).dropDuplicatesWithinWatermark(
             [*keys, *order]
         )
 
-    def merge(batch: DataFrame, version: int) -> None:
-        upsert_batch(batch, version, path, keys, order, buckets)
+    def merge(batch: DataFrame, number: int) -> None:
+        upsert_batch(batch, checkpoint, number, path, keys, order)
+        if len(_paths(path, _records(batch.sparkSession, path))) > COMPACT_AFTER:
+            compact(batch.sparkSession, path, keys, order)
 
     return (
         changes.writeStream.foreachBatch(merge)

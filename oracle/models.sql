@@ -3,7 +3,7 @@ SELECT CAST(range AS DATE) AS d,
        dayofweek(range) BETWEEN 1 AND 5 AS weekday,
        CASE strftime(range, '%m-%d') WHEN '01-01' THEN 'New Year' WHEN '07-04' THEN 'Independence Day'
             WHEN '12-25' THEN 'Christmas' END AS holiday
-FROM range(TIMESTAMP '1994-01-01', TIMESTAMP '2004-01-01', INTERVAL 1 DAY)
+FROM range(TIMESTAMP '1985-01-01', TIMESTAMP '2030-01-01', INTERVAL 1 DAY)
 
 -- name: x_work
 SELECT d, CAST(row_number() OVER (ORDER BY d) AS BIGINT) AS n FROM x_days WHERE weekday AND holiday IS NULL

@@ -28,10 +28,10 @@ FROM orders GROUP BY 1, 2
 SELECT CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, monthname(d) AS month_name,
        CAST(dayofweek(d) + 1 AS INT) AS day_of_week, dayname(d) AS day_of_week_name,
        CASE WHEN month(d) IN (12, 1, 2) THEN 'Winter' WHEN month(d) IN (3, 4, 5) THEN 'Spring'
-            WHEN month(d) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season,
+            WHEN month(d) IN (6, 7, 8) THEN 'Summer' WHEN d IS NOT NULL THEN 'Fall' END AS season,
        CAST(CASE WHEN month(d) = 12 THEN year(d) + 1 ELSE year(d) END AS INT) AS season_year,
-       CASE WHEN weekday THEN 'Y' ELSE 'N' END AS weekday, holiday AS holiday_name, count(*) AS orders
-FROM orders JOIN x_days ON CAST(o_orderdate AS DATE) = d GROUP BY ALL
+       CASE WHEN weekday THEN 'Y' WHEN NOT weekday THEN 'N' END AS weekday, holiday AS holiday_name, count(*) AS orders
+FROM orders LEFT JOIN x_days ON CAST(o_orderdate AS DATE) = d GROUP BY ALL
 
 -- name: renamed_orders
 -- text: Date_Ordered
@@ -318,10 +318,14 @@ LEFT JOIN c c2 ON l.date_prom = c2.a AND l.date_rqst = c2.b LEFT JOIN c c3 ON l.
 -- text: d, plus_1, plus_3, plus_10, rolled_5, rolled_10
 WITH b AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
 f AS (SELECT b.d, w.d AS hit, row_number() OVER (PARTITION BY b.d ORDER BY w.d) AS n FROM b JOIN x_work w ON w.d > b.d AND w.d < b.d + 40),
-g AS (SELECT b.d, w.d AS hit, row_number() OVER (PARTITION BY b.d ORDER BY w.d) AS n FROM b JOIN x_work w ON w.d >= b.d AND w.d < b.d + 40)
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, f1.hit AS plus_1, f3.hit AS plus_3, f10.hit AS plus_10, g5.hit AS rolled_5, g10.hit AS rolled_10
-FROM orders JOIN f f1 ON CAST(o_orderdate AS DATE) = f1.d AND f1.n = 1 JOIN f f3 ON f1.d = f3.d AND f3.n = 3
-JOIN f f10 ON f1.d = f10.d AND f10.n = 10 JOIN g g5 ON f1.d = g5.d AND g5.n = 6 JOIN g g10 ON f1.d = g10.d AND g10.n = 11
+g AS (SELECT b.d, w.d AS hit, row_number() OVER (PARTITION BY b.d ORDER BY w.d) AS n FROM b JOIN x_work w ON w.d >= b.d AND w.d < b.d + 40),
+days AS (
+    SELECT d, max(hit) FILTER (k = 'f' AND n = 1) AS plus_1, max(hit) FILTER (k = 'f' AND n = 3) AS plus_3,
+           max(hit) FILTER (k = 'f' AND n = 10) AS plus_10, max(hit) FILTER (k = 'g' AND n = 6) AS rolled_5,
+           max(hit) FILTER (k = 'g' AND n = 11) AS rolled_10
+    FROM (SELECT 'f' AS k, * FROM f UNION ALL SELECT 'g', * FROM g) GROUP BY d
+)
+SELECT o_orderkey, days.* FROM orders JOIN days ON CAST(o_orderdate AS DATE) = days.d
 
 -- name: acknowledge_dates
 -- text: date_ord, date_rqst, date_prom, date_acknowledged
@@ -424,6 +428,31 @@ SELECT test_id, 'FAIL' AS severity, n AS failed_rows, CASE WHEN n = 0 THEN 'PASS
 SELECT o_orderkey, issue_type, old_column, new_column, coalesce(old_text, CAST(po AS VARCHAR)) AS old_value,
        coalesce(new_text, CAST(pn AS VARCHAR)) AS new_value FROM x_diff
 
+-- name: line_cell_diff
+WITH o AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS k, CAST(l_quantity AS VARCHAR) AS q, l_linestatus AS m FROM lineitem
+), n AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS k,
+           CAST(l_quantity + CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN 1 ELSE 0 END AS VARCHAR) AS q,
+           CASE WHEN l_linenumber = 2 AND l_returnflag = 'A' THEN 'X' ELSE l_linestatus END AS m
+    FROM lineitem WHERE l_linenumber < 7
+), a AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY q, m) AS r FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n)
+), b AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY q, m) AS r FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o)
+), p AS (
+    SELECT coalesce(a.k, b.k) AS k, a.q AS aq, b.q AS bq, a.m AS am, b.m AS bm, a.k IS NULL AS no_a, b.k IS NULL AS no_b
+    FROM a FULL JOIN b ON a.k = b.k AND a.r = b.r
+)
+SELECT k AS l_orderkey, 'VALUE_MISMATCH' AS issue_type, 'l_quantity' AS old_column, 'quantity' AS new_column, aq AS old_value, bq AS new_value
+FROM p WHERE abs(CAST(aq AS DOUBLE) - CAST(bq AS DOUBLE)) > 0.01
+UNION ALL
+SELECT k, 'VALUE_MISMATCH', 'l_linestatus', 'status', am, bm FROM p WHERE upper(trim(am)) <> upper(trim(bm))
+UNION ALL
+SELECT k, 'MISSING_IN_NEW', NULL, NULL, 'ROW_PRESENT', 'ROW_MISSING' FROM p WHERE no_b
+UNION ALL
+SELECT k, 'MISSING_IN_OLD', NULL, NULL, 'ROW_MISSING', 'ROW_PRESENT' FROM p WHERE no_a
+
 -- name: order_diff_summary
 SELECT issue_type, old_column, new_column, count(*) AS issue_count FROM x_diff GROUP BY 1, 2, 3
 
@@ -504,6 +533,7 @@ SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVE
 
 -- name: stream_tiers
 SELECT 'orders' AS source, count(*) AS rows FROM orders UNION ALL SELECT 'events', count(*) FROM events
+UNION ALL SELECT 'part', count(*) FROM part
 
 -- name: orders_master
 -- text: date_order_requested, date_order_promised, date_order_last_picked, date_line_added, date_ordered, date_order_added, date_shipment_estimate

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ledgermill.operators import quality as q
 from ledgermill.operators.aggregates import listagg, pivot_attrs, rank_to_columns, share_of_total
-from ledgermill.operators.dedup import dedup_by_priority, latest, prefer
+from ledgermill.operators.dedup import dedup_by_priority, latest, one_per, prefer
 from ledgermill.operators.filters import apply_params, effective, not_deleted, unexpired
 from ledgermill.operators.joins import (
-    alternative_detail, best_match, full_reconcile, interval_join, lookup_default, orphans, salted_join,
+    alternative_detail, best_match, enrich, full_reconcile, interval_join, lookup_default, orphans, salted_join, spread_blank,
 )
 from ledgermill.operators.profile import profile
 from ledgermill.operators.reconcile import cell_diff, duplicates, filter_funnel, reconcile
@@ -150,7 +150,7 @@ def test_cell_diff_null_rules_and_duplicates(spark):
     fields = {"n": ("n", "number"), "t": ("t", "text")}
     got = cell_diff(old, new, ["k"], fields)
     assert rows(got, "k", "issue_type", "old_column") == [
-        ("2", "VALUE_MISMATCH", "n"), ("3", "MISSING_IN_NEW", None), ("5", "MISSING_IN_OLD", None)
+        ("2", "VALUE_MISMATCH", "n"), ("3", "MISSING_IN_NEW", None), ("4", "MISSING_IN_NEW", None), ("5", "MISSING_IN_OLD", None)
     ]
     strict = cell_diff(old, new, ["k"], fields, strict=True)
     assert ("1", "VALUE_MISMATCH", "n") in rows(strict, "k", "issue_type", "old_column")
@@ -159,7 +159,7 @@ def test_cell_diff_null_rules_and_duplicates(spark):
 
 def test_funnel_counts_every_stage(spark):
     df = spark.createDataFrame([(1, 5, 1.0), (1, 0, 2.0), (2, 7, 4.0), (3, None, 8.0)], "o int, q int, v double")
-    got = filter_funnel(df, [("1", None), ("2", F.col("q") > 0), ("3", F.col("q") > 6)], {"v": F.sum("v")}, {"orders": "o"})
+    got = filter_funnel(df, [("1", None), ("2", F.col("q") > 0), ("3", F.col("q") > 6)], {"v": F.col("v")}, {"orders": "o"})
     assert rows(got, "stage", "orders", "total_line_items", "v") == [("1", 3, 4, 15.0), ("2", 2, 2, 5.0), ("3", 1, 1, 4.0)]
 
 
@@ -215,3 +215,32 @@ def test_hot_join_partition_is_split_even_before_a_window(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_cell_diff_compares_every_row_of_a_repeated_key(spark):
+    fields = {"v": ("w", "number")}
+
+    def diff(old, new):
+        a = spark.createDataFrame([("k", v) for v in old], "k string, v int")
+        b = spark.createDataFrame([("k", v) for v in new], "k string, w int")
+        return sorted((r.issue_type, r.old_value, r.new_value) for r in cell_diff(a, b, ["k"], fields).collect())
+
+    assert diff([1, 5], [1, 9]) == [("VALUE_MISMATCH", "5", "9")]
+    assert diff([1, 1, 5], [1, 5]) == [("MISSING_IN_NEW", "ROW_PRESENT", "ROW_MISSING")]
+    assert diff([1, 1], [1, 1, 2, 3]) == [("MISSING_IN_OLD", "ROW_MISSING", "ROW_PRESENT")] * 2
+    assert diff([5, 1, 1], [1, 5, 1]) == []
+
+
+def test_dimensions_with_repeated_codes_do_not_multiply_facts(spark):
+    facts = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "code string, n int")
+    names = spark.createDataFrame([("A", "x"), ("A ", "w"), ("B", "y"), ("B", "y")], "code string, name string")
+    got = sorted((r.code, r.name) for r in enrich(facts, (one_per(names, "code"), "code")).collect())
+    assert got == [("A", "w"), ("B", "y"), ("C", None)]
+
+
+def test_blank_keys_are_spread_and_match_nothing(spark):
+    rows = spark.createDataFrame([(i, None if i % 3 else " ") for i in range(900)] + [(1000, " K1 ")], "i int, k string")
+    spread = rows.withColumn("key", spread_blank("k", "i"))
+    assert spread.select("key").distinct().count() > 500
+    other = spark.createDataFrame([("K1", 1), ("", 2)], "key string, v int")
+    assert [r.v for r in spread.join(other, "key", "left").where("v IS NOT NULL").collect()] == [1]

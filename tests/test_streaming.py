@@ -1,32 +1,63 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.sources.tables import append_table
-from ledgermill.streaming.latest import maintain_latest, read_snapshot, upsert_batch
+from ledgermill.streaming.latest import compact, maintain_latest, read_snapshot, upsert_batch
 from ledgermill.streaming.tiers import DAILY, FREQUENT, Source, ingest_tier
 
 SCHEMA = "k string, rowid int, v string"
 
 
+def rows(spark, table):
+    return sorted(map(tuple, read_snapshot(spark, table, ["k"], ["rowid"]).collect()))
+
+
 def test_feed_is_merged_run_by_run(spark, tmp_path):
     feed, table, progress = (str(tmp_path / n) for n in ("feed", "table", "progress"))
     batches = [[("a", 1, "a1"), ("b", 1, "b1"), ("a", 2, "a2")], [("b", 3, "b3"), ("c", 1, "c1"), ("a", 1, "late")]]
     for batch in batches:
         append_table(spark.createDataFrame(batch, SCHEMA), feed)
         changes = spark.readStream.schema(SCHEMA).parquet(feed)
-        maintain_latest(changes, table, progress, ["k"], ["rowid"], buckets=3).awaitTermination()
-    assert sorted(map(tuple, read_snapshot(spark, table).collect())) == [("a", 2, "a2"), ("b", 3, "b3"), ("c", 1, "c1")]
+        maintain_latest(changes, table, progress, ["k"], ["rowid"]).awaitTermination()
+    assert rows(spark, table) == [("a", 2, "a2"), ("b", 3, "b3"), ("c", 1, "c1")]
 
 
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     table = str(tmp_path / "table")
-    first = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], SCHEMA)
-    second = spark.createDataFrame([("a", 2, "z")], SCHEMA)
-    upsert_batch(first, 0, table, ["k"], ["rowid"], 2)
+    upsert_batch(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], SCHEMA), "run", 0, table, ["k"], ["rowid"])
     for _ in range(2):
-        upsert_batch(second, 1, table, ["k"], ["rowid"], 2)
-    assert sorted(map(tuple, read_snapshot(spark, table).collect())) == [("a", 2, "z"), ("b", 1, "y")]
+        upsert_batch(spark.createDataFrame([("a", 2, "z")], SCHEMA), "run", 1, table, ["k"], ["rowid"])
+    assert rows(spark, table) == [("a", 2, "z"), ("b", 1, "y")]
+
+
+def test_fresh_checkpoint_continues_the_table(spark, tmp_path):
+    table = str(tmp_path / "table")
+    for number in range(5):
+        upsert_batch(spark.createDataFrame([("a", 1, "old")], SCHEMA), "first", number, table, ["k"], ["rowid"])
+    upsert_batch(spark.createDataFrame([("a", 2, "new")], SCHEMA), "second", 0, table, ["k"], ["rowid"])
+    assert rows(spark, table) == [("a", 2, "new")]
+
+
+def test_compaction_keeps_the_rows_and_removes_old_data(spark, tmp_path):
+    table = tmp_path / "table"
+    for number in range(4):
+        upsert_batch(spark.createDataFrame([("a", number, f"v{number}"), (f"k{number}", 1, "x")], SCHEMA), "run", number, str(table), ["k"], ["rowid"])
+    before = rows(spark, str(table))
+    compact(spark, str(table), ["k"], ["rowid"])
+    assert rows(spark, str(table)) == before
+    assert [p.name for p in (table / "data").iterdir()] == ["part=5"]
+    upsert_batch(spark.createDataFrame([("a", 9, "last")], SCHEMA), "run", 4, str(table), ["k"], ["rowid"])
+    assert ("a", 9, "last") in rows(spark, str(table))
+
+
+def test_missing_records_beside_data_are_an_error(spark, tmp_path):
+    table = tmp_path / "table"
+    upsert_batch(spark.createDataFrame([("a", 1, "x")], SCHEMA), "run", 0, str(table), ["k"], ["rowid"])
+    (table / "versions").rename(tmp_path / "elsewhere")
+    with pytest.raises(ValueError):
+        upsert_batch(spark.createDataFrame([("a", 2, "y")], SCHEMA), "run", 1, str(table), ["k"], ["rowid"])
 
 
 def test_replayed_rows_are_dropped_within_the_window(spark, tmp_path):
@@ -35,8 +66,8 @@ def test_replayed_rows_are_dropped_within_the_window(spark, tmp_path):
     schema = "k string, ts timestamp, v int"
     append_table(spark.createDataFrame([("a", stamp, 1), ("a", stamp, 1), ("b", stamp, 2)], schema), feed)
     changes = spark.readStream.schema(schema).parquet(feed)
-    maintain_latest(changes, table, progress, ["k"], ["ts"], 2, "ts", "10 minutes").awaitTermination()
-    assert read_snapshot(spark, table).count() == 2
+    maintain_latest(changes, table, progress, ["k"], ["ts"], "ts", "10 minutes").awaitTermination()
+    assert read_snapshot(spark, table, ["k"], ["ts"]).count() == 2
 
 
 def test_a_tier_run_drains_its_own_sources_once(spark, tmp_path):
