@@ -87,12 +87,6 @@ REPORT_VERTICALS = {
     "45": "GOVERNMENT - NON MILITARY",
 }
 
-# Work centre to product family.
-WORK_CENTER_FAMILIES = {
-    "3300": "JACKETS", "3301": "POLOS", "3302": "SHIRTS", "3303": "TSHIRTS", "3304": "FLEECE",
-    "3305": "ODDLOT", "3306": "MASKS", "3307": "GOWNS",
-}
-
 # Item attributes kept as columns: attribute id to column name.
 SKU_ATTRIBUTES = {
     "ID_PARENT": "item_id_parent_sku", "CERT_NUM": "item_certificate_number", "COLOR": "item_color",

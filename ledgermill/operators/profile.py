@@ -82,7 +82,7 @@ def profile(df: DataFrame, sample_pct: float | None = None, k: int = 5, few: int
     spread = distincts(counts)
     sampled = counts if sample_pct is None else value_counts(sample_rows(df, sample_pct))
     present = sampled.where(F.col("value").isNotNull())
-    picks = qualify(present.drop("n"), ["column_name"], [F.xxhash64("value"), F.col("value")], k)
+    picks = qualify(present.drop("n"), ["column_name"], [F.md5("value"), F.col("value")], k)
     samples = listagg(picks, ["column_name"], "value", "sample_values")
 
     narrow = spread.where(F.col("distinct_count") < few).select("column_name", "filled")

@@ -39,7 +39,7 @@ def topk_values(df: DataFrame, k: int, columns: Sequence[str] | None = None) ->
     """Up to ``k`` distinct values per column in a stable pseudo-random order."""
     present = long_values(df, columns).where(F.trim("value") != "")
     distinct = present.groupBy("ordinal", "column_name", "value").count().drop("count")
-    return qualify(distinct, ["ordinal", "column_name"], [F.xxhash64("value"), F.col("value")], k)
+    return qualify(distinct, ["ordinal", "column_name"], [F.md5("value"), F.col("value")], k)
 
 
 def first_values(df: DataFrame, k: int, columns: Sequence[str] | None = None) -> DataFrame:

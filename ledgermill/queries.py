@@ -38,7 +38,7 @@ from ledgermill.operators.joins import (
 )
 from ledgermill.operators.keys import rename_by_table, select_except, trim_keys
 from ledgermill.operators.profile import profile, sample_values
-from ledgermill.operators.ranking import first_values, frequency, sample_failures, sorted_output
+from ledgermill.operators.ranking import first_values, frequency, sample_failures, sorted_output, topk_values
 from ledgermill.operators.reconcile import (
     cell_diff, diff_summary, duplicates, filter_funnel, overlap_audit, reconcile, run_log,
 )
@@ -51,7 +51,7 @@ from ledgermill.session import configure, shared_folder
 from ledgermill.sources.calendar import calendar, us_holidays
 from ledgermill.sources.erp import Captures, stored_once
 from ledgermill.sources.tables import (
-    conform, inline_lookup, load_path, read_mapping, sample, tagged_union, union_all, write_table,
+    conform, inline_lookup, load_path, read_mapping, sample, stamp, tagged_union, union_all, write_table,
 )
 from ledgermill.streaming.latest import maintain_latest, read_snapshot
 from ledgermill.streaming.tiers import DAILY, FREQUENT, Source, ingest_tier
@@ -161,7 +161,7 @@ def conformed_orders(spark, t):
 
 @query
 def sampled_orders(spark, t):
-    return sample(t.orders, 10).select("o_orderkey", "o_orderstatus")
+    return sample(t.orders, 10, ["o_orderkey"]).select("o_orderkey", "o_orderstatus")
 
 
 @query
@@ -865,6 +865,18 @@ def profile_samples(spark, t):
     return profile(t.customer, sample_pct=50).select("column_name", "data_type", "sample_values")
 
 
+@query
+def hash_ordered_values(spark, t):
+    return topk_values(t.orders.select("o_orderstatus", "o_orderpriority", "o_custkey"), 3)
+
+
+@query
+def refresh_stamps(spark, t):
+    """Every row of a refreshed table carries the time of its refresh."""
+    lines = stamp(t.order_line.select("id_ord", "seq_line_ord"))
+    return lines.agg(F.count(F.lit(1)).alias("rows"), F.count("load_timestamp").alias("stamped"), F.count_distinct("load_timestamp").alias("refreshes"))
+
+
 @query
 def column_samples(spark, t):
     return sample_values(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), 10)

@@ -46,9 +46,14 @@ def read_mapping(spark: SparkSession, path: str, schema: str = MAPPING_SCHEMA) -
     return frame.select(*(F.trim(c).alias(c) for c in frame.columns))
 
 
-def sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
-    """Keep each row independently with the given probability (in percent)."""
-    return df.sample(withReplacement=False, fraction=percent / 100.0, seed=seed)
+def sample(df: DataFrame, percent: float, keys: Sequence[str]) -> DataFrame:
+    """About the given percentage of the rows, chosen by a hash of their key.
+
+    The same rows are kept however the table is stored or partitioned.
+    """
+    text = F.concat_ws("|", *(F.col(k).cast("string") for k in keys))
+    limit = format(min(2**32 - 1, int(percent / 100 * 2**32)), "08x")
+    return df.where(F.substring(F.md5(text), 1, 8) < limit)
 
 
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:

@@ -1028,3 +1028,18 @@ LEFT JOIN shop_operation o3 ON x.so = trim(o3.id_so) AND o3.sufx_so = 0 AND o3.i
 LEFT JOIN cm ON x.id_ord = cm.id_ord
 LEFT JOIN x_index i3 ON x.date_ord = i3.d LEFT JOIN x_work w3 ON w3.n = i3.n + 3 LEFT JOIN x_index i1 ON x.date_add = i1.d LEFT JOIN x_work w1 ON w1.n = i1.n + 1
 LEFT JOIN x_index i10 ON x.date_prom = i10.d LEFT JOIN x_work w10 ON w10.n = i10.n + 10
+
+-- name: sampled_orders
+SELECT o_orderkey, o_orderstatus FROM orders WHERE substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) < '19999999'
+
+-- name: hash_ordered_values
+WITH v AS (
+    SELECT DISTINCT 1 AS ordinal, 'o_orderstatus' AS column_name, CAST(o_orderstatus AS VARCHAR) AS value FROM orders
+    UNION ALL SELECT DISTINCT 2, 'o_orderpriority', CAST(o_orderpriority AS VARCHAR) FROM orders
+    UNION ALL SELECT DISTINCT 3, 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders
+)
+SELECT ordinal, column_name, value FROM v WHERE trim(value) <> ''
+QUALIFY row_number() OVER (PARTITION BY ordinal ORDER BY md5(value), value) <= 3
+
+-- name: refresh_stamps
+SELECT count(*) AS rows, count(*) AS stamped, CAST(1 AS BIGINT) AS refreshes FROM order_line
