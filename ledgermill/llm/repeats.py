@@ -7,7 +7,8 @@ Texts are cut so that equal strings of ``LENGTH`` bytes meet: every such string
 anchor, its leftmost gram of ``GRAM`` bytes with the least hash, and a run of
 neighbouring strings with one anchor is a segment of at most
 ``2 * LENGTH - GRAM`` bytes.  Segments of anchors whose hash comes up once in all texts hold no
-repeat and are left out before any text is moved.  The others, made distinct and weighted,
+repeat and are left out before any text is moved.  The others are made distinct and weighted.
+Where all occurrences of an anchor have the same segment, all of it repeats; the rest
 form collections of about ``COLLECTION`` bytes, all segments of an anchor in one.
 
 In each collection the transform and the common prefixes are built column by column: all
@@ -17,7 +18,9 @@ longer than the least between equal symbols.  Each round reads the two sequences
 round before from front to back and writes new ones.  The number of
 rounds is bounded by the length of a segment, and the sequences by the collection,
 so they are held in memory rather than in files, which another executor could not see.
-Neighbours with a common prefix of ``LENGTH`` are repeats; so is all of a segment of weight two.
+A symbol is ``SYMBOL`` bytes, counted from the anchor, so that equal strings are cut alike: neighbours
+with a common prefix of as many symbols as every string holds are candidates, whose strings
+are then compared byte for byte by hashes.  All of a segment of weight two repeats.
 
 An anchor with more than ``CROWD`` distinct segments would make one collection too large.
 Its strings are counted one by one by their hashes instead, with the same result.
@@ -45,12 +48,12 @@ from ledgermill.llm.text import _BYTE, Texts, column, mix, powers, signed, slice
 
 LENGTH = 400
 GRAM = 64
-COLLECTION = 2 << 20
+COLLECTION = 1 << 20
 CROWD = 2000
 STRETCH = 1 << 20  # bytes of a long text that are cut at once
 PLACE = 20  # bits of a position in a stretch
 FLUSH = 1 << 20
-END = 255  # no byte of UTF-8
+SYMBOL = 8
 
 
 def _hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -84,8 +87,8 @@ class Settings:
     stretch: int = STRETCH
 
 
-def cut(texts: Texts, use: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of all texts: anchor hash, text, first byte and end (in its text)."""
+def cut(texts: Texts, use: Settings) -> tuple[np.ndarray, ...]:
+    """Segments of all texts: anchor hash, text, first byte and end (in its text), place of the anchor in it."""
     out = []
     for k in np.flatnonzero(np.diff(texts.offsets) >= use.length):
         begin, end = int(texts.offsets[k]), int(texts.offsets[k + 1])
@@ -96,19 +99,22 @@ def cut(texts: Texts, use: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray
             least = _sliding_least(keys, use.length - use.gram + 1)
             first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
             last = np.append(first[1:], len(least)) - 1
-            anchor = grams[(least[first] & np.uint64((1 << PLACE) - 1)).astype(np.int64)]
-            out.append((anchor, np.full(len(first), k), at - begin + first, at - begin + last + use.length))
+            place = (least[first] & np.uint64((1 << PLACE) - 1)).astype(np.int64)
+            out.append((grams[place], np.full(len(first), k), at - begin + first, at - begin + last + use.length, place - first))
     if not out:
         none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none, none
+        return np.empty(0, np.uint64), none, none, none, none
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def transform(data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Transform and common prefixes of a collection, its texts one after the other, longest first."""
-    m = len(length)
-    end = np.cumsum(length)
-    data = np.where(data == END, 192, data).astype(np.uint8)
+    """Transform and common prefixes of a collection, its texts one after the other, longest first.
+
+    Symbols are numbers from 0; one more than the largest stands for a text's end.
+    """
+    m, last = len(length), int(data.max()) + 1
+    kind = np.uint16 if last < 1 << 16 else np.int64
+    data, end = data.astype(kind), np.cumsum(length)
     symbols, common = data[end - 1], np.zeros(m, np.uint16)
     place = np.arange(m)
 
@@ -120,25 +126,22 @@ def transform(data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndar
 
     for step in range(1, int(length[0]) + 1):
         k = int(np.searchsorted(-length, -step, "right"))  # texts with a suffix of this length
-        here = place[:k]
+        here, n = place[:k], len(symbols)
         order = np.argsort(symbols, kind="stable")
-        below = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=256))])
-        own = symbols[here]
-        rank = np.empty(k, np.int64)
-        for symbol in np.flatnonzero(np.bincount(own, minlength=256)):
-            mine = own == symbol
-            rank[mine] = below[symbol] + np.searchsorted(order[below[symbol] : below[symbol + 1]], here[mine])
+        own = symbols[here].astype(np.int64)
+        rank = np.searchsorted(symbols[order].astype(np.int64) * n + order, own * n + here)
+        below = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=last + 1))])
         new_place = m + rank
         before = np.zeros(k, np.uint16)
         has = rank > below[own]
         if has.any():
             before[has] = 1 + least(order[rank[has] - 1] + 1, here[has] + 1)
-        after = rank + 1 < below[own.astype(np.int64) + 1]
-        grown = np.ones(len(symbols) + k, bool)
+        after = rank + 1 < below[own + 1]
+        grown = np.ones(n + k, bool)
         grown[new_place] = False
-        new_symbols, new_common = np.empty(len(grown), np.uint8), np.empty(len(grown), np.uint16)
+        new_symbols, new_common = np.empty(n + k, kind), np.empty(n + k, np.uint16)
         new_symbols[grown], new_common[grown] = symbols, common
-        new_symbols[new_place] = np.where(length[:k] > step, data[np.maximum(end[:k] - step - 1, 0)], END)
+        new_symbols[new_place] = np.where(length[:k] > step, data[np.maximum(end[:k] - step - 1, 0)], last)
         if after.any():
             new_common[new_place[after] + 1] = 1 + least(here[after] + 1, order[rank[after] + 1] + 1)
         new_common[new_place] = before
@@ -148,7 +151,7 @@ def transform(data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def repeated(data: np.ndarray, length: np.ndarray, size: int) -> np.ndarray:
-    """For every byte of a collection (longest text first) whether a string of ``size`` that starts there repeats."""
+    """For every symbol of a collection (longest text first) whether a string of ``size`` that starts there repeats."""
     symbols, common = transform(data, length)
     twice = common >= size
     twice[:-1] |= twice[1:]
@@ -163,6 +166,47 @@ def repeated(data: np.ndarray, length: np.ndarray, size: int) -> np.ndarray:
     return found
 
 
+def repeated_bytes(bodies: list[bytes], anchors: list[int], size: int) -> list[np.ndarray]:
+    """For each segment which of its strings of ``size`` bytes repeat in the collection.
+
+    A symbol is ``SYMBOL`` bytes, counted from the anchor, so equal strings are cut alike.
+    A string that repeats holds a repeated run of whole symbols; the strings
+    around such runs are compared by hashes of all their bytes.
+    """
+    shift = [a % SYMBOL for a in anchors]
+    raw = [np.frombuffer(b, np.uint8) for b in bodies]
+    whole = [r[s : s + (len(r) - s) // SYMBOL * SYMBOL].reshape(-1, SYMBOL) for r, s in zip(raw, shift, strict=True)]
+    order = sorted(range(len(raw)), key=lambda i: -len(whole[i]))
+    length = np.array([len(whole[i]) for i in order], np.int64)
+    packed = np.ascontiguousarray(np.concatenate([whole[i] for i in order])).view(np.uint64).ravel()
+    run = (size - SYMBOL + 1) // SYMBOL
+    found = repeated(np.unique(packed, return_inverse=True)[1], length, run)
+    first = np.cumsum(length) - length
+    out = [np.zeros(max(0, len(r) - size + 1), bool) for r in raw]
+    owner, start, hashes = [], [], []
+    for i, a, n in zip(order, first, length, strict=True):
+        strings = np.arange(len(out[i]))
+        symbol = -(-(strings - shift[i]) // SYMBOL)  # the first whole symbol of each string
+        inside = symbol < n
+        may = np.zeros(len(strings), bool)
+        may[inside] = found[a + symbol[inside]]
+        strings = strings[may]
+        if len(strings):
+            owner.append(np.full(len(strings), i))
+            start.append(strings)
+            hashes.append(np.stack([_hashes(raw[i], size)[strings], _hashes(raw[i] ^ np.uint8(0xA5), size)[strings]]))
+    if owner:
+        owner, start, hashes = np.concatenate(owner), np.concatenate(start), np.concatenate(hashes, axis=1)
+        by = np.lexsort(hashes)
+        same = (hashes[:, by][:, 1:] == hashes[:, by][:, :-1]).all(axis=0)
+        twice = np.zeros(len(by), bool)
+        twice[by[1:]] |= same
+        twice[by[:-1]] |= same
+        for i, a in zip(owner[twice], start[twice], strict=True):
+            out[i][a] = True
+    return out
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     """First and last index of each run of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
@@ -195,14 +239,14 @@ def _segments(use: Settings, filter_: np.ndarray, batches: Iterator[pa.RecordBat
     for batch in batches:
         for part in slices(batch):
             texts = column(part.column(0))
-            anchor, text, begin, end = cut(texts, use)
-            may = set_tools.maybe(filter_, anchor)
-            anchor, text, begin, end = anchor[may], text[may], begin[may], end[may]
+            found = cut(texts, use)
+            may = set_tools.maybe(filter_, found[0])
+            anchor, text, begin, end, place = (x[may] for x in found)
             keys = _keys(texts, np.unique(text))
             bodies = [hashlib.md5(texts.data[texts.offsets[k] + a : texts.offsets[k] + b]).digest() for k, a, b in zip(text, begin, end, strict=True)]
             yield pa.record_batch(
-                [signed(anchor), pa.array(bodies, pa.binary()), pa.array([keys[int(k)] for k in text], pa.binary()), pa.array(begin), pa.array(end)],
-                ["anchor", "body", "text_key", "begin", "end"],
+                [signed(anchor), pa.array(bodies, pa.binary()), pa.array([keys[int(k)] for k in text], pa.binary()), pa.array(begin), pa.array(end), pa.array(place)],
+                ["anchor", "body", "text_key", "begin", "end", "place"],
             )
 
 
@@ -211,16 +255,9 @@ _SPAN = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 def _collection(use: Settings, table: pa.Table) -> pa.Table:
     """Of each segment of a collection the runs of strings that repeat: first string's begin, last one's end."""
-    bodies = table.column("bytes").to_pylist()
-    order = sorted(range(len(bodies)), key=lambda i: -len(bodies[i]))
-    length = np.array([len(bodies[i]) for i in order], np.int64)
-    found = repeated(np.frombuffer(b"".join(bodies[i] for i in order), np.uint8), length, use.length)
-    first = np.cumsum(length) - length
+    found = repeated_bytes(table.column("bytes").to_pylist(), table.column("place").to_pylist(), use.length)
     weight = table.column("weight").to_numpy()
-    runs: list[list[dict]] = [[]] * len(bodies)
-    for i, a, n in zip(order, first, length, strict=True):
-        flags = found[a : a + n - use.length + 1] | (weight[i] > 1)
-        runs[i] = [{"begin": x, "end": y + use.length} for x, y in _runs(flags)]
+    runs = [[{"begin": x, "end": y + use.length} for x, y in _runs(own | (w > 1))] for own, w in zip(found, weight, strict=True)]
     return pa.table([table.column("anchor"), table.column("body"), pa.array(runs, _SPAN)], ["anchor", "body", "runs"])
 
 
@@ -266,15 +303,14 @@ def cleaned_texts(frame: DataFrame, text: str = "text", use: Settings = Settings
     counts = texts.mapInArrow(partial(_anchor_counts, use), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     counts = stored(counts, "anchors")
     may = spark.sparkContext.broadcast(set_tools.bloom(counts, "anchor"))
-    columns = "anchor long, body binary, text_key binary, begin long, end long"
+    columns = "anchor long, body binary, text_key binary, begin long, end long, place long"
     segments = texts.mapInArrow(lambda batches: _segments(use, may.value, batches), columns).join(counts.select("anchor"), "anchor", "left_semi")
-    segments = segments.groupBy("anchor", "body", "text_key", "begin", "end").agg(F.count("*").alias("n"))
+    segments = segments.groupBy("anchor", "body", "text_key", "begin", "end", "place").agg(F.count("*").alias("n"))
     segments = stored(segments, "segments")
-    place = F.min(F.struct("text_key", "begin", "end")).alias("at")
+    place = F.min(F.struct("text_key", "begin", "end", "place")).alias("at")
     bodies = segments.groupBy("anchor", "body").agg(F.sum("n").alias("weight"), place)
-    crowds = bodies.groupBy("anchor").agg(F.count("*").alias("bodies")).where(f"bodies > {use.crowd}")
-    bodies = stored(bodies.select("anchor", "body", "weight", "at.*"), "bodies")
-    crowds = stored(crowds, "crowds")
+    kinds = stored(bodies.groupBy("anchor").agg(F.count("*").alias("bodies")), "kinds")
+    bodies = stored(bodies.select("anchor", "body", "weight", "at.*").join(kinds, "anchor"), "bodies")
 
     # bytes of one occurrence of each distinct segment
     known = spark.sparkContext.broadcast(set_tools.bloom(segments.select(F.xxhash64("text_key").alias("id")), "id"))
@@ -288,20 +324,22 @@ def cleaned_texts(frame: DataFrame, text: str = "text", use: Settings = Settings
     sources = keyed.mapInArrow(may_repeat, "text_key binary, text string").join(segments.select("text_key").distinct(), "text_key", "left_semi")
     sources = stored(sources.groupBy("text_key").agg(F.first("text").alias("text")), "texts")
     bytes_of = F.substring(F.encode("text", "utf-8"), F.col("begin").cast("int") + 1, (F.col("end") - F.col("begin")).cast("int"))
-    bodies = bodies.join(sources, "text_key").select("anchor", "body", "weight", bytes_of.alias("bytes"))
-    bodies = stored(bodies, "bodies")
-    crowded = bodies.join(crowds, "anchor", "left_semi")
-    rest = bodies.join(crowds, "anchor", "left_anti")
+    # one segment for all occurrences of its anchor: nothing to compare, all of it repeats
+    lone = bodies.where("bodies = 1").select("anchor", "body", F.lit(0).cast("long").alias("begin"), (F.col("end") - F.col("begin")).alias("end"))
+    several = bodies.where("bodies > 1").join(sources, "text_key").select("anchor", "body", "weight", "place", "bodies", bytes_of.alias("bytes"))
+    several = stored(several, "several")
+    crowded = several.where(f"bodies > {use.crowd}")
+    rest = several.where(f"bodies <= {use.crowd}")
     total = rest.agg(F.sum(F.octet_length("bytes"))).head()[0] or 0
     cell = F.expr(f"pmod(xxhash64(anchor), {max(1, total // use.collection)})").alias("cell")
-    runs = rest.select(cell, "anchor", "body", "weight", "bytes").groupBy("cell").applyInArrow(
+    runs = rest.select(cell, "anchor", "body", "weight", "place", "bytes").groupBy("cell").applyInArrow(
         lambda table: _collection(use, table), "anchor long, body binary, runs array<struct<begin:long, end:long>>"
     )
     runs = runs.select("anchor", "body", F.explode("runs").alias("run")).select("anchor", "body", "run.begin", "run.end")
-    strings = crowded.mapInArrow(partial(_strings, use), "anchor long, body binary, weight long, low long, high long, begin long")
+    strings = crowded.select("anchor", "body", "weight", "bytes").mapInArrow(partial(_strings, use), "anchor long, body binary, weight long, low long, high long, begin long")
     twice = strings.groupBy("low", "high").agg(F.sum("weight").alias("n")).where("n > 1")
     single = strings.join(twice, ["low", "high"], "left_semi").select("anchor", "body", "begin", (F.col("begin") + use.length).alias("end"))
-    runs = stored(runs.union(single).withColumnsRenamed({"begin": "run_begin", "end": "run_end"}), "runs")
+    runs = stored(runs.union(single).union(lone).withColumnsRenamed({"begin": "run_begin", "end": "run_end"}), "runs")
 
     spans = segments.select("anchor", "body", "text_key", "begin").join(runs, ["anchor", "body"])
     span = F.struct((F.col("begin") + F.col("run_begin")).alias("begin"), (F.col("begin") + F.col("run_end")).alias("end"))

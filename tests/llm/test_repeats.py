@@ -35,7 +35,7 @@ def test_transform_sorts_suffixes():
         length = np.array([len(x) for x in parts])
         symbols, common = repeats.transform(np.concatenate(parts), length)
         # end marks differ and sort first, by text
-        suffixes = sorted(([*p[k:].tolist(), i - 1000], p[k - 1] if k else repeats.END) for i, p in enumerate(parts) for k in range(len(p) + 1))
+        suffixes = sorted(([*p[k:].tolist(), i - 1000], p[k - 1] if k else np.concatenate(parts).max() + 1) for i, p in enumerate(parts) for k in range(len(p) + 1))
         assert symbols.tolist() == [c for _, c in suffixes]
         shared = [0]
         for (a, _), (b, _) in zip(suffixes, suffixes[1:], strict=False):
@@ -49,13 +49,13 @@ def got(frame, use):
 
 @pytest.mark.parametrize("crowd, stretch, collection", [(2000, 1 << 20, 2 << 20), (1, 1 << 20, 300), (3, 90, 1000)])
 def test_random_texts_equal_brute_force(spark, crowd, stretch, collection):
-    use = repeats.Settings(20, 5, collection, crowd, stretch)
+    use = repeats.Settings(24, 5, collection, crowd, stretch)
     rng = random.Random(crowd)
     pool = ["".join(rng.choices("abcdé \n", k=rng.randrange(10, 60))) for _ in range(12)]
     texts = ["".join(rng.choice(pool) if rng.random() < 0.5 else "".join(rng.choices("abcdefgh", k=15)) for _ in range(rng.randrange(8))) for _ in range(60)]
-    texts += [None, "", "a" * 19, "a" * 20, "a" * 21, "ab" * 300, texts[0], texts[1] + "x", "y" + texts[1], texts[2] * 2, "x\x00" * 30]
+    texts += [None, "", "a" * 23, "a" * 24, "a" * 25, "ab" * 300, texts[0], texts[1] + "x", "y" + texts[1], texts[2] * 2, "x\x00" * 30]
     frame = spark.createDataFrame([(7, t, i, "k") for i, t in enumerate(texts)], "doc_id long, text string, row long, kept string").repartition(3)
-    want = brute(texts, 20)
+    want = brute(texts, 24)
     found = got(frame, use)
     for i, expected in enumerate(want):
         assert found[i] == expected, i
