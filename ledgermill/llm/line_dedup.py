@@ -34,7 +34,7 @@ from ledgermill.llm.storage import stored
 from ledgermill.llm.text import Texts, column, distinct, mix, signed, slices, words
 
 SIMILAR = 80  # per cent
-FIRST = 4
+FIRST = 64
 STEPS = 64
 FLUSH = 1 << 21  # words whose counts a task holds before it passes them on
 
@@ -51,16 +51,22 @@ class _Lines:
         number = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(texts)))[owner]
         found = words(Texts(texts.data, np.concatenate([begins, texts.offsets[-1:]])))
         line, self.word = distinct(found.text, found.hash)
-        rows, self.line, self.size = np.unique(line, return_inverse=True, return_counts=True)
+        new = np.ones(len(line), bool)
+        new[1:] = line[1:] != line[:-1]
+        self.first = np.flatnonzero(new)
+        rows = line[self.first]
+        self.size = np.diff(np.append(self.first, len(line)))
+        self.line = np.cumsum(new) - 1
         self.doc = batch.column(0).to_numpy()[owner[rows]] if len(rows) else np.empty(0, np.int64)
         self.number = number[rows].astype(np.int64)
-        first = np.cumsum(self.size) - self.size
-        if len(rows):
-            self.low = mix(np.add.reduceat(self.word, first) + self.size.astype(np.uint64))
-            self.high = np.add.reduceat(mix(self.word), first)
-        else:
-            self.low = self.high = np.empty(0, np.uint64)
-        self.first = first
+        self.low = mix(self._sums(self.word) + self.size.astype(np.uint64))
+
+    def _sums(self, value: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(value, self.first) if len(value) else value
+
+    def high(self) -> np.ndarray:
+        """A second signature of each set."""
+        return self._sums(mix(self.word))
 
     def ids(self) -> np.ndarray:
         return mix(mix(self.doc.view(np.uint64)) + self.number.view(np.uint64))
@@ -95,7 +101,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             lines = _Lines(part)
             yield pa.record_batch(
-                [signed(lines.low), signed(lines.high), pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64())],
+                [signed(lines.low), signed(lines.high()), pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64())],
                 ["low", "high", "doc", "line"],
             )
 
@@ -110,7 +116,8 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return -(-SIMILAR * (a + b) // (100 + SIMILAR))
 
 
-def _entries(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(table: np.ndarray, only: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each word of a line's prefix, or for those that a filter may hold."""
     for batch in batches:
         for part in slices(batch):
             lines = _Lines(part)
@@ -124,7 +131,7 @@ def _entries(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[p
                 own = (at >> np.uint64(6)) == k
                 np.bitwise_or.at(bits[k], lines.line[own], np.uint64(1) << (at[own] & np.uint64(63)))
             # a set of up to three words matches equal sets only; a word seen once meets nothing
-            known = table[word & np.uint64(set_tools.RARITY_SLOTS - 1)] > 0
+            known = table[word & np.uint64(set_tools.RARITY_SLOTS - 1)] > 0 if only is None else set_tools.maybe(only, word)
             keep = np.flatnonzero((place <= size - needed(size)) & (size > 3) & known)
             line = lines.line[keep]
             meta = lines.number[line] << 32 | size[keep] << 6 | np.minimum(place[keep], 63)  # a smaller place is safe
@@ -134,6 +141,20 @@ def _entries(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[p
             )
 
 
+def _prefix_words(table: np.ndarray, lines_asked: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefix of every line that a filter may hold."""
+    for batch in batches:
+        for part in slices(batch):
+            lines = _Lines(part)
+            mine = np.flatnonzero(set_tools.maybe(lines_asked, lines.ids())[lines.line])
+            mine = mine[set_tools.by_rarity(table, lines.line[mine], lines.word[mine])]
+            line = lines.line[mine]
+            place = np.arange(len(mine)) - np.searchsorted(line, line)
+            keep = place <= lines.size[line] - needed(lines.size[line])
+            line = line[keep]
+            yield pa.record_batch([pa.array(lines.doc[line], pa.int64()), pa.array(lines.number[line]), signed(lines.word[mine[keep]])], ["doc", "line", "word"])
+
+
 ENTRY = "word long, doc long, meta long, low long, bits0 long, bits1 long"
 PAIR = "doc long, line long, other_doc long, other_line long, id long, other_id long, more boolean"
 
@@ -236,17 +257,23 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     picked = _picked(frame, key, text)
     counts = picked.mapInArrow(_word_counts, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
     table = spark.sparkContext.broadcast(set_tools.rarity_table(counts))
-    entries = picked.mapInArrow(lambda batches: _entries(table.value, batches), ENTRY)
+    entries = picked.mapInArrow(lambda batches: _entries(table.value, None, batches), ENTRY)
     met = set_tools.grouped(entries, "word", partial(_meet, FIRST, STEPS), PAIR)
     by = ["doc", "line", "other_doc", "other_line", "id", "other_id"]
     met = stored(met.groupBy(*by).agg(F.max("more").alias("more")), "pairs")
     gone = stored(_verified(picked, met), "matched")
-    rest = stored(met.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti"), "open")
+    rest = met.where("more").select("doc", "line", "id").distinct().join(gone, ["doc", "line"], "left_anti")
+    rest = stored(rest, "open")
     if not rest.isEmpty():
-        # all pairs of the lines whose first candidates did not match
-        open_lines = rest.withColumn("asked", F.lit(True))
-        marked = entries.withColumn("line", F.shiftright("meta", 32)).join(open_lines, ["doc", "line"], "left").drop("line")
-        marked = marked.withColumn("asked", F.coalesce("asked", F.lit(False)))
+        # all pairs of the lines whose first candidates did not match: entries of their words only
+        lines = spark.sparkContext.broadcast(set_tools.bloom(rest, "id"))
+        asked = picked.mapInArrow(lambda batches: _prefix_words(table.value, lines.value, batches), "doc long, line long, word long")
+        asked = stored(asked.join(rest.select("doc", "line"), ["doc", "line"], "left_semi"), "asked")
+        held = spark.sparkContext.broadcast(set_tools.bloom(asked, "word"))
+        near = picked.mapInArrow(lambda batches: _entries(table.value, held.value, batches), ENTRY).join(asked.select("word").distinct(), "word", "left_semi")
+        marked = near.withColumn("line", F.shiftright("meta", 32)).join(asked.select("doc", "line").distinct().withColumn("asked", F.lit(True)), ["doc", "line"], "left")
+        marked = marked.drop("line").withColumn("asked", F.coalesce("asked", F.lit(False)))
+        marked = marked.select("word", "doc", "meta", "low", "bits0", "bits1", "asked")
         met = set_tools.grouped(marked, "word", partial(_meet, None, STEPS), PAIR)
         gone = gone.union(_verified(picked, stored(met.drop("more").distinct(), "pairs"))).distinct()
     firsts = picked.mapInArrow(_classes, "low long, high long, doc long, line long")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.storage import stored
+from ledgermill.llm.text import sorted_by
 
 #: Slots of a rarity table and bits of a Bloom filter: the sizes of what is sent to
 #: executors (4 MB each), whatever the corpus.  Results do not depend on them.
@@ -33,7 +34,8 @@ def rarity_table(counts: DataFrame) -> np.ndarray:
 
 def by_rarity(table: np.ndarray, owner: np.ndarray, element: np.ndarray) -> np.ndarray:
     """Order that sorts elements by owner, then rarest first, then hash."""
-    return np.lexsort((element, table[element & np.uint64(RARITY_SLOTS - 1)], owner))
+    level = table[element & np.uint64(RARITY_SLOTS - 1)].astype(np.uint64)
+    return sorted_by(owner, level << np.uint64(58) | element >> np.uint64(6)) if (level < 64).all() else np.lexsort((element, level, owner))
 
 
 def bloom(ids: DataFrame, column: str) -> np.ndarray:
