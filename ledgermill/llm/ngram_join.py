@@ -39,12 +39,14 @@ from ledgermill.llm.text import column, distinct, mix, shingles, signed, slices,
 
 SIZE = 5
 SIMILAR = 80  # per cent
-DIMENSIONS = 64
+DIMENSIONS = 256
 LEAF = 16
 FANOUT = 16
 SMALL = 32  # members up to which a group is compared pair by pair
 PART = 20_000
-PIVOTS = 2
+PIVOTS = 2  # rounds of
+PER_ROUND = 8  # pivots among groups with common members
+RANKS = 16  # candidates of a search that are verified first
 FLUSH = 1 << 22
 
 
@@ -176,8 +178,13 @@ class RTree:
         return self.order[nodes[bound >= needed(self.sizes[nodes], size)]]
 
 
-def _across(most: int, batch: pa.RecordBatch) -> pa.RecordBatch | None:
-    """Pairs of different components in each group whose bound suffices."""
+def _across(most: int, low: int, high: int, batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    """Pairs of different components in each group whose bound suffices.
+
+    Groups of up to ``most`` members give all of them.  In larger ones a search
+    gives its candidates from rank ``low`` to ``high`` in order of the bound, which does not
+    change while components grow, and says whether there are more.
+    """
     group, entry, component, size, indexed, asks, point = batch.columns
     group, entry, component, size = (x.to_numpy() for x in (group, entry, component, size))
     indexed, asks = indexed.to_numpy(zero_copy_only=False), asks.to_numpy(zero_copy_only=False)
@@ -188,7 +195,7 @@ def _across(most: int, batch: pa.RecordBatch) -> pa.RecordBatch | None:
     end = np.append(begin[1:], len(group))
     found = []
     small = np.repeat(end - begin <= most, end - begin)
-    for step in range(1, most):
+    for step in range(1, most if low == 0 else 0):
         a = np.flatnonzero(small[step:]) + step
         b = a - step
         a, b = a[group[a] == group[b]], b[group[a] == group[b]]
@@ -196,8 +203,10 @@ def _across(most: int, batch: pa.RecordBatch) -> pa.RecordBatch | None:
             break
         use = (component[a] != component[b]) & ((asks[a] & indexed[b]) | (asks[b] & indexed[a])) & (100 * size[b] >= SIMILAR * size[a])
         a, b = a[use], b[use]
-        enough = np.minimum(point[a], point[b]).sum(axis=1) >= needed(size[a], size[b])
-        found.append((a[enough], b[enough]))
+        for at in range(0, len(a), 4096):
+            x, y = a[at : at + 4096], b[at : at + 4096]
+            enough = np.minimum(point[x], point[y]).sum(axis=1) >= needed(size[x], size[y])
+            found.append((x[enough], y[enough], np.zeros(int(enough.sum()), bool)))
     for first, last in zip(begin, end, strict=True):
         if last - first > most:
             rows = np.arange(first, last)
@@ -207,12 +216,19 @@ def _across(most: int, batch: pa.RecordBatch) -> pa.RecordBatch | None:
             tree = RTree(point[held], size[held])
             for k in rows[asks[rows]]:
                 other = held[tree.search(point[k], int(size[k]))]
+                other = other[entry[other] != entry[k]]
+                bound = np.minimum(point[other], point[k]).sum(axis=1)
+                other = other[np.lexsort((entry[other], -bound / size[other]))]
+                more = (component[other[high:]] != component[k]).any()
+                other = other[low:high]
                 other = other[component[other] != component[k]]
-                found.append((np.full(len(other), k), other))
+                if more and not len(other):
+                    other = np.array([k])  # a pair of one class only carries the note
+                found.append((np.full(len(other), k), other, np.full(len(other), more)))
     if not found:
         return None
-    a, b = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
-    return pa.record_batch([pa.array(np.minimum(entry[a], entry[b])), pa.array(np.maximum(entry[a], entry[b]))], ["a", "b"])
+    a, b, more = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pa.record_batch([pa.array(np.minimum(entry[a], entry[b])), pa.array(np.maximum(entry[a], entry[b])), pa.array(more)], ["a", "b", "more"])
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -268,30 +284,43 @@ def linked(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     links = spark.createDataFrame([], "a long, b long")
     labelled = members.select("run", "entry", F.col("entry").alias("component"))
-    component = None
+
+    def joined() -> tuple[DataFrame, DataFrame]:
+        """Components of the links so far, and the groups that still hold several."""
+        component = stored(set_tools.components(links), "components")
+        own = members.select("run", "entry").join(component, F.col("entry") == F.col("node"), "left")
+        own = own.select("run", "entry", F.coalesce("component", "entry").alias("component"))
+        mixed = own.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("run")
+        return component, stored(own.join(mixed, "run", "left_semi"), "mixed")
+
     for turn in range(PIVOTS):
-        pivot = F.min_by(F.struct("entry", "component"), F.xxhash64("entry", F.lit(turn))).alias("pivot")
+        kind = F.pmod(F.col("run"), F.lit(PER_ROUND))
+        pivot = F.min_by(F.struct("entry", "component"), F.xxhash64("entry", kind, F.lit(turn))).alias("pivot")
         pairs = labelled.join(labelled.groupBy("run").agg(pivot), "run").where("component <> pivot.component")
         pairs = pairs.select(F.least("entry", "pivot.entry").alias("a"), F.greatest("entry", "pivot.entry").alias("b")).distinct()
         links = stored(links.union(_verified(stored(pairs, "pairs"), classes, texts)), "links")
-        component = stored(set_tools.components(links), "components")
-        labelled = members.select("run", "entry").join(component, F.col("entry") == F.col("node"), "left")
-        labelled = labelled.select("run", "entry", F.coalesce("component", "entry").alias("component"))
-        mixed = labelled.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("run")
-        labelled = stored(labelled.join(mixed, "run", "left_semi"), "mixed")
+        component, labelled = joined()
 
-    # what is left: search across components, all but the largest of each group asking
+    # what is left: search across components; who asks is settled once, all but the largest of each group
     sizes = labelled.groupBy("run", "component").agg(F.count("*").alias("n"))
-    facts = sizes.groupBy("run").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
-    rows = labelled.join(facts, "run").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select(
-        F.xxhash64("run", "part").alias("cell"), "entry", "component",
-        (F.expr("pmod(hash(entry), parts)") == F.col("part")).alias("indexed"), (F.col("component") != F.col("main")).alias("asks"),
-    ).where("indexed OR asks")
-    rows = rows.join(classes.select("entry", "size", "point"), "entry").select("cell", "entry", "component", "size", "indexed", "asks", "point")
-    pairs = stored(set_tools.grouped(rows, "cell", partial(_across, SMALL), "a long, b long").distinct(), "pairs")
-    links = stored(links.union(_verified(pairs, classes, texts)), "links")
-    component = set_tools.components(links)
+    main = F.max_by("component", F.struct("n", "component")).alias("main")
+    facts = sizes.groupBy("run").agg(main, F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
+    cells = labelled.join(facts, "run").select("run", "entry", "parts", (F.col("component") != F.col("main")).alias("asks"))
+    cells = stored(cells, "cells")
+    low, high, more = 0, RANKS, True
+    while more:
+        rows = labelled.join(cells, ["run", "entry"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        rows = rows.select(
+            F.xxhash64("run", "part").alias("cell"), "entry", "component",
+            (F.expr("pmod(hash(entry), parts)") == F.col("part")).alias("indexed"), "asks",
+        ).where("indexed OR asks")
+        rows = rows.join(classes.select("entry", "size", "point"), "entry").select("cell", "entry", "component", "size", "indexed", "asks", "point")
+        found = set_tools.grouped(rows, "cell", partial(_across, SMALL, low, high), "a long, b long, more boolean")
+        found = stored(found.groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
+        links = stored(links.union(_verified(found.where("a <> b").select("a", "b"), classes, texts)), "links")
+        component, labelled = joined()
+        more = not found.where("more").isEmpty()
+        low, high = high, high * 16
 
     named = digests.select("doc", "size", "low", "high").join(classes.select("low", "high", "entry"), ["low", "high"], "left")
     named = named.join(component, F.col("entry") == F.col("node"), "left")

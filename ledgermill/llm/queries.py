@@ -111,6 +111,64 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.linked(table(spark, folder, "documents"))
 
 
+SQL["op4_line_dedup"] = r"""
+WITH parts AS (
+    SELECT doc_id, string_split(text, chr(10)) AS all_lines FROM documents WHERE text IS NOT NULL
+), l AS (
+    SELECT doc_id, k - 1 AS line, all_lines[k] AS raw FROM (SELECT *, unnest(generate_series(1, len(all_lines))) AS k FROM parts)
+), w AS (
+    SELECT DISTINCT doc_id, line, unnest(list_filter(string_split_regex(
+        translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS word
+    FROM l
+), n AS (
+    SELECT doc_id, line, count(*) AS n FROM w GROUP BY doc_id, line
+), rare AS (
+    SELECT w.*, n, row_number() OVER (PARTITION BY doc_id, line ORDER BY c, word) AS r
+    FROM w JOIN n USING (doc_id, line) JOIN (SELECT word, count(*) AS c FROM w GROUP BY word) USING (word)
+), pairs AS (
+    SELECT DISTINCT a.doc_id AS ad, a.line AS al, b.doc_id AS bd, b.line AS bl, a.n AS an, b.n AS bn
+    FROM rare a JOIN rare b ON a.word = b.word AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.line < a.line))
+    WHERE a.r <= a.n - (4 * a.n + 4) // 5 + 1 AND b.r <= b.n - (4 * b.n + 4) // 5 + 1
+), gone AS (
+    SELECT DISTINCT ad AS doc_id, al AS line FROM (
+        SELECT ad, al FROM pairs JOIN w x ON x.doc_id = ad AND x.line = al JOIN w y ON y.doc_id = bd AND y.line = bl AND y.word = x.word
+        GROUP BY ad, al, bd, bl, an, bn HAVING 100 * count(*) >= 80 * (an + bn - count(*))
+    )
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(raw, chr(10) ORDER BY line) AS text
+    FROM l WHERE NOT EXISTS (FROM gone WHERE gone.doc_id = l.doc_id AND gone.line = l.line) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(len(all_lines), 0) AS n_lines, coalesce(len(all_lines), 0) - coalesce(kept.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN parts USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+SQL["op8_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS k FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes na ON na.doc_id = a.doc_id JOIN sizes nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))
+), reach AS (
+    SELECT x, y FROM links
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(reach.y), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN reach ON reach.x = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
 @query
 def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the bytes of strings of 400 that repeat: counts, and a digest of what stays."""

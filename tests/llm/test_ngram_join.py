@@ -1,11 +1,12 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
 from ledgermill.llm import ngram_join
-from ledgermill.llm.queries import op8_ngram_join
+from ledgermill.llm.queries import SQL, op8_ngram_join
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -46,11 +47,14 @@ def test_query_equals_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     rows = sorted((tuple(r) for r in op8_ngram_join(spark, FOLDER).collect()), key=str)
     assert rows == brute(docs) and len({r[2] for r in rows}) < len(rows)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    assert sorted(con.sql(SQL["op8_ngram_join"]).fetchall(), key=str) == rows
 
 
-@pytest.mark.parametrize("pivots, small, part", [(2, 32, 20000), (0, 3, 9)])
-def test_families_equal_brute_force(spark, monkeypatch, pivots, small, part):
-    for name, value in (("PIVOTS", pivots), ("SMALL", small), ("PART", part)):
+@pytest.mark.parametrize("pivots, small, part, ranks", [(2, 32, 20000, 16), (0, 3, 9, 2)])
+def test_families_equal_brute_force(spark, monkeypatch, pivots, small, part, ranks):
+    for name, value in (("PIVOTS", pivots), ("SMALL", small), ("PART", part), ("RANKS", ranks)):
         monkeypatch.setattr(ngram_join, name, value)
     rng = random.Random(pivots)
     base = [[f"W{rng.randrange(5000)}" for _ in range(rng.randrange(1, 150))] for _ in range(8)]
