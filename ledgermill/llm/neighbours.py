@@ -5,8 +5,10 @@ symbols.  A symbol is the nearest of ``2 * WIDTH`` signed axes after a random
 projection to ``WIDTH`` dimensions (cross-polytope hashing).  A query descends with
 its own string and with the ``PROBES`` strings next to it.  Prefixes of equal length
 are compared over all trees at once: from the longest, the query ascends until the
-trees together hold ``WANTED`` vectors, and takes all vectors of that level.  Below
-``WANTED`` vectors under all one-symbol prefixes it takes every vector.
+trees together hold the wanted number of vectors, and takes all vectors of that level.
+The wanted number is ``SHARE`` of all vectors, ``WANTED`` at least, so that recall does not
+fall as the table grows.  With fewer under all one-symbol prefixes, as in tables of up to
+about ``WANTED`` vectors, it takes every vector.
 
 Spark holds a tree as groups of its first symbol, and cuts a group of more than
 ``GROUP`` vectors into parts, to each of which the group's queries are sent; within
@@ -24,6 +26,7 @@ scores are the best over its vectors.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +40,10 @@ from ledgermill.llm.storage import stored
 TREES = 16
 WIDTH = 32
 DEPTH = 3
-PROBES = 32
+PROBES = 128
 WANTED = 4000
+SHARE = 0.15
+SLICE = 256  # queries hashed at once: their probes take 8,192 numbers each
 GROUP = 50_000
 BITS = 6  # of a symbol: 2 * WIDTH values
 
@@ -128,7 +133,7 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     hashed = entries.select("entry", "vector").mapInArrow(hash_rows, "tree int, first int, code long, entry long, vector binary")
 
     def hash_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
             ids = batch.column(0).to_numpy()
             codes = strings(_vectors(batch.column(1)), PROBES)
             for t in range(TREES):
@@ -148,14 +153,15 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     sizes = hashed.groupBy("tree", "code").agg(F.count("*").alias("n")).select("tree", "code", "n", levels)
     sizes = stored(sizes.select("tree", "level", prefix, "n").groupBy("tree", "level", "prefix").agg(F.sum("n").alias("n")), "sizes")
     reached = probes.join(sizes, ["tree", "level", "prefix"]).groupBy("query", "level").agg(F.sum("n").alias("n"))
-    level = reached.where(F.col("n") >= WANTED).groupBy("query").agg(F.max("level").alias("level"))
+    wanted = max(WANTED, math.ceil(SHARE * entries.count()))
+    level = reached.where(F.col("n") >= wanted).groupBy("query").agg(F.max("level").alias("level"))
     chosen = targets.select("query").join(level, "query", "left").select("query", F.coalesce("level", F.lit(0)).alias("level"))
     chosen = stored(chosen, "levels")
     # at most TREES * 2 * WIDTH rows, a fixed number
     parts = sizes.where("level = 1").select("tree", F.col("prefix").cast("int").alias("first"), F.ceil(F.col("n") / GROUP).cast("int").alias("parts"))
     own = probes.join(chosen, ["query", "level"]).select("tree", "level", "prefix", "query")
     all_of = parts.where("tree = 0").select("tree", F.lit(1).alias("level"), F.col("first").cast("long").alias("prefix"))
-    # every vector: all groups of one tree, for the few queries that fall short of WANTED
+    # every vector: all groups of one tree, for the queries that fall short (all of them in small tables)
     whole = chosen.where("level = 0").select("query", F.explode(F.sequence(F.lit(0), F.lit(2 * WIDTH - 1))).alias("prefix"))
     whole = whole.select(F.lit(0).alias("tree"), F.lit(1).alias("level"), F.col("prefix").cast("long").alias("prefix"), "query")
     whole = whole.join(F.broadcast(all_of), ["tree", "level", "prefix"], "left_semi")

@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from ledgermill.llm import neighbours
 from ledgermill.llm.queries import op10_neighbours
@@ -73,3 +75,39 @@ def test_levels_are_chosen_over_all_trees(spark, monkeypatch):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     want = brute(rows, [i for i, _ in rows if i % 50 == 0], 5)
     assert check(op10_neighbours(spark, FOLDER).collect(), want, 5) >= 0.6
+
+
+def brute_by_blocks(ids, vectors, asked, k):
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    out = {}
+    for at in range(0, len(asked), 200):
+        rows = asked[at : at + 200]
+        score = unit[rows] @ unit.T
+        score[np.arange(len(rows)), rows] = -2
+        for r, own in zip(rows, score, strict=True):
+            top = np.argsort(-own, kind="stable")[:k]
+            out[int(ids[r])] = [(-own[j], int(ids[j])) for j in top]
+    return out
+
+
+def test_recall_where_the_forest_is_used(spark, monkeypatch, tmp_path):
+    rows = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    rng = np.random.default_rng(3)
+    given = np.stack(rows["embedding"]).astype(float)
+    group = rng.standard_normal(given.shape[1]) + 0.15 * rng.standard_normal((2000, given.shape[1]))  # a dense group besides
+    ids = np.concatenate([rows["vec_id"], rows["vec_id"].max() + 1 + np.arange(len(group))])
+    vectors = np.concatenate([given, group])
+    table = pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(list(vectors), pa.list_(pa.float64()))})
+    pq.write_table(table, tmp_path / "embeddings.parquet", row_group_size=5000)
+    seen, keep = {}, neighbours.stored
+
+    def spy(frame, name):
+        seen[name] = keep(frame, name)
+        return seen[name]
+
+    monkeypatch.setattr(neighbours, "stored", spy)
+    got = op10_neighbours(spark, str(tmp_path)).collect()
+    levels = {r["level"]: r["count"] for r in seen["levels"].groupBy("level").count().collect()}
+    assert set(levels) == {1, 2, 3}
+    want = brute_by_blocks(ids, vectors, np.where(ids % 50 == 0)[0], 5)
+    assert check(got, want, 5) >= 0.93
