@@ -20,9 +20,13 @@ from ledgermill.llm.storage import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; without text or letters there is none."""
+    """Documents in which a learned language is found; there is none without letters or below the fitted score."""
     model = language_id.learn(docs)
-    return language_id.predict(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    least = language_id.threshold(docs, model)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")  # kept from names that are added
+    judged = language_id.predict(docs.select(others, "text"), model)
+    found = judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= least))
+    return found.select(*["text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

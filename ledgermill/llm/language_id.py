@@ -36,6 +36,7 @@ HASHES = 3
 BITS = 21
 MIN_SHARE = 1e-6
 LIFT = 8.0
+BINS = 1000  # of scores, for the threshold
 UNKNOWN = "und"
 
 
@@ -128,8 +129,8 @@ def learn(frame: DataFrame, text: str = "text", label: str = "lang") -> Model:
     return Model(languages, slots, np.array(fill) ** HASHES)
 
 
-def judge(model: Model, array: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
+def _found(model: Model, array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text its corrected hits by language, number of n-grams and whether it has a letter."""
     value, text, lettered = grams(array)
     count = np.bincount(text, minlength=len(array)).astype(float)
     hit = model.slots[_slots(value, 0)]
@@ -139,6 +140,12 @@ def judge(model: Model, array: pa.Array) -> tuple[list[str], np.ndarray]:
     for k, chance in enumerate(model.chance):
         found = np.bincount(text[(hit >> np.uint64(k)) & np.uint64(1) == 1], minlength=len(array))
         true[:, k] = np.clip((found - count * chance) / max(1e-9, 1 - chance), 0, None)
+    return true, count, lettered
+
+
+def judge(model: Model, array: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    true, count, lettered = _found(model, array)
     if not model.languages:
         return [UNKNOWN] * len(array), np.zeros(len(array))
     best = true.argmax(axis=1)
@@ -146,6 +153,41 @@ def judge(model: Model, array: pa.Array) -> tuple[list[str], np.ndarray]:
     return [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)], np.minimum(score, 1.0)
 
 
+def threshold(frame: DataFrame, model: Model, text: str = "text", label: str = "lang") -> float:
+    """Score from which a text counts as written in a learned language, fitted on all rows with a label and a letter.
+
+    A row's score in its own language is one that should reach the threshold, its best
+    score in any other one that should not, as of a text in a language not learned.
+    The middle of the first range with the fewest errors is taken, never 0.
+    """
+    shared = frame.sparkSession.sparkContext.broadcast(model)
+    labelled = frame.select(F.col(label).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {lang: k for k, lang in enumerate(shared.value.languages)}
+        own, other = np.zeros(BINS + 1, np.int64), np.zeros(BINS + 1, np.int64)
+        for batch in batches:
+            for part in slices(batch):
+                true, size, lettered = _found(shared.value, part.column(1))
+                lang = np.array([number.get(x, -1) for x in part.column(0).to_pylist()], np.int64)
+                used = lettered & (lang >= 0)
+                share = np.minimum(true[used] / np.maximum(size[used, None], 1), 1.0)
+                at = np.arange(len(share)), lang[used]
+                own += np.bincount((share[at] * BINS).astype(np.int64), minlength=BINS + 1)
+                share[at] = 0
+                other += np.bincount((share.max(axis=1, initial=0) * BINS).astype(np.int64), minlength=BINS + 1)
+        yield pa.record_batch([pa.array(np.arange(BINS + 1)), pa.array(own), pa.array(other)], ["bin", "own", "other"])
+
+    bins = labelled.where("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(count, "bin long, own long, other long")
+    rows = bins.groupBy("bin").agg(F.sum("own").alias("own"), F.sum("other").alias("other")).orderBy("bin").collect()
+    own, other = (np.array([r[c] for r in rows] or [0] * (BINS + 1)) for c in ("own", "other"))
+    wrong = np.cumsum(own)[:-1] + other.sum() - np.cumsum(other)[:-1]  # below bin k + 1, by k
+    low = int(wrong.argmin())
+    more = wrong[low:] != wrong[low]
+    high = low + int(more.argmax()) - 1 if more.any() else len(wrong) - 1
+    return (low + high + 2) / 2 / BINS
+
+
 def predict(frame: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score``; nothing but the text is looked at."""
     shared = frame.sparkSession.sparkContext.broadcast(model)

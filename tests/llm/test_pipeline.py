@@ -7,6 +7,7 @@ import test_ngram_join
 import tiktoken
 
 import corpus_pipeline
+from ledgermill.llm import language_id
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -37,3 +38,25 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
             assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
             kept = out.collect()
             assert len(kept) == (0 if frame is not docs else 3 if stage is corpus_pipeline.identify_language else 6)
+
+
+def test_language_stage_rejects_what_was_not_learned(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    odd = [
+        (9001, "to jest zdanie po polsku bez znaczenia"), (9002, "это предложение на русском языке"),
+        (9003, "xqzv kjwq zzxq pqkx vvkq"), (9004, "QmFzZTY0IGVuY29kZWQganVuayB0ZXh0 aGVsbG8gd29ybGQgdGhpcyBpcyBh"),
+    ]
+    rows = spark.createDataFrame([(i, t, None, "x", len(t), 0.25) for i, t in odd] + [(9005, "der, the. de la, und le que", None, "x", 26, 0.5)], "doc_id long, text string, lang string, source string, n_chars int, score double")
+    both = docs.unionByName(rows, allowMissingColumns=True)
+    got = corpus_pipeline.identify_language(spark, both, FOLDER).collect()
+    lettered = {r["doc_id"] for r in docs.collect() if r["text"] and any(c.isalpha() for c in r["text"])}
+    kept = {r["doc_id"] for r in got}
+    assert kept - {9005} == lettered  # every labelled row stays
+    assert all(r["score"] in (None, 0.5) for r in got)  # a column of the documents, not the stage's own
+
+
+def test_threshold_lies_between_own_and_other_scores(spark):
+    train = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de"), (None, "en"), ("12", "fr")], "text string, lang string")
+    model = language_id.learn(train)
+    assert 0.2 < language_id.threshold(train, model) < 1
+    assert language_id.threshold(train.limit(0), language_id.learn(train.limit(0))) > 0
