@@ -1,14 +1,14 @@
 """Language identification with a bit-sliced Bloom filter of n-grams.
 
-The filter is one array of 64-bit words.  Bit ``l`` of a slot belongs to language
-``l``, so ``HASHES`` look-ups joined by AND return all languages that contain an
+The filter is arrays of 64-bit words, one for every 64 languages.  Bit ``l % 64`` of a
+slot's word ``l // 64`` belongs to language ``l``, so ``HASHES`` look-ups joined by AND return all languages that contain an
 n-gram at once.  A text's hits are counted per language, corrected for the false
 positives that the filter's fill makes likely, and the largest count decides.
 
 A language contains an n-gram that makes up at least ``MIN_SHARE`` of its n-grams
 (so at most ``1 / MIN_SHARE`` n-grams per language) and is at most ``LIFT`` times
 as frequent in any other one.  The filter has ``2 ** BITS`` slots whatever the
-corpus: 16 MB, which is what the executors get.
+corpus: 16 MB for every 64 languages, which is what the executors get.
 
 Null texts and texts without a letter give ``und`` and score 0, and a text none of
 whose n-grams is known gives the first language with score 0; equal counts go to
@@ -78,7 +78,7 @@ def grams(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    slots: np.ndarray
+    slots: np.ndarray  # [words, slots]
     chance: np.ndarray  # of a false positive, by language
 
 
@@ -111,21 +111,19 @@ def learn(frame: DataFrame, text: str = "text", label: str = "lang") -> Model:
     counts = stored(counts, "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
-    if len(languages) > 64:
-        raise ValueError("a slot has 64 bits: learn at most 64 languages")
-    slots = np.zeros(1 << BITS, np.uint64)
+    slots = np.zeros((max(1, -(-len(languages) // 64)), 1 << BITS), np.uint64)
     if languages:
         facts = F.create_map(*[F.lit(x) for k, l in enumerate(languages) for x in (l, k)])
         size = F.create_map(*[F.lit(x) for l in languages for x in (l, float(totals[l]))])
         shares = counts.select("gram", facts[F.col("lang")].alias("bit"), (F.col("n") / size[F.col("lang")]).alias("share"))
         top = F.max("share").over(Window.partitionBy("gram"))
         kept = shares.withColumn("top", top).where(f"share >= {MIN_SHARE} AND share * {LIFT} >= top")
-        masks = kept.groupBy("gram").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
+        masks = kept.groupBy("gram", F.expr("bit DIV 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("mask"))
         places = F.array(*[F.expr(f"shiftrightunsigned(gram, {21 * k}) & {(1 << BITS) - 1}L") for k in range(HASHES)])
-        filled = masks.select(F.explode(places).alias("slot"), "mask").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
-        rows = filled.toArrow()  # one row per slot at most, a number fixed by BITS
-        slots[rows["slot"].to_numpy()] = rows["mask"].to_numpy().astype(np.int64).view(np.uint64)
-    fill = [((slots >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))]
+        filled = masks.select(F.explode(places).alias("slot"), "word", "mask").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
+        rows = filled.toArrow()  # one row per slot and word at most
+        slots[rows["word"].to_numpy(), rows["slot"].to_numpy()] = rows["mask"].to_numpy().astype(np.int64).view(np.uint64)
+    fill = [((slots[k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(len(languages))]
     return Model(languages, slots, np.array(fill) ** HASHES)
 
 
@@ -133,12 +131,12 @@ def _found(model: Model, array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.nd
     """Of each text its corrected hits by language, number of n-grams and whether it has a letter."""
     value, text, lettered = grams(array)
     count = np.bincount(text, minlength=len(array)).astype(float)
-    hit = model.slots[_slots(value, 0)]
+    hit = model.slots[:, _slots(value, 0)]
     for k in range(1, HASHES):
-        hit &= model.slots[_slots(value, k)]
+        hit &= model.slots[:, _slots(value, k)]
     true = np.zeros((len(array), len(model.languages)))
     for k, chance in enumerate(model.chance):
-        found = np.bincount(text[(hit >> np.uint64(k)) & np.uint64(1) == 1], minlength=len(array))
+        found = np.bincount(text[(hit[k // 64] >> np.uint64(k % 64)) & np.uint64(1) == 1], minlength=len(array))
         true[:, k] = np.clip((found - count * chance) / max(1e-9, 1 - chance), 0, None)
     return true, count, lettered
 

@@ -1,3 +1,5 @@
+import pyarrow as pa
+
 from ledgermill.llm import language_id
 from ledgermill.llm.queries import op6_language_id
 
@@ -28,3 +30,12 @@ def test_empty_tables(spark):
     assert language_id.predict(none, model).collect() == []
     one = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
     assert language_id.predict(one, model).head()["lang_pred"] == "und"
+
+
+def test_more_languages_than_bits_of_a_word(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:03}": " ".join([letters[k % 26] + letters[k // 26] + x for x in "xyzvw"]) for k in range(130)}
+    model = language_id.learn(spark.createDataFrame([(t, l) for l, t in words.items()], "text string, lang string"))
+    assert len(model.languages) == 130 and model.slots.shape[0] == 3
+    lang, score = language_id.judge(model, pa.array(list(words.values())))
+    assert lang == list(words) and score.min() > 0.9
