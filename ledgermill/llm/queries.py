@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, lm_score, main_text, neighbours, ngram_join, personal_data, repeats
+from ledgermill.llm import byte_bpe, decontaminate, language_id, lexical_search, line_dedup, lm_score, main_text, neighbours, ngram_join, personal_data, repeats
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -187,3 +187,38 @@ def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     """Closeness of every document to those of good quality."""
     good = table(spark, folder, "labels").where("quality = 1")
     return lm_score.score(table(spark, folder, "documents"), good)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty documents that score highest for every benchmark item."""
+    return lexical_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
+
+
+SQL["op12_lexical_search"] = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS row_no, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents WHERE text IS NOT NULL
+), q AS (
+    SELECT item_id, term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ) GROUP BY item_id, term
+), total AS (
+    SELECT count(*) AS many, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0
+), tf AS (
+    SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY row_no, term
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * many + 2) / (2 * count(*) + 1)))::BIGINT AS idf FROM tf, total GROUP BY term, many
+), part AS (
+    SELECT row_no, term, idf * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(d.w) * many) // l))) AS value
+    FROM tf JOIN weight USING (term) JOIN d USING (row_no), total
+), scored AS (
+    SELECT item_id, row_no, sum(repeats * value)::BIGINT AS score FROM q JOIN part USING (term) GROUP BY item_id, row_no HAVING sum(repeats * value) > 0
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored JOIN d USING (row_no)
+) WHERE rank <= 20
+"""
