@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, lexical_search, line_dedup, lm_score, main_text, neighbours, ngram_join, personal_data, repeats
+from ledgermill.llm import byte_bpe, decontaminate, language_id, lexical_search, line_dedup, lm_score, main_text, neighbours, ngram_join, personal_data, repeats, simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -222,3 +222,9 @@ SELECT item_id, rank, doc_id, score FROM (
     SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored JOIN d USING (row_no)
 ) WHERE rank <= 20
 """
+
+
+@query
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and the smallest document that links of near fingerprints reach."""
+    return simhash.linked(table(spark, folder, "documents"))
