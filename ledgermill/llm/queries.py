@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, decontaminate, language_id, lexical_search, line_dedup, lm_score, main_text, neighbours, ngram_join, personal_data, repeats, simhash
+from ledgermill.llm import byte_bpe, conversations, decontaminate, language_id, lexical_search, line_dedup, lm_score, main_text, neighbours, ngram_join, personal_data, repeats, simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -228,3 +228,85 @@ SELECT item_id, rank, doc_id, score FROM (
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document and the smallest document that links of near fingerprints reach."""
     return simhash.linked(table(spark, folder, "documents"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest edits and a digest of what they give."""
+    rows = conversations.repaired(conversations.damaged(table(spark, folder, "conversations")))
+    return rows.select(
+        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.col("digest").alias("repaired_sha256")
+    )
+
+
+def _best(*options: str) -> str:
+    """The cheapest edits, then the least in order; an option is null where there is no way."""
+    return f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _edit(state: str, cost: str, letter: str, line: str = "''", where: str = "TRUE") -> str:
+    return f"CASE WHEN {state} IS NOT NULL AND {where} THEN {{'c': {state}.c + {cost}, 'e': {state}.e || '{letter}', 'o': {state}.o || {line}}} END"
+
+
+def _inserted(rows: str) -> str:
+    """One insert from every state, or none."""
+    user = [_edit(x, "2", "I", "chr(10) || 'user:'") for x in "nsa"]
+    return f"SELECT * REPLACE ({_best('u', *user)} AS u, {_best('a', _edit('u', '2', 'I', chr(39).join(('chr(10) || ', 'assistant:', ''))))} AS a) FROM ({rows})"
+
+
+def _row(state: str, initial: str, role: str) -> list[str]:
+    """The row kept or given another role after a state."""
+    kept = _edit(state, "late", "K", "chr(10) || role || ':' || text", f"left(role, 1) = '{initial}' AND NOT gone")
+    return [kept, _edit(state, "2 + late", "R", f"chr(10) || '{role}:' || text", "NOT gone")]
+
+
+SQL["op11_conversation_repair"] = f"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, [0::BIGINT for x in range(8)]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) AS r(i)
+    )
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT for x in string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+    FROM conversations, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM keyed, range(2) AS copy(n) WHERE kind <> 0 AND (n = 0 OR kind = 3)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS ended
+    FROM damaged
+), faults AS (
+    SELECT *, CASE WHEN ended = '' THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                   WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+    FROM placed
+), rows AS (
+    SELECT conv_id AS c, pos AS p, role, text, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::BIGINT AS late FROM faults
+), edits AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'e': '', 'o': ''}} AS n, NULL::STRUCT(c BIGINT, e VARCHAR, o VARCHAR) AS s,
+           NULL::STRUCT(c BIGINT, e VARCHAR, o VARCHAR) AS u, NULL::STRUCT(c BIGINT, e VARCHAR, o VARCHAR) AS a
+    FROM conversations
+    UNION ALL
+    SELECT conv_id, p,
+           {_edit('n', '3', 'D')},
+           {_best(_edit('s', '3', 'D'), _row('n', 's', '')[0])},
+           {_best(_edit('u', '3', 'D'), *_row('n', 'u', 'user'), *_row('s', 'u', 'user'), *_row('a', 'u', 'user'))},
+           {_best(_edit('a', '3', 'D'), *_row('u', 'a', 'assistant'))}
+    FROM ({_inserted(_inserted('SELECT * FROM edits'))}) JOIN rows ON c IS NOT DISTINCT FROM conv_id AND p = pos + 1
+), last AS (
+    SELECT conv_id, {_best('n', 'a')} AS best FROM ({_inserted(_inserted('SELECT conv_id, arg_max(n, pos) AS n, arg_max_null(s, pos) AS s, arg_max_null(u, pos) AS u, arg_max_null(a, pos) AS a FROM edits GROUP BY conv_id'))})
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+)
+SELECT last.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, best.c AS cost, best.e AS audit, sha256(best.o[2:]) AS repaired_sha256
+FROM last LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM last.conv_id
+"""
