@@ -219,7 +219,7 @@ def linked(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     repeated = named.distinct().groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc").alias("a"))
     links = links.unionByName(several.join(repeated, "a", "left_semi"))  # texts of one doc_id
     component = set_tools.components(links)
-    rows = marked.join(classes, "mark", "left").join(component, F.col("entry") == F.col("node"), "left")
+    names = classes.join(component, F.col("entry") == F.col("node"), "left").select("mark", F.coalesce("component", "entry").alias("name"))
     hexadecimal = F.lower(F.lpad(F.hex("mark"), 16, "0"))
-    found = F.when(F.col("doc").isNotNull(), F.coalesce("component", "entry"))
-    return rows.select(F.col("doc").alias(key), hexadecimal.alias("fingerprint"), found.alias("component_id"))
+    rows = marked.join(names, "mark", "left")
+    return rows.select(F.col("doc").alias(key), hexadecimal.alias("fingerprint"), F.when(F.col("doc").isNotNull(), F.col("name")).alias("component_id"))
