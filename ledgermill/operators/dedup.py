@@ -54,3 +54,31 @@ def one_per(df: DataFrame, key: str) -> DataFrame:
 def latest(df: DataFrame, keys: Sequence[Column | str], order: Sequence[str]) -> DataFrame:
     """The newest row per key by technical columns, missing values last."""
     return qualify(df, keys, latest_first(*order), 1)
+
+
+def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 over the values of a row: typed, null marked, each with its length, in the given order of columns.
+
+    Rows have the same hash exactly if all these values are equal; a null differs from empty
+    text, and neighbouring values cannot run into one another.
+    """
+    kinds = dict(df.dtypes)
+    parts = []
+    for name in columns:
+        text = F.col(f"`{name}`").cast("string")
+        parts.append(F.when(text.isNull(), "-").otherwise(F.concat(F.lit(f"{kinds[name]}:"), F.length(text).cast("string"), F.lit(":"), text)))
+    return F.sha2(F.concat_ws(",", *parts), 256)
+
+
+def without_replays(df: DataFrame, version: str, ignored: Sequence[str] = ()) -> DataFrame:
+    """One row per content: rows equal in all columns but the version, and the ignored ones, are replays of each other.
+
+    Keeps the content, its hash, its first and last version and the number of rows.  Rows are
+    combined by their hash before the shuffle, so a row replayed very often costs one per task.
+    """
+    content = [c for c in df.columns if c != version and c not in ignored]
+    hashed = df.withColumn("row_hash", row_hash(df, content))
+    return hashed.groupBy("row_hash").agg(
+        *(F.any_value(F.col(f"`{c}`")).alias(c) for c in content),
+        F.min(version).alias(f"first_{version}"), F.max(version).alias(f"last_{version}"), F.count(F.lit(1)).alias("copies"),
+    )

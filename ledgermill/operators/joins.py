@@ -101,15 +101,27 @@ def exists_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str)
 def interval_join(df: DataFrame, date: str, periods: DataFrame, begin: str, end: str) -> DataFrame:
     """Left join to the period that holds the date.
 
-    Periods (begin and end included, not overlapping) are spread to days, which
-    turns the range condition into an equality.
+    Periods (begin and end included) do not overlap.  They reach the rows as one
+    sorted list, beside a list with the place of the last period begun by each day from
+    the first begin to the last: the day's number finds the place, and the end of the
+    period there decides.  The rows are not shuffled and not widened.  Both lists are
+    scalars computed once; the calendar bounds them (one number a day, one entry a period).
+    A period without a begin or an end, or with an end before its begin, holds nothing.
     """
-    days = periods.withColumn("__day", F.explode(F.sequence(F.col(begin), F.col(end)))).drop(begin, end)
-    return (
-        df.withColumn("__day", F.col(date).cast("date"))
-        .join(days, "__day", "left")
-        .drop("__day")
+    fields = [c for c in periods.columns if c not in (begin, end)]
+    held = periods.where(F.col(begin) <= F.col(end)).select(
+        F.struct(F.col(begin).cast("date").alias("__begin"), F.col(end).cast("date").alias("__end"), *(F.col(f"`{c}`") for c in fields)).alias("p")
     )
+    length = "coalesce(datediff(get(rows, i + 1).__begin, rows[i].__begin), 1)"
+    listed = held.agg(F.array_sort(F.collect_set("p")).alias("rows")).where(F.size("rows") > 0)
+    places = F.expr(f"flatten(transform(sequence(0, size(rows) - 1), i -> array_repeat(i, {length})))")
+    found = listed.select(F.struct("rows", places.alias("places"))).scalar()
+    rows, places = found["rows"], found["places"]
+    day = F.col(date).cast("date")
+    place = F.get(places, F.least(F.datediff(day, F.get(rows, F.lit(0))["__begin"]), F.size(places) - 1))
+    dated = df.withColumn("__period", F.get(rows, place))
+    inside = F.col("__period")["__end"] >= day
+    return dated.withColumns({c: F.when(inside, F.col("__period")[c]) for c in fields}).drop("__period")
 
 
 def lookup_default(

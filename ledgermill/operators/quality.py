@@ -168,24 +168,106 @@ def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
     return union_all([c.select(*CHECK_COLUMNS) for c in checks])
 
 
-def extended_check(
-    check: DataFrame, test_name: str, category: str, expected: str, detail: str = "", pipeline: str = ""
+class KeySuite:
+    """Checks that compare the keys of several tables, from one pass over each of them.
+
+    The tables' keys meet in one grouped count (which combines before the shuffle, also
+    for rows without keys), and every check is an aggregate over the groups: rows
+    without keys, repeated and long keys, keys of one table that another lacks.  ``rows``
+    maps further counters to (table, condition on its rows).
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], keys: Sequence[str], rows: Mapping[str, tuple[str, Column]] | None = None):
+        self._tables, self._keys, self._rows = tables, list(keys), rows or {}
+        self._checks: list[tuple[str, str, str, Column]] = []
+
+    def _add(self, failed: Column, test_id: str, severity: str, notes: str) -> KeySuite:
+        self._checks.append((test_id, severity, notes, failed))
+        return self
+
+    def null_keys(self, table: str, test_id: str, severity: str = "FAIL", notes: str = "") -> KeySuite:
+        return self._add(F.sum(F.when(~F.col("__keyed"), F.col(f"n_{table}"))), test_id, severity, notes)
+
+    def duplicates(self, table: str, test_id: str, severity: str = "FAIL", notes: str = "") -> KeySuite:
+        return self.line_counts(table, 1, test_id, severity, notes)
+
+    def line_counts(self, table: str, limit: int, test_id: str, severity: str = "WARN", notes: str = "") -> KeySuite:
+        """Keys with more than ``limit`` rows."""
+        return self._add(F.count_if(F.col("__keyed") & (F.col(f"n_{table}") > limit)), test_id, severity, notes)
+
+    def missing(self, table: str, other: str, test_id: str, severity: str = "FAIL", notes: str = "") -> KeySuite:
+        """Keys of a table that another lacks."""
+        lost = F.col("__keyed") & (F.col(f"n_{table}") > 0) & (F.col(f"n_{other}") == 0)
+        return self._add(F.count_if(lost), test_id, severity, notes)
+
+    def key_counts(self, table: str, other: str, test_id: str, severity: str = "FAIL", notes: str = "") -> KeySuite:
+        """Absolute difference of the distinct key counts."""
+        a, b = (F.count_if(F.col("__keyed") & (F.col(f"n_{t}") > 0)) for t in (table, other))
+        return self._add(F.abs(a - b), test_id, severity, notes)
+
+    def rows_where(self, counter: str, test_id: str, severity: str = "FAIL", notes: str = "") -> KeySuite:
+        return self._add(F.sum(f"n_{counter}"), test_id, severity, notes)
+
+    def groups(self) -> DataFrame:
+        """A row per key (and one for rows without keys), with its number of rows in each table."""
+        names = [*self._tables, *self._rows]
+
+        def marks(table: str) -> list[Column]:
+            own = [F.lit(int(t == table)).alias(f"n_{t}") for t in self._tables]
+            return own + [
+                (F.when(bad, 1).otherwise(0) if of == table else F.lit(0)).alias(f"n_{name}") for name, (of, bad) in self._rows.items()
+            ]
+
+        keyed = ~_missing(self._keys)
+        parts = [
+            df.select(keyed.alias("__keyed"), *(F.when(keyed, norm_key(k)).alias(k) for k in self._keys), *marks(table))
+            for table, df in self._tables.items()
+        ]
+        groups = union_all(parts).groupBy("__keyed", *self._keys).agg(*(F.sum(f"n_{n}").alias(f"n_{n}") for n in names))
+        return groups
+
+    def facts(self, metrics: Mapping[str, Column]) -> DataFrame:
+        """One row of aggregates over the groups, missing ones as zero."""
+        return self.groups().agg(*(F.coalesce(metric, F.lit(0)).cast("long").alias(name) for name, metric in metrics.items()))
+
+    def results(self) -> DataFrame:
+        counted = self.facts({f"c{i}": failed for i, (*_, failed) in enumerate(self._checks)})
+        cells = F.array(*(
+            F.struct(
+                F.lit(test_id).alias("test_id"), F.lit(severity).alias("severity"), F.col(f"c{i}").alias("failed_rows"),
+                F.when(F.col(f"c{i}") == 0, "PASS").otherwise("FAIL").alias("status"), F.lit(notes).alias("notes"),
+            )
+            for i, (test_id, severity, notes, _) in enumerate(self._checks)
+        ))
+        return counted.select(F.inline(cells))
+
+
+MEASURED = [
+    "test_id", "test_name", "test_category", "severity", "status", "expected_value", "actual_value", "variance", "detail",
+    "pipeline_name", "run_time",
+]
+
+
+def measured_checks(
+    facts: DataFrame, checks: Sequence[tuple[str, str, str, str, str]], category: str, detail: str, pipeline: str
 ) -> DataFrame:
-    """Wider result row with expected and actual value and their variance."""
-    return check.select(
-        "test_id",
-        F.lit(test_name).alias("test_name"),
-        F.lit(category).alias("test_category"),
-        "severity",
-        "status",
-        F.lit(expected).alias("expected_value"),
-        F.col("failed_rows").cast("string").alias("actual_value"),
-        F.when(F.lit(expected) == F.col("failed_rows").cast("string"), "")
-        .otherwise((F.col("failed_rows") - F.lit(expected).try_cast("long")).cast("string"))
-        .alias("variance"),
-        F.lit(detail).alias("detail"),
-        F.lit(pipeline).alias("pipeline_name"),
-    )
+    """Result rows with expected and measured value, their variance, the tables checked and the time of the run.
+
+    ``facts`` is one row of measured numbers; a check is (id, name, severity, expected,
+    fact).  What is expected is a number, or ``>n`` for more than that.
+    """
+    def cell(test_id: str, name: str, severity: str, expected: str, fact: str) -> Column:
+        actual = F.col(fact)
+        bound = int(expected.removeprefix(">"))
+        passed = actual > bound if expected.startswith(">") else actual == bound
+        values = (
+            F.lit(test_id), F.lit(name), F.lit(category), F.lit(severity), F.when(passed, "PASS").otherwise("FAIL"), F.lit(expected),
+            actual.cast("string"), F.when(passed, "").otherwise((actual - bound).cast("string")), F.lit(detail), F.lit(pipeline),
+            F.current_timestamp(),
+        )
+        return F.struct(*(v.alias(n) for n, v in zip(MEASURED, values, strict=True)))
+
+    return facts.select(F.inline(F.array(*(cell(*check) for check in checks))))
 
 
 def observed(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:

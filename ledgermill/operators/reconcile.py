@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill.operators.joins import full_reconcile
 from ledgermill.operators.quality import duplicate_keys
+from ledgermill.sources.tables import write_table
 
 
 def reconcile(
@@ -151,13 +154,39 @@ def diff_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("issue_type", "old_column", "new_column").agg(F.count(F.lit(1)).alias("issue_count"))
 
 
-def run_log(old: DataFrame, new: DataFrame, diff: DataFrame, dups: DataFrame) -> DataFrame:
-    """One row with the four row counts, from one aggregation over tagged rows."""
-    names = ("old_row_count", "new_row_count", "detail_issue_count", "duplicate_key_count")
-    tagged = reduce(
-        DataFrame.unionByName, (df.select(F.lit(n).alias("what")) for n, df in zip(names, (old, new, diff, dups)))
-    )
-    return tagged.agg(*(F.count_if(F.col("what") == n).alias(n) for n in names))
+RUN_LOG = (
+    "run_id string, run_time timestamp, old_table string, new_table string, old_row_count bigint, new_row_count bigint, "
+    "detail_issue_count bigint, duplicate_key_count bigint, status string"
+)
+
+
+def run_log(
+    spark: SparkSession,
+    path: str,
+    run_id: str,
+    old: tuple[str, DataFrame],
+    new: tuple[str, DataFrame],
+    detail: Callable[[DataFrame, DataFrame], DataFrame],
+    keys: Sequence[str],
+    detail_path: str,
+) -> DataFrame:
+    """Compare two named tables, keep the differences at ``detail_path`` and the run in a log; gives the log.
+
+    The rows of both sides and the differences are counted while the differences are
+    written.  A run is one partition of the log: running it again under its id
+    replaces its row and adds none.
+    """
+    seen = {name: Observation(f"{name}-{uuid.uuid4().hex}") for name in ("old", "new", "issues")}
+    rows = F.count(F.lit(1)).alias("rows")
+    issues = detail(old[1].observe(seen["old"], rows), new[1].observe(seen["new"], rows))
+    write_table(issues.observe(seen["issues"], rows), detail_path)
+    repeated = duplicates(old[1], new[1], keys).count()
+    counts = [seen[name].get["rows"] for name in ("old", "new", "issues")]
+    status = "MATCH" if not counts[2] and not repeated else "DIFFERENT"
+    now = dt.datetime.now(dt.timezone.utc)
+    row = spark.createDataFrame([(run_id, now, old[0], new[0], *counts, repeated, status)], RUN_LOG)
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    return spark.read.schema(RUN_LOG).parquet(path)
 
 
 def overlap_audit(lines: DataFrame, keys: Sequence[str], tag: str, active: str, archived: str) -> DataFrame:

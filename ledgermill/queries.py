@@ -28,7 +28,7 @@ from ledgermill.operators.aggregates import (
     all_of, any_of, bucket_sums, listagg, most_frequent, pivot_attrs, rank_to_columns, share_of_total, split_sums,
     summarise_log,
 )
-from ledgermill.operators.dedup import dedup_by_priority, latest, prefer, qualify
+from ledgermill.operators.dedup import dedup_by_priority, latest, prefer, qualify, without_replays
 from ledgermill.operators.filters import (
     apply_params, between_dates, code_range, effective, lookback, not_deleted, still_open, unexpired,
 )
@@ -47,7 +47,7 @@ from ledgermill.plans import (
     bookings, cached_report, customers, flagship, gold_items, inventory, open_orders, orders, products, sales,
     shipments, shop_orders, vendors,
 )
-from ledgermill.session import configure, shared_folder
+from ledgermill.session import configure, own_folders, shared_folder
 from ledgermill.sources.calendar import calendar, us_holidays
 from ledgermill.sources.erp import Captures, stored_once
 from ledgermill.sources.tables import (
@@ -369,6 +369,15 @@ def top_lines_per_supplier(spark, t):
     return qualify(lines, ["l_suppkey"], [F.col("l_extendedprice").desc(), "l_orderkey", "l_linenumber", "l_partkey"], 3)
 
 
+@query
+def replayed_history(spark, t):
+    """Changes of stock sent again under a new version, recognised by the hash of all else."""
+    log = t.inventory_history.select("id_item", "id_loc", "date_chg_qty", "time_chg_qty", "seq_rec", "code_dtl", "qty_onhd_chg", "rowversion")
+    sent_again = log.where("rowversion % 3 = 0").withColumn("rowversion", F.col("rowversion") + 1_000_000_000)
+    kept = without_replays(log.unionByName(sent_again), "rowversion")
+    return kept.drop("row_hash")
+
+
 @query
 def home_location_first(spark, t):
     made = t.item_location.where(F.col("flag_source") == "M").select("id_item", "id_loc", "flag_stk")
@@ -666,44 +675,38 @@ SHOP_KEY = ["id_loc", "id_so", "sufx_so"]
 
 @query
 def shop_order_checks(spark, t):
-    h, o, m = t.shop_header, t.shop_operation, t.shop_material
-    target = Masters(spark, t).shop_orders
-    return q.run_checks(
-        [
-            q.check_null_keys(h, SHOP_KEY, "T1A", notes="header keys filled"),
-            q.check_null_keys(o, SHOP_KEY, "T1B", notes="operation keys filled"),
-            q.check_null_keys(m, SHOP_KEY, "T1C", notes="material keys filled"),
-            q.check_duplicates(h, SHOP_KEY, "T2A", notes="header keys unique"),
-            q.check_orphans(o, h, SHOP_KEY, "T2B", notes="operations have a header"),
-            q.check_orphans(m, h, SHOP_KEY, "T2C", notes="materials have a header"),
-            q.check_duplicates(target, SHOP_KEY, "T3A", notes="target keys unique"),
-            q.check_key_counts(h, target, SHOP_KEY, "T3B", notes="same number of keys"),
-            q.check_missing(h, target, SHOP_KEY, "T4A", notes="source keys in target"),
-            q.check_missing(target, h, SHOP_KEY, "T4B", notes="target keys in source"),
-            q.check_line_counts(m, SHOP_KEY, 6, "T5A", notes="many material lines"),
-            q.check_negative(t.item_location, ["qty_onhd", "qty_onord"], "T6A", notes="negative stock"),
-            q.check_domain(h, "stat_rec_so", ["A", "R", "S", "C"], "T7A", notes="status in domain"),
-        ]
-    )
+    tables = {"header": t.shop_header, "operation": t.shop_operation, "material": t.shop_material, "target": Masters(spark, t).shop_orders}
+    status = F.col("stat_rec_so")
+    suite = q.KeySuite(tables, SHOP_KEY, {"odd_status": ("header", status.isNull() | ~status.isin("A", "R", "S", "C"))})
+    suite.null_keys("header", "T1A", notes="header keys filled").null_keys("operation", "T1B", notes="operation keys filled")
+    suite.null_keys("material", "T1C", notes="material keys filled").duplicates("header", "T2A", notes="header keys unique")
+    suite.missing("operation", "header", "T2B", notes="operations have a header").missing("material", "header", "T2C", notes="materials have a header")
+    suite.duplicates("target", "T3A", notes="target keys unique").key_counts("header", "target", "T3B", notes="same number of keys")
+    suite.missing("header", "target", "T4A", notes="source keys in target").missing("target", "header", "T4B", notes="target keys in source")
+    suite.line_counts("material", 6, "T5A", notes="many material lines").rows_where("odd_status", "T7A", notes="status in domain")
+    stock = q.check_negative(t.item_location, ["qty_onhd", "qty_onord"], "T6A", notes="negative stock")
+    return q.run_checks([suite.results(), stock])
 
 
 @query
 def ingestion_checks(spark, t):
-    def wide(check, name, expected, detail):
-        return q.extended_check(check, name, "INGESTION", expected, detail, "ingestion")
-
-    heads = tagged_union({"A": t.order_header, "P": t.order_header_perm})
-    lines = tagged_union({"A": t.order_line, "P": t.order_line_perm})
-    return union_all(
-        [
-            wide(q.check_rows_exist(heads, "ING-001", severity="CRITICAL"), "headers captured", "0", "both captures"),
-            wide(q.check_rows_exist(lines, "ING-002", severity="CRITICAL"), "lines captured", "0", "both captures"),
-            wide(q.check_null_keys(heads, ["id_ord"], "ING-003", severity="CRITICAL"), "null header keys", "0", "both captures"),
-            wide(q.check_null_keys(lines, ["id_ord", "seq_line_ord"], "ING-004", severity="CRITICAL"), "null line keys", "0", "both captures"),
-            wide(q.check_duplicates(t.order_header, ["id_ord"], "ING-005", severity="WARNING"), "repeated headers", "0", "active"),
-            wide(q.check_duplicates(t.order_line, ["id_ord", "seq_line_ord"], "ING-006", severity="WARNING"), "repeated lines", "0", "active"),
+    def suite(kind: str, key: list[str], active: DataFrame, perm: DataFrame, first: int, last: int) -> DataFrame:
+        both = F.col("n_active") + F.col("n_perm")
+        facts = q.KeySuite({"active": active, "perm": perm}, key).facts({
+            "rows": F.sum(both), "unkeyed": F.sum(F.when(~F.col("__keyed"), both)),
+            "repeated": F.count_if(F.col("__keyed") & (F.col("n_active") > 1)),
+        })
+        checks = [
+            (f"ING-00{first}", f"{kind}s captured", "CRITICAL", ">0", "rows"),
+            (f"ING-00{first + 2}", f"null {kind} keys", "CRITICAL", "0", "unkeyed"),
+            (f"ING-00{last}", f"repeated {kind}s", "WARNING", "0", "repeated"),
         ]
+        return q.measured_checks(facts, checks, "INGESTION", f"order_{kind}, order_{kind}_perm", "ingestion")
+
+    rows = suite("header", ["id_ord"], t.order_header, t.order_header_perm, 1, 5).unionByName(
+        suite("line", ["id_ord", "seq_line_ord"], t.order_line, t.order_line_perm, 2, 6)
     )
+    return rows.select(*(c for c in q.MEASURED if c != "run_time"), flag_if(F.col("run_time").isNotNull()).alias("timed"))
 
 
 @query
@@ -803,8 +806,15 @@ def order_diff_summary(spark, t):
 
 @query
 def order_run_log(spark, t):
-    new = _changed_orders(t)
-    return run_log(t.orders, new, cell_diff(t.orders, new, ["o_orderkey"], DIFF_FIELDS), duplicates(t.orders, new, ["o_orderkey"]))
+    """The log of one comparison run, with the counts taken while its differences were written."""
+    keys = ["o_orderkey"]
+    with own_folders(spark) as folder:
+        log = run_log(
+            spark, folder("run-log"), "orders-1", ("orders", t.orders), ("changed_orders", _changed_orders(t)),
+            lambda old, new: cell_diff(old, new, keys, DIFF_FIELDS), keys, folder("run-detail"),
+        )
+        shown = log.withColumn("timed", flag_if(F.col("run_time").isNotNull())).drop("run_time")
+        return spark.createDataFrame(shown.collect(), shown.schema)
 
 
 @query
@@ -857,12 +867,13 @@ def order_filter_funnel(spark, t):
 
 @query
 def profile_orders(spark, t):
-    return profile(t.orders.withColumn("o_totalprice", money("o_totalprice"))).drop("sample_values")
+    return profile(t.orders.withColumn("o_totalprice", money("o_totalprice")))
 
 
 @query
 def profile_samples(spark, t):
-    return profile(t.customer, sample_pct=50).select("column_name", "data_type", "sample_values")
+    seen = profile(t.customer, sample_pct=50, sample_keys=["c_custkey"])
+    return seen.select("column_name", "data_type", "distinct_count", "sample_values", "value_composition")
 
 
 @query
@@ -887,7 +898,8 @@ def step_counts(spark, t):
     """Row counts of pipeline steps, taken while the last step is written."""
     lines, seen = q.observed(t.lineitem, "lines")
     picked, kept = q.observed(latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_extendedprice"]), "kept")
-    write_table(picked, shared_folder(spark, "step-counts"))
+    with own_folders(spark) as folder:
+        write_table(picked, folder("step-counts"))
     rows = [("lines", seen.get["rows"]), ("kept", kept.get["rows"])]
     return spark.createDataFrame(rows, "step string, rows bigint")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,7 +19,13 @@ ADAPTIVE = {
 
 # For the session builder: no call-site capture per column expression, which
 # doubles the time a wide model takes to build.
-AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+AT_START = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # A wide model's generated method is beyond the 8,000 bytes up to which the JVM compiles
+    # methods by default, and would be interpreted: ten times slower.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -31,12 +39,35 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder that driver and executors share.
 
     ``spark.checkpoint.dir`` names it; a session without that setting uses a
-    folder beside its tables, in the warehouse.
+    folder beside its tables, in the warehouse.  The application owns the path: whatever is
+    there when it ends, however its queries ended, is removed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    place, files = _file_system(spark, path)
+    files.deleteOnExit(place)
+    return path
+
+
+@contextmanager
+def own_folders(spark: SparkSession) -> Iterator[Callable[[str], str]]:
+    """Names of fresh shared folders for a piece of work; all are removed when it ends, also by an error.
+
+    Only for work whose result does not read from them any more.
+    """
+    made: list[str] = []
+
+    def folder(purpose: str) -> str:
+        made.append(shared_folder(spark, purpose))
+        return made[-1]
+
+    try:
+        yield folder
+    finally:
+        for path in made:
+            remove_folder(spark, path)
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,9 +51,13 @@ def sample(df: DataFrame, percent: float, keys: Sequence[str]) -> DataFrame:
 
     The same rows are kept however the table is stored or partitioned.
     """
-    text = F.concat_ws("|", *(F.col(k).cast("string") for k in keys))
+    return df.where(in_sample(percent, keys))
+
+
+def in_sample(percent: float, keys: Sequence[str]) -> Column:
+    text = F.concat_ws("|", *(F.col(f"`{k}`").cast("string") for k in keys))
     limit = format(min(2**32 - 1, int(percent / 100 * 2**32)), "08x")
-    return df.where(F.substring(F.md5(text), 1, 8) < limit)
+    return F.substring(F.md5(text), 1, 8) < limit
 
 
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:

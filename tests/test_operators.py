@@ -2,18 +2,21 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgermill.operators import quality as q
 from ledgermill.operators.aggregates import listagg, pivot_attrs, rank_to_columns, share_of_total
-from ledgermill.operators.dedup import dedup_by_priority, latest, one_per, prefer
+from ledgermill.operators.dedup import dedup_by_priority, latest, one_per, prefer, without_replays
 from ledgermill.operators.filters import apply_params, effective, not_deleted, unexpired
 from ledgermill.operators.joins import (
     alternative_detail, best_match, enrich, full_reconcile, interval_join, lookup_default, orphans, salted_join, spread_blank,
 )
 from ledgermill.operators.profile import profile
-from ledgermill.operators.reconcile import cell_diff, duplicates, filter_funnel, reconcile
+from ledgermill.operators.quality import KeySuite
+from ledgermill.operators.reconcile import cell_diff, duplicates, filter_funnel, reconcile, run_log
 from ledgermill.plans.inventory import primary_location_flag, secondary_location_list
+from ledgermill.session import own_folders
 from ledgermill.sources.tables import conform, tagged_union
 
 
@@ -244,3 +247,52 @@ def test_blank_keys_are_spread_and_match_nothing(spark):
     assert spread.select("key").distinct().count() > 500
     other = spark.createDataFrame([("K1", 1), ("", 2)], "key string, v int")
     assert [r.v for r in spread.join(other, "key", "left").where("v IS NOT NULL").collect()] == [1]
+
+
+def test_row_hash_tells_contents_apart(spark):
+    df = spark.createDataFrame(
+        [("a", "b", None, 1), ("ab", "", None, 2), ("a", "b", "", 3), ("a", "b", None, 4), (None, "b", "a", 5), ("a", "b", None, 4)],
+        "x string, y string, z string, version long",
+    )
+    kept = without_replays(df, "version")
+    assert rows(kept, "first_version", "last_version", "copies") == [(1, 4, 3), (2, 2, 1), (3, 3, 1), (5, 5, 1)]
+    assert without_replays(df.limit(0), "version").count() == 0
+
+
+def test_a_run_is_logged_once(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d")], "k long, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "x"), (2, "c")], "k long, v string")
+    place = str(tmp_path)
+
+    def go(run_id):
+        return run_log(
+            spark, f"{place}/log", run_id, ("old_t", old), ("new_t", new), lambda a, b: cell_diff(a, b, ["k"], {"v": ("v", "text")}), ["k"], f"{place}/detail",
+        )
+
+    go("r1")
+    log = go("r1")
+    assert rows(log, "run_id", "old_table", "new_table", "old_row_count", "new_row_count", "detail_issue_count", "duplicate_key_count", "status") == [
+        ("r1", "old_t", "new_t", 4, 3, 2, 2, "DIFFERENT")
+    ]
+    assert go("r2").count() == 2 and spark.read.parquet(f"{place}/detail").count() == 2
+    assert log.where("run_time IS NULL").count() == 0
+
+
+def test_own_folders_go_also_after_an_error(spark):
+    names = []
+    with pytest.raises(ValueError), own_folders(spark) as folder:
+        names.append(folder("trial"))
+        spark.range(3).write.parquet(names[0])
+        raise ValueError
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(names[0])
+
+
+def test_key_suite_counts(spark):
+    a = spark.createDataFrame([("1 ", 1), ("1", 2), ("2", 3), (None, 4), ("", 5), (" ", 6)], "k string, n int")
+    b = spark.createDataFrame([("1",), ("3",), ("4",)], "k string")
+    suite = KeySuite({"a": a, "b": b}, ["k"], {"big": ("a", F.col("n") > 4)})
+    suite.null_keys("a", "N").duplicates("a", "D").missing("b", "a", "M").key_counts("a", "b", "C").line_counts("a", 2, "L").rows_where("big", "R")
+    assert {r.test_id: r.failed_rows for r in suite.results().collect()} == {"N": 3, "D": 1, "M": 2, "C": 1, "L": 0, "R": 2}
+    empty = KeySuite({"a": a.limit(0), "b": b.limit(0)}, ["k"]).null_keys("a", "N").missing("a", "b", "M")
+    assert [r.status for r in empty.results().collect()] == ["PASS", "PASS"]
