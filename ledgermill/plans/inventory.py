@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions import fixed_values as fv
@@ -13,7 +13,7 @@ from ledgermill.functions.dates import event_time
 from ledgermill.functions.text import case_map, first_rule, flag_if, is_pending, norm_key, strip_pending
 from ledgermill.operators import quality as q
 from ledgermill.operators.aggregates import any_of, bucket_sums, listagg, rank_to_columns, summarise_log
-from ledgermill.operators.dedup import dedup_by_priority, latest, prefer, ranked
+from ledgermill.operators.dedup import dedup_by_priority, latest, prefer, qualify, ranked
 from ledgermill.operators.filters import finished_goods
 from ledgermill.operators.keys import trim_keys
 
@@ -53,29 +53,19 @@ def shop_quantities(t) -> DataFrame:
 
 
 def vendor_sources(t) -> DataFrame:
-    """First and second vendor per item, the primary one first."""
+    """First and second vendor per item with their names, the primary one first.
+
+    Names are looked up before the offers are ranked, so what is at item grain stays where it is.
+    """
     names = dedup_by_priority(trim_keys(t.vendor_payto, ["id_vnd"]), ["id_vnd"], []).select(
-        F.col("id_vnd").alias("id_vnd_payto"), "name_vnd"
+        F.col("id_vnd").alias("vendor_id"), F.col("name_vnd").alias("vendor_name")
     )
-    offers = trim_keys(t.item_vendor, ["id_item", "id_vnd_payto"]).select("id_item", "id_vnd_payto", "flag_vnd_prim")
-    top = rank_to_columns(
-        offers, ["id_item"], [prefer(F.col("flag_vnd_prim") == "P"), "id_vnd_payto"], ["id_vnd_payto"],
+    offers = trim_keys(t.item_vendor, ["id_item", "id_vnd_payto"]).select("id_item", F.col("id_vnd_payto").alias("vendor_id"), "flag_vnd_prim")
+    top = qualify(offers, ["id_item"], [prefer(F.col("flag_vnd_prim") == "P"), "vendor_id"], 2)
+    return rank_to_columns(
+        top.join(names, "vendor_id", "left"), ["id_item"], [prefer(F.col("flag_vnd_prim") == "P"), "vendor_id"], ["vendor_id", "vendor_name"],
         ["primary", "secondary"],
     )
-    for rank in ("primary", "secondary"):
-        top = top.join(
-            names.select(F.col("id_vnd_payto").alias(f"{rank}_id_vnd_payto"), F.col("name_vnd").alias(f"{rank}_vendor_name")),
-            f"{rank}_id_vnd_payto", "left",
-        ).withColumnRenamed(f"{rank}_id_vnd_payto", f"{rank}_vendor_id")
-    return top
-
-
-def primary_manufacturing(t) -> DataFrame:
-    """The location that makes an item: home first, then the smallest id."""
-    made = locations(t).where(F.col("flag_source") == "M").select("id_item", F.col("id_loc").alias("primary_mfg_loc"))
-    return dedup_by_priority(
-        made, ["id_item"], [prefer(F.col("primary_mfg_loc") == fv.HOME_LOCATION), "primary_mfg_loc"]
-    )
 
 
 def build_inventory(
@@ -83,20 +73,33 @@ def build_inventory(
     location_names: Mapping[str, str] = fv.LOCATION_NAMES,
     plant_vendors: Mapping[str, str] = fv.PLANT_VENDORS,
 ) -> DataFrame:
-    """Inventory master of finished goods: one row per item and location."""
-    goods = finished_goods(
-        locations(t), items(t), list(location_names), fv.FINISHED_GOODS_COST_CATEGORY, fv.PARENT_COMMODITY
-    )
-    made_here = goods.where(F.col("flag_source") == "M").select("id_item").distinct().withColumn("made", F.lit(True))
-    joined = (
-        goods.join(vendor_sources(t), "id_item", "left")
-        .join(primary_manufacturing(t), "id_item", "left")
-        .join(made_here, "id_item", "left")
-        .join(shop_quantities(t), ["id_item", "id_loc"], "left")
-        .join(reorder_points(t).withColumn("id_loc", F.col("id_loc_home")), ["id_item", "id_loc"], "left")
-    )
+    """Inventory master of finished goods: one row per item and location.
+
+    What belongs to an item (the location that makes it, whether it is made at all, its vendors,
+    the list of its other locations) is found first, with all its rows in one place;
+    then the sums per location meet them.  An item has at most one row per location, so its
+    rows are few.
+    """
+    of_item = Window.partitionBy("id_item")
+    made = F.when(F.col("flag_source") == "M", F.struct(prefer(F.col("id_loc") == fv.HOME_LOCATION), "id_loc"))
+    placed = locations(t).withColumn("primary_mfg_loc", F.min(made).over(of_item)["id_loc"])
+    goods = finished_goods(placed, items(t), list(location_names), fv.FINISHED_GOODS_COST_CATEGORY, fv.PARENT_COMMODITY)
     maker = case_map("primary_mfg_loc", location_names)
     plant = case_map("primary_vendor_id", plant_vendors)
+    sourced = goods.withColumn("made", F.max(F.col("flag_source") == "M").over(of_item)).join(vendor_sources(t), "id_item", "left")
+    sourced = sourced.withColumn(
+        "primary_source", F.coalesce(maker, plant, F.col("primary_vendor_name"), F.lit(fv.SOURCE_UNKNOWN))
+    ).withColumn(
+        "source_location_match_flag",
+        flag_if(F.col("primary_source") == case_map("id_loc", location_names), "P", "S"),
+    )
+    others = F.array_sort(F.collect_list(F.when(F.col("source_location_match_flag") == "S", F.col("id_loc"))).over(of_item))
+    listed = sourced.withColumn("others", others).withColumn(
+        "secondary_location_list", F.when(F.size("others") > 0, F.array_join("others", ", "))
+    )
+    joined = listed.join(shop_quantities(t), ["id_item", "id_loc"], "left").join(
+        reorder_points(t).withColumn("id_loc", F.col("id_loc_home")), ["id_item", "id_loc"], "left"
+    )
     pending = (F.coalesce("qty_rel_pnd", F.lit(0)) > 0) | (F.coalesce("qty_start_pnd", F.lit(0)) > 0)
     counted = F.col("flag_stk").isin("S", "M") | (F.col("flag_source") == "P") | pending
 
@@ -106,21 +109,13 @@ def build_inventory(
 
     derived = joined.withColumns(
         {
-            "primary_source": F.coalesce(maker, plant, F.col("primary_vendor_name"), F.lit(fv.SOURCE_UNKNOWN)),
             "manufactured_in_house": flag_if(F.col("made")),
             "quantity_cut": when_counted("qty_start", "qty_start_pnd"),
             "quantity_released": when_counted("qty_rel", "qty_rel_pnd"),
             "sourcing_type": case_map("flag_source", fv.SOURCING, "Other"),
         }
-    ).withColumn(
-        "source_location_match_flag",
-        flag_if(F.col("primary_source") == case_map("id_loc", location_names), "P", "S"),
-    )
-    secondary = listagg(
-        derived.where(F.col("source_location_match_flag") == "S").select("id_item", "id_loc"),
-        ["id_item"], "id_loc", "secondary_location_list",
     )
-    return derived.join(secondary, "id_item", "left").select(
+    return derived.select(
         F.col("id_item").alias("item_id_child_sku"),
         F.col("id_loc").alias("inventory_location_id"),
         "secondary_location_list", "sourcing_type", "primary_source", "manufactured_in_house",

@@ -88,3 +88,10 @@ def test_checks_read_every_table_once(spark):
     tables = (t.shop_header, t.shop_operation, t.shop_material, t.item_location)
     once = sum(plan(table).count("Scan parquet") for table in tables) + 1  # and the target
     assert plan(QUERIES["shop_order_checks"](spark, SMALL)).count("Scan parquet") == once
+
+
+def test_inventory_runs_its_joins_once(spark):
+    text = plan(QUERIES["inventory_master"](spark, SMALL))
+    assert len(re.findall(r"[^t]Exchange hashpartitioning", text)) <= 8
+    places = re.findall(r"ReadSchema: struct<[^>]*flag_source", text)
+    assert len(places) == 1  # locations are read once
