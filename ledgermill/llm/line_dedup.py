@@ -10,7 +10,7 @@ stays.  Between classes, words are ordered by rarity and each line is indexed un
 the words of its prefix, long enough that two matching lines share one.
 Lines met under a word pass the length filter, the positional filter and a
 filter on 128-bit signatures, and are verified by their words.  A line is first compared
-with the nearest ``FIRST`` earlier lines that pass; only where none of them matches and
+with the nearest ``LIMITS[0]`` earlier lines that pass; only where none of them matches and
 more would pass, all are compared, so that a family of near copies costs no more
 than its size and still no match is lost.
 
@@ -34,7 +34,9 @@ from ledgermill.llm.storage import stored
 from ledgermill.llm.text import Texts, column, distinct, mix, signed, slices, words
 
 SIMILAR = 80  # per cent
-FIRST = 64
+#: Candidates of a line that are verified before the next round, which is for lines without a match
+#: among them only; the last round takes all.
+LIMITS = (2, 16, None)
 STEPS = 64
 FLUSH = 1 << 21  # words whose counts a task holds before it passes them on
 
@@ -258,24 +260,29 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     counts = picked.mapInArrow(_word_counts, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
     table = spark.sparkContext.broadcast(set_tools.rarity_table(counts))
     entries = picked.mapInArrow(lambda batches: _entries(table.value, None, batches), ENTRY)
-    met = set_tools.grouped(entries, "word", partial(_meet, FIRST, STEPS), PAIR)
     by = ["doc", "line", "other_doc", "other_line", "id", "other_id"]
-    met = stored(met.groupBy(*by).agg(F.max("more").alias("more")), "pairs")
-    gone = stored(_verified(picked, met), "matched")
-    rest = met.where("more").select("doc", "line", "id").distinct().join(gone, ["doc", "line"], "left_anti")
-    rest = stored(rest, "open")
-    if not rest.isEmpty():
-        # all pairs of the lines whose first candidates did not match: entries of their words only
-        lines = spark.sparkContext.broadcast(set_tools.bloom(rest, "id"))
-        asked = picked.mapInArrow(lambda batches: _prefix_words(table.value, lines.value, batches), "doc long, line long, word long")
-        asked = stored(asked.join(rest.select("doc", "line"), ["doc", "line"], "left_semi"), "asked")
-        held = spark.sparkContext.broadcast(set_tools.bloom(asked, "word"))
-        near = picked.mapInArrow(lambda batches: _entries(table.value, held.value, batches), ENTRY).join(asked.select("word").distinct(), "word", "left_semi")
-        marked = near.withColumn("line", F.shiftright("meta", 32)).join(asked.select("doc", "line").distinct().withColumn("asked", F.lit(True)), ["doc", "line"], "left")
-        marked = marked.drop("line").withColumn("asked", F.coalesce("asked", F.lit(False)))
-        marked = marked.select("word", "doc", "meta", "low", "bits0", "bits1", "asked")
-        met = set_tools.grouped(marked, "word", partial(_meet, None, STEPS), PAIR)
-        gone = gone.union(_verified(picked, stored(met.drop("more").distinct(), "pairs"))).distinct()
+    gone = None
+    for turn, limit in enumerate(LIMITS):
+        met = set_tools.grouped(entries, "word", partial(_meet, limit, STEPS), PAIR)
+        met = stored(met.groupBy(*by).agg(F.max("more").alias("more")), "pairs")
+        matched = _verified(picked, met)
+        gone = stored(matched if gone is None else gone.union(matched).distinct(), "matched")
+        if limit is None:
+            break
+        rest = met.where("more").select("doc", "line", "id").distinct().join(gone, ["doc", "line"], "left_anti")
+        rest = stored(rest, "open")
+        if rest.isEmpty():
+            break
+        if turn == 0:
+            # from now on only the words of the lines whose first candidates did not match
+            lines = spark.sparkContext.broadcast(set_tools.bloom(rest, "id"))
+            asked = picked.mapInArrow(lambda batches, lines=lines: _prefix_words(table.value, lines.value, batches), "doc long, line long, word long")
+            asked = stored(asked.join(rest.select("doc", "line"), ["doc", "line"], "left_semi"), "asked")
+            held = spark.sparkContext.broadcast(set_tools.bloom(asked, "word"))
+            near = picked.mapInArrow(lambda batches, held=held: _entries(table.value, held.value, batches), ENTRY)
+            near = stored(near.join(asked.select("word").distinct(), "word", "left_semi").withColumn("line", F.shiftright("meta", 32)), "near")
+        marked = near.join(rest.select("doc", "line").withColumn("asked", F.lit(True)), ["doc", "line"], "left")
+        entries = marked.select("word", "doc", "meta", "low", "bits0", "bits1", F.coalesce("asked", F.lit(False)).alias("asked"))
     firsts = picked.mapInArrow(_classes, "low long, high long, doc long, line long")
     firsts = firsts.groupBy("low", "high").agg(F.min(F.struct("doc", "line")).alias("at")).select("at.doc", "at.line")
     return firsts.join(gone, ["doc", "line"], "left_anti")

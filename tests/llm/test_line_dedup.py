@@ -58,11 +58,11 @@ def family(rng, count):
         yield " ".join(words) if rng.random() < 0.9 else rng.choice(["", "  ", "A a", "\t"])
 
 
-@pytest.mark.parametrize("first, steps", [(4, 64), (1, 2)])
-def test_families_equal_brute_force(spark, monkeypatch, first, steps):
-    monkeypatch.setattr(line_dedup, "FIRST", first)
+@pytest.mark.parametrize("limits, steps", [((2, 16, None), 64), ((4, None), 64), ((1, 2, None), 2), ((None,), 3)])
+def test_families_equal_brute_force(spark, monkeypatch, limits, steps):
+    monkeypatch.setattr(line_dedup, "LIMITS", limits)
     monkeypatch.setattr(line_dedup, "STEPS", steps)
-    rng = random.Random(first)
+    rng = random.Random(len(limits))
     docs = [(i, "\n".join(family(rng, rng.randrange(1, 8)))) for i in range(150)]
     docs += [(1000, None), (1001, ""), (1002, "x y z\n" * 3000), (1003, " ".join(f"v{i}" for i in range(30000))),
              (1004, " ".join(f"v{i}" for i in range(2000, 30000))), (None, docs[0][1]), (1005, "Ünï CÖDE a b c"), (1006, "Ünï CÖDE A b c")]
