@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm import set_tools
 from ledgermill.llm.storage import stored
-from ledgermill.llm.text import column, distinct, mix, shingles, signed, slices, words
+from ledgermill.llm.text import column, distinct, extend, mix, shingles, signed, slices, words
 
 SIZE = 5
 SIMILAR = 80  # per cent
@@ -251,23 +251,27 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
     return both.mapInArrow(verify, "a long, b long")
 
 
-def linked(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """For every row the key, ``n_shingles`` and ``component_id``."""
+def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """Digests of all rows, and for each class (low, high) the smallest ``doc_id`` that its links reach.
+
+    ``join_ids``: the classes of one ``doc_id`` link too.
+    """
     spark = frame.sparkSession
     picked = frame.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     digests = stored(picked.mapInArrow(_digests, "doc long, size long, low long, high long, point array<int>"), "digests")
     named = digests.where("size > 0 AND doc IS NOT NULL")
-    classes = named.groupBy("low", "high").agg(F.min("doc").alias("entry"), F.first("size").alias("size"), F.first("point").alias("point"))
-    classes = stored(classes, "classes")
+    classes = named.groupBy("low", "high").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("point").alias("point"))
+    # numbered, since several classes may have the same smallest document
+    classes = stored(classes.withColumn("entry", F.monotonically_increasing_id()), "classes")
     known = picked.where("doc IS NOT NULL AND text IS NOT NULL")
     counts = known.mapInArrow(_common, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
     table = spark.sparkContext.broadcast(set_tools.rarity_table(counts))
     entries = known.mapInArrow(lambda batches: _entries(table.value, batches), "run long, low long")
     shared = stored(set_tools.grouped(entries, "run", _shared_runs, "run long, low long"), "shared")
-    members = stored(shared.join(classes.select("low", "high", "entry", "size"), "low"), "members")
+    members = stored(shared.join(classes.select("low", "high", "doc", "entry", "size"), "low"), "members")
 
     # texts of the members, one per class
-    wanted = members.select("entry", "low", "high").distinct().withColumn("id", F.expr("entry ^ low"))
+    wanted = members.select("entry", "doc", "low", "high").distinct().withColumn("id", F.expr("doc ^ low"))
     filter_ = spark.sparkContext.broadcast(set_tools.bloom(wanted, "id"))
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,13 +280,19 @@ def linked(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
                 sets = _Sets(part.column(1))
                 ids = sets.low ^ part.column(0).to_numpy().view(np.uint64)
                 columns = [part.column(0), part.column(1), signed(sets.low), signed(sets.high)]
-                yield pa.record_batch(columns, ["entry", "text", "low", "high"]).filter(pa.array(set_tools.maybe(filter_.value, ids)))
+                yield pa.record_batch(columns, ["doc", "text", "low", "high"]).filter(pa.array(set_tools.maybe(filter_.value, ids)))
 
-    texts = known.mapInArrow(texts_of, "entry long, text string, low long, high long")
-    texts = texts.join(wanted.drop("id"), ["entry", "low", "high"], "left_semi").groupBy("entry").agg(F.first("text").alias("text"))
+    texts = known.mapInArrow(texts_of, "doc long, text string, low long, high long")
+    texts = texts.join(wanted.drop("id"), ["doc", "low", "high"]).groupBy("entry").agg(F.first("text").alias("text"))
     texts = stored(texts, "texts")
 
     links = spark.createDataFrame([], "a long, b long")
+    if join_ids:
+        owned = named.select("doc", "low", "high").distinct()
+        several = owned.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc")
+        owned = owned.join(several, "doc", "left_semi").join(classes.select("low", "high", "entry"), ["low", "high"])
+        ends = owned.groupBy("doc").agg(F.min("entry").alias("a"))
+        links = stored(owned.join(ends, "doc").select("a", F.col("entry").alias("b")).where("a <> b").distinct(), "links")
     labelled = members.select("run", "entry", F.col("entry").alias("component"))
 
     def joined() -> tuple[DataFrame, DataFrame]:
@@ -322,7 +332,40 @@ def linked(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         more = not found.where("more").isEmpty()
         low, high = high, high * 16
 
-    named = digests.select("doc", "size", "low", "high").join(classes.select("low", "high", "entry"), ["low", "high"], "left")
-    named = named.join(component, F.col("entry") == F.col("node"), "left")
-    found = F.when(F.col("doc").isNotNull(), F.coalesce("component", "entry", "doc"))
-    return named.select(F.col("doc").alias(key), F.col("size").alias("n_shingles"), found.alias("component_id"))
+    reached = classes.select("low", "high", "doc", "entry").join(component, F.col("entry") == F.col("node"), "left")
+    reached = reached.select("low", "high", "doc", F.coalesce("component", "entry").alias("component"))
+    least = reached.groupBy("component").agg(F.min("doc").alias("name"))
+    return digests, stored(reached.join(least, "component").select("low", "high", "name"), "names")
+
+
+def linked(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """For every row the key, ``n_shingles`` and ``component_id``."""
+    digests, names = _named(frame, key, text, join_ids=True)
+    rows = digests.select("doc", "size", "low", "high").join(names, ["low", "high"], "left")
+    # an empty text is its document's own, unless other rows of that id link
+    empty = digests.where("size = 0 AND doc IS NOT NULL").select("doc").distinct()
+    other = digests.where("size > 0").join(empty, "doc", "left_semi").join(names, ["low", "high"])
+    other = other.groupBy("doc").agg(F.min("name").alias("other"))
+    rows = rows.join(other, "doc", "left")
+    found = F.when(F.col("doc").isNotNull(), F.when(F.col("size") > 0, F.col("name")).otherwise(F.coalesce("other", "doc")))
+    return rows.select(F.col("doc").alias(key), F.col("size").alias("n_shingles"), found.alias("component_id"))
+
+
+def representatives(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stand for their group of linked texts: those of its smallest ``doc_id``, all columns as they are.
+
+    Groups are of texts: rows with one ``doc_id`` and texts that do not link stand for themselves.
+    Rows without words or with a null ``doc_id`` stay.
+    """
+    _, names = _named(frame, key, text, join_ids=False)
+
+    def signed_row(part: pa.RecordBatch) -> list[pa.Array]:
+        sets = _Sets(part.column(part.num_columns - 1))
+        return [pa.array(sets.size), signed(sets.low), signed(sets.high)]
+
+    rest = F.struct(*[F.col(f"`{c}`") for c in frame.columns if c != text]).alias("row")  # kept from names that are added
+    rows = extend(frame.select(rest, text), text, "size long, low long, high long", signed_row)
+    rows = rows.join(names, ["low", "high"], "left")
+    own = F.col("row")[key]
+    stay = rows.where(own.isNull() | (F.col("size") == 0) | (own.cast("long") == F.col("name")))
+    return stay.select(*[F.col(f"`{text}`") if c == text else F.col("row")[c].alias(c) for c in frame.columns])

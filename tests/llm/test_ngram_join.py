@@ -84,3 +84,14 @@ def test_tree_finds_what_a_scan_finds():
 
 def test_empty_table(spark):
     assert got(spark.createDataFrame([], "doc_id long, text string")) == []
+
+
+def test_repeated_ids_join_their_texts(spark):
+    a, b, c = ("one two three four five six seven", "alpha beta gamma delta eps zeta", "lone text of some five words")
+    docs = [(5, a), (5, b), (2, b), (9, a), (9, None), (7, c), (7, ""), (8, None), (None, a)]
+    frame = spark.createDataFrame([(d, t, 1, "n") for d, t in docs], "doc_id long, text string, low int, row string")
+    assert got(frame) == brute(docs)
+    assert {r[2] for r in got(frame) if r[0] in (2, 5, 9)} == {2}
+    kept = sorted((tuple(r)[:2] for r in ngram_join.representatives(frame).collect()), key=str)
+    assert kept == sorted([(5, a), (2, b), (9, None), (7, c), (7, ""), (8, None), (None, a)], key=str)
+    assert ngram_join.representatives(frame).columns == frame.columns
