@@ -16,8 +16,8 @@ a part the strings are a sorted array and a prefix is a range found by binary
 search.  Equal vectors are one entry with the ids that can be among the ``k``
 nearest, so a common vector costs no more than any other.
 
-Vectors that are null, empty, zero, hold null or non-finite components, or have
-another dimension than the largest, take no part.  A row with a query's own id is
+Vectors that are null, empty, zero, or hold null or non-finite components take no part.
+Those of different numbers of components are forests of their own and never neighbours.  A row with a query's own id is
 never its neighbour, and rows that repeat an id count once, by their best score.
 Every valid query row gives its ``k`` nearest, or all candidates if fewer; repeated
 query ids with equal vectors are one query, with different vectors one whose
@@ -26,12 +26,13 @@ scores are the best over its vectors.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ GROUP = 50_000
 BITS = 6  # of a symbol: 2 * WIDTH values
 
 
+@lru_cache(maxsize=8)
 def _projections(dimension: int) -> np.ndarray:
     return np.random.default_rng(7).standard_normal((TREES, DEPTH, dimension, WIDTH))
 
@@ -81,8 +83,12 @@ def _prefix(code: np.ndarray, length: int) -> np.ndarray:
     return code >> BITS * (DEPTH - length)
 
 
-def _vectors(array: pa.Array) -> np.ndarray:
-    return np.stack(array.to_numpy(zero_copy_only=False)).astype(np.float64) if len(array) else np.empty((0, 1))
+def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """Vectors of each number of components, with their rows: those of different numbers never meet."""
+    sizes = pc.list_value_length(batch.column(1)).to_numpy()
+    for size in np.unique(sizes):
+        rows = batch.filter(pa.array(sizes == size))
+        yield int(size), rows, np.stack(rows.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
 
 
 def _packed(vectors: np.ndarray) -> pa.Array:
@@ -108,34 +114,32 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     picked = picked.where(valid("vector") & F.col("id").isNotNull())
     asked = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     asked = asked.where(valid("vector") & F.col("id").isNotNull()).distinct()
-    dimension = picked.agg(F.max(F.size("vector"))).head()[0] or 1
-    of_size = F.size("vector") == dimension
     order = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    first_ids = picked.where(of_size).distinct().withColumn("place", order).where(F.col("place") <= keep)
+    first_ids = picked.distinct().withColumn("place", order).where(F.col("place") <= keep)
     entries = first_ids.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     entries = stored(entries.select(F.col("ids")[0].alias("entry"), F.xxhash64("vector").alias("hash"), "vector", "ids"), "vectors")
     # a vector that is asked for need not be among the rows searched
     asked = stored(
-        asked.where(of_size).select(F.col("id").alias("query_id"), "vector", F.xxhash64("vector").alias("hash")), "queries"
+        asked.select(F.col("id").alias("query_id"), "vector", F.xxhash64("vector").alias("hash")), "queries"
     )
     targets = asked.groupBy("vector").agg(F.min("query_id").alias("query"))
     targets = stored(targets, "targets")
 
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = _vectors(batch.column(1))
-            codes, packed = strings(vectors)[:, :, 0], _packed(vectors)
-            for t in range(TREES):
-                tree = pa.array(np.full(len(vectors), t, np.int32))
-                first = pa.array(_prefix(codes[t], 1).astype(np.int32))
-                yield pa.record_batch([tree, first, pa.array(codes[t]), batch.column(0), packed], ["tree", "first", "code", "entry", "vector"])
+            for size, part, vectors in _by_size(batch):
+                codes, packed = strings(vectors)[:, :, 0], _packed(vectors)
+                for t in range(TREES):
+                    tree = pa.array(np.full(len(vectors), size * TREES + t))
+                    first = pa.array(_prefix(codes[t], 1).astype(np.int32))
+                    yield pa.record_batch([tree, first, pa.array(codes[t]), part.column(0), packed], ["tree", "first", "code", "entry", "vector"])
 
-    hashed = entries.select("entry", "vector").mapInArrow(hash_rows, "tree int, first int, code long, entry long, vector binary")
+    hashed = entries.select("entry", "vector").mapInArrow(hash_rows, "tree long, first int, code long, entry long, vector binary")
 
     def hash_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
-            ids = batch.column(0).to_numpy()
-            codes = strings(_vectors(batch.column(1)), PROBES)
+        for size, part, vectors in (x for b in batches for k in range(0, b.num_rows, SLICE) for x in _by_size(b.slice(k, SLICE))):
+            ids = part.column(0).to_numpy()
+            codes = strings(vectors, PROBES)
             for t in range(TREES):
                 for level in range(1, DEPTH + 1):
                     prefix = _prefix(codes[t], level)
@@ -143,28 +147,30 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
                     pairs = np.unique(np.stack([row, prefix.ravel()], axis=1), axis=0)
                     n = len(pairs)
                     yield pa.record_batch(
-                        [pa.array(np.full(n, t, np.int32)), pa.array(np.full(n, level, np.int32)), pa.array(pairs[:, 1]), pa.array(ids[pairs[:, 0]])],
+                        [pa.array(np.full(n, size * TREES + t)), pa.array(np.full(n, level, np.int32)), pa.array(pairs[:, 1]), pa.array(ids[pairs[:, 0]])],
                         ["tree", "level", "prefix", "query"],
                     )
 
-    probes = targets.select("query", "vector").mapInArrow(hash_queries, "tree int, level int, prefix long, query long")
+    probes = targets.select("query", "vector").mapInArrow(hash_queries, "tree long, level int, prefix long, query long")
     levels = F.explode(F.sequence(F.lit(1), F.lit(DEPTH))).alias("level")
     prefix = F.expr(f"shiftright(code, {BITS} * ({DEPTH} - level))").alias("prefix")
     sizes = hashed.groupBy("tree", "code").agg(F.count("*").alias("n")).select("tree", "code", "n", levels)
     sizes = stored(sizes.select("tree", "level", prefix, "n").groupBy("tree", "level", "prefix").agg(F.sum("n").alias("n")), "sizes")
     reached = probes.join(sizes, ["tree", "level", "prefix"]).groupBy("query", "level").agg(F.sum("n").alias("n"))
-    wanted = max(WANTED, math.ceil(SHARE * entries.count()))
-    level = reached.where(F.col("n") >= wanted).groupBy("query").agg(F.max("level").alias("level"))
+    sized = entries.groupBy(F.size("vector").alias("size")).agg(F.ceil(F.count("*") * SHARE).alias("share"))
+    reached = reached.join(targets.select("query", F.size("vector").alias("size")), "query").join(sized, "size")
+    level = reached.where(F.col("n") >= F.greatest("share", F.lit(WANTED))).groupBy("query").agg(F.max("level").alias("level"))
     chosen = targets.select("query").join(level, "query", "left").select("query", F.coalesce("level", F.lit(0)).alias("level"))
     chosen = stored(chosen, "levels")
-    # at most TREES * 2 * WIDTH rows, a fixed number
+    # at most TREES * 2 * WIDTH rows for each number of components
     parts = sizes.where("level = 1").select("tree", F.col("prefix").cast("int").alias("first"), F.ceil(F.col("n") / GROUP).cast("int").alias("parts"))
     own = probes.join(chosen, ["query", "level"]).select("tree", "level", "prefix", "query")
-    all_of = parts.where("tree = 0").select("tree", F.lit(1).alias("level"), F.col("first").cast("long").alias("prefix"))
+    all_of = parts.where(f"tree % {TREES} = 0").select("tree", F.lit(1).alias("level"), F.col("first").cast("long").alias("prefix"))
     # every vector: all groups of one tree, for the queries that fall short (all of them in small tables)
-    whole = chosen.where("level = 0").select("query", F.explode(F.sequence(F.lit(0), F.lit(2 * WIDTH - 1))).alias("prefix"))
-    whole = whole.select(F.lit(0).alias("tree"), F.lit(1).alias("level"), F.col("prefix").cast("long").alias("prefix"), "query")
-    whole = whole.join(F.broadcast(all_of), ["tree", "level", "prefix"], "left_semi")
+    whole = chosen.where("level = 0").join(targets.select("query", (F.size("vector") * TREES).cast("long").alias("tree")), "query")
+    whole = whole.select("query", "tree", F.explode(F.sequence(F.lit(0), F.lit(2 * WIDTH - 1))).alias("prefix"))
+    whole = whole.select("tree", F.lit(1).alias("level"), F.col("prefix").cast("long").alias("prefix"), "query")
+    whole = whole.join(all_of, ["tree", "level", "prefix"], "left_semi")
     sent = own.union(whole.select("tree", "level", "prefix", "query"))
     first = F.expr(f"CAST(shiftright(prefix, {BITS} * (level - 1)) AS INT)").alias("first")
     low = F.expr(f"shiftleft(prefix, {BITS} * ({DEPTH} - level))").alias("low")
@@ -172,9 +178,9 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     sent = sent.select("tree", first, low, high, "query").groupBy("tree", "first", "query").agg(
         F.collect_list(F.struct("low", "high")).alias("ranges")
     )
-    sent = sent.join(F.broadcast(parts), ["tree", "first"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sent = sent.join(parts, ["tree", "first"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     sent = sent.join(targets, "query").select("tree", "first", "part", "query", "ranges", "vector")
-    rows = hashed.join(F.broadcast(parts), ["tree", "first"]).withColumn("part", F.expr("pmod(hash(entry), parts)"))
+    rows = hashed.join(parts, ["tree", "first"]).withColumn("part", F.expr("pmod(hash(entry), parts)"))
 
     def search(vectors: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
