@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm import byte_bpe, decontaminate, language_id, line_dedup, ngram_join
@@ -31,16 +31,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that match earlier ones; a document that loses all its words goes."""
-    rows = line_dedup.dedup(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")  # kept from names that are added
+    rows = line_dedup.dedup(docs.select(others, "doc_id", "text")).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+
+    def column(name: str) -> Column:
+        if name == "n_chars":
+            return F.length("text").cast(docs.schema[name].dataType).alias(name)
+        return F.col("text") if name == "text" else F.col("row")[name].alias(name)
+
+    return rows.select(*[column(c) for c in docs.columns])
 
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id."""
-    copies = ngram_join.linked(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(stored(copies, "copies"), "doc_id", "left_anti").select(*docs.columns)
+    return ngram_join.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
