@@ -60,3 +60,10 @@ def test_threshold_lies_between_own_and_other_scores(spark):
     model = language_id.learn(train)
     assert 0.2 < language_id.threshold(train, model) < 1
     assert language_id.threshold(train.limit(0), language_id.learn(train.limit(0))) > 0
+
+
+def test_line_stage_keeps_columns_of_its_own_names(spark):
+    rows = [(1, "a line of some words here\nshort", 77, 5), (2, "a line of some words here", 78, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_removed int")
+    got = {r["doc_id"]: tuple(r) for r in corpus_pipeline.dedup_lines(spark, docs, FOLDER).collect()}
+    assert got == {1: rows[0]}
