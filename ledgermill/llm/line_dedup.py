@@ -36,7 +36,7 @@ from ledgermill.llm.text import Texts, column, distinct, mix, signed, slices, wo
 SIMILAR = 80  # per cent
 #: Candidates of a line that are verified before the next round, which is for lines without a match
 #: among them only; the last round takes all.
-LIMITS = (2, 16, None)
+LIMITS = (16, 128, None)
 STEPS = 64
 FLUSH = 1 << 21  # words whose counts a task holds before it passes them on
 

@@ -58,7 +58,7 @@ def family(rng, count):
         yield " ".join(words) if rng.random() < 0.9 else rng.choice(["", "  ", "A a", "\t"])
 
 
-@pytest.mark.parametrize("limits, steps", [((2, 16, None), 64), ((4, None), 64), ((1, 2, None), 2), ((None,), 3)])
+@pytest.mark.parametrize("limits, steps", [((16, 128, None), 64), ((2, 16, None), 64), ((4, None), 64), ((1, 2, None), 2), ((None,), 3)])
 def test_families_equal_brute_force(spark, monkeypatch, limits, steps):
     monkeypatch.setattr(line_dedup, "LIMITS", limits)
     monkeypatch.setattr(line_dedup, "STEPS", steps)
