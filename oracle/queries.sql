@@ -766,12 +766,12 @@ SELECT id_loc, trim(id_so) AS id_so, sufx_so, id_item_par, stat_rec_so, date_sta
 
 -- name: gold_item_location
 -- text: last_order_date_12m, last_promised_date_12m, last_shipment_date_12m, last_shop_completed_date_12m
--- bigint: order_qty_original_12m, order_qty_open_12m, order_qty_shipped_12m, shipment_qty_12m, shipment_carton_qty_12m, shop_qty_ordered_12m, shop_qty_remaining_12m
+-- bigint: order_qty_original_12m, order_qty_open_12m, order_qty_backordered_12m, shop_qty_completed_12m, order_qty_shipped_12m, shipment_qty_12m, shipment_carton_qty_12m, shop_qty_ordered_12m, shop_qty_remaining_12m
 -- double: freight_amount_12m
 WITH o AS (
     SELECT item_id_child_sku AS i, order_assigned_location_id AS l, count(*) AS order_lines_12m, count(DISTINCT order_id) AS orders_12m,
            count(DISTINCT customer_id_sold_to) AS customers_12m, sum(original_order_quantity) AS order_qty_original_12m,
-           sum(open_order_quantity) AS order_qty_open_12m, sum(total_shipped_quantity) AS order_qty_shipped_12m,
+           sum(open_order_quantity) AS order_qty_open_12m, sum(coalesce(backordered_quantity, 0)) AS order_qty_backordered_12m, sum(total_shipped_quantity) AS order_qty_shipped_12m,
            max(date_ordered) AS last_order_date_12m, max(date_order_promised) AS last_promised_date_12m, max(product_category_code) AS cat
     FROM m_orders WHERE date_ordered >= DATE '2000-08-01' GROUP BY 1, 2
 ), s AS (
@@ -780,9 +780,12 @@ WITH o AS (
     FROM m_shipments WHERE date_ship >= DATE '2000-08-01' GROUP BY 1, 2
 ), w AS (
     SELECT id_item_par AS i, id_loc AS l, count(DISTINCT id_so || '/' || sufx_so) AS shop_orders_12m, count(*) AS shop_operations_12m,
-           sum(qty_ord) AS shop_qty_ordered_12m, sum(qty_remaining) AS shop_qty_remaining_12m, max(date_cmpl) AS last_shop_completed_date_12m,
+           sum(qty_ord) AS shop_qty_ordered_12m, sum(qty_cmpl) AS shop_qty_completed_12m, sum(qty_remaining) AS shop_qty_remaining_12m, max(date_cmpl) AS last_shop_completed_date_12m,
            max(code_cat_cost) AS cc, max(trim(coalesce(descr_item_1, '') || ' ' || coalesce(descr_item_2, ''))) AS ds
     FROM m_work WHERE date_add >= DATE '2000-08-01' GROUP BY 1, 2
+), pl AS (
+    SELECT item_id_child_sku AS i, planned_classification AS planner FROM m_inventory WHERE planned_classification IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY item_id_child_sku ORDER BY inventory_location_id <> '10', inventory_location_id) = 1
 )
 SELECT b.item_id_child_sku AS product_id_sku, b.inventory_location_id AS location_id,
        coalesce(p.item_description_child_sku, w.ds) AS item_description,
@@ -791,7 +794,10 @@ SELECT b.item_id_child_sku AS product_id_sku, b.inventory_location_id AS locatio
        CASE WHEN p.item_vertical_code IS NOT NULL THEN 'PRODUCT' WHEN o.cat IS NOT NULL THEN 'ORDERS' ELSE 'UNAVAILABLE' END AS product_category_source,
        coalesce(p.item_cost_category_id, w.cc) AS cost_category_code,
        CASE WHEN p.item_cost_category_id IS NOT NULL THEN 'PRODUCT' WHEN w.cc IS NOT NULL THEN 'SHOPORDER' ELSE 'UNAVAILABLE' END AS cost_category_source,
-       b.planned_classification AS item_planner, CASE WHEN b.planned_classification IS NOT NULL THEN 'INVENTORY' ELSE 'UNAVAILABLE' END AS item_planner_source,
+       coalesce(b.planned_classification, pl.planner) AS item_planner,
+       CASE WHEN b.planned_classification IS NOT NULL THEN 'INVENTORY' WHEN pl.planner IS NOT NULL THEN 'PRODUCT' ELSE 'UNAVAILABLE' END AS item_planner_source,
+       b.planned_classification AS planner_inventory_review, pl.planner AS planner_product_review, b.primary_bin, b.bin_tracking, b.type_loc, b.id_loc_home,
+       b.qty_min_rop, b.qty_mult_ord_rop, b.qty_ord_econ, b.lt_rop, b.source_location_match_flag,
        b.sourcing_type, b.primary_source, b.manufactured_in_house, p.item_id_parent_sku, p.item_description_parent_sku, p.item_vertical,
        p.item_status_child, p.item_status_parent, v.primary_vendor_id AS vendor_id, v.primary_vendor_name AS vendor_name,
        v.secondary_vendor_ids AS other_vendor_ids, b.quantity_on_hand, b.quantity_allocated, b.quantity_on_order, b.quantity_cut,
@@ -803,6 +809,7 @@ SELECT b.item_id_child_sku AS product_id_sku, b.inventory_location_id AS locatio
        CASE WHEN w.i IS NOT NULL THEN 'Y' ELSE 'N' END AS has_shop_work_12m
 FROM m_inventory b LEFT JOIN m_products p ON b.item_id_child_sku = p.item_id_child_sku
 LEFT JOIN m_vendors v ON b.item_id_child_sku = v.id_item
+LEFT JOIN pl ON b.item_id_child_sku = pl.i
 LEFT JOIN o ON b.item_id_child_sku = o.i AND b.inventory_location_id = o.l
 LEFT JOIN s ON b.item_id_child_sku = s.i AND b.inventory_location_id = s.l
 LEFT JOIN w ON b.item_id_child_sku = w.i AND b.inventory_location_id = w.l
