@@ -157,6 +157,14 @@ def _prefix_words(table: np.ndarray, lines_asked: np.ndarray, batches: Iterator[
             yield pa.record_batch([pa.array(lines.doc[line], pa.int64()), pa.array(lines.number[line]), signed(lines.word[mine[keep]])], ["doc", "line", "word"])
 
 
+def _asked(open_lines: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries with a mark on those of lines that a filter may hold; a line marked by chance only looks at more candidates."""
+    for batch in batches:
+        doc, line = batch.column(1).to_numpy(), batch.column(2).to_numpy() >> 32
+        ids = mix(mix(doc.view(np.uint64)) + line.view(np.uint64))
+        yield pa.record_batch([*batch.columns, pa.array(set_tools.maybe(open_lines, ids))], [*batch.schema.names, "asked"])
+
+
 ENTRY = "word long, doc long, meta long, low long, bits0 long, bits1 long"
 PAIR = "doc long, line long, other_doc long, other_line long, id long, other_id long, more boolean"
 
@@ -280,9 +288,9 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             asked = stored(asked.join(rest.select("doc", "line"), ["doc", "line"], "left_semi"), "asked")
             held = spark.sparkContext.broadcast(set_tools.bloom(asked, "word"))
             near = picked.mapInArrow(lambda batches, held=held: _entries(table.value, held.value, batches), ENTRY)
-            near = stored(near.join(asked.select("word").distinct(), "word", "left_semi").withColumn("line", F.shiftright("meta", 32)), "near")
-        marked = near.join(rest.select("doc", "line").withColumn("asked", F.lit(True)), ["doc", "line"], "left")
-        entries = marked.select("word", "doc", "meta", "low", "bits0", "bits1", F.coalesce("asked", F.lit(False)).alias("asked"))
+            near = stored(near.join(asked.select("word").distinct(), "word", "left_semi"), "near")
+        open_lines = spark.sparkContext.broadcast(set_tools.bloom(rest, "id"))
+        entries = near.mapInArrow(lambda batches, open_lines=open_lines: _asked(open_lines.value, batches), f"{ENTRY}, asked boolean")
     firsts = picked.mapInArrow(_classes, "low long, high long, doc long, line long")
     firsts = firsts.groupBy("low", "high").agg(F.min(F.struct("doc", "line")).alias("at")).select("at.doc", "at.line")
     return firsts.join(gone, ["doc", "line"], "left_anti")
