@@ -57,9 +57,14 @@ WITH words AS (
     SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
     UNION ALL
     SELECT 'i', item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark
+), sizes AS (
+    SELECT DISTINCT least(5, len(w)) AS n FROM words WHERE kind = 'i' AND len(w) > 0
 ), shingles AS (
-    SELECT DISTINCT kind, id, array_to_string(w[k:k + 4], ' ') AS s
-    FROM (SELECT kind, id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS k FROM words WHERE len(w) > 0)
+    SELECT DISTINCT kind, id, array_to_string(w[k:k + n - 1], ' ') AS s
+    FROM (
+        SELECT kind, id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k
+        FROM words, sizes WHERE len(w) >= n AND (kind = 'd' OR n = least(5, len(w)))
+    )
 ), items AS (
     SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'i'
 )
