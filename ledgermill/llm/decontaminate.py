@@ -56,8 +56,8 @@ def item_shingles(items: DataFrame, key: str, text: str) -> DataFrame:
 def document_shingles(documents: DataFrame, sizes: list[int]) -> DataFrame:
     """One row per document and run of words, repeats included, from ``doc_id`` and ``text``."""
     split = documents.select("doc_id", word_list("text").alias("words"))
-    hashes = ", ".join(runs("words", n) for n in sizes)
-    return split.select("doc_id", F.explode(F.expr(f"concat({hashes})")).alias("shingle"))
+    hashes = [F.expr(runs("words", n)) for n in sizes]
+    return split.select("doc_id", F.explode(hashes[0] if len(hashes) == 1 else F.concat(*hashes)).alias("shingle"))
 
 
 def sketches(shingles: DataFrame) -> DataFrame:

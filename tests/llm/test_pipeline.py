@@ -67,3 +67,12 @@ def test_line_stage_keeps_columns_of_its_own_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_removed int")
     got = {r["doc_id"]: tuple(r) for r in corpus_pipeline.dedup_lines(spark, docs, FOLDER).collect()}
     assert got == {1: rows[0]}
+
+
+def test_items_are_found_under_null_and_repeated_ids(spark):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("text IS NOT NULL").first()["text"]
+    clean = "a clean text of its own that holds nothing of it"
+    rows = [(None, f"before {item} after"), (None, clean), (1, item), (1, clean), (2, None)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, text_md5 string")
+    got = sorted((tuple(r)[:2] for r in corpus_pipeline.drop_contaminated(spark, docs, FOLDER).collect()), key=str)
+    assert got == sorted([(None, clean), (1, clean), (2, None)], key=str)
