@@ -3,8 +3,9 @@
 Every stage takes ``documents`` (doc_id, text, lang, source, n_chars; more columns may be
 there) as the stage before has written it, and works on all of it.  Null texts go
 with the first stage; rows with a null ``doc_id`` pass the stages that compare
-documents; rows that repeat a ``doc_id`` are treated as one document there.  An empty
-table gives an empty result.
+documents; rows that repeat a ``doc_id`` are treated as one document there.  Benchmark
+items are looked for in every text, also under null and repeated ids.  An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,10 +49,11 @@ def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, each text judged by itself, whatever its ``doc_id``."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(stored(found, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+    texts = docs.select(F.md5("text").alias("doc_id"), "text")
+    found = stored(decontaminate.contaminated(texts, benchmark).select(F.col("doc_id").alias("text_md5")).distinct(), "contaminated")
+    return docs.join(found, F.md5(docs["text"]) == found["text_md5"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
