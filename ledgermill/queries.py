@@ -911,7 +911,7 @@ def stream_latest(spark, t):
     feed = spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events*.parquet").parquet(t.directory)
     base = shared_folder(spark, "latest-events")
     maintain_latest(feed, f"{base}/table", f"{base}/progress", ["user_id"], ["ts", "event_id"]).awaitTermination()
-    return read_snapshot(spark, f"{base}/table", ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
+    return read_snapshot(spark, f"{base}/table", t.events.schema, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
 
 @query

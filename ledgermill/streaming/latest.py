@@ -1,93 +1,46 @@
 """Incremental upkeep of a latest-row-per-key table from a change feed.
 
-The table is plain parquet.  Every batch is appended as a version of its own,
-reduced to the newest row per key; readers take the newest row over the last
-base version and the versions after it.  ``compact`` writes what they would read
-as a new base and removes the versions before it, so the number of versions to
-be read stays small.  A batch writes what it brings, whatever the size of the table.
-
-Records name the versions that are complete and the batch each came from.  A
-batch that is run again writes its own version again; a run with a fresh checkpoint
-continues from the newest version.  Nothing but the few records is held on the driver.
+The table is parquet, partitioned by query and batch.  Every micro-batch is reduced
+to the newest row per key and overwrites its own partition, so a batch that is run
+again changes nothing, and one with a fresh checkpoint is a new query that adds to
+the table.  Readers take the newest row per key over all partitions; ``rewrite`` is a
+batch job that copies what they read to a new table, which the feed can go on with.
+A batch writes what it brings, whatever the size of the table.
+
+Partition columns are ``PARTS``; feeds must not have columns of these names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.operators.dedup import latest
-from ledgermill.session import remove_folder
 
-RECORD = "version long, run string, batch long, kind string"
-START, DELTA, BASE = "start", "delta", "base"
-COMPACT_AFTER = 20
+PARTS = ("feed_query", "batch_id")
+REWRITTEN = "rewritten"
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table under a path; none only where the path does not exist."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest row per key; none of a feed that has brought no rows."""
+    return latest(spark.read.schema(schema).parquet(path).select(*schema.names), keys, order)
 
 
-def _records(spark: SparkSession, path: str) -> list:
-    records = _read(spark, f"{path}/versions")
-    if records is None:
-        if _read(spark, f"{path}/data") is not None:
-            raise ValueError(f"the records of the versions under {path} are missing beside their data")
-        return []
-    return records.select("version", "run", "batch", "kind").collect()
+def upsert_batch(batch: DataFrame, query: str, number: int, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Write one batch of changes as the partition of its query and number."""
+    if clash := set(PARTS) & set(batch.columns):
+        raise ValueError(f"columns of the feed are named as partitions: {sorted(clash)}")
+    rows = latest(batch, keys, order).withColumns({PARTS[0]: F.lit(query), PARTS[1]: F.lit(number).cast("long")})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
 
 
-def _record(spark: SparkSession, path: str, version: int, run: str, batch: int, kind: str) -> None:
-    row = spark.createDataFrame([(version, run, batch, kind)], RECORD)
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/versions/part={version}")
-
-
-def _paths(path: str, records: list) -> list[str]:
-    """Folders of the last base and of the versions after it."""
-    base = max((r["version"] for r in records if r["kind"] == BASE), default=0)
-    wanted = sorted(r["version"] for r in records if r["kind"] != START and r["version"] >= base)
-    return [f"{path}/data/part={version}" for version in wanted]
-
-
-def read_snapshot(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The newest row per key."""
-    paths = _paths(path, _records(spark, path))
-    if not paths:
-        raise ValueError(f"no snapshot under {path}")
-    return latest(spark.read.parquet(*paths), keys, order)
-
-
-def upsert_batch(batch: DataFrame, run: str, number: int, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Append one batch of changes; ``run`` and ``number`` name it when it is run again."""
-    spark = batch.sparkSession
-    records = _records(spark, path)
-    if not records:
-        _record(spark, path, 0, "", -1, START)  # before any data, so that data alone is a damaged table
-    known = [r["version"] for r in records if (r["run"], r["batch"]) == (run, number)]
-    version = known[0] if known else max((r["version"] for r in records), default=0) + 1
-    latest(batch, keys, order).write.mode("overwrite").parquet(f"{path}/data/part={version}")
-    _record(spark, path, version, run, number, DELTA)
-
-
-def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Write the current rows as a new base and remove the data it replaces."""
-    records = _records(spark, path)
-    old = _paths(path, records)
-    version = max(r["version"] for r in records) + 1
-    read_snapshot(spark, path, keys, order).write.mode("overwrite").parquet(f"{path}/data/part={version}")
-    _record(spark, path, version, "", -1, BASE)
-    for folder in old:
-        remove_folder(spark, folder)
+def rewrite(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Copy the current rows to a new table, one partition; for a time when no feed writes to the old one, which stays as it is."""
+    upsert_batch(read_snapshot(spark, path, schema, keys, order), REWRITTEN, 0, target, keys, order)
 
 
 def maintain_latest(
@@ -103,7 +56,7 @@ def maintain_latest(
 
     With ``event_time`` and ``replay_window`` rows delivered again within the
     window are dropped before the merge.  A checkpoint may be replaced by a fresh
-    one under another path: its batches continue the table.
+    one, wherever it is: its batches continue the table.
     """
     if event_time and replay_window:
         changes = changes.withWatermark(event_time, replay_window).dropDuplicatesWithinWatermark(
@@ -111,9 +64,8 @@ def maintain_latest(
         )
 
     def merge(batch: DataFrame, number: int) -> None:
-        upsert_batch(batch, checkpoint, number, path, keys, order)
-        if len(_paths(path, _records(batch.sparkSession, path))) > COMPACT_AFTER:
-            compact(batch.sparkSession, path, keys, order)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")  # kept by the checkpoint
+        upsert_batch(batch, query, number, path, keys, order)
 
     return (
         changes.writeStream.foreachBatch(merge)
