@@ -185,7 +185,7 @@ def build_inventory_fields(t) -> DataFrame:
         zero["qty_rel_pnd"].alias("pending_release_quantity"),
         zero["qty_start_pnd"].alias("pending_start_quantity"),
         F.when(cut, zero["qty_start"] + zero["qty_start_pnd"]).otherwise(0).alias("cut_quantity"),
-        "qty_onhd", "qty_alloc", "qty_onord",
+        "qty_onhd", "qty_alloc", "qty_onord", "qty_insp",
     )
 
 

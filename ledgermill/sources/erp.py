@@ -79,6 +79,7 @@ def _header(where: str) -> str:
            CAST(o_orderkey % 100 AS DECIMAL(18,2)) AS amt_frt,
            concat(' R', o_custkey % 25) AS id_slsrep_1,
            CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS flag_ackn,
+           CASE WHEN o_orderstatus <> 'P' THEN {_ORDERED} + 4 END AS date_ackn_last,
            CASE {_PRIORITY} WHEN 1 THEN 'WEB' WHEN 2 THEN 'EDI ' ELSE ' USR' END AS id_user_add,
            o_orderkey AS rowid
     FROM {{orders}} WHERE {where}"""
@@ -91,6 +92,9 @@ def _line(where: str) -> str:
            CASE WHEN l_linestatus = 'O' THEN {_QTY} ELSE 0 END AS qty_open,
            CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS qty_bo,
            CASE WHEN l_returnflag = 'A' THEN {_QTY} ELSE 0 END AS qty_ship_total,
+           CASE WHEN l_linestatus = 'O' THEN {_QTY} ELSE 0 END + {_DISC} AS qty_book,
+           CASE WHEN l_returnflag = 'R' THEN {_QTY} - 1 END AS qty_rel,
+           CASE WHEN {_TAX} <= 4 THEN {_DISC} ELSE 0 END AS qty_alloc,
            {_SHIPPED} AS date_rqst,
            CASE WHEN l_returnflag = 'N' THEN {_SHIPPED} WHEN {_TAX} = 1 THEN NULL
                 ELSE {_SHIPPED} + 5 END AS date_prom,
@@ -341,7 +345,9 @@ TABLES: dict[str, str] = {
            concat('A', c_nationkey % 4) AS code_user_2_ar,
            CASE WHEN c_acctbal > 0 THEN concat('G', c_nationkey) END AS code_user_3_ar,
            concat('City', c_nationkey) AS city, concat('S', c_nationkey % 10) AS id_st,
-           CAST(c_acctbal AS DECIMAL(18,2)) AS bal_ar
+           CAST(c_acctbal AS DECIMAL(18,2)) AS bal_ar,
+           CASE WHEN c_acctbal < 0 THEN 'H' WHEN c_acctbal > 1000 THEN 'A' END AS code_stat_credit,
+           concat('T', c_custkey % 3) AS code_terms
     FROM {customer}""",
     "customer_shipto": _union(
         *(
@@ -439,11 +445,12 @@ TABLES: dict[str, str] = {
            'Y' AS flag_track_bin, 'S' AS type_loc,
            CAST(sum(CASE WHEN l_returnflag = 'A' THEN {_QTY} ELSE 0 END) - 40 AS BIGINT) AS qty_onhd,
            CAST(sum(CASE WHEN l_returnflag = 'N' THEN {_QTY} ELSE 0 END) AS BIGINT) AS qty_alloc,
-           CAST(count(*) AS BIGINT) AS qty_onord
+           CAST(count(*) AS BIGINT) AS qty_onord,
+           CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS qty_insp
     FROM {{lineitem}} GROUP BY l_partkey, l_suppkey % 5
     UNION ALL
     SELECT concat('I', p_partkey), 'INTR', 'P', 'N', CAST(NULL AS STRING), CAST(NULL AS STRING), 'N', 'T',
-           CAST(p_size AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+           CAST(p_size AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)
     FROM {{part}} WHERE p_size > 30""",
     "reorder": _union(
         _reorder("'10'", "p_size % 4", 0),

@@ -53,7 +53,8 @@ SELECT j.id_ord AS order_id, j.seq_line_ord AS order_line_sequence, j.id_item AS
        trim(id_po_cust) AS customer_purchase_order_id, type_ord_cp AS order_type, code_stat_ord AS order_status_code,
        date_ord AS date_ordered, h_add AS date_order_added, amt_ord_total AS order_total_amount,
        cost_total AS total_cost_at_order, amt_frt AS freight_amount, trim(id_slsrep_1) AS sales_rep_id,
-       flag_ackn AS order_acknowledgement_flag, trim(id_user_add) AS user_add, hs AS header_source,
+       flag_ackn AS order_acknowledgement_flag, date_ackn_last AS date_order_last_acknowledged, qty_book AS booked_quantity,
+       qty_rel AS line_released_quantity, qty_alloc AS line_allocated_quantity, trim(id_user_add) AS user_add, hs AS header_source,
        trim(id_cust_soldto) || '-' || lpad(CAST(seq_shipto AS VARCHAR), 4, '0') AS customer_id_ship_to,
        p_list AS list_price, p_sell AS net_sell_price, p_cost AS unit_cost, qty_open * p_list AS open_list_amount,
        qty_open * p_sell AS open_net_amount, qty_open * p_cost AS open_cost, c.comment AS order_comment,
@@ -76,7 +77,7 @@ LEFT JOIN (
 
 -- name: m_customers
 SELECT st.code_user_3_ar, trim(st.id_cust) AS id_cust, sh.seq_shipto, sh.name_cust AS shipto_name, sh.city AS shipto_city,
-       sh.id_st AS shipto_st, st.name_cust, st.code_cust, st.code_user_2_ar, st.city, st.id_st, st.bal_ar,
+       sh.id_st AS shipto_st, st.name_cust, st.code_cust, st.code_user_2_ar, st.city, st.id_st, st.bal_ar, st.code_stat_credit, st.code_terms,
        coalesce(g.group_code, trim(st.id_cust)) AS cust_group_code, coalesce(g.group_name, st.name_cust) AS cust_group_name
 FROM customer_shipto sh JOIN customer_soldto st ON trim(sh.id_cust) = trim(st.id_cust)
 LEFT JOIN customer_group g ON st.code_user_3_ar = g.group_code
@@ -148,7 +149,7 @@ SELECT c.id_item, c.id_loc, c.flag_source, c.flag_stk, CAST(coalesce(tr.q, 0) AS
        if(made AND (c.id_loc = '10' OR NOT hq), 'Y', 'N') AS primary_location_flag, if(procured, 'Y', 'N') AS procured_flag,
        CAST(r AS BIGINT) AS released_quantity, CAST(st AS BIGINT) AS start_quantity, CAST(rp AS BIGINT) AS pending_release_quantity,
        CAST(sp AS BIGINT) AS pending_start_quantity, CAST(if(procured OR flag_stk IN ('S', 'M'), st + sp, 0) AS BIGINT) AS cut_quantity,
-       qty_onhd, qty_alloc, qty_onord
+       qty_onhd, qty_alloc, qty_onord, qty_insp
 FROM c LEFT JOIN tr ON c.id_item = tr.id_item
 
 -- name: m_history
@@ -407,7 +408,7 @@ WITH pd AS (
     SELECT * FROM m_orders WHERE line_source = 'ACTIVE'
 ), cm AS (
     SELECT o.order_id, o.order_line_sequence, o.item_id_child_sku, c.name_cust, c.cust_group_code, c.cust_group_name, c.shipto_name,
-           c.shipto_city, c.code_cust
+           c.shipto_city, c.code_cust, c.code_stat_credit, c.code_terms
     FROM o LEFT JOIN m_customers c ON o.customer_id_sold_to = c.id_cust
     QUALIFY row_number() OVER (PARTITION BY o.order_id, o.order_line_sequence, o.item_id_child_sku
         ORDER BY CASE WHEN o.customer_ship_to_sequence = c.seq_shipto THEN 0 ELSE 1 END, c.seq_shipto) = 1
@@ -420,7 +421,8 @@ WITH pd AS (
 )
 SELECT o.*, cm.name_cust AS customer_name_cust, cm.cust_group_code AS customer_cust_group_code,
        cm.cust_group_name AS customer_cust_group_name, cm.shipto_name AS customer_shipto_name,
-       cm.shipto_city AS customer_shipto_city, cm.code_cust AS customer_code_cust, sp.id_so AS s_o_shop_order_id,
+       cm.shipto_city AS customer_shipto_city, cm.code_cust AS customer_code_cust, cm.code_stat_credit AS customer_code_stat_credit,
+       cm.code_terms AS customer_code_terms, sp.id_so AS s_o_shop_order_id,
        sp.sufx_so AS s_o_shop_order_suffix,
        pd.* EXCLUDE (item_id_child_sku, secondary_vendor_ids, secondary_vendor_names, item_secondary_locations),
        i.* EXCLUDE (item_id_child_sku, inventory_location_id, bin_tracking, primary_vendor_id, primary_vendor_name, secondary_vendor_id, secondary_vendor_name),

@@ -572,7 +572,7 @@ SELECT 'orders' AS source, count(*) AS rows FROM orders UNION ALL SELECT 'events
 UNION ALL SELECT 'part', count(*) FROM part
 
 -- name: orders_master
--- text: date_order_requested, date_order_promised, date_order_last_picked, date_line_added, date_ordered, date_order_added, date_shipment_estimate
+-- text: date_order_last_acknowledged, date_order_requested, date_order_promised, date_order_last_picked, date_line_added, date_ordered, date_order_added, date_shipment_estimate
 -- double: net_price_at_order, order_total_amount, total_cost_at_order, freight_amount, list_price, net_sell_price, unit_cost, open_list_amount, open_net_amount, open_cost
 SELECT * FROM m_orders
 
@@ -815,19 +815,29 @@ LEFT JOIN s ON b.item_id_child_sku = s.i AND b.inventory_location_id = s.l
 LEFT JOIN w ON b.item_id_child_sku = w.i AND b.inventory_location_id = w.l
 
 -- name: open_orders_by_line
--- text: date_order_requested, date_order_promised, date_order_last_picked, date_line_added, date_ordered, date_order_added, date_shipment_estimate
+-- text: date_order_last_acknowledged, date_order_requested, date_order_promised, date_order_last_picked, date_line_added, date_ordered, date_order_added, date_shipment_estimate
 -- double: net_price_at_order, order_total_amount, total_cost_at_order, freight_amount, list_price, net_sell_price, unit_cost, open_list_amount, open_net_amount, open_cost
 -- double: cost_material_calculated, cost_labor_calculated, cost_total_calculated, cost_total_current, cost_total_standard, minutes_labor_current, minutes_machine_current, item_weight
 SELECT * FROM m_openorders
 
 -- name: open_orders_view
--- text: Date_Ordered, Date_Order_Promised
--- double: Open_Net_Amount
-SELECT order_id AS Order_ID, order_line_sequence AS Order_Line_Sequence, item_id_child_sku AS Item_ID_Child_SKU,
-       customer_id_sold_to AS Customer_ID_Sold_To, open_order_quantity AS Open_Order_Quantity, order_status_code AS Order_Status_Code,
-       date_ordered AS Date_Ordered, date_order_promised AS Date_Order_Promised, open_net_amount AS Open_Net_Amount,
-       shipment_count_distinct AS Shipment_Count, invoice_count_distinct AS Invoice_Count, s_o_shop_order_id AS Shop_Order_ID,
-       s_o_shop_order_suffix AS Shop_Order_Suffix FROM m_openorders
+-- text: Date_Ordered, Date_Order_Created, Date_Line_Requested, Date_Line_Promised
+-- double: List_Price_At_Order, Sell_Price_At_Order, Net_Sell_Price_At_Order, Unit_Cost_At_Order, Open_List_Amount, Open_Net_Amount, Open_Cost
+SELECT order_id AS Order_ID, order_line_sequence AS Order_Line_Sequence, line_source AS Line_Source, customer_id_sold_to AS Customer_ID_Sold_To,
+       customer_ship_to_sequence AS Customer_Ship_To_Sequence, customer_id_bill_to AS Customer_ID_Bill_To, customer_name_cust AS Customer_Name_Sold_To,
+       customer_shipto_name AS Customer_Name_Ship_To, customer_code_stat_credit AS Customer_Credit_Status, customer_code_terms AS Customer_Credit_Terms_Code,
+       item_id_child_sku AS Item_ID_Child_SKU, item_id_parent_sku AS Item_ID_Parent_SKU, item_description_child_sku AS Item_Description_Child_SKU,
+       item_description_parent_sku AS Item_Description_Parent_SKU, order_assigned_location_id AS Item_Location, item_vertical AS Item_Vertical,
+       item_status_child AS Item_Status_Child, item_status_parent AS Item_Status_Parent, order_type AS Order_Type, order_status_code AS Order_Status_Code,
+       date_ordered AS Date_Ordered, date_order_added AS Date_Order_Created, date_order_requested AS Date_Line_Requested, date_order_promised AS Date_Line_Promised,
+       original_order_quantity AS Original_Order_Quantity, open_order_quantity AS Open_Order_Quantity, backordered_quantity AS Backordered_Quantity,
+       booked_quantity AS Booked_Quantity, line_released_quantity AS Released_Quantity, line_allocated_quantity AS Allocated_Quantity,
+       total_shipped_quantity AS Total_Shipped_Quantity, list_price AS List_Price_At_Order, net_price_at_order AS Sell_Price_At_Order,
+       net_sell_price AS Net_Sell_Price_At_Order, unit_cost AS Unit_Cost_At_Order, open_list_amount AS Open_List_Amount, open_net_amount AS Open_Net_Amount,
+       open_cost AS Open_Cost, primary_source AS Item_Primary_Source, sourcing_type AS Item_Sourcing_Type, quantity_on_hand AS Inventory_Quantity_On_Hand,
+       quantity_allocated AS Inventory_Quantity_Allocated, quantity_on_order AS Inventory_Quantity_On_Order, quantity_cut AS Inventory_Quantity_Cut,
+       quantity_released AS Inventory_Quantity_Released, shipment_count_distinct AS Shipment_Count, invoice_count_distinct AS Invoice_Count,
+       s_o_shop_order_id AS Shop_Order_ID, s_o_shop_order_suffix AS Shop_Order_Suffix FROM m_openorders
 
 -- name: open_orders_with_prices
 -- text: date_order_requested, date_order_promised, date_ordered, date_calc_start, date_calc_end
@@ -901,9 +911,10 @@ SELECT order_id, order_line_sequence, item_id_child_sku, order_assigned_location
 FROM j
 
 -- name: open_orders_by_order
--- text: date_ordered, date_order_requested, date_order_promised, date_shipped_last
+-- text: date_ordered, date_order_requested, date_order_promised, date_order_last_acknowledged, date_shipped_last
 -- double: order_total_amount, invoice_value
 -- bigint: open_order_quantity, shipped_quantity, invoice_unit_quantity, in_transit_quantity, qty_alloc_total, qty_alloc_primary, qty_alloc_secondary
+-- bigint: qty_insp_total, qty_insp_primary, qty_insp_secondary
 -- bigint: qty_onhd_total, qty_onhd_primary, qty_onhd_secondary, qty_onord_total, qty_onord_primary, qty_onord_secondary
 -- bigint: released_quantity_total, released_quantity_primary, released_quantity_secondary, start_quantity_total, start_quantity_primary, start_quantity_secondary
 -- bigint: pending_release_quantity_total, pending_release_quantity_primary, pending_release_quantity_secondary
@@ -918,6 +929,7 @@ WITH b AS (
         item_id_child_sku, shop_order_id NULLS LAST) = 1
 ), oi AS (SELECT DISTINCT order_id, item_id_child_sku FROM b), iv AS (
     SELECT oi.order_id, sum(coalesce(qty_alloc, 0)) AS qty_alloc_total, sum(CASE WHEN p THEN qty_alloc ELSE 0 END) AS qty_alloc_primary, sum(CASE WHEN NOT p THEN qty_alloc ELSE 0 END) AS qty_alloc_secondary,
+           sum(coalesce(qty_insp, 0)) AS qty_insp_total, sum(CASE WHEN p THEN qty_insp ELSE 0 END) AS qty_insp_primary, sum(CASE WHEN NOT p THEN qty_insp ELSE 0 END) AS qty_insp_secondary,
            sum(coalesce(qty_onhd, 0)) AS qty_onhd_total, sum(CASE WHEN p THEN qty_onhd ELSE 0 END) AS qty_onhd_primary, sum(CASE WHEN NOT p THEN qty_onhd ELSE 0 END) AS qty_onhd_secondary,
            sum(coalesce(qty_onord, 0)) AS qty_onord_total, sum(CASE WHEN p THEN qty_onord ELSE 0 END) AS qty_onord_primary, sum(CASE WHEN NOT p THEN qty_onord ELSE 0 END) AS qty_onord_secondary,
            sum(coalesce(released_quantity, 0)) AS released_quantity_total, sum(CASE WHEN p THEN released_quantity ELSE 0 END) AS released_quantity_primary, sum(CASE WHEN NOT p THEN released_quantity ELSE 0 END) AS released_quantity_secondary,
@@ -930,12 +942,14 @@ WITH b AS (
 ia AS (SELECT id_ord, count(DISTINCT id_invc) AS invoice_count, sum(qty_ship) AS invoice_unit_quantity, sum(price_net) AS invoice_value FROM invoice_line GROUP BY 1),
 sk AS (SELECT DISTINCT order_id, shop_order_id, shop_order_location_id FROM b WHERE coalesce(shop_order_id, '') <> ''),
 sp AS (
-    SELECT sk.order_id, s.id_so, s.sufx_so, s.stat_rec_so FROM sk LEFT JOIN m_shop s ON sk.shop_order_id = s.id_so AND sk.shop_order_location_id = s.id_loc
+    SELECT sk.order_id, s.id_so, s.sufx_so, s.stat_rec_so, s.id_loc FROM sk LEFT JOIN m_shop s ON sk.shop_order_id = s.id_so AND sk.shop_order_location_id = s.id_loc
     QUALIFY row_number() OVER (PARTITION BY sk.order_id ORDER BY coalesce(s.sufx_so, 0) DESC) = 1
-), cu AS (SELECT DISTINCT id_cust, name_cust FROM m_customers)
-SELECT d.item_id_child_sku, d.customer_id_sold_to, d.order_id, d.order_type, d.order_status_code, d.date_ordered, d.date_order_requested, d.date_order_promised,
+), cu AS (SELECT DISTINCT id_cust, name_cust, code_stat_credit FROM m_customers)
+SELECT d.item_id_child_sku, d.customer_id_sold_to, d.order_id, d.order_type, d.order_status_code, d.date_ordered, d.date_order_requested, d.date_order_promised, d.date_order_last_acknowledged,
        la.* EXCLUDE (order_id), iv.* EXCLUDE (order_id), sa.* EXCLUDE (id_ord), ia.* EXCLUDE (id_ord), sp.id_so AS shop_order_id, sp.sufx_so AS shop_order_suffix,
-       sp.stat_rec_so AS shop_order_process_status, cu.name_cust AS customer_name, p.item_id_parent_sku, p.item_description_child_sku, p.item_vertical, p.item_brand
+       sp.stat_rec_so AS shop_order_process_status, sp.id_loc AS shop_order_location_id, cu.name_cust AS customer_name,
+       cu.code_stat_credit AS customer_credit_status, p.item_id_parent_sku, p.item_description_child_sku, p.item_description_parent_sku, p.item_vertical,
+       p.item_product_line, p.item_product_type, p.item_brand
 FROM d LEFT JOIN la ON d.order_id = la.order_id LEFT JOIN iv ON d.order_id = iv.order_id LEFT JOIN sa ON d.order_id = sa.id_ord
 LEFT JOIN ia ON d.order_id = ia.id_ord LEFT JOIN sp ON d.order_id = sp.order_id LEFT JOIN cu ON d.customer_id_sold_to = cu.id_cust
 LEFT JOIN m_products p ON d.item_id_child_sku = p.item_id_child_sku
