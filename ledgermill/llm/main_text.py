@@ -57,6 +57,25 @@ CONTENT = {"article", "blog", "body", "content", "entry", "main", "post", "story
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=|["'])*+)>""")
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
+# Last words of a name that say nothing about what is held, and first words that speak of something else on the page.
+NEUTRAL = {
+    "area", "bar", "block", "bottom", "box", "buttons", "container", "inner", "item", "items", "left", "links", "list", "media", "outer",
+    "panel", "posts", "right", "section", "slot", "top", "unit", "wrap", "wrapper",
+}
+ABOUT = {"has", "no", "with", "without"}
+
+
+def names(attributes: str) -> set[str]:
+    """What the class, id and role names of a tag say: of each name the word that the others qualify, its last that is not neutral."""
+    out = set()
+    for m in _NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            words = _WORD.findall(name)
+            while len(words) > 1 and words[-1] in NEUTRAL:
+                words.pop()
+            if words and words[0] not in ABOUT:
+                out.add(words[-1])
+    return out
 
 
 @dataclass
@@ -73,12 +92,36 @@ class Block:
     nearest: int
 
 
+@dataclass(frozen=True)
+class _Place:
+    """What is open at a place of the page, from the outside to the element ``name``."""
+
+    name: str = ""
+    skip: bool = False
+    inner: bool = False  # in an article or main
+    article: bool = False
+    content: bool = False
+    furniture: bool = False  # inside the innermost article or main, if there is one
+    apart: bool = False
+    discussion: bool = False
+    nearest: int = 0  # kind of the innermost holder that has one
+
+    def enter(self, name: str, kind: int) -> _Place:
+        inner = name in ("article", "main")
+        return _Place(
+            name, name in SKIPPED, self.inner or inner, self.article or name == "article", self.content or kind == 1,
+            not inner and (self.furniture or kind == -1), self.apart or (name in APART and kind < 0),
+            self.discussion or kind == -2, kind or self.nearest,
+        )
+
+
 @dataclass
 class _Page:
-    """Reads one page from left to right."""
+    """Reads one page from left to right; every tag costs the same, however deep it stands."""
 
     blocks: list[Block] = field(default_factory=list)
-    open: list[tuple[str, int, bool]] = field(default_factory=list)  # name, kind of holder, skipped
+    open: list[_Place] = field(default_factory=lambda: [_Place()])
+    depth: dict[str, int] = field(default_factory=dict)  # open elements by name
     pieces: list[str] = field(default_factory=list)
     links: list[str] = field(default_factory=list)
     link: bool = False
@@ -96,21 +139,17 @@ class _Page:
         text = " ".join(unescape("".join(self.pieces)).split())
         if text:
             linked = len(unescape(" ".join(self.links)).split())
-            kinds = [kind for _, kind, _ in self.open]
-            inner = max((i for i, (name, _, _) in enumerate(self.open) if name in ("article", "main")), default=-1)
-            words = text.count(" ") + 1
+            words, at = text.count(" ") + 1, self.open[-1]
             self.blocks.append(
                 Block(
-                    text, words, min(words, linked), self.tag, inner >= 0, 1 in kinds, -1 in kinds[inner + 1 :],
-                    any(name in APART for name, kind, _ in self.open if kind < 0), -2 in kinds, next((k for k in reversed(kinds) if k), 0),
+                    text, words, min(words, linked), self.tag, at.inner, at.content, at.furniture, at.apart, at.discussion, at.nearest,
                 )
             )
         self.pieces, self.links, self.tag = [], [], tag
 
     def _kind(self, name: str, attributes: str) -> int:
         """1 for holders of content, -1 for page furniture, -2 for reader comments, else 0."""
-        words = {w for m in _NAMES.finditer(attributes) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())}
-        inner = any(n == "article" for n, _, _ in self.open)
+        words, inner = names(attributes), self.open[-1].article
         if words & DISCUSSION:
             return -2
         if name in ("nav", "aside", "footer", "form", "menu") or (name == "header" and not inner):
@@ -127,20 +166,21 @@ class _Page:
         if name == "a":
             self.link = True
         if name in HELD and not attributes.endswith("/"):
-            skip = name in SKIPPED
-            self.open.append((name, self._kind(name, attributes), skip))
-            self.skipped += skip
+            self.open.append(self.open[-1].enter(name, self._kind(name, attributes)))
+            self.depth[name] = self.depth.get(name, 0) + 1
+            self.skipped += self.open[-1].skip
 
     def end_tag(self, name: str) -> None:
         if name in BLOCKS:
             self.end("body")
         if name == "a":
             self.link = False
-        if name in HELD and any(n == name for n, _, _ in self.open):
+        if self.depth.get(name):
             while True:
-                last, _, skip = self.open.pop()
-                self.skipped -= skip
-                if last == name:
+                last = self.open.pop()
+                self.depth[last.name] -= 1
+                self.skipped -= last.skip
+                if last.name == name:
                     break
 
 

@@ -1,4 +1,5 @@
 import re
+import time
 
 import numpy as np
 
@@ -60,3 +61,41 @@ def test_edges(spark):
     assert got[0] == got[1] == got[4] == got[5] == got[6] == ""
     assert len(got[10]) == 499_999 and got[12] == got[13] == "b"
     assert m.extract(frame.limit(0), tree).collect() == []
+
+
+def test_names_speak_by_their_head_word():
+    say = lambda name: m.names(f' class="{name}"')
+    assert say("text-ad-free").isdisjoint(m.FURNITURE | m.CONTENT) and say("meta-analysis").isdisjoint(m.FURNITURE)
+    assert say("site-header") == {"header"} and say("comment-list") == {"comment"} and say("ad_slot main-nav") == {"ad", "nav"}
+    assert say("has-sidebar") == say("with-sidebar") == set() and say("list") == {"list"}
+
+
+def test_pages_of_layouts_without_article():
+    """Of every layout the main blocks; none of these pages is among the labelled ones."""
+    tree, long = m.train(), "word " * 40
+    for page in (
+        f"<body><article><p>*{long}</p><div class='text-ad-free'><p>*{long}</p></div><section class='meta-analysis'><p>*x {long}</p></section></article>",
+        f"<body><div class=content><p>*{long}</p><ul><li><a>*one</a></li><li><a>*link two here</a></li></ul><p>*{long}</p><p>*last words</p></div>",
+        f"<body><h1>*Title here</h1><p>*{long}</p><p>*{long}</p><p>Copyright 2024 Example</p></body>",
+        f"<body><div><a>x</a> <a>y</a></div><h1>*T</h1><div>*{long}</div><div>*{long}</div><div>Copyright 2024 Example Inc</div></body>",
+        f"<body><div id=main-nav><a>x</a></div><div class=post-content><p>*{long}</p><p>*End</p><div class=ad-slot>{long}</div></div><div class=comment-list><p>{long}</p></div>",
+        f"<body><p><a>a</a> <a>b</a></p><h2>*Head</h2><p>*{long * 2}</p><p>*{long}</p><p>*{long}</p><p><a>next page</a></p>",
+        f"<body><div role=navigation><a>a</a></div><main><h1>*H</h1><p>*{long}</p><aside>{long}</aside></main><div class=site-footer><p>{long}</p></div>",
+    ):
+        want = [b.text for b in m.blocks(page) if b.text.startswith("*")]
+        assert m.main_text(tree, page).split("\n") == want
+
+
+def test_word_counts_and_link_density_decide_where_names_say_nothing():
+    """A page without telling names: the same blocks are main text or not by their words and links."""
+    tree, long = m.train(), "word " * 45
+    page = f"<body><div><a>a b</a> <a>c</a></div><div>{long}</div><div>{long}</div><div>{{}}</div></body>"
+    kept = [m.main_text(tree, page.format(last)).count("\n") for last in (long, "three short words", f"<a>{long}</a>")]
+    assert kept == [2, 1, 1]
+    assert ((tree.feature >= 0) & (tree.feature < 6)).any()  # nodes on words and links of a block and its neighbours
+
+
+def test_reading_is_linear_in_nesting():
+    start = time.perf_counter()
+    assert m.main_text(m.train(), "<div>x" * 100_000) is not None
+    assert time.perf_counter() - start < 10
