@@ -42,9 +42,17 @@ FLUSH = 1 << 21  # words whose counts a task holds before it passes them on
 
 
 class _Lines:
-    """The lines of a batch of texts, as sorted sets of word hashes, without empty ones."""
+    """Lines with a word as sorted sets of word hashes: document, number in it, and words."""
 
-    def __init__(self, batch: pa.RecordBatch) -> None:
+    def __init__(self, doc: np.ndarray, number: np.ndarray, size: np.ndarray, word: np.ndarray) -> None:
+        self.doc, self.number, self.size, self.word = doc, number, size, word
+        self.first = np.cumsum(size) - size
+        self.line = np.repeat(np.arange(len(size)), size)
+        self.low = mix(self._sums(word) + size.astype(np.uint64))
+
+    @classmethod
+    def read(cls, batch: pa.RecordBatch) -> _Lines:
+        """The lines of a batch of texts."""
         texts = column(batch.column(1))
         breaks = np.flatnonzero(texts.data == 10)
         # a line begins at each text and after each line feed
@@ -52,16 +60,25 @@ class _Lines:
         owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(breaks, texts.offsets)) + 1)
         number = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(texts)))[owner]
         found = words(Texts(texts.data, np.concatenate([begins, texts.offsets[-1:]])))
-        line, self.word = distinct(found.text, found.hash)
+        line, word = distinct(found.text, found.hash)
         new = np.ones(len(line), bool)
         new[1:] = line[1:] != line[:-1]
-        self.first = np.flatnonzero(new)
-        rows = line[self.first]
-        self.size = np.diff(np.append(self.first, len(line)))
-        self.line = np.cumsum(new) - 1
-        self.doc = batch.column(0).to_numpy()[owner[rows]] if len(rows) else np.empty(0, np.int64)
-        self.number = number[rows].astype(np.int64)
-        self.low = mix(self._sums(self.word) + self.size.astype(np.uint64))
+        first = np.flatnonzero(new)
+        rows = line[first]
+        doc = batch.column(0).to_numpy()[owner[rows]] if len(rows) else np.empty(0, np.int64)
+        return cls(doc, number[rows].astype(np.int64), np.diff(np.append(first, len(line))), word)
+
+    @classmethod
+    def unpack(cls, batch: pa.RecordBatch) -> _Lines:
+        """The lines of rows (doc, line, words)."""
+        sets = set_tools.unpacked(batch.column(2))
+        word = np.concatenate([*sets, np.empty(0, np.uint64)])
+        return cls(batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.array([len(x) for x in sets], np.int64), word)
+
+    def packed(self, keep: np.ndarray) -> pa.Array:
+        """The words of the kept lines, null for the others."""
+        ends = self.first + self.size
+        return pa.array([self.word[a:b].tobytes() if k else None for a, b, k in zip(self.first, ends, keep, strict=True)], pa.binary())
 
     def _sums(self, value: np.ndarray) -> np.ndarray:
         return np.add.reduceat(value, self.first) if len(value) else value
@@ -73,6 +90,17 @@ class _Lines:
     def ids(self) -> np.ndarray:
         return mix(mix(self.doc.view(np.uint64)) + self.number.view(np.uint64))
 
+    def prefixes(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words of all lines, each line's rarest first, and where a prefix word is that another line may have.
+
+        A set of up to three words matches equal sets only; a word seen once meets nothing.
+        """
+        word = self.word[set_tools.by_rarity(table, self.line, self.word)]
+        place = np.arange(len(word)) - self.first[self.line]
+        size = self.size[self.line]
+        known = table[word & np.uint64(set_tools.RARITY_SLOTS - 1)] > 0
+        return word, (place <= size - needed(size)) & (size > 3) & known
+
 
 def _picked(frame: DataFrame, key: str, text: str) -> DataFrame:
     picked = frame.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
@@ -89,22 +117,25 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for part in slices(batch):
-            lines = _Lines(part)
-            _, one = np.unique(lines.low, return_index=True)
-            held.append(lines.word[np.isin(lines.line, one)])
+            lines = _Lines.read(part)
+            one = np.zeros(len(lines.size), bool)
+            one[np.unique(lines.low, return_index=True)[1]] = True
+            held.append(lines.word[one[lines.line]])
             if sum(map(len, held)) > FLUSH:
                 yield flush()
     if held:
         yield flush()
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed_lines(in_pairs: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signatures of every line, and the words of those that a filter may hold."""
     for batch in batches:
         for part in slices(batch):
-            lines = _Lines(part)
+            lines = _Lines.read(part)
+            sets = lines.packed(set_tools.maybe(in_pairs, lines.ids()))
             yield pa.record_batch(
-                [signed(lines.low), signed(lines.high()), pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64())],
-                ["low", "high", "doc", "line"],
+                [pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64()), sets, signed(lines.low), signed(lines.high())],
+                ["doc", "line", "words", "low", "high"],
             )
 
 
@@ -118,54 +149,65 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return -(-SIMILAR * (a + b) // (100 + SIMILAR))
 
 
-def _entries(table: np.ndarray, only: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each word of a line's prefix, or for those that a filter may hold."""
+def _entries_of(lines: _Lines, table: np.ndarray, only: np.ndarray | None) -> list[pa.Array]:
+    """Columns of ``ENTRY``: a row for each word of a line's prefix, or for those that a filter may hold."""
+    word, keep = lines.prefixes(table)
+    if only is not None:
+        keep &= set_tools.maybe(only, word)
+    keep = np.flatnonzero(keep)
+    bits = [np.zeros(len(lines.low), np.uint64), np.zeros(len(lines.low), np.uint64)]
+    at = mix(lines.word) & np.uint64(127)
+    for k in range(2):
+        own = (at >> np.uint64(6)) == k
+        np.bitwise_or.at(bits[k], lines.line[own], np.uint64(1) << (at[own] & np.uint64(63)))
+    line = lines.line[keep]
+    place = keep - lines.first[line]
+    meta = lines.number[line] << 32 | lines.size[line] << 6 | np.minimum(place, 63)  # a smaller place is safe
+    return [signed(word[keep]), pa.array(lines.doc[line], pa.int64()), pa.array(meta, pa.int64()), signed(lines.low[line]), signed(bits[0][line]), signed(bits[1][line])]
+
+
+def _entries(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of all lines of the texts."""
     for batch in batches:
         for part in slices(batch):
-            lines = _Lines(part)
-            order = set_tools.by_rarity(table, lines.line, lines.word)
-            word = lines.word[order]
-            place = np.arange(len(word)) - lines.first[lines.line]
-            size = lines.size[lines.line]
-            bits = [np.zeros(len(lines.low), np.uint64), np.zeros(len(lines.low), np.uint64)]
-            at = mix(lines.word) & np.uint64(127)
-            for k in range(2):
-                own = (at >> np.uint64(6)) == k
-                np.bitwise_or.at(bits[k], lines.line[own], np.uint64(1) << (at[own] & np.uint64(63)))
-            # a set of up to three words matches equal sets only; a word seen once meets nothing
-            known = table[word & np.uint64(set_tools.RARITY_SLOTS - 1)] > 0 if only is None else set_tools.maybe(only, word)
-            keep = np.flatnonzero((place <= size - needed(size)) & (size > 3) & known)
-            line = lines.line[keep]
-            meta = lines.number[line] << 32 | size[keep] << 6 | np.minimum(place[keep], 63)  # a smaller place is safe
-            yield pa.record_batch(
-                [signed(word[keep]), pa.array(lines.doc[line], pa.int64()), pa.array(meta), signed(lines.low[line]), signed(bits[0][line]), signed(bits[1][line])],
-                ["word", "doc", "meta", "low", "bits0", "bits1"],
-            )
+            yield pa.record_batch(_entries_of(_Lines.read(part), table, None), NAMES)
 
 
-def _prefix_words(table: np.ndarray, lines_asked: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The prefix of every line that a filter may hold."""
-    for batch in batches:
-        for part in slices(batch):
-            lines = _Lines(part)
-            mine = np.flatnonzero(set_tools.maybe(lines_asked, lines.ids())[lines.line])
-            mine = mine[set_tools.by_rarity(table, lines.line[mine], lines.word[mine])]
-            line = lines.line[mine]
-            place = np.arange(len(mine)) - np.searchsorted(line, line)
-            keep = place <= lines.size[line] - needed(lines.size[line])
-            line = line[keep]
-            yield pa.record_batch([pa.array(lines.doc[line], pa.int64()), pa.array(lines.number[line]), signed(lines.word[mine[keep]])], ["doc", "line", "word"])
-
-
-def _asked(open_lines: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries with a mark on those of lines that a filter may hold; a line marked by chance only looks at more candidates."""
+def _asked_entries(table: np.ndarray, asked: np.ndarray, open_lines: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of stored lines under the words asked for, with a mark on those of open lines.
+
+    A line marked by chance only looks at more candidates.
+    """
     for batch in batches:
-        doc, line = batch.column(1).to_numpy(), batch.column(2).to_numpy() >> 32
+        lines = _Lines.unpack(batch)
+        columns = _entries_of(lines, table, asked)
+        doc, line = columns[1].to_numpy(), columns[2].to_numpy() >> 32
         ids = mix(mix(doc.view(np.uint64)) + line.view(np.uint64))
-        yield pa.record_batch([*batch.columns, pa.array(set_tools.maybe(open_lines, ids))], [*batch.schema.names, "asked"])
+        yield pa.record_batch([*columns, pa.array(set_tools.maybe(open_lines, ids))], [*NAMES, "asked"])
+
+
+def _prefix_words(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefix words of stored lines."""
+    for batch in batches:
+        word, keep = _Lines.unpack(batch).prefixes(table)
+        yield pa.record_batch([signed(np.unique(word[keep]))], ["word"])
+
+
+def _near_lines(table: np.ndarray, asked: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of the texts that have a word asked for in their prefix."""
+    for batch in batches:
+        for part in slices(batch):
+            lines = _Lines.read(part)
+            word, keep = lines.prefixes(table)
+            near = np.zeros(len(lines.size), bool)
+            near[lines.line[keep & set_tools.maybe(asked, word)]] = True
+            rows = [pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64()), lines.packed(near)]
+            yield pa.record_batch(rows, ["doc", "line", "words"]).filter(pa.array(near))
 
 
 ENTRY = "word long, doc long, meta long, low long, bits0 long, bits1 long"
+NAMES = [c.split()[0] for c in ENTRY.split(", ")]
+SET = "doc long, line long, words binary"
 PAIR = "doc long, line long, other_doc long, other_line long, id long, other_id long, more boolean"
 
 
@@ -230,24 +272,8 @@ def _meet(limit: int | None, steps: int, batch: pa.RecordBatch) -> pa.RecordBatc
     return pa.record_batch([*columns, signed(ids(a)), signed(ids(b)), pa.array(more)], [c.split()[0] for c in PAIR.split(", ")])
 
 
-def _verified(picked: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc, line) of the pairs whose lines match, by the words of both."""
-    spark = picked.sparkSession
-    ids = pairs.select("id").union(pairs.select("other_id")).toDF("id")
-    shared = spark.sparkContext.broadcast(set_tools.bloom(ids, "id"))
-
-    def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                lines = _Lines(part)
-                ends = lines.first + lines.size
-                rows = np.flatnonzero(set_tools.maybe(shared.value, lines.ids()))
-                sets = pa.array([lines.word[lines.first[r] : ends[r]].tobytes() for r in rows], pa.binary())
-                yield pa.record_batch([pa.array(lines.doc[rows], pa.int64()), pa.array(lines.number[rows]), sets], ["doc", "line", "words"])
-
-    lines = picked.mapInArrow(lines_of, "doc long, line long, words binary")
-    wanted = pairs.select("doc", "line").union(pairs.select("other_doc", "other_line")).distinct()
-    lines = stored(lines.join(wanted, ["doc", "line"], "left_semi"), "lines")
+def _verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc, line) of the pairs whose lines match, by the words of both, which ``lines`` holds."""
     both = pairs.join(lines, ["doc", "line"]).join(lines.toDF("other_doc", "other_line", "other"), ["other_doc", "other_line"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,14 +292,21 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     spark = frame.sparkSession
     picked = _picked(frame, key, text)
     counts = picked.mapInArrow(_word_counts, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
-    table = spark.sparkContext.broadcast(set_tools.rarity_table(counts))
-    entries = picked.mapInArrow(lambda batches: _entries(table.value, None, batches), ENTRY)
+    send = spark.sparkContext.broadcast
+    table = send(set_tools.rarity_table(counts))
+    entries = picked.mapInArrow(lambda batches: _entries(table.value, batches), ENTRY)
     by = ["doc", "line", "other_doc", "other_line", "id", "other_id"]
-    gone = None
+    gone = signatures = lines = asked = None
     for turn, limit in enumerate(LIMITS):
         met = set_tools.grouped(entries, "word", partial(_meet, limit, STEPS), PAIR)
         met = stored(met.groupBy(*by).agg(F.max("more").alias("more")), "pairs")
-        matched = _verified(picked, met)
+        if turn == 0:
+            ids = met.select("id").union(met.select("other_id")).toDF("id")
+            in_pairs = send(set_tools.bloom(ids, "id"))
+            signatures = picked.mapInArrow(lambda batches: _signed_lines(in_pairs.value, batches), f"{SET}, low long, high long")
+            signatures = stored(signatures, "lines")
+            lines = signatures.where("words IS NOT NULL").select("doc", "line", "words")
+        matched = _verified(lines, met)
         gone = stored(matched if gone is None else gone.union(matched).distinct(), "matched")
         if limit is None:
             break
@@ -282,17 +315,16 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         if rest.isEmpty():
             break
         if turn == 0:
-            # from now on only the words of the lines whose first candidates did not match
-            lines = spark.sparkContext.broadcast(set_tools.bloom(rest, "id"))
-            asked = picked.mapInArrow(lambda batches, lines=lines: _prefix_words(table.value, lines.value, batches), "doc long, line long, word long")
-            asked = stored(asked.join(rest.select("doc", "line"), ["doc", "line"], "left_semi"), "asked")
-            held = spark.sparkContext.broadcast(set_tools.bloom(asked, "word"))
-            near = picked.mapInArrow(lambda batches, held=held: _entries(table.value, held.value, batches), ENTRY)
-            near = stored(near.join(asked.select("word").distinct(), "word", "left_semi"), "near")
-        open_lines = spark.sparkContext.broadcast(set_tools.bloom(rest, "id"))
-        entries = near.mapInArrow(lambda batches, open_lines=open_lines: _asked(open_lines.value, batches), f"{ENTRY}, asked boolean")
-    firsts = picked.mapInArrow(_classes, "low long, high long, doc long, line long")
-    firsts = firsts.groupBy("low", "high").agg(F.min(F.struct("doc", "line")).alias("at")).select("at.doc", "at.line")
+            # from now on only lines that share a prefix word with a line whose first candidates did not match
+            found = lines.join(rest.select("doc", "line"), ["doc", "line"], "left_semi")
+            found = stored(found.mapInArrow(lambda batches: _prefix_words(table.value, batches), "word long").distinct(), "asked")
+            asked = send(set_tools.bloom(found, "word"))
+            lines = stored(picked.mapInArrow(lambda batches: _near_lines(table.value, asked.value, batches), SET), "near")
+        still = send(set_tools.bloom(rest, "id"))
+        entries = lines.mapInArrow(
+            lambda batches, still=still: _asked_entries(table.value, asked.value, still.value, batches), f"{ENTRY}, asked boolean"
+        )
+    firsts = signatures.groupBy("low", "high").agg(F.min(F.struct("doc", "line")).alias("at")).select("at.doc", "at.line")
     return firsts.join(gone, ["doc", "line"], "left_anti")
 
 
@@ -305,7 +337,7 @@ def dedup(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     names = [c for c in frame.columns if c not in ("n_lines", "n_removed")]
     wide = frame.select(*[F.col(f"`{c}`") for c in names]).join(kept, F.col(f"`{key}`").cast("long") == F.col("__doc"), "left")
     wide = wide.withColumn("__lines", F.coalesce(F.split(F.col(f"`{text}`").cast("string"), "\n", -1), F.array().cast("array<string>")))
-    numbers = F.transform("__lines", lambda x, i: F.when(F.col(f"`{key}`").isNull() | (F.length(F.translate(x, " \t\x0b\x0c\r", "")) == 0), i))
+    numbers = F.transform("__lines", lambda x, i: F.when(F.col(f"`{key}`").isNull() | ~x.rlike(r"[^ \t\x0B\f\r]"), i))
     stay = F.array_sort(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), F.array_compact(numbers)))
     wide = wide.withColumn("__stay", stay)
     left = F.array_join(F.transform("__stay", lambda i: F.col("__lines")[i]), "\n")
