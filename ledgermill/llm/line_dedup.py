@@ -9,10 +9,11 @@ Lines with equal sets are one class, found by grouping; only its first line
 stays.  Between classes, words are ordered by rarity and each line is indexed under
 the words of its prefix, long enough that two matching lines share one.
 Lines met under a word pass the length filter, the positional filter and a
-filter on 128-bit signatures, and are verified by their words.  A line is first compared
-with the nearest ``LIMITS[0]`` earlier lines that pass; only where none of them matches and
-more would pass, all are compared, so that a family of near copies costs no more
-than its size and still no match is lost.
+filter on 128-bit parities (each word flips one bit, so sets differ in at least as many
+words as their parities in bits), and are verified by their words.  A line is first
+compared with ``LIMITS[0]`` earlier lines that pass; only where none of them matches and
+more would pass, with more of them, in the end with all, so that a family of near copies
+costs no more than its size and still no match is lost.
 
 Lines without a word match nothing and stay.  Null texts have no lines.  Rows with a
 null ``doc_id`` are left alone; rows that repeat a ``doc_id`` are one document, whose
@@ -159,7 +160,7 @@ def _entries_of(lines: _Lines, table: np.ndarray, only: np.ndarray | None) -> li
     at = mix(lines.word) & np.uint64(127)
     for k in range(2):
         own = (at >> np.uint64(6)) == k
-        np.bitwise_or.at(bits[k], lines.line[own], np.uint64(1) << (at[own] & np.uint64(63)))
+        np.bitwise_xor.at(bits[k], lines.line[own], np.uint64(1) << (at[own] & np.uint64(63)))
     line = lines.line[keep]
     place = keep - lines.first[line]
     meta = lines.number[line] << 32 | lines.size[line] << 6 | np.minimum(place, 63)  # a smaller place is safe
