@@ -39,7 +39,6 @@ SIMILAR = 80  # per cent
 #: among them only; the last round takes all.
 LIMITS = (16, 128, None)
 STEPS = 64
-FLUSH = 1 << 21  # words whose counts a task holds before it passes them on
 
 
 class _Lines:
@@ -108,24 +107,19 @@ def _picked(frame: DataFrame, key: str, text: str) -> DataFrame:
     return picked.where("doc IS NOT NULL AND text IS NOT NULL")
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[np.ndarray] = []
-
-    def flush() -> pa.RecordBatch:
-        word, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.record_batch([signed(word), pa.array(n)], ["element", "n"])
-
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of the words of each slot, in one array of fixed size; lines that repeat within a slice count once."""
+    total = np.zeros(set_tools.RARITY_SLOTS, np.int64)
     for batch in batches:
         for part in slices(batch):
             lines = _Lines.read(part)
             one = np.zeros(len(lines.size), bool)
             one[np.unique(lines.low, return_index=True)[1]] = True
-            held.append(lines.word[one[lines.line]])
-            if sum(map(len, held)) > FLUSH:
-                yield flush()
-    if held:
-        yield flush()
+            slot = lines.word[one[lines.line]] & np.uint64(set_tools.RARITY_SLOTS - 1)
+            np.add.at(total, slot.astype(np.int64), 1)
+    some = np.flatnonzero(total)
+    if len(some):
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], ["slot", "n"])
 
 
 def _signed_lines(in_pairs: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,9 +286,9 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """(doc, line) of every line with a word that no earlier line matches."""
     spark = frame.sparkSession
     picked = _picked(frame, key, text)
-    counts = picked.mapInArrow(_word_counts, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
+    counts = picked.mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     send = spark.sparkContext.broadcast
-    table = send(set_tools.rarity_table(counts))
+    table = send(set_tools.slot_levels(counts))
     entries = picked.mapInArrow(lambda batches: _entries(table.value, batches), ENTRY)
     by = ["doc", "line", "other_doc", "other_line", "id", "other_id"]
     gone = signatures = lines = asked = None

@@ -25,8 +25,13 @@ def rarity_table(counts: DataFrame) -> np.ndarray:
     makes prefix filtering exact; this one puts frequent elements last.
     """
     slot = F.expr(f"CAST(element & {RARITY_SLOTS - 1}L AS INT)").alias("slot")
+    return slot_levels(counts.where("n >= 2").select(slot, "n").groupBy("slot").agg(F.max("n").alias("n")))
+
+
+def slot_levels(counts: DataFrame) -> np.ndarray:
+    """1 + log2 of ``n`` by ``slot``; 0 where it is below 2."""
     level = F.expr("CAST(1 + floor(log2(n)) AS TINYINT)").alias("level")
-    rows = counts.where("n >= 2").select(slot, level).groupBy("slot").agg(F.max("level").alias("level")).toArrow()
+    rows = counts.where("n >= 2").select("slot", level).toArrow()
     table = np.zeros(RARITY_SLOTS, np.uint8)
     table[rows["slot"].to_numpy()] = rows["level"].to_numpy()
     return table
