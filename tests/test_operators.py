@@ -296,3 +296,41 @@ def test_key_suite_counts(spark):
     assert {r.test_id: r.failed_rows for r in suite.results().collect()} == {"N": 3, "D": 1, "M": 2, "C": 1, "L": 0, "R": 2}
     empty = KeySuite({"a": a.limit(0), "b": b.limit(0)}, ["k"]).null_keys("a", "N").missing("a", "b", "M")
     assert [r.status for r in empty.results().collect()] == ["PASS", "PASS"]
+
+
+def _moves(df) -> int:
+    """Shuffles in the plan as first made."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def _unbroadcast(spark, build):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return build()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_rows_by_order_serve_the_join_on_order_and_line(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "o int, l int, x string")
+    heads = spark.createDataFrame([(1, "h")], "o int, h string")
+    notes = spark.createDataFrame([(1, 2, "n")], "o int, l int, n string")
+    moved = _unbroadcast(spark, lambda: _moves(rows.join(heads, "o").join(notes, ["o", "l"], "left")))
+    assert moved == 3
+
+
+def test_text_list_of_a_condition_is_null_without_entries(spark):
+    from ledgermill.operators.aggregates import text_list
+
+    rows = spark.createDataFrame([(1, "b", True), (1, "a", True), (1, "c", False), (2, "d", False), (3, None, True)], "k int, x string, f boolean")
+    found = rows.groupBy("k").agg(text_list("x", condition=F.col("f")).alias("t"))
+    assert dict(found.collect()) == {1: "a, b", 2: None, 3: None}
+
+
+def test_null_keys_are_spread_and_blank_ones_kept(spark):
+    from ledgermill.operators.joins import spread_null
+
+    rows = spark.createDataFrame([(i, None) for i in range(50)] + [(50, " "), (51, " A ")], "i int, k string")
+    keys = [r.k for r in rows.select(spread_null("k", "i").alias("k"), "i").orderBy("i").collect()]
+    assert keys[50:] == ["", "A"] and len(set(keys[:50])) > 40 and all(k.startswith("\0") for k in keys[:50])
