@@ -95,3 +95,9 @@ def test_inventory_runs_its_joins_once(spark):
     assert len(re.findall(r"[^t]Exchange hashpartitioning", text)) <= 8
     places = re.findall(r"ReadSchema: struct<[^>]*flag_source", text)
     assert len(places) == 1  # locations are read once
+
+
+def test_captures_that_join_lines_with_orders_are_not_written():
+    from ledgermill.sources.erp import STORED
+
+    assert not STORED & {"booking_line", "invoice_line", "sales_transaction"}
