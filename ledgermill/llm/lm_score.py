@@ -35,19 +35,35 @@ _START = 0x110000
 
 
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every token the hash of its n-gram and of its context, the character, and the text it is in."""
+    """Of every token the hash of its n-gram, its context (not yet mixed), the character, and the text it is in."""
     raw = column(texts)
     codes = np.frombuffer(raw.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     at = np.concatenate([[0], np.cumsum((raw.data & 0xC0) != 0x80)])[raw.offsets]
     pad = ORDER - 1
     text = np.repeat(np.arange(len(raw)), np.diff(at))
-    padded = np.full(len(text) + pad * len(raw), _START, np.uint64)
-    place = np.arange(len(text)) + pad * (text + 1)
-    padded[place] = codes[: len(text)]
-    context = np.zeros(len(text), np.uint64)
-    for k in range(pad, 0, -1):
-        context = context * _STEP + padded[place - k] + np.uint64(1)
-    return mix(context * _STEP + padded[place]), mix(context), codes[: len(text)], text
+    codes = codes[: len(text)]
+    token = np.ones(len(text) + pad * len(raw), bool)
+    for k in range(pad):
+        token[at[:-1] + pad * np.arange(len(raw)) + k] = False
+    padded = np.full(len(token), _START, np.uint64)
+    padded[token] = codes
+    n = max(0, len(padded) - pad)
+    context = np.zeros(n, np.uint64)
+    for k in range(pad):
+        context *= _STEP
+        context += padded[k : k + n]
+        context += np.uint64(1)
+    context = context[token[pad:]]
+    return mix(context * _STEP + codes), context, codes, text
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts values, and where in it each distinct value begins."""
+    order = np.argsort(values)
+    own = values[order]
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    return order, np.flatnonzero(new)
 
 
 def _count(table: pa.Table, target: pa.Table) -> pa.Table:
@@ -59,16 +75,18 @@ def _count(table: pa.Table, target: pa.Table) -> pa.Table:
         gram, context, code, text = grams(part.column(part.schema.get_field_index("text")))
         key = part.column(part.schema.get_field_index("key"))
         own = (np.isin(key.fill_null(0).to_numpy(), wanted) & key.is_valid().to_numpy(zero_copy_only=False))[text]
-        value, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
-        n, m = np.bincount(inverse, minlength=len(value)), np.bincount(inverse[own], minlength=len(value))
-        found.append((value, context[first], n, m))
+        order, begin = _runs(gram)
+        first = order[begin]
+        m = np.add.reduceat(own[order].astype(np.int64), begin) if len(begin) else begin
+        found.append((gram[first], mix(context[first]), np.diff(np.append(begin, len(gram))), m))
         letter, n = np.unique(code, return_counts=True)
         found.append((mix(letter.astype(np.uint64)), np.zeros(len(letter), np.uint64), n, np.zeros(len(letter), np.int64)))
     if not found:
         return pa.table({"gram": pa.array([], pa.int64()), "context": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "m": pa.array([], pa.int64())})
     value, context, n, m = (np.concatenate(x) for x in zip(*found, strict=True))
-    _, first, inverse = np.unique(value ^ context * _STEP, return_index=True, return_inverse=True)
-    n, m = (np.bincount(inverse, x).astype(np.int64) for x in (n, m))
+    order, begin = _runs(value ^ context * _STEP)
+    first = order[begin]
+    n, m = (np.add.reduceat(x[order], begin) if len(begin) else x for x in (n, m))
     return pa.table(
         {"gram": signed(value[first]), "context": signed(context[first]), "block": pa.array(np.full(len(first), block)), "n": pa.array(n), "m": pa.array(m)}
     )
@@ -83,7 +101,10 @@ def _score(table: pa.Table, losses: pa.Table) -> pa.Table:
     keys, out = [], []
     for part in (p for batch in table.combine_chunks().to_batches() for p in slices(batch)):
         value, _, _, text = grams(part.column(part.schema.get_field_index("text")))
-        at = np.searchsorted(gram, value)
+        # looked up in order, so that neighbours are found close to each other
+        by, begin = _runs(value)
+        at = np.empty(len(value), np.int64)
+        at[by] = np.repeat(np.searchsorted(gram, value[by[begin]]), np.diff(np.append(begin, len(value))))
         keys.append(part.column(part.schema.get_field_index("key")))
         n = np.bincount(text, minlength=part.num_rows)
         out.append([n, *[np.bincount(text, x[at], part.num_rows) / np.maximum(n, 1) for x in each]])

@@ -1,6 +1,9 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from ledgermill.llm import lm_score
 from ledgermill.llm.queries import op1_lm_score
 
@@ -50,3 +53,16 @@ def test_edges_over_several_blocks(spark, monkeypatch):
     same(lm_score.score(frame, chosen).collect(), brute(docs, {3, 5}))
     same(lm_score.score(frame, chosen.limit(0)).collect(), brute(docs, set()))
     assert lm_score.score(frame.limit(0), chosen).collect() == []
+
+
+def test_losses_are_looked_up_once_and_in_order(monkeypatch):
+    asked = []
+    search = np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *rest: asked.append(np.atleast_1d(v)) or search(a, v, *rest))
+    texts = pa.table({"key": pa.array([1, 2, 3], pa.int64()), "text": ["abcabcabc", None, "zyx abcabc"]})
+    gram = np.unique(np.concatenate([lm_score.grams(texts.column("text").combine_chunks())[0]]))
+    losses = pa.table({"gram": pa.array(gram.view(np.int64)), "target": np.ones(len(gram)), "background": np.arange(len(gram), dtype=float)})
+    out = lm_score._score(texts, losses).to_pydict()
+    assert out["n_tokens"] == [9, 0, 10] and out["target_loss"] == [1, 0, 1]
+    known = [v for v in asked if v.dtype == np.uint64]
+    assert sum(map(len, known)) == len(gram) and all((v[1:] > v[:-1]).all() for v in known)
