@@ -73,30 +73,30 @@ class _Sets:
         return self.run[self.first[k] : self.first[k] + self.size[k]]
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            sets = _Sets(part.column(1))
-            points = pa.ListArray.from_arrays(np.arange(len(sets.size) + 1, dtype=np.int32) * DIMENSIONS, sets.points().ravel())
-            yield pa.record_batch(
-                [part.column(0), pa.array(sets.size), signed(sets.low), signed(sets.high), points], ["doc", "size", "low", "high", "point"]
-            )
+DIGEST = "doc long, text_id long, size long, low long, high long, element long, n long"
 
 
-def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs that several sets of the same stretch of a partition hold, with their numbers."""
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds: of every text the size and signatures of its set, and runs that several sets
+    of the same stretch of a partition hold (``element``, else null) with their numbers."""
+    names = [c.split()[0] for c in DIGEST.split(", ")]
     held: list[np.ndarray] = []
 
     def flush() -> pa.RecordBatch:
         run, n = np.unique(np.concatenate(held), return_counts=True)
         held.clear()
-        return pa.record_batch([signed(run[n > 1]), pa.array(n[n > 1])], ["element", "n"])
+        none = pa.nulls(int((n > 1).sum()), pa.int64())
+        return pa.record_batch([none, none, none, none, none, signed(run[n > 1]), pa.array(n[n > 1])], names)
 
     for batch in batches:
         for part in slices(batch):
             sets = _Sets(part.column(1))
-            _, one = np.unique(sets.low, return_index=True)
-            held.append(sets.run[np.isin(sets.text, one)])
+            none = pa.nulls(part.num_rows, pa.int64())
+            yield pa.record_batch([part.column(0), part.column(2), pa.array(sets.size), signed(sets.low), signed(sets.high), none, none], names)
+            doc = part.column(0).is_valid().to_numpy(zero_copy_only=False)
+            one = np.zeros(part.num_rows, bool)
+            one[np.flatnonzero(doc)[np.unique(sets.low[doc], return_index=True)[1]]] = True
+            held.append(sets.run[one[sets.text]])
             if sum(map(len, held)) > FLUSH:
                 yield flush()
     if held:
@@ -117,13 +117,24 @@ def _entries(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 
 
 def _shared_runs(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-    """Of groups of several classes, the distinct members."""
-    pairs = np.unique(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]), axis=1)
-    new = np.ones(pairs.shape[1], bool)
-    new[1:] = pairs[0, 1:] != pairs[0, :-1]
-    group = np.cumsum(new) - 1
-    several = np.bincount(group)[group] > 1
-    return pa.record_batch([pa.array(pairs[0, several]), pa.array(pairs[1, several])], ["run", "low"])
+    """Of groups of several classes, the distinct members, under a hash of these members.
+
+    Groups of equal members, as all runs of a passage make them, are one group.
+    """
+    run, low = (batch.column(k).to_numpy() for k in range(2))
+    order = np.lexsort((low, run))
+    run, low = run[order], low[order]
+    new = np.ones(len(run), bool)
+    new[1:] = (run[1:] != run[:-1]) | (low[1:] != low[:-1])
+    run, low = run[new], low[new]
+    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    size = np.diff(np.append(begin, len(run)))
+    members = mix(np.add.reduceat(mix(low.view(np.uint64)), begin) + size.astype(np.uint64))
+    _, first = np.unique(members, return_index=True)
+    keep = np.zeros(len(begin), bool)
+    keep[first] = True
+    keep = np.repeat(keep & (size > 1), size)
+    return pa.record_batch([signed(np.repeat(members, size)[keep]), pa.array(low[keep])], ["run", "low"])
 
 
 def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -231,12 +242,36 @@ def _across(most: int, low: int, high: int, batch: pa.RecordBatch) -> pa.RecordB
     return pa.record_batch([pa.array(np.minimum(entry[a], entry[b])), pa.array(np.maximum(entry[a], entry[b])), pa.array(more)], ["a", "b", "more"])
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the sizes and points of their sets."""
+    for batch in batches:
+        for part in slices(batch):
+            sets = _Sets(part.column(1))
+            points = pa.ListArray.from_arrays(np.arange(len(sets.size) + 1, dtype=np.int32) * DIMENSIONS, sets.points().ravel())
+            yield pa.record_batch([*part.columns, pa.array(sets.size), points], ["entry", "text", "size", "point"])
+
+
+def _of_pairs(frame: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of a table, by its first column, that pairs (a, b) may ask for: the others are left out before any is moved."""
+    ids = pairs.select("a").union(pairs.select("b")).toDF("id").select(F.xxhash64("id").alias("id"))
+    wanted, names = frame.sparkSession.sparkContext.broadcast(set_tools.bloom(ids, "id")), frame.columns
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = set_tools.maybe(wanted.value, batch.column(0).to_numpy().view(np.uint64))
+            yield batch.select(names).filter(pa.array(hit))
+
+    return frame.select(F.xxhash64(names[0]).alias("__id"), "*").mapInArrow(asked, frame.schema)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: first by the bound of their points, then by their texts."""
-    points = classes.select("entry", "size", "point")
+    points = _of_pairs(texts.select("entry", "size", "point"), pairs)
     shared = F.aggregate(F.zip_with("point", "other_point", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     bounded = pairs.join(points.withColumnRenamed("entry", "a"), "a").join(points.toDF("b", "other_size", "other_point"), "b")
     bounded = bounded.where((100 + SIMILAR) * shared >= SIMILAR * (F.col("size") + F.col("other_size"))).select("a", "b").distinct()
+    bounded = stored(bounded, "bounded")
+    texts = _of_pairs(texts.select("entry", "text"), bounded)
     both = bounded.join(texts.toDF("a", "text"), "a").join(texts.toDF("b", "other"), "b").select("a", "b", "text", "other")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,34 +292,32 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
     ``join_ids``: the classes of one ``doc_id`` link too.
     """
     spark = frame.sparkSession
-    picked = frame.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    digests = stored(picked.mapInArrow(_digests, "doc long, size long, low long, high long, point array<int>"), "digests")
+    picked = frame.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text).cast("string")).alias("text_id"))
+    read = stored(picked.mapInArrow(_digests, DIGEST), "digests")
+    digests = read.where("element IS NULL").drop("element", "n")
     named = digests.where("size > 0 AND doc IS NOT NULL")
-    classes = named.groupBy("low", "high").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("point").alias("point"))
+    classes = named.groupBy("low", "high").agg(F.min("doc").alias("doc"), F.min_by("text_id", "doc").alias("text_id"), F.first("size").alias("size"))
     # numbered, since several classes may have the same smallest document
     classes = stored(classes.withColumn("entry", F.monotonically_increasing_id()), "classes")
     known = picked.where("doc IS NOT NULL AND text IS NOT NULL")
-    counts = known.mapInArrow(_common, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
+    counts = read.where("element IS NOT NULL").groupBy("element").agg(F.sum("n").alias("n"))
     table = spark.sparkContext.broadcast(set_tools.rarity_table(counts))
-    entries = known.mapInArrow(lambda batches: _entries(table.value, batches), "run long, low long")
-    shared = stored(set_tools.grouped(entries, "run", _shared_runs, "run long, low long"), "shared")
-    members = stored(shared.join(classes.select("low", "high", "doc", "entry", "size"), "low"), "members")
+    entries = known.select("doc", "text").mapInArrow(lambda batches: _entries(table.value, batches), "run long, low long")
+    shared = stored(set_tools.grouped(entries, "run", _shared_runs, "run long, low long").distinct(), "shared")
+    members = stored(shared.join(classes, "low").select("run", "entry", "doc", "text_id"), "members")
 
-    # texts of the members, one per class
-    wanted = members.select("entry", "doc", "low", "high").distinct().withColumn("id", F.expr("doc ^ low"))
+    # texts and points of the members, one per class
+    wanted = members.select("entry", "doc", "text_id").distinct().withColumn("id", F.expr("doc ^ text_id"))
     filter_ = spark.sparkContext.broadcast(set_tools.bloom(wanted, "id"))
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                sets = _Sets(part.column(1))
-                ids = sets.low ^ part.column(0).to_numpy().view(np.uint64)
-                columns = [part.column(0), part.column(1), signed(sets.low), signed(sets.high)]
-                yield pa.record_batch(columns, ["doc", "text", "low", "high"]).filter(pa.array(set_tools.maybe(filter_.value, ids)))
+            ids = batch.column(0).to_numpy() ^ batch.column(2).to_numpy()
+            yield batch.filter(pa.array(set_tools.maybe(filter_.value, ids.view(np.uint64))))
 
-    texts = known.mapInArrow(texts_of, "doc long, text string, low long, high long")
-    texts = texts.join(wanted.drop("id"), ["doc", "low", "high"]).groupBy("entry").agg(F.first("text").alias("text"))
-    texts = stored(texts, "texts")
+    texts = known.mapInArrow(texts_of, "doc long, text string, text_id long")
+    texts = texts.join(wanted.drop("id"), ["doc", "text_id"]).groupBy("entry").agg(F.first("text").alias("text"))
+    texts = stored(texts.mapInArrow(_points, "entry long, text string, size long, point array<int>"), "texts")
 
     links = spark.createDataFrame([], "a long, b long")
     if join_ids:
@@ -308,7 +341,7 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
         pivot = F.min_by(F.struct("entry", "component"), F.xxhash64("entry", kind, F.lit(turn))).alias("pivot")
         pairs = labelled.join(labelled.groupBy("run").agg(pivot), "run").where("component <> pivot.component")
         pairs = pairs.select(F.least("entry", "pivot.entry").alias("a"), F.greatest("entry", "pivot.entry").alias("b")).distinct()
-        links = stored(links.union(_verified(stored(pairs, "pairs"), classes, texts)), "links")
+        links = stored(links.union(_verified(stored(pairs, "pairs"), texts)), "links")
         component, labelled = joined()
 
     # what is left: search across components; who asks is settled once, all but the largest of each group
@@ -324,10 +357,10 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
             F.xxhash64("run", "part").alias("cell"), "entry", "component",
             (F.expr("pmod(hash(entry), parts)") == F.col("part")).alias("indexed"), "asks",
         ).where("indexed OR asks")
-        rows = rows.join(classes.select("entry", "size", "point"), "entry").select("cell", "entry", "component", "size", "indexed", "asks", "point")
+        rows = rows.join(texts.select("entry", "size", "point"), "entry").select("cell", "entry", "component", "size", "indexed", "asks", "point")
         found = set_tools.grouped(rows, "cell", partial(_across, SMALL, low, high), "a long, b long, more boolean")
         found = stored(found.groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
-        links = stored(links.union(_verified(found.where("a <> b").select("a", "b"), classes, texts)), "links")
+        links = stored(links.union(_verified(found.where("a <> b").select("a", "b"), texts)), "links")
         component, labelled = joined()
         more = not found.where("more").isEmpty()
         low, high = high, high * 16

@@ -3,6 +3,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgermill.llm import ngram_join
@@ -95,3 +96,18 @@ def test_repeated_ids_join_their_texts(spark):
     kept = sorted((tuple(r)[:2] for r in ngram_join.representatives(frame).collect()), key=str)
     assert kept == sorted([(5, a), (2, b), (9, None), (7, c), (7, ""), (8, None), (None, a)], key=str)
     assert ngram_join.representatives(frame).columns == frame.columns
+
+
+def test_groups_of_equal_members_are_one():
+    rows = [(1, 10), (1, 20), (2, 20), (2, 10), (2, 10), (3, 10), (3, 30), (4, 40), (5, 10), (5, 20), (5, 30)]
+    batch = pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["run", "low"])
+    groups = {}
+    for row in ngram_join._shared_runs(batch).to_pylist():
+        groups.setdefault(row["run"], []).append(row["low"])
+    assert sorted(groups.values()) == [[10, 20], [10, 20, 30], [10, 30]]
+
+
+def test_only_texts_of_pairs_are_moved(spark):
+    texts = spark.createDataFrame([(i << 33, "x" * i) for i in range(200)], "entry long, text string")
+    pairs = spark.createDataFrame([(3 << 33, 5 << 33), (3 << 33, 9 << 33)], "a long, b long")
+    assert sorted(r["entry"] >> 33 for r in ngram_join._of_pairs(texts, pairs).collect()) == [3, 5, 9]
