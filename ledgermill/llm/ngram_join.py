@@ -199,7 +199,7 @@ def _across(most: int, low: int, high: int, batch: pa.RecordBatch) -> pa.RecordB
     group, entry, component, size, indexed, asks, point = batch.columns
     group, entry, component, size = (x.to_numpy() for x in (group, entry, component, size))
     indexed, asks = indexed.to_numpy(zero_copy_only=False), asks.to_numpy(zero_copy_only=False)
-    point = point.flatten().to_numpy().reshape(-1, DIMENSIONS)
+    point = _unpacked(point)
     order = np.lexsort((size, group))
     group, entry, component, size, indexed, asks, point = (x[order] for x in (group, entry, component, size, indexed, asks, point))
     begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
@@ -247,8 +247,14 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             sets = _Sets(part.column(1))
-            points = pa.ListArray.from_arrays(np.arange(len(sets.size) + 1, dtype=np.int32) * DIMENSIONS, sets.points().ravel())
-            yield pa.record_batch([*part.columns, pa.array(sets.size), points], ["entry", "text", "size", "point"])
+            points = [p.astype("u1" if p.max() < 256 else "<i4").tobytes() for p in sets.points()]
+            yield pa.record_batch([*part.columns, pa.array(sets.size), pa.array(points, pa.binary())], ["entry", "text", "size", "point"])
+
+
+def _unpacked(points: pa.Array) -> np.ndarray:
+    """Points from their bytes, one a number or, where a number is larger, four."""
+    rows = [np.frombuffer(p, "u1" if len(p) == DIMENSIONS else "<i4") for p in points.to_pylist()]
+    return np.array(rows, np.int32).reshape(-1, DIMENSIONS)
 
 
 def _of_pairs(frame: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -267,9 +273,15 @@ def _of_pairs(frame: DataFrame, pairs: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: first by the bound of their points, then by their texts."""
     points = _of_pairs(texts.select("entry", "size", "point"), pairs)
-    shared = F.aggregate(F.zip_with("point", "other_point", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    bounded = pairs.join(points.withColumnRenamed("entry", "a"), "a").join(points.toDF("b", "other_size", "other_point"), "b")
-    bounded = bounded.where((100 + SIMILAR) * shared >= SIMILAR * (F.col("size") + F.col("other_size"))).select("a", "b").distinct()
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, other = (batch.column(k).to_numpy() for k in (2, 4))
+            shared = np.minimum(_unpacked(batch.column(3)), _unpacked(batch.column(5))).sum(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(shared >= needed(size, other)))
+
+    bounded = pairs.join(points.toDF("a", "size", "point"), "a").join(points.toDF("b", "other_size", "other_point"), "b")
+    bounded = bounded.select("a", "b", "size", "point", "other_size", "other_point").mapInArrow(enough, "a long, b long").distinct()
     bounded = stored(bounded, "bounded")
     texts = _of_pairs(texts.select("entry", "text"), bounded)
     both = bounded.join(texts.toDF("a", "text"), "a").join(texts.toDF("b", "other"), "b").select("a", "b", "text", "other")
@@ -317,7 +329,7 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
 
     texts = known.mapInArrow(texts_of, "doc long, text string, text_id long")
     texts = texts.join(wanted.drop("id"), ["doc", "text_id"]).groupBy("entry").agg(F.first("text").alias("text"))
-    texts = stored(texts.mapInArrow(_points, "entry long, text string, size long, point array<int>"), "texts")
+    texts = stored(texts.mapInArrow(_points, "entry long, text string, size long, point binary"), "texts")
 
     links = spark.createDataFrame([], "a long, b long")
     if join_ids:
@@ -347,12 +359,13 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
     # what is left: search across components; who asks is settled once, all but the largest of each group
     sizes = labelled.groupBy("run", "component").agg(F.count("*").alias("n"))
     main = F.max_by("component", F.struct("n", "component")).alias("main")
-    facts = sizes.groupBy("run").agg(main, F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
-    cells = labelled.join(facts, "run").select("run", "entry", "parts", (F.col("component") != F.col("main")).alias("asks"))
+    facts = sizes.groupBy("run").agg(main, F.ceil(F.sum("n") / PART).cast("int").alias("parts"), F.sum("n").alias("n"))
+    cells = labelled.join(facts, "run").select("run", "entry", "parts", "n", (F.col("component") != F.col("main")).alias("asks"))
     cells = stored(cells, "cells")
     low, high, more = 0, RANKS, True
     while more:
-        rows = labelled.join(cells, ["run", "entry"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        # smaller groups have given all their pairs in the first round
+        rows = labelled.join(cells.where(f"n > {0 if low == 0 else SMALL}"), ["run", "entry"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         rows = rows.select(
             F.xxhash64("run", "part").alias("cell"), "entry", "component",
             (F.expr("pmod(hash(entry), parts)") == F.col("part")).alias("indexed"), "asks",

@@ -111,3 +111,12 @@ def test_only_texts_of_pairs_are_moved(spark):
     texts = spark.createDataFrame([(i << 33, "x" * i) for i in range(200)], "entry long, text string")
     pairs = spark.createDataFrame([(3 << 33, 5 << 33), (3 << 33, 9 << 33)], "a long, b long")
     assert sorted(r["entry"] >> 33 for r in ngram_join._of_pairs(texts, pairs).collect()) == [3, 5, 9]
+
+
+def test_points_are_compact_and_whole():
+    numbers = ["w " * 3 + " ".join(f"u{i}" for i in range(n)) for n in (3, 400, 200_000)]
+    batch = pa.record_batch([pa.array([1, 2, 3]), pa.array(numbers)], ["entry", "text"])
+    parts = list(ngram_join._points([batch]))
+    stored = pa.concat_arrays([p.column(3) for p in parts])
+    assert [len(p) for p in stored.to_pylist()] == [256, 256, 1024]
+    assert (ngram_join._unpacked(stored) == ngram_join._Sets(batch.column(1)).points()).all()
