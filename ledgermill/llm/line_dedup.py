@@ -51,8 +51,8 @@ class _Lines:
         self.low = mix(self._sums(word) + size.astype(np.uint64))
 
     @classmethod
-    def read(cls, batch: pa.RecordBatch) -> _Lines:
-        """The lines of a batch of texts."""
+    def read(cls, batch: pa.RecordBatch, only: np.ndarray | None = None) -> _Lines:
+        """The lines of a batch of texts, or those with a word that a filter may hold."""
         texts = column(batch.column(1))
         breaks = np.flatnonzero(texts.data == 10)
         # a line begins at each text and after each line feed
@@ -60,7 +60,12 @@ class _Lines:
         owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(breaks, texts.offsets)) + 1)
         number = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(texts)))[owner]
         found = words(Texts(texts.data, np.concatenate([begins, texts.offsets[-1:]])))
-        line, word = distinct(found.text, found.hash)
+        text, word = found.text, found.hash
+        if only is not None:
+            some = np.zeros(len(begins), bool)
+            some[text[set_tools.maybe(only, word)]] = True
+            text, word = text[some[text]], word[some[text]]
+        line, word = distinct(text, word)
         new = np.ones(len(line), bool)
         new[1:] = line[1:] != line[:-1]
         first = np.flatnonzero(new)
@@ -150,11 +155,9 @@ def _entries_of(lines: _Lines, table: np.ndarray, only: np.ndarray | None) -> li
     if only is not None:
         keep &= set_tools.maybe(only, word)
     keep = np.flatnonzero(keep)
-    bits = [np.zeros(len(lines.low), np.uint64), np.zeros(len(lines.low), np.uint64)]
     at = mix(lines.word) & np.uint64(127)
-    for k in range(2):
-        own = (at >> np.uint64(6)) == k
-        np.bitwise_xor.at(bits[k], lines.line[own], np.uint64(1) << (at[own] & np.uint64(63)))
+    one, upper = np.uint64(1) << (at & np.uint64(63)), at >> np.uint64(6) == 1
+    bits = [np.bitwise_xor.reduceat(np.where(own, one, np.uint64(0)), lines.first) if len(one) else one for own in (~upper, upper)]
     line = lines.line[keep]
     place = keep - lines.first[line]
     meta = lines.number[line] << 32 | lines.size[line] << 6 | np.minimum(place, 63)  # a smaller place is safe
@@ -192,7 +195,7 @@ def _near_lines(table: np.ndarray, asked: np.ndarray, batches: Iterator[pa.Recor
     """The lines of the texts that have a word asked for in their prefix."""
     for batch in batches:
         for part in slices(batch):
-            lines = _Lines.read(part)
+            lines = _Lines.read(part, asked)
             word, keep = lines.prefixes(table)
             near = np.zeros(len(lines.size), bool)
             near[lines.line[keep & set_tools.maybe(asked, word)]] = True
@@ -319,7 +322,9 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         entries = lines.mapInArrow(
             lambda batches, still=still: _asked_entries(table.value, asked.value, still.value, batches), f"{ENTRY}, asked boolean"
         )
-    firsts = signatures.groupBy("low", "high").agg(F.min(F.struct("doc", "line")).alias("at")).select("at.doc", "at.line")
+    # the least line of the least document, by groupings that need no sorting
+    firsts = signatures.select("low", "high", "doc", "line").groupBy("low", "high", "doc").agg(F.min("line").alias("line"))
+    firsts = firsts.groupBy("low", "high").agg(F.min("doc").alias("doc"), F.min_by("line", "doc").alias("line")).select("doc", "line")
     return firsts.join(gone, ["doc", "line"], "left_anti")
 
 

@@ -2,9 +2,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgermill.llm import line_dedup
+from ledgermill.llm import line_dedup, set_tools
 from ledgermill.llm.queries import op4_line_dedup
 
 FOLDER = "/root/testdata/sf0.001"
@@ -81,3 +83,21 @@ def test_empty_and_repeated(spark):
     frame = spark.createDataFrame([(1, "a b c\na b c"), (1, "a b c\na b c")], "doc_id long, text string")
     assert [r["text"] for r in line_dedup.dedup(frame).collect()] == ["a b c", "a b c"]
     assert line_dedup.dedup(frame.limit(0)).collect() == []
+
+
+def test_only_lines_with_a_word_asked_for_are_built(monkeypatch):
+    texts = ["alpha beta gamma delta epsilon\nnone of these words is asked\n\nzeta alpha eta theta iota", "", "other words once more"]
+    batch = pa.record_batch([pa.array([4, 5, 6], pa.int64()), pa.array(texts)], ["doc", "text"])
+    filter_ = np.zeros(set_tools.BLOOM_BITS >> 6, np.uint64)
+    asked = line_dedup._Lines.read(pa.record_batch([pa.array([1], pa.int64()), pa.array(["alpha"])], ["doc", "text"])).word
+    slot = asked & np.uint64(set_tools.BLOOM_BITS - 1)
+    filter_[slot >> np.uint64(6)] = np.uint64(1) << (slot & np.uint64(63))
+    some, every = line_dedup._Lines.read(batch, filter_), line_dedup._Lines.read(batch)
+    assert list(zip(some.doc, some.number, strict=True)) == [(4, 0), (4, 3)]
+    assert list(zip(every.doc, every.number, strict=True)) == [(4, 0), (4, 1), (4, 3), (6, 0)]
+    assert some.low.tolist() == every.low[[0, 2]].tolist()
+    sizes = []
+    prefixes = line_dedup._Lines.prefixes
+    monkeypatch.setattr(line_dedup._Lines, "prefixes", lambda self, table: sizes.append(len(self.size)) or prefixes(self, table))
+    list(line_dedup._near_lines(np.full(set_tools.RARITY_SLOTS, 2, np.uint8), filter_, [batch]))
+    assert sizes == [2]
