@@ -12,7 +12,7 @@ whose branch is left when the bound is short of what a link needs.
 
 Every pair that links shares a run among the first ``size - needed + 1`` of either set in
 a common order, rarest first, so R-trees are built per such run, and a run that is
-common in the corpus leads to no group.  Groups are first reduced: all members are
+common in the corpus leads to no group.  Runs with equal members make one group.  Groups are first reduced: all members are
 compared with one pivot, twice, by bound and then by their texts, and joined into
 components.  Only groups that still hold several components are searched by R-tree, for
 pairs across components; surviving pairs are verified by exact counts.  Groups of
