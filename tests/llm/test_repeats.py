@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgermill.llm import repeats
@@ -74,3 +75,18 @@ def test_query_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert got(spark.createDataFrame([], "row long, text string"), repeats.Settings()) == {}
+
+
+def test_texts_reach_the_workers_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    frame = spark.range(400, numPartitions=1).selectExpr("id AS doc_id", "repeat(sha2(string(id % 300), 256), 800) AS text")  # 51 KB each
+    result = repeats.remove(frame)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    largest = result.mapInArrow(sizes, "n long").agg({"n": "max"}).head()[0]
+    spark.conf.unset(name)
+    assert largest < 8 << 20  # all texts of a task at once, before
