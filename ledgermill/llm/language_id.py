@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.storage import stored
 from ledgermill.llm.text import column, extend, mix, signed, slices
+from ledgermill.session import limit_batches
 
 ORDER = 3
 HASHES = 3
@@ -37,6 +38,7 @@ BITS = 21
 MIN_SHARE = 1e-6
 LIFT = 8.0
 BINS = 1000  # of scores, for the threshold
+SLICE = 1 << 18  # bytes of text that are judged at once; each takes about a hundred in arrays
 UNKNOWN = "und"
 
 
@@ -88,6 +90,7 @@ def _slots(value: np.ndarray, k: int) -> np.ndarray:
 
 def learn(frame: DataFrame, text: str = "text", label: str = "lang") -> Model:
     """Fit the filter to all rows with a label."""
+    limit_batches(frame.sparkSession)
     labelled = frame.select(F.col(label).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
 
@@ -158,6 +161,7 @@ def threshold(frame: DataFrame, model: Model, text: str = "text", label: str = "
     score in any other one that should not, as of a text in a language not learned.
     The middle of the first range with the fewest errors is taken, never 0.
     """
+    limit_batches(frame.sparkSession)
     shared = frame.sparkSession.sparkContext.broadcast(model)
     labelled = frame.select(F.col(label).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
 
@@ -165,7 +169,7 @@ def threshold(frame: DataFrame, model: Model, text: str = "text", label: str = "
         number = {lang: k for k, lang in enumerate(shared.value.languages)}
         own, other = np.zeros(BINS + 1, np.int64), np.zeros(BINS + 1, np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=SLICE):
                 true, size, lettered = _found(shared.value, part.column(1))
                 lang = np.array([number.get(x, -1) for x in part.column(0).to_pylist()], np.int64)
                 used = lettered & (lang >= 0)
@@ -188,10 +192,12 @@ def threshold(frame: DataFrame, model: Model, text: str = "text", label: str = "
 
 def predict(frame: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score``; nothing but the text is looked at."""
+    limit_batches(frame.sparkSession)
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        lang, score = judge(shared.value, batch.column(batch.num_columns - 1))
-        return [pa.array(lang, pa.string()), pa.array(score)]
+        judged = [judge(shared.value, part.column(part.num_columns - 1)) for part in slices(batch, size=SLICE)]
+        lang, score = [x for own, _ in judged for x in own], [own for _, own in judged]
+        return [pa.array(lang, pa.string()), pa.array(np.concatenate(score))]
 
     return extend(frame, text, "lang_pred string, score double", run)

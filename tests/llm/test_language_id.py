@@ -39,3 +39,19 @@ def test_more_languages_than_bits_of_a_word(spark):
     assert len(model.languages) == 130 and model.slots.shape[0] == 3
     lang, score = language_id.judge(model, pa.array(list(words.values())))
     assert lang == list(words) and score.min() > 0.9
+
+
+def test_texts_reach_the_workers_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    frame = spark.range(400, numPartitions=1).selectExpr("repeat(sha2(string(id), 256), 800) AS text", "'xx' AS lang")  # 51 KB each
+    judged = language_id.predict(frame, language_id.learn(frame))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    assert judged.where("score = 1").count() == 400
+    largest = judged.mapInArrow(sizes, "n long").agg({"n": "max"}).head()[0]
+    spark.conf.unset(name)
+    assert largest < 8 << 20  # all texts of a task at once, before
