@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgermill.llm import ngram_join
+from ledgermill.llm import ngram_join, set_tools
 from ledgermill.llm.queries import SQL, op8_ngram_join
 
 FOLDER = "/root/testdata/sf0.001"
@@ -120,3 +120,17 @@ def test_points_are_compact_and_whole():
     stored = pa.concat_arrays([p.column(3) for p in parts])
     assert [len(p) for p in stored.to_pylist()] == [256, 256, 1024]
     assert (ngram_join._unpacked(stored) == ngram_join._Sets(batch.column(1)).points()).all()
+
+
+def test_small_graphs_take_one_stored_table(spark, monkeypatch):
+    edges = spark.createDataFrame([(9, 8), (8, 7), (3, 9), (3, 3), (20, 21), (21, 20), (5, 5)], "a long, b long").repartition(3)
+    path = spark.range(200).selectExpr("1000 + id AS a", "1001 + id AS b")
+    edges = edges.union(path)
+    want = {3: 3, 7: 3, 8: 3, 9: 3, 20: 20, 21: 20, **{1000 + k: 1000 for k in range(201)}}
+    written, stored = [], set_tools.stored
+    monkeypatch.setattr(set_tools, "stored", lambda frame, purpose: written.append(purpose) or stored(frame, purpose))
+    assert {r["node"]: r["component"] for r in set_tools.components(edges).collect()} == want
+    assert len(written) == 1  # before, two for every round
+    monkeypatch.setattr(set_tools, "EDGES", 1)
+    assert {r["node"]: r["component"] for r in set_tools.components(edges).collect()} == want
+    assert set_tools.components(edges.where("a = b")).count() == 0
