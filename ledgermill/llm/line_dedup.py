@@ -33,12 +33,20 @@ from pyspark.sql import functions as F
 from ledgermill.llm import set_tools
 from ledgermill.llm.storage import stored
 from ledgermill.llm.text import Texts, column, distinct, mix, signed, slices, words
+from ledgermill.session import limit_batches
 
 SIMILAR = 80  # per cent
 #: Candidates of a line that are verified before the next round, which is for lines without a match
 #: among them only; the last round takes all.
 LIMITS = (16, 128, None)
 STEPS = 64
+BLOCK = 1 << 12  # slots of a row of counts
+MOST = (1 << 16) - 1  # that a task counts in a slot; beyond, the order of words is a little different
+
+
+def _ids(doc: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Hashes of lines by document and number."""
+    return mix(mix(doc.view(np.uint64)) + number.astype(np.int64).view(np.uint64))
 
 
 class _Lines:
@@ -51,18 +59,27 @@ class _Lines:
         self.low = mix(self._sums(word) + size.astype(np.uint64))
 
     @classmethod
-    def read(cls, batch: pa.RecordBatch, only: np.ndarray | None = None) -> _Lines:
-        """The lines of a batch of texts, or those with a word that a filter may hold."""
+    def read(cls, batch: pa.RecordBatch, only: np.ndarray | None = None, ids: np.ndarray | None = None) -> _Lines:
+        """The lines of a batch of texts, or those with a word or those with an id that a filter may hold.
+
+        Lines left out by their ids are not looked at.
+        """
         texts = column(batch.column(1))
         breaks = np.flatnonzero(texts.data == 10)
         # a line begins at each text and after each line feed
         begins = np.sort(np.concatenate([texts.offsets[:-1], breaks + 1]))
         owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(breaks, texts.offsets)) + 1)
         number = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(texts)))[owner]
-        found = words(Texts(texts.data, np.concatenate([begins, texts.offsets[-1:]])))
+        edges = np.concatenate([begins, texts.offsets[-1:]])
+        if ids is not None:
+            some = set_tools.maybe(ids, _ids(batch.column(0).to_numpy()[owner], number))
+            size = np.diff(edges)
+            texts = Texts(texts.data[np.repeat(some, size)], texts.offsets)
+            owner, number, edges = owner[some], number[some], np.concatenate([[0], np.cumsum(size[some])])
+        found = words(Texts(texts.data, edges))
         text, word = found.text, found.hash
         if only is not None:
-            some = np.zeros(len(begins), bool)
+            some = np.zeros(len(owner), bool)
             some[text[set_tools.maybe(only, word)]] = True
             text, word = text[some[text]], word[some[text]]
         line, word = distinct(text, word)
@@ -92,9 +109,6 @@ class _Lines:
         """A second signature of each set."""
         return self._sums(mix(self.word))
 
-    def ids(self) -> np.ndarray:
-        return mix(mix(self.doc.view(np.uint64)) + self.number.view(np.uint64))
-
     def prefixes(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words of all lines, each line's rarest first, and where a prefix word is that another line may have.
 
@@ -112,8 +126,15 @@ def _picked(frame: DataFrame, key: str, text: str) -> DataFrame:
     return picked.where("doc IS NOT NULL AND text IS NOT NULL")
 
 
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of the words of each slot, in one array of fixed size; lines that repeat within a slice count once."""
+DIGEST = "block int, counts binary, doc long, line long, low long, high long"
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds: signatures of every line, and by block of slots the occurrences of their words.
+
+    Lines that repeat within a slice count once.
+    """
+    names = [c.split()[0] for c in DIGEST.split(", ")]
     total = np.zeros(set_tools.RARITY_SLOTS, np.int64)
     for batch in batches:
         for part in slices(batch):
@@ -122,21 +143,30 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one[np.unique(lines.low, return_index=True)[1]] = True
             slot = lines.word[one[lines.line]] & np.uint64(set_tools.RARITY_SLOTS - 1)
             np.add.at(total, slot.astype(np.int64), 1)
-    some = np.flatnonzero(total)
-    if len(some):
-        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], ["slot", "n"])
+            none = pa.nulls(len(lines.size), pa.int32()), pa.nulls(len(lines.size), pa.binary())
+            yield pa.record_batch([*none, pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64()), signed(lines.low), signed(lines.high())], names)
+    blocks = np.minimum(total, MOST).astype("<u2").reshape(-1, BLOCK)
+    some = np.flatnonzero(blocks.any(axis=1))
+    none = pa.nulls(len(some), pa.int64())
+    yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array([x.tobytes() for x in blocks[some]], pa.binary()), none, none, none, none], names)
+
 
+def _slot_counts(table: pa.Table) -> pa.Table:
+    """The counts of the slots of a block that have 2, from those of all tasks."""
+    total = np.zeros(BLOCK, np.int64)
+    for counts in table.column("counts").to_pylist():
+        total += np.frombuffer(counts, "<u2")
+    slot = np.flatnonzero(total > 1)
+    return pa.table([pa.array((table.column("block")[0].as_py() * BLOCK + slot).astype(np.int32)), pa.array(total[slot])], ["slot", "n"])
 
-def _signed_lines(in_pairs: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signatures of every line, and the words of those that a filter may hold."""
+
+def _lines_of(in_pairs: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of the texts that a filter may hold."""
     for batch in batches:
         for part in slices(batch):
-            lines = _Lines.read(part)
-            sets = lines.packed(set_tools.maybe(in_pairs, lines.ids()))
-            yield pa.record_batch(
-                [pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64()), sets, signed(lines.low), signed(lines.high())],
-                ["doc", "line", "words", "low", "high"],
-            )
+            lines = _Lines.read(part, ids=in_pairs)
+            rows = [pa.array(lines.doc, pa.int64()), pa.array(lines.number, pa.int64()), lines.packed(np.ones(len(lines.size), bool))]
+            yield pa.record_batch(rows, ["doc", "line", "words"])
 
 
 def needed(size: np.ndarray) -> np.ndarray:
@@ -180,7 +210,7 @@ def _asked_entries(table: np.ndarray, asked: np.ndarray, open_lines: np.ndarray,
         lines = _Lines.unpack(batch)
         columns = _entries_of(lines, table, asked)
         doc, line = columns[1].to_numpy(), columns[2].to_numpy() >> 32
-        ids = mix(mix(doc.view(np.uint64)) + line.view(np.uint64))
+        ids = _ids(doc, line)
         yield pa.record_batch([*columns, pa.array(set_tools.maybe(open_lines, ids))], [*NAMES, "asked"])
 
 
@@ -263,11 +293,8 @@ def _meet(limit: int | None, steps: int, batch: pa.RecordBatch) -> pa.RecordBatc
     a, b = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
     more = hits[a] >= limit if limit is not None else np.zeros(len(a), bool)
 
-    def ids(k: np.ndarray) -> np.ndarray:
-        return mix(mix(doc[k].view(np.uint64)) + line[k].view(np.uint64))
-
     columns = [pa.array(x) for x in (doc[a], line[a], doc[b], line[b])]
-    return pa.record_batch([*columns, signed(ids(a)), signed(ids(b)), pa.array(more)], [c.split()[0] for c in PAIR.split(", ")])
+    return pa.record_batch([*columns, signed(_ids(doc[a], line[a])), signed(_ids(doc[b], line[b])), pa.array(more)], [c.split()[0] for c in PAIR.split(", ")])
 
 
 def _verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -289,21 +316,22 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """(doc, line) of every line with a word that no earlier line matches."""
     spark = frame.sparkSession
     picked = _picked(frame, key, text)
-    counts = picked.mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    limit_batches(spark)
+    read = stored(picked.mapInArrow(_digests, DIGEST), "lines")
+    signatures = read.where("block IS NULL").select("doc", "line", "low", "high")
+    counts = read.where("block IS NOT NULL").select("block", "counts").groupBy("block").applyInArrow(_slot_counts, "slot int, n long")
     send = spark.sparkContext.broadcast
     table = send(set_tools.slot_levels(counts))
     entries = picked.mapInArrow(lambda batches: _entries(table.value, batches), ENTRY)
     by = ["doc", "line", "other_doc", "other_line", "id", "other_id"]
-    gone = signatures = lines = asked = None
+    gone = lines = asked = None
     for turn, limit in enumerate(LIMITS):
         met = set_tools.grouped(entries, "word", partial(_meet, limit, STEPS), PAIR)
         met = stored(met.groupBy(*by).agg(F.max("more").alias("more")), "pairs")
         if turn == 0:
             ids = met.select("id").union(met.select("other_id")).toDF("id")
             in_pairs = send(set_tools.bloom(ids, "id"))
-            signatures = picked.mapInArrow(lambda batches: _signed_lines(in_pairs.value, batches), f"{SET}, low long, high long")
-            signatures = stored(signatures, "lines")
-            lines = signatures.where("words IS NOT NULL").select("doc", "line", "words")
+            lines = stored(picked.mapInArrow(lambda batches: _lines_of(in_pairs.value, batches), SET), "words")
         matched = _verified(lines, met)
         gone = stored(matched if gone is None else gone.union(matched).distinct(), "matched")
         if limit is None:
@@ -323,7 +351,7 @@ def kept_lines(frame: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             lambda batches, still=still: _asked_entries(table.value, asked.value, still.value, batches), f"{ENTRY}, asked boolean"
         )
     # the least line of the least document, by groupings that need no sorting
-    firsts = signatures.select("low", "high", "doc", "line").groupBy("low", "high", "doc").agg(F.min("line").alias("line"))
+    firsts = signatures.groupBy("low", "high", "doc").agg(F.min("line").alias("line"))
     firsts = firsts.groupBy("low", "high").agg(F.min("doc").alias("doc"), F.min_by("line", "doc").alias("line")).select("doc", "line")
     return firsts.join(gone, ["doc", "line"], "left_anti")
 
@@ -338,7 +366,7 @@ def dedup(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     wide = frame.select(*[F.col(f"`{c}`") for c in names]).join(kept, F.col(f"`{key}`").cast("long") == F.col("__doc"), "left")
     wide = wide.withColumn("__lines", F.coalesce(F.split(F.col(f"`{text}`").cast("string"), "\n", -1), F.array().cast("array<string>")))
     numbers = F.transform("__lines", lambda x, i: F.when(F.col(f"`{key}`").isNull() | ~x.rlike(r"[^ \t\x0B\f\r]"), i))
-    stay = F.array_sort(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), F.array_compact(numbers)))
+    stay = F.sort_array(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), F.array_compact(numbers)))
     wide = wide.withColumn("__stay", stay)
     left = F.array_join(F.transform("__stay", lambda i: F.col("__lines")[i]), "\n")
     return wide.select(

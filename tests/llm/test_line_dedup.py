@@ -101,3 +101,24 @@ def test_only_lines_with_a_word_asked_for_are_built(monkeypatch):
     monkeypatch.setattr(line_dedup._Lines, "prefixes", lambda self, table: sizes.append(len(self.size)) or prefixes(self, table))
     list(line_dedup._near_lines(np.full(set_tools.RARITY_SLOTS, 2, np.uint8), filter_, [batch]))
     assert sizes == [2]
+
+
+def test_only_lines_in_pairs_are_read_again_and_slots_count_all_tasks():
+    texts = ["one two\n\nthree four five\nsix", "", "seven\neight nine", "ten"]
+    batch = pa.record_batch([pa.array([4, 5, 6, 7], pa.int64()), pa.array(texts)], ["doc", "text"])
+    filter_ = np.zeros(line_dedup.set_tools.BLOOM_BITS >> 6, np.uint64)
+    for slot in line_dedup._ids(np.array([4, 6]), np.array([2, 0])) & np.uint64(line_dedup.set_tools.BLOOM_BITS - 1):
+        filter_[slot >> np.uint64(6)] |= np.uint64(1) << (slot & np.uint64(63))
+    some, every = line_dedup._Lines.read(batch, ids=filter_), line_dedup._Lines.read(batch)
+    assert list(zip(some.doc.tolist(), some.number.tolist(), strict=True)) == [(4, 2), (6, 0)]
+    assert set(some.low.tolist()) <= set(every.low.tolist()) and len(every.low) == 6
+    tasks = [pa.Table.from_batches(line_dedup._digests(iter(part))) for part in ([batch], [batch.slice(0, 1)], [])]
+    lines = [t.filter(pa.compute.is_null(t["block"])).num_rows for t in tasks]
+    assert lines == [6, 3, 0]
+    counts = pa.concat_tables(tasks).drop_columns(["doc", "line", "low", "high"])
+    found = {}
+    for block in pa.compute.unique(counts["block"].drop_null()).to_pylist():
+        rows = line_dedup._slot_counts(counts.filter(pa.compute.equal(counts["block"], block)))
+        found |= dict(zip(rows["slot"].to_pylist(), rows["n"].to_pylist(), strict=True))
+    twice = every.word[np.isin(every.doc[every.line], [4])] & np.uint64(line_dedup.set_tools.RARITY_SLOTS - 1)
+    assert found == {int(slot): 2 for slot in twice}
