@@ -12,9 +12,12 @@ whose branch is left when the bound is short of what a link needs.
 
 Every pair that links shares a run among the first ``size - needed + 1`` of either set in
 a common order, rarest first, so R-trees are built per such run, and a run that is
-common in the corpus leads to no group.  Runs with equal members make one group.  Groups are first reduced: all members are
+common in the corpus leads to no group.  Members stand by size, and a group is cut where neighbours' sizes
+are too far apart to link; a group of two goes too where their places of the run leave too few runs to share.  So
+classes that meet by chance in a large corpus are left out before any text is moved.
+Runs with equal members make one group.  Groups are first reduced: all members of fitting size are
 compared with one pivot, twice, by bound and then by their texts, and joined into
-components.  Only groups that still hold several components are searched by R-tree, for
+components.  A group of two is settled by that.  Only groups that still hold several components are searched by R-tree, for
 pairs across components; surviving pairs are verified by exact counts.  Groups of
 more than ``PART`` members are cut into parts that all their searches visit.  So a
 family of copies costs a multiple of its size, and no link between components is lost.
@@ -49,6 +52,21 @@ PIVOTS = 2  # rounds of
 PER_ROUND = 8  # pivots among groups with common members
 RANKS = 16  # candidates of a search that are verified first
 FLUSH = 1 << 22
+SIZE_BIT, PLACE_BIT = 54, 51  # of the first signature: above them the size, and in entries the place of the run
+PLACES = 8
+
+
+def _coded(size: np.ndarray) -> np.ndarray:
+    """Sizes from 1 to 2**32, rounded down to one of 32 steps between powers of two, as the upper bits of a signature."""
+    half, power = np.frexp(size)
+    return (power.astype(np.uint64) - np.uint64(1) << np.uint64(5) | (half * 64 - 32).astype(np.uint64)) << np.uint64(SIZE_BIT)
+
+
+def _size_range(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the sizes of sets with these signatures are at least, and below."""
+    code = (low >> np.uint64(SIZE_BIT)).astype(np.int64)
+    step = np.ldexp(1 / 32, code >> 5)
+    return step * (32 + (code & 31)), step * (33 + (code & 31))
 
 
 class _Sets:
@@ -63,7 +81,8 @@ class _Sets:
         some = np.flatnonzero(self.size)
         self.low, self.high = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         if len(some):
-            self.low[some] = mix(np.add.reduceat(self.run, self.first[some]) + self.size[some].astype(np.uint64))
+            sums = mix(np.add.reduceat(self.run, self.first[some]) + self.size[some].astype(np.uint64))
+            self.low[some] = sums >> np.uint64(64 - PLACE_BIT) | _coded(self.size[some])
             self.high[some] = np.add.reduceat(mix(self.run), self.first[some])
 
     def points(self) -> np.ndarray:
@@ -113,29 +132,42 @@ def _entries(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[p
             text = sets.text
             place = np.arange(len(text)) - sets.first[text]
             size = sets.size[text]
-            keep = (place <= size + (-size * SIMILAR // 100)) & np.isin(text, one)
-            yield pa.record_batch([signed(sets.run[order][keep]), signed(sets.low[text[keep]])], ["run", "low"])
+            last = size + (-size * SIMILAR // 100)
+            keep = (place <= last) & np.isin(text, one)
+            eighth = (PLACES * place[keep] // (last[keep] + 1)).astype(np.uint64) << np.uint64(PLACE_BIT)
+            yield pa.record_batch([signed(sets.run[order][keep]), signed(sets.low[text[keep]] | eighth)], ["run", "low"])
 
 
 def _shared_runs(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     """Of groups of several classes, the distinct members, under a hash of these members.
 
+    Members are sorted by size, and a group ends where two neighbours' sizes cannot link.
+    Two classes are left out if what follows their run in either set is too little for a link: they do not link,
+    or a run before this one is their first in common.
     Groups of equal members, as all runs of a passage make them, are one group.
     """
-    run, low = (batch.column(k).to_numpy() for k in range(2))
+    run, low = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+    eighth, low = low >> np.uint64(PLACE_BIT) & np.uint64(PLACES - 1), low & ~np.uint64(PLACES - 1 << PLACE_BIT)
     order = np.lexsort((low, run))
-    run, low = run[order], low[order]
+    run, low, eighth = run[order], low[order], eighth[order]
     new = np.ones(len(run), bool)
     new[1:] = (run[1:] != run[:-1]) | (low[1:] != low[:-1])
-    run, low = run[new], low[new]
-    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    run, low, eighth = run[new], low[new], eighth[new]
+    least, below = _size_range(low)
+    begin = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (100 * below[:-1] < SIMILAR * least[1:])))
     size = np.diff(np.append(begin, len(run)))
-    members = mix(np.add.reduceat(mix(low.view(np.uint64)), begin) + size.astype(np.uint64))
+    follow = below * (1 - eighth * (100 - SIMILAR) / (100 * PLACES))  # the run included
+    fits = size > 1
+    a = begin[size == 2]
+    fits[size == 2] = (100 + SIMILAR) * np.minimum(follow[a], follow[a + 1]) >= SIMILAR * (least[a] + least[a + 1])
+    members = mix(np.add.reduceat(mix(low), begin) + size.astype(np.uint64))
     _, first = np.unique(members, return_index=True)
     keep = np.zeros(len(begin), bool)
     keep[first] = True
-    keep = np.repeat(keep & (size > 1), size)
-    return pa.record_batch([signed(np.repeat(members, size)[keep]), pa.array(low[keep])], ["run", "low"])
+    # of groups with equal members one that fits says enough
+    fits = np.isin(members, members[fits])
+    keep = np.repeat(keep & fits, size)
+    return pa.record_batch([signed(np.repeat(members, size)[keep]), signed(low[keep])], ["run", "low"])
 
 
 def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -318,7 +350,7 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
     table = spark.sparkContext.broadcast(set_tools.rarity_table(counts))
     entries = known.select("doc", "text").mapInArrow(lambda batches: _entries(table.value, batches), "run long, low long")
     shared = stored(set_tools.grouped(entries, "run", _shared_runs, "run long, low long").distinct(), "shared")
-    members = stored(shared.join(classes, "low").select("run", "entry", "doc", "text_id"), "members")
+    members = stored(shared.join(classes, "low").select("run", "entry", "size", "doc", "text_id"), "members")
 
     # texts and points of the members, one per class
     wanted = members.select("entry", "doc", "text_id").distinct().withColumn("id", F.expr("doc ^ text_id"))
@@ -329,8 +361,9 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
             ids = batch.column(0).to_numpy() ^ batch.column(2).to_numpy()
             yield batch.filter(pa.array(set_tools.maybe(filter_.value, ids.view(np.uint64))))
 
-    texts = known.mapInArrow(texts_of, "doc long, text string, text_id long")
-    texts = texts.join(wanted.drop("id"), ["doc", "text_id"]).groupBy("entry").agg(F.first("text").alias("text"))
+    # equal rows become one before the join, by its keys, so texts are moved once
+    texts = known.mapInArrow(texts_of, "doc long, text string, text_id long").groupBy("doc", "text_id").agg(F.first("text").alias("text"))
+    texts = texts.join(wanted.drop("id"), ["doc", "text_id"]).select("entry", "text")
     texts = stored(texts.mapInArrow(_points, "entry long, text string, size long, point binary"), "texts")
 
     links = spark.createDataFrame([], "a long, b long")
@@ -340,20 +373,23 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
         owned = owned.join(several, "doc", "left_semi").join(classes.select("low", "high", "entry"), ["low", "high"])
         ends = owned.groupBy("doc").agg(F.min("entry").alias("a"))
         links = stored(owned.join(ends, "doc").select("a", F.col("entry").alias("b")).where("a <> b").distinct(), "links")
-    labelled = members.select("run", "entry", F.col("entry").alias("component"))
+    labelled = members.select("run", "entry", "size", F.col("entry").alias("component"))
 
     def joined() -> tuple[DataFrame, DataFrame]:
         """Components of the links so far, and the groups that still hold several."""
         component = stored(set_tools.components(links), "components")
-        own = members.select("run", "entry").join(component, F.col("entry") == F.col("node"), "left")
-        own = own.select("run", "entry", F.coalesce("component", "entry").alias("component"))
-        mixed = own.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("run")
+        own = members.select("run", "entry", "size").join(component, F.col("entry") == F.col("node"), "left")
+        own = own.select("run", "entry", "size", F.coalesce("component", "entry").alias("component"))
+        ends = own.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+        # two members are settled by a pivot, or by the search
+        mixed = ends.where("x <> y AND n > 2").select("run")
         return component, stored(own.join(mixed, "run", "left_semi"), "mixed")
 
     for turn in range(PIVOTS):
         kind = F.pmod(F.col("run"), F.lit(PER_ROUND))
-        pivot = F.min_by(F.struct("entry", "component"), F.xxhash64("entry", kind, F.lit(turn))).alias("pivot")
+        pivot = F.min_by(F.struct("entry", "component", "size"), F.xxhash64("entry", kind, F.lit(turn))).alias("pivot")
         pairs = labelled.join(labelled.groupBy("run").agg(pivot), "run").where("component <> pivot.component")
+        pairs = pairs.where(100 * F.least("size", "pivot.size") >= SIMILAR * F.greatest("size", "pivot.size"))
         pairs = pairs.select(F.least("entry", "pivot.entry").alias("a"), F.greatest("entry", "pivot.entry").alias("b")).distinct()
         links = stored(links.union(_verified(stored(pairs, "pairs"), texts)), "links")
         component, labelled = joined()
@@ -367,7 +403,7 @@ def _named(frame: DataFrame, key: str, text: str, join_ids: bool) -> tuple[DataF
     low, high, more = 0, RANKS, True
     while more:
         # smaller groups have given all their pairs in the first round
-        rows = labelled.join(cells.where(f"n > {0 if low == 0 else SMALL}"), ["run", "entry"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        rows = labelled.drop("size").join(cells.where(f"n > {0 if low == 0 else SMALL}"), ["run", "entry"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         rows = rows.select(
             F.xxhash64("run", "part").alias("cell"), "entry", "component",
             (F.expr("pmod(hash(entry), parts)") == F.col("part")).alias("indexed"), "asks",

@@ -134,3 +134,44 @@ def test_small_graphs_take_one_stored_table(spark, monkeypatch):
     monkeypatch.setattr(set_tools, "EDGES", 1)
     assert {r["node"]: r["component"] for r in set_tools.components(edges).collect()} == want
     assert set_tools.components(edges.where("a = b")).count() == 0
+
+
+def test_chance_meetings_move_no_texts(spark, monkeypatch):
+    # one run in common, in sets of unlike sizes; and four near copies in three classes
+    docs = [(k, " ".join(["p1 p2 p3 p4 p5", *(f"d{k}w{i}" for i in range(n))])) for k, n in enumerate([20, 60, 200, 700, 3000])]
+    near = [f"n{i}" for i in range(80)]
+    docs += [(100 + k, " ".join(near[:40] + [f"x{k}"] * (k % 2) + near[40:])) for k in range(4)]
+    tables, stored = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda frame, purpose: tables.setdefault(purpose, stored(frame, purpose)) if purpose == "texts" else stored(frame, purpose))
+    assert got(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)) == brute(docs)
+    assert sorted(r["text"][:2] for r in tables["texts"].collect()) == ["n0"] * 3  # before, also the five others
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 9, 40, 333, 1000])
+def test_groups_keep_every_pair_that_may_link(n):
+    rng = np.random.default_rng(n)
+    for _ in range(200):
+        m = int(rng.integers(-(-n * 80 // 100), n * 100 // 80 + 1))
+        size = np.array([n, m])
+        must = ngram_join.needed(size[:1], size[1:])[0]
+        last = size + (-size * 80 // 100)
+        # the first common run stands at most so far behind that what follows suffices
+        place = np.array([rng.integers(0, x - must + 1) for x in size])
+        low = ngram_join._coded(size) | np.array([1, 2], np.uint64)
+        eighth = (ngram_join.PLACES * place // (last + 1)).astype(np.uint64) << np.uint64(ngram_join.PLACE_BIT)
+        batch = pa.record_batch([pa.array([7, 7]), pa.array((low | eighth).view(np.int64))], ["run", "low"])
+        assert set(ngram_join._shared_runs(batch).column(1).to_numpy().view(np.uint64)) == set(low)
+        least, below = ngram_join._size_range(low)
+        assert (least <= size).all() and (size < below).all()
+
+
+def test_groups_are_cut_where_sizes_are_too_far_apart():
+    size = np.array([100, 110, 118, 400, 430, 5000])
+    low = ngram_join._coded(size) | np.arange(1, 7, dtype=np.uint64)
+    late = np.uint64((ngram_join.PLACES - 1) << ngram_join.PLACE_BIT)
+    rows = [(1, x) for x in low] + [(2, low[0] | late), (2, low[1] | late), (3, low[0]), (3, low[3]), (4, low[5])]
+    batch = pa.record_batch([pa.array([r for r, _ in rows]), pa.array(np.array([x for _, x in rows]).view(np.int64))], ["run", "low"])
+    groups = {}
+    for row in ngram_join._shared_runs(batch).to_pylist():
+        groups.setdefault(row["run"], []).append(row["low"])
+    assert sorted(sorted(int(x) % 8 for x in g) for g in groups.values()) == [[1, 2, 3], [4, 5]]
