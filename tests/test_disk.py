@@ -51,6 +51,7 @@ def few_broadcasts(spark):
 
 
 @pytest.mark.parametrize("name, column, times", [
+    ("open_orders_by_line", "customer_purchase_order_id", 1), ("open_orders_view", "date_order_requested", 1),
     ("open_orders_with_prices", "order_line_comment_note", 2),  # the other one has the rows of repeated keys only
 ])
 def test_whole_lines_move_once(spark, few_broadcasts, name, column, times):
