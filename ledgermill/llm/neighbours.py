@@ -22,6 +22,10 @@ never its neighbour, and rows that repeat an id count once, by their best score.
 Every valid query row gives its ``k`` nearest, or all candidates if fewer; repeated
 query ids with equal vectors are one query, with different vectors one whose
 scores are the best over its vectors.
+
+Tables that grow with the vectors or the queries are joined by sorting (hint ``merge``). Prefix
+counts take under a byte a row in their file and over a hundred in a broadcast, so by the file's
+size they would be sent through the driver long after they are too large for it.
 """
 
 from __future__ import annotations
@@ -139,11 +143,13 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     def hash_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for size, part, vectors in (x for b in batches for k in range(0, b.num_rows, SLICE) for x in _by_size(b.slice(k, SLICE))):
             ids = part.column(0).to_numpy()
+            only = part.column(2).to_numpy() if part.num_columns > 2 else None  # the level of each query, else all levels
             codes = strings(vectors, PROBES)
             for t in range(TREES):
                 for level in range(1, DEPTH + 1):
-                    prefix = _prefix(codes[t], level)
-                    row = np.repeat(np.arange(len(ids)), prefix.shape[1])
+                    at = np.arange(len(ids)) if only is None else np.flatnonzero(only == level)
+                    prefix = _prefix(codes[t][at], level)
+                    row = np.repeat(at, prefix.shape[1])
                     pairs = np.unique(np.stack([row, prefix.ravel()], axis=1), axis=0)
                     n = len(pairs)
                     yield pa.record_batch(
@@ -151,23 +157,24 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
                         ["tree", "level", "prefix", "query"],
                     )
 
-    probes = targets.select("query", "vector").mapInArrow(hash_queries, "tree long, level int, prefix long, query long")
+    probed = "tree long, level int, prefix long, query long"
+    probes = targets.select("query", "vector").mapInArrow(hash_queries, probed)
     levels = F.explode(F.sequence(F.lit(1), F.lit(DEPTH))).alias("level")
     prefix = F.expr(f"shiftright(code, {BITS} * ({DEPTH} - level))").alias("prefix")
     sizes = hashed.groupBy("tree", "code").agg(F.count("*").alias("n")).select("tree", "code", "n", levels)
     sizes = stored(sizes.select("tree", "level", prefix, "n").groupBy("tree", "level", "prefix").agg(F.sum("n").alias("n")), "sizes")
-    reached = probes.join(sizes, ["tree", "level", "prefix"]).groupBy("query", "level").agg(F.sum("n").alias("n"))
+    reached = probes.join(sizes.hint("merge"), ["tree", "level", "prefix"]).groupBy("query", "level").agg(F.sum("n").alias("n"))
     sized = entries.groupBy(F.size("vector").alias("size")).agg(F.ceil(F.count("*") * SHARE).alias("share"))
-    reached = reached.join(targets.select("query", F.size("vector").alias("size")), "query").join(sized, "size")
+    reached = reached.join(targets.select("query", F.size("vector").alias("size")).hint("merge"), "query").join(sized, "size")
     level = reached.where(F.col("n") >= F.greatest("share", F.lit(WANTED))).groupBy("query").agg(F.max("level").alias("level"))
-    chosen = targets.select("query").join(level, "query", "left").select("query", F.coalesce("level", F.lit(0)).alias("level"))
+    chosen = targets.select("query").join(level.hint("merge"), "query", "left").select("query", F.coalesce("level", F.lit(0)).alias("level"))
     chosen = stored(chosen, "levels")
     # at most TREES * 2 * WIDTH rows for each number of components
     parts = sizes.where("level = 1").select("tree", F.col("prefix").cast("int").alias("first"), F.ceil(F.col("n") / GROUP).cast("int").alias("parts"))
-    own = probes.join(chosen, ["query", "level"]).select("tree", "level", "prefix", "query")
+    own = targets.join(chosen.where("level > 0").hint("merge"), "query").select("query", "vector", "level").mapInArrow(hash_queries, probed)
     all_of = parts.where(f"tree % {TREES} = 0").select("tree", F.lit(1).alias("level"), F.col("first").cast("long").alias("prefix"))
     # every vector: all groups of one tree, for the queries that fall short (all of them in small tables)
-    whole = chosen.where("level = 0").join(targets.select("query", (F.size("vector") * TREES).cast("long").alias("tree")), "query")
+    whole = chosen.where("level = 0").join(targets.select("query", (F.size("vector") * TREES).cast("long").alias("tree")).hint("merge"), "query")
     whole = whole.select("query", "tree", F.explode(F.sequence(F.lit(0), F.lit(2 * WIDTH - 1))).alias("prefix"))
     whole = whole.select("tree", F.lit(1).alias("level"), F.col("prefix").cast("long").alias("prefix"), "query")
     whole = whole.join(all_of, ["tree", "level", "prefix"], "left_semi")
@@ -179,7 +186,7 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
         F.collect_list(F.struct("low", "high")).alias("ranges")
     )
     sent = sent.join(parts, ["tree", "first"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    sent = sent.join(targets, "query").select("tree", "first", "part", "query", "ranges", "vector")
+    sent = sent.join(targets.hint("merge"), "query").select("tree", "first", "part", "query", "ranges", "vector")
     rows = hashed.join(parts, ["tree", "first"]).withColumn("part", F.expr("pmod(hash(entry), parts)"))
 
     def search(vectors: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
@@ -207,9 +214,9 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     pairs = found.groupBy("query", "entry").agg(F.max("score").alias("score"))
     best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "entry"))
     pairs = pairs.withColumn("place", best).where(F.col("place") <= keep)
-    pairs = stored(pairs.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("id")), "pairs")
+    pairs = stored(pairs.join(entries.select("entry", "ids").hint("merge"), "entry").select("query", "score", F.explode("ids").alias("id")), "pairs")
     listed = pairs.groupBy("query").agg(F.collect_list(F.struct("score", "id")).alias("found"))
-    ids = asked.join(targets, "vector").select("query_id", "query").join(listed, "query")
+    ids = asked.join(targets.hint("merge"), "vector").select("query_id", "query").join(listed.hint("merge"), "query")
     flat = ids.select("query_id", F.explode("found").alias("f")).select("query_id", "f.score", "f.id").where("query_id <> id")
     flat = flat.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -114,6 +116,21 @@ def test_recall_where_the_forest_is_used(spark, monkeypatch, tmp_path):
     assert check(got, want, 5) >= 0.9
 
 
+def test_no_growing_table_is_broadcast(spark, monkeypatch):
+    sent, keep = [], neighbours.stored
+
+    def read(frame):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        text = frame._jdf.queryExecution().explainString(mode)
+        sent.extend(re.findall(r"\(\d+\) BroadcastExchange\nInput \[\d+\]: \[([^\]]*)\]", text))
+
+    monkeypatch.setattr(neighbours, "stored", lambda frame, name: (read(frame), keep(frame, name))[1])
+    read(op10_neighbours(spark, FOLDER))
+    columns = {re.sub(r"#\d+L?", "", c).strip() for x in sent for c in x.split(",")}
+    assert columns <= {"size", "share", "tree", "first", "parts", "level", "prefix"}  # a few rows for each number of components
+    assert not [x for x in sent if re.search(r"\b(n|query)#", x)]
+
+
 def test_each_dimension_by_itself(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(20)] + [(100 + i, rng.standard_normal(3).tolist()) for i in range(4)]
